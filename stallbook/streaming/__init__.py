@@ -1,0 +1 @@
+"""Intentionally empty: every source is a one-off batch export, so no job here is a stream."""
