@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from stallbook.functions.scalars import add
 
 
 def fill_months(monthly: DataFrame, month: str, zero: list[str]) -> DataFrame:
@@ -12,18 +13,11 @@ def fill_months(monthly: DataFrame, month: str, zero: list[str]) -> DataFrame:
     ``monthly`` has one row per month. Each row expands to itself plus the gap that follows,
     so the table is read once. In inserted rows ``zero`` columns hold 0 and the rest NULL.
     """
-    after = F.lead(month).over(Window.orderBy(month))
-    reach = monthly.withColumn("_last", F.coalesce(F.add_months(after, -1), F.col(month)))
-    span = F.sequence(F.col(month), F.col("_last"), F.expr("interval 1 month"))
-    grown = reach.withColumn("_month", F.explode(span))
-    real = F.col("_month") == F.col(month)
-    types = dict(monthly.dtypes)
-    out = []
-    for c in monthly.columns:
-        if c == month:
-            out.append(F.col("_month").alias(c))
-        elif c in zero:
-            out.append(F.when(real, F.col(c)).otherwise(F.lit(0)).cast(types[c]).alias(c))
-        else:
-            out.append(F.when(real, F.col(c)).alias(c))
-    return grown.select(*out)
+    reach = add(monthly, _last=f"coalesce(add_months(lead({month}) OVER (ORDER BY {month}), -1), {month})")
+    grown = add(reach, _month=f"explode(sequence({month}, _last, interval 1 month))")
+    out = [f"_month AS {month}"]
+    for name, dtype in monthly.dtypes:
+        if name != month:
+            rest = f"CAST(0 AS {dtype})" if name in zero else "NULL"
+            out.append(f"CASE WHEN _month = {month} THEN {name} ELSE {rest} END AS {name}")
+    return grown.selectExpr(*out).select(*monthly.columns)

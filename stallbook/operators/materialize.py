@@ -24,12 +24,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/stallbook/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Store ``df`` as Parquet and read it back.
 
     Used where several passes need one result to stay the same: the table survives lost
     executors, is read column by column and carries exact sizes for the planner.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

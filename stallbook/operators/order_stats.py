@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from stallbook.functions.scalars import add, agg, text_literal
 from stallbook.operators.splits import count_not_after, find_splits
 
 
@@ -22,45 +22,52 @@ def select_at_ranks(
     ranks_of: Callable[[str, int], list[int]],
     weight: str | None = None,
     rows_per_range: int | None = None,
+    totals: dict[str, int] | None = None,
 ) -> dict[str, dict[int, tuple]]:
     """For each group, the order key found at each wanted rank (1-based).
 
     ``df`` must give the same rows every time it is read and ``order`` must be unique within
     a group. A row counts ``weight`` times. Groups are few (metrics, columns), rows are not;
-    only per-range counts and the selected keys reach the driver.
+    only per-range counts and the selected keys reach the driver. ``totals``, the rows of
+    each group, saves counting them when every weight is 1.
     """
-    w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    rows = df.select(group, *order, w.alias("_w"))
     full = [group, *order]
-    total_rows = rows.count()
+    rows = df.selectExpr(*full, f"CAST({weight or 1} AS BIGINT) AS _w")
+    total_rows = sum(totals.values()) if totals else rows.count()
     splits = find_splits(rows, full, total_rows, rows_per_range)
-    ranged = rows.withColumn("_range", count_not_after(splits, rows, full).cast("int"))
-    sizes = ranged.groupBy(group, "_range").agg(F.sum("_w").alias("_n")).collect()
-
-    wanted: list[tuple] = []
-    for name in {r[group] for r in sizes}:
-        mine = sorted((r["_range"], r["_n"]) for r in sizes if r[group] == name)
+    ranged = add(rows, _range=f"CAST({count_not_after(splits, rows, full)} AS INT)")
+    if totals and not splits:
+        sizes = [(name, 0, n) for name, n in totals.items()]
+    else:
+        sizes = [tuple(r) for r in agg(ranged, [group, "_range"], n="sum(_w)").collect()]
+
+    wanted: dict[tuple[str, int], dict[int, int]] = {}
+    for name in {s[0] for s in sizes}:
+        mine = sorted((range_id, n) for group_name, range_id, n in sizes if group_name == name)
         todo = sorted(set(ranks_of(name, sum(n for _, n in mine))))
         before = 0
         for range_id, n in mine:
-            wanted += [(name, range_id, k - before, k) for k in todo if before < k <= before + n]
+            here = {k - before: k for k in todo if before < k <= before + n}
+            if here:
+                wanted[(name, range_id)] = here
             before += n
     if not wanted:
         return {}
 
-    spec = f"{group} string, _range int, _local bigint, _rank bigint"
-    targets = df.sparkSession.createDataFrame(wanted, spec)
-    kept = ranged.join(F.broadcast(targets.select(group, "_range").distinct()), [group, "_range"], "left_semi")
-    upto = Window.partitionBy(group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    placed = kept.withColumn("_upto", F.sum("_w").over(upto))
-    hit = (
-        placed.join(F.broadcast(targets), [group, "_range"])
-        .filter((F.col("_local") <= F.col("_upto")) & (F.col("_local") > F.col("_upto") - F.col("_w")))
-        .select(group, "_rank", *order)
-    )
+    def place(name: str, range_id: int) -> str:
+        return f"{group} = {text_literal(name)} AND _range = {range_id}"
+
+    def holds(slot: tuple[str, int]) -> str:
+        inside = " OR ".join(f"(_upto >= {k} AND _upto - _w < {k})" for k in wanted[slot])
+        return f"({place(*slot)} AND ({inside}))"
+
+    kept = ranged.filter(" OR ".join(f"({place(*slot)})" for slot in wanted)) if splits else ranged
+    upto = f"sum(_w) OVER (PARTITION BY {group}, _range ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING)"
     found: dict[str, dict[int, tuple]] = {}
-    for r in hit.collect():
-        found.setdefault(r[group], {})[r["_rank"]] = tuple(r[c] for c in order)
+    for r in add(kept, _upto=upto).filter(" OR ".join(holds(slot) for slot in wanted)).collect():
+        for local, rank in wanted[(r[group], r["_range"])].items():
+            if r["_upto"] - r["_w"] < local <= r["_upto"]:
+                found.setdefault(r[group], {})[rank] = tuple(r[c] for c in order)
     return found
 
 
@@ -79,20 +86,26 @@ def with_ntiles(
     ``df`` must be stable (read from storage). Values are non-null integers and ``key`` is
     unique, so ties are broken the same way on every run.
     """
-    entries = [
-        F.struct(F.lit(name).alias("_metric"), F.col(value).cast("bigint").alias("_value"), F.col(key).alias("_key"))
+    entries = ", ".join(
+        f"named_struct('_metric', '{name}', '_value', CAST({value} AS BIGINT), '_key', {key})"
         for name, (value, _) in tiles.items()
-    ]
-    long = df.select(F.inline(F.array(*entries)))
+    )
+    long = df.selectExpr(f"inline(array({entries}))")
+    rows = df.count()
     starts = select_at_ranks(
-        long, "_metric", ["_value", "_key"], lambda m, n: tile_starts(n, tiles[m][1]), rows_per_range=rows_per_range
+        long,
+        "_metric",
+        ["_value", "_key"],
+        lambda metric, n: tile_starts(n, tiles[metric][1]),
+        rows_per_range=rows_per_range,
+        totals={name: rows for name in tiles},
     )
-    out = df.select("*", F.col(key).alias("_key"))
+    made = {}
     for name, (value, _) in tiles.items():
-        firsts = [starts.get(name, {})[k] for k in sorted(starts.get(name, {}))]
-        probe = out.withColumn("_value", F.col(value).cast("bigint"))
-        out = probe.withColumn(name, (1 + count_not_after(firsts, probe, ["_value", "_key"])).cast("int")).drop("_value")
-    return out.drop("_key")
+        firsts = [starts[name][k] for k in sorted(starts.get(name, {}))]
+        passed = count_not_after(firsts, long, ["_value", "_key"], [f"CAST({value} AS BIGINT)", key])
+        made[name] = f"CAST(1 + {passed} AS INT)"
+    return add(df, **made)
 
 
 def quantile_ranks(total: int, probs: list[float]) -> list[int]:

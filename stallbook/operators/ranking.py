@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallbook.functions.scalars import add, agg, text_literal
 from stallbook.operators.splits import count_not_after, find_splits
 
 
@@ -21,65 +24,60 @@ def with_global_order(
 
     Each range is ordered on its own; what lies before it comes from per-range totals, which
     are combined on the map side. ``rank`` ranks by the first order column only, ties sharing
-    a rank. ``running`` maps output names to the integer columns to accumulate. ``df`` must give the same
-    rows every time it is read.
+    a rank. ``running`` maps output names to the integer columns to accumulate. ``df`` must
+    give the same rows every time it is read.
     """
     running = running or {}
     total = df.count() if rows is None else rows
     splits = find_splits(df, order, total, rows_per_range)
-    ranged = df.withColumn("_range", count_not_after(splits, df, order).cast("int"))
+    ranged = add(df, _range=f"CAST({count_not_after(splits, df, order)} AS INT)")
 
-    inside = Window.partitionBy("_range").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = {f"_sum_{out}": F.sum(col).over(upto) for out, col in running.items()}
-    local["_row"] = F.row_number().over(inside)
+    inside = f"PARTITION BY _range ORDER BY {', '.join(order)}"
+    local = {f"_sum_{out}": f"sum({col}) OVER ({inside} ROWS UNBOUNDED PRECEDING)" for out, col in running.items()}
+    local["_row"] = f"row_number() OVER ({inside})"
     if rank:
-        by_first = Window.partitionBy("_range").orderBy(order[0])
-        local["_rank"] = F.rank().over(by_first)
-    placed = ranged.withColumns(local)
+        local["_rank"] = f"rank() OVER (PARTITION BY _range ORDER BY {order[0]})"
+    placed = add(ranged, **local)
 
-    if not splits:
-        renamed = {out: F.col(f"_sum_{out}") for out in running}
+    outputs = {out: f"_sum_{out}" for out in running}
+    if row_number:
+        outputs[row_number] = "CAST(_row AS BIGINT)"
+    if rank:
+        outputs[rank] = "CAST(_rank AS BIGINT)"
+    if splits:
+        placed = placed.join(F.broadcast(_offsets(ranged, order[0], splits, running)), "_range")
+        outputs = {out: f"_base_{out} + _sum_{out}" for out in running}
         if row_number:
-            renamed[row_number] = F.col("_row").cast("bigint")
+            outputs[row_number] = "CAST(_base + _row AS BIGINT)"
         if rank:
-            renamed[rank] = F.col("_rank").cast("bigint")
-        return placed.withColumns(renamed).select(*df.columns, *renamed)
+            outputs[rank] = (
+                f"CAST(CASE WHEN _range > 0 AND {order[0]} <=> _start THEN _start_rank ELSE _base + _rank END AS BIGINT)"
+            )
+    return placed.selectExpr(*df.columns, *[f"{text} AS {out}" for out, text in outputs.items()])
 
-    # One row per range: totals before it, and the rank of the value its split point sits on.
-    spark = df.sparkSession
-    value_type = df.schema[order[0]].dataType.simpleString()
-    edges = spark.createDataFrame([(i, key[0]) for i, key in enumerate(splits)], f"_range int, _edge {value_type}")
-    marked = ranged.join(F.broadcast(edges), "_range", "left")
-    totals = marked.groupBy("_range").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col(order[0]).eqNullSafe(F.col("_edge"))).alias("_at_edge"),
-        *[F.sum(col).alias(f"_tot_{out}") for out, col in running.items()],
-    )
+
+def _offsets(ranged: DataFrame, first: str, splits: list[tuple], running: dict[str, str]) -> DataFrame:
+    """One row per range: totals before it, and the rank of the value its lower edge sits on."""
+    edges = text_literal(json.dumps([key[0] for key in splits]))
+    edge = f"get(from_json({edges}, 'array<{ranged.schema[first].dataType.simpleString()}>'), _range)"
+    sums = {f"_tot_{out}": f"sum({col})" for out, col in running.items()}
+    totals = agg(ranged, ["_range"], _n="count(1)", _at_edge=f"count_if({first} <=> {edge})", **sums)
     # Every range gets a row, also one that came out empty, so that edges can be chained.
-    shell = spark.range(len(splits) + 1).select(F.col("id").cast("int").alias("_range")).join(
-        F.broadcast(edges), "_range", "left"
+    shell = ranged.sparkSession.range(len(splits) + 1).selectExpr("CAST(id AS INT) AS _range")
+    before = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    chained = shell.join(totals, "_range", "left").selectExpr(
+        "_range",
+        f"{edge} AS _edge",
+        "coalesce(_n, 0) AS _n",
+        "coalesce(_at_edge, 0) AS _at_edge",
+        f"coalesce(sum(_n) {before}, 0) AS _base",
+        *[f"coalesce(sum(_tot_{out}) {before}, 0) AS _base_{out}" for out in running],
     )
-    along = Window.orderBy("_range")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = shell.join(totals, "_range", "left").withColumns(
-        {
-            "_base": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-            "_start": F.lag("_edge").over(along),
-            **{f"_base_{out}": F.coalesce(F.sum(f"_tot_{out}").over(before), F.lit(0)) for out in running},
-        }
+    ranked = add(chained, _edge_rank="min(_base + _n - _at_edge + 1) OVER (PARTITION BY _edge)")
+    return ranked.selectExpr(
+        "_range",
+        "_base",
+        "lag(_edge) OVER (ORDER BY _range) AS _start",
+        "lag(_edge_rank) OVER (ORDER BY _range) AS _start_rank",
+        *[f"_base_{out}" for out in running],
     )
-    edge_first = F.col("_base") + F.coalesce(F.col("_n"), F.lit(0)) - F.coalesce(F.col("_at_edge"), F.lit(0)) + 1
-    offsets = offsets.withColumn("_edge_rank", F.min(edge_first).over(Window.partitionBy("_edge")))
-    offsets = offsets.withColumn("_start_rank", F.lag("_edge_rank").over(along)).select(
-        "_range", "_base", "_start", "_start_rank", *[f"_base_{out}" for out in running]
-    )
-
-    joined = placed.join(F.broadcast(offsets), "_range")
-    result = {out: F.col(f"_base_{out}") + F.col(f"_sum_{out}") for out in running}
-    if row_number:
-        result[row_number] = (F.col("_base") + F.col("_row")).cast("bigint")
-    if rank:
-        continues = (F.col("_range") > 0) & F.col(order[0]).eqNullSafe(F.col("_start"))
-        result[rank] = F.when(continues, F.col("_start_rank")).otherwise(F.col("_base") + F.col("_rank")).cast("bigint")
-    return joined.withColumns(result).select(*df.columns, *result)

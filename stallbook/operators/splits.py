@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from stallbook.functions.scalars import text_literal
+
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 4096
 SAMPLES_PER_RANGE = 24
@@ -27,10 +28,6 @@ def _key_type(df: DataFrame, order: list[str]) -> str:
     return "struct<" + ",".join(f"`{c}`:{df.schema[c].dataType.simpleString()}" for c in order) + ">"
 
 
-def order_key(order: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
 def find_splits(df: DataFrame, order: list[str], rows: int, rows_per_range: int | None = None) -> list[tuple]:
     """At most ``MAX_RANGES - 1`` ascending, distinct keys; empty when one range is enough."""
     per_range = rows_per_range or ROWS_PER_RANGE
@@ -43,20 +40,32 @@ def find_splits(df: DataFrame, order: list[str], rows: int, rows_per_range: int
     return [key for i, key in enumerate(picked) if i == 0 or key != picked[i - 1]]
 
 
-def count_not_after(points: list[tuple], df: DataFrame, order: list[str]) -> Column:
-    """How many of the ascending ``points`` are <= the row's key, by a two-level search."""
+def count_not_after(points: list[tuple], df: DataFrame, order: list[str], values: list[str] | None = None) -> str:
+    """Expression: how many of the ascending ``points`` are <= the row's key (two-level search).
+
+    ``values`` are the expressions compared with ``order``; by default the columns themselves.
+    """
     if not points:
-        return F.lit(0)
+        return "0"
+    key_type = _key_type(df, order)
+    fields = zip(order, values or order)
+    key = "named_struct(" + ", ".join(f"'{c}', {v}" for c, v in fields) + ")"
     width = math.isqrt(len(points) - 1) + 1
     chunks = [points[i : i + width] for i in range(0, len(points), width)]
-    encoded = json.dumps([[dict(zip(order, p)) for p in chunk] for chunk in chunks])
-    table = F.from_json(F.lit(encoded), f"array<array<{_key_type(df, order)}>>")
-    key = order_key(order)
 
-    def reached(arr: Column) -> Column:
-        return F.size(F.filter(arr, lambda point: point <= key))
+    def literal(value: list, dtype: str) -> str:
+        return f"from_json({text_literal(json.dumps(value))}, '{dtype}')"
+
+    def reached(array: str) -> str:
+        return f"size(filter({array}, point -> point <= {key}))"
+
+    def named(point: tuple) -> dict:
+        return dict(zip(order, point))
 
     if len(chunks) == 1:
-        return reached(table[0])
-    chunk = reached(F.transform(table, lambda c: c[0]))
-    return F.when(chunk == 0, 0).otherwise((chunk - 1) * width + reached(F.get(table, chunk - 1)))
+        return reached(literal([named(p) for p in points], f"array<{key_type}>"))
+    heads = literal([named(c[0]) for c in chunks], f"array<{key_type}>")
+    table = literal([[named(p) for p in c] for c in chunks], f"array<array<{key_type}>>")
+    chunk = reached(heads)
+    fine = reached(f"get({table}, {chunk} - 1)")
+    return f"CASE WHEN {chunk} = 0 THEN 0 ELSE ({chunk} - 1) * {width} + {fine} END"

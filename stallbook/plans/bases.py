@@ -10,52 +10,46 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stallbook.functions.scalars import cents, mean
+from stallbook.functions.scalars import agg, cents, mean, month_of
 
 Frames = Mapping[str, DataFrame]
 
+VALUE = "price_cents + freight_cents"
+
 
 def delivered(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("order_status") == "delivered")
+    return orders.filter("order_status = 'delivered'")
 
 
 def order_values(items: DataFrame, *more_keys: str) -> DataFrame:
     """Cents and item count per order (or per order and ``more_keys``)."""
-    return items.groupBy("order_id", *more_keys).agg(
-        F.sum(cents(F.col("price"))).alias("price_cents"),
-        F.sum(cents(F.col("freight_value"))).alias("freight_cents"),
-        F.count(F.lit(1)).alias("items"),
+    return agg(
+        items,
+        ["order_id", *more_keys],
+        price_cents=f"sum({cents('price')})",
+        freight_cents=f"sum({cents('freight_value')})",
+        items="count(1)",
     )
 
 
-def value_cents():
-    return F.col("price_cents") + F.col("freight_cents")
-
-
 def review_scores(reviews: DataFrame) -> DataFrame:
     """Mean score per order."""
-    totals = reviews.groupBy("order_id").agg(
-        F.sum(F.col("review_score").cast("bigint")).alias("_sum"), F.count("review_score").alias("_n")
-    )
-    return totals.select(
-        "order_id", mean(F.col("_sum"), F.col("_n"), 10).cast("decimal(12,10)").alias("order_score")
-    )
+    totals = agg(reviews, ["order_id"], _sum="sum(CAST(review_score AS BIGINT))", _n="count(review_score)")
+    return totals.selectExpr("order_id", f"CAST({mean('_sum', '_n', 10)} AS DECIMAL(12,10)) AS order_score")
 
 
 def person_orders(w: Frames) -> DataFrame:
     """Delivered orders that have items, with their person: one row per order."""
-    orders = delivered(w["dim_order"])
     people = w["dim_customer"].select("customer_id", "customer_unique_id", "customer_state")
-    return orders.join(people, "customer_id").join(order_values(w["fact_order_items"]), "order_id")
+    return delivered(w["dim_order"]).join(people, "customer_id").join(order_values(w["fact_order_items"]), "order_id")
 
 
 def person_months(w: Frames) -> DataFrame:
     """Person x month of delivered orders, with or without items."""
     people = w["dim_customer"].select("customer_id", "customer_unique_id")
-    months = delivered(w["dim_order"]).select(
-        "customer_id", F.trunc("order_purchase_timestamp", "MM").alias("order_month")
+    months = delivered(w["dim_order"]).selectExpr(
+        "customer_id", f"{month_of('order_purchase_timestamp')} AS order_month"
     )
     return months.join(people, "customer_id").select("customer_unique_id", "order_month").distinct()
 
@@ -63,9 +57,8 @@ def person_months(w: Frames) -> DataFrame:
 def seller_orders(w: Frames, only_delivered: bool = True) -> DataFrame:
     """Seller x order: the seller's own share of each order, with the order's dates."""
     orders = delivered(w["dim_order"]) if only_delivered else w["dim_order"]
-    lines = order_values(w["fact_order_items"], "seller_id")
     dated = orders.select(
         "order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
         "order_estimated_delivery_date",
     )
-    return lines.join(dated, "order_id")
+    return order_values(w["fact_order_items"], "seller_id").join(dated, "order_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.params import Params
@@ -30,31 +30,22 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def _up(name: str) -> Column:
-    return F.asc_nulls_last(name)
-
-
-def _down(name: str) -> Column:
-    return F.desc_nulls_last(name)
-
-
-def presentation_order(report: str) -> list[Column]:
-    """Sort keys of a report; NULLs last unless the order is descending by convention."""
-    return {
-        "rfm": lambda: [_down("rfm_composite"), _down("total_spend")],
-        "clv": lambda: [_down("projected_clv_12m"), _down("historical_clv")],
-        "retention": lambda: [_up("cohort_month"), _up("period_number")],
-        "seller_performance": lambda: [_down("performance_score"), _down("total_revenue")],
-        "regional_analysis": lambda: [_down("total_revenue")],
-        "customer_health": lambda: [_up("customer_status"), _down("last_order_month")],
-        "seller_health": lambda: [_up("metric_type"), _up("order_month"), _up("seller_type")],
-        "new_vs_returning_revenue": lambda: [_up("order_month")],
-        "pareto_analysis": lambda: [_up("entity_type"), _up("revenue_rank")],
-        "delivery_experience": lambda: [_up("dimension"), _down("total_orders")],
-        "product_customer_affinity": lambda: [_down("total_revenue")],
-        "payment_behaviour": lambda: [_up("dimension"), _down("pct_of_orders")],
-        "review_response_intelligence": lambda: [_up("dimension"), _down("review_count")],
-    }[report]()
+# Display order; "-" marks a descending column. NULLs come last either way.
+DISPLAY: dict[str, str] = {
+    "rfm": "-rfm_composite -total_spend",
+    "clv": "-projected_clv_12m -historical_clv",
+    "retention": "cohort_month period_number",
+    "seller_performance": "-performance_score -total_revenue",
+    "regional_analysis": "-total_revenue",
+    "customer_health": "customer_status -last_order_month",
+    "seller_health": "metric_type order_month seller_type",
+    "new_vs_returning_revenue": "order_month",
+    "pareto_analysis": "entity_type revenue_rank",
+    "delivery_experience": "dimension -total_orders",
+    "product_customer_affinity": "-total_revenue",
+    "payment_behaviour": "dimension -pct_of_orders",
+    "review_response_intelligence": "dimension -review_count",
+}
 
 
 def run_report(name: str, frames: Frames, params: Params) -> DataFrame:
@@ -63,7 +54,8 @@ def run_report(name: str, frames: Frames, params: Params) -> DataFrame:
 
 def present(name: str, result: DataFrame) -> DataFrame:
     """A report in its display order. Kept apart: a sort of a big result is paid only on request."""
-    return result.orderBy(*presentation_order(name))
+    keys = DISPLAY[name].split()
+    return result.orderBy(*[F.desc_nulls_last(k[1:]) if k[0] == "-" else F.asc_nulls_last(k) for k in keys])
 
 
 def view_frames(frames: Frames, params: Params) -> dict[str, DataFrame]:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from stallbook.functions.scalars import (
-    lit_date, lit_ts, mean_money, money, month_of, months_between, percent, ratio, whole_days,
+    add, agg, mean_money, money, month_of, months_between, percent, ratio, whole_days,
 )
 from stallbook.operators.calendar import fill_months
 from stallbook.operators.materialize import materialize
 from stallbook.operators.order_stats import with_ntiles
 from stallbook.params import Params
-from stallbook.plans.bases import Frames, person_months, person_orders, value_cents
+from stallbook.plans.bases import VALUE, Frames, delivered, person_months, person_orders
 
 # Segment names with their recency and frequency bands, first match wins.
 SEGMENTS: list[tuple[str, tuple[int, int], tuple[int, int]]] = [
@@ -28,82 +27,78 @@ SEGMENTS: list[tuple[str, tuple[int, int], tuple[int, int]]] = [
 ]
 
 
-def _segment() -> Column:
-    label = F.lit("Uncategorised")
-    for name, r, f in reversed(SEGMENTS):
-        label = F.when(F.col("r_score").between(*r) & F.col("f_score").between(*f), name).otherwise(label)
-    return label
+def segment_of(r: str, f: str) -> str:
+    bands = " ".join(
+        f"WHEN {r} BETWEEN {r_lo} AND {r_hi} AND {f} BETWEEN {f_lo} AND {f_hi} THEN '{name}'"
+        for name, (r_lo, r_hi), (f_lo, f_hi) in SEGMENTS
+    )
+    return f"CASE {bands} ELSE 'Uncategorised' END"
 
 
 def person_metrics(w: Frames, params: Params) -> DataFrame:
     """One stored row per person: what both segment and lifetime-value reports start from."""
-    totals = person_orders(w).groupBy("customer_unique_id").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.sum(value_cents()).alias("spend_cents"),
-        F.min("order_purchase_timestamp").alias("first_ts"),
-        F.max("order_purchase_timestamp").alias("last_ts"),
+    totals = agg(
+        person_orders(w),
+        ["customer_unique_id"],
+        order_count="count(1)",
+        spend_cents=f"sum({VALUE})",
+        first_ts="min(order_purchase_timestamp)",
+        last_ts="max(order_purchase_timestamp)",
     )
-    facts = totals.select(
+    facts = totals.selectExpr(
         "customer_unique_id",
         "order_count",
         "spend_cents",
-        mean_money(F.col("spend_cents"), F.col("order_count")).alias("avg_order_value"),
-        F.col("first_ts").cast("date").alias("first_order_date"),
-        F.col("last_ts").cast("date").alias("last_order_date"),
-        whole_days(F.col("last_ts"), F.col("first_ts")).alias("lifespan_days"),
-        whole_days(lit_ts(params.reference_date), F.col("last_ts")).alias("days_since_last_order"),
+        f"{mean_money('spend_cents', 'order_count')} AS avg_order_value",
+        "CAST(first_ts AS DATE) AS first_order_date",
+        "CAST(last_ts AS DATE) AS last_order_date",
+        f"{whole_days('last_ts', 'first_ts')} AS lifespan_days",
+        f"{whole_days(f'''TIMESTAMP_NTZ '{params.reference_date}' ''', 'last_ts')} AS days_since_last_order",
     )
-    n, life, aov = F.col("order_count"), F.greatest("lifespan_days", F.lit(1)), F.col("avg_order_value")
-    yearly = n.cast("decimal(20,0)") * 365
+    yearly, life = "CAST(order_count AS DECIMAL(20,0)) * 365", "greatest(lifespan_days, 1)"
+    capped_rate = f"least({ratio(yearly, life, 2)}, 12)"
+    capped_value = f"least({ratio(f'avg_order_value * {yearly}', life, 2)}, avg_order_value * 12)"
     # With one order the projection is one more order of the same size.
-    projected = F.when(n == 1, aov).otherwise(F.least(ratio(aov * yearly, life, 2), (aov * 12).cast("decimal(20,2)")))
-    rate = F.when(n == 1, F.lit(1)).otherwise(F.least(ratio(yearly, life, 2), F.lit(12)))
-    return materialize(
-        facts.withColumns(
-            {
-                "projected_clv_12m": projected.cast("decimal(20,2)"),
-                "annualised_purchase_rate": rate.cast("decimal(20,2)"),
-                "avg_days_between_orders": ratio(F.col("lifespan_days"), n - 1, 1),
-                "projected_cents": (projected * 100).cast("bigint"),
-            }
-        ),
-        "persons",
+    projected = add(
+        facts,
+        projected_clv_12m=f"CAST(CASE WHEN order_count = 1 THEN avg_order_value ELSE {capped_value} END AS DECIMAL(20,2))",
+        annualised_purchase_rate=f"CAST(CASE WHEN order_count = 1 THEN 1 ELSE {capped_rate} END AS DECIMAL(20,2))",
+        avg_days_between_orders=ratio("lifespan_days", "order_count - 1", 1),
     )
+    return materialize(add(projected, projected_cents="CAST(projected_clv_12m * 100 AS BIGINT)"), "persons")
 
 
-def _scored(persons: DataFrame, rows_per_range: int | None, extra: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+def _scored(persons: DataFrame, rows_per_range: int | None, **extra: tuple[str, int]) -> DataFrame:
     tiles = {
         "recency_tile": ("days_since_last_order", 5),
         "f_score": ("order_count", 5),
         "m_score": ("spend_cents", 5),
-        **(extra or {}),
+        **extra,
     }
-    tiled = with_ntiles(persons, "customer_unique_id", tiles, rows_per_range)
-    return tiled.withColumn("r_score", 6 - F.col("recency_tile")).withColumn("segment", _segment())
+    tiled = add(with_ntiles(persons, "customer_unique_id", tiles, rows_per_range), r_score="6 - recency_tile")
+    return add(tiled, segment=segment_of("r_score", "f_score"))
 
 
 def rfm(w: Frames, params: Params, rows_per_range: int | None = None) -> DataFrame:
-    scored = _scored(person_metrics(w, params), rows_per_range)
-    sum_of_scores = F.col("r_score") + F.col("f_score") + F.col("m_score")
-    return scored.select(
+    return _scored(person_metrics(w, params), rows_per_range).selectExpr(
         "customer_unique_id", "r_score", "f_score", "m_score",
-        F.concat_ws("-", "r_score", "f_score", "m_score").alias("rfm_score"),
-        ratio(sum_of_scores, F.lit(3), 2).alias("rfm_composite"),
+        "concat_ws('-', r_score, f_score, m_score) AS rfm_score",
+        f"{ratio('r_score + f_score + m_score', '3', 2)} AS rfm_composite",
         "segment", "days_since_last_order", "order_count",
-        money(F.col("spend_cents")).alias("total_spend"),
+        f"{money('spend_cents')} AS total_spend",
         "avg_order_value", "first_order_date", "last_order_date",
     )
 
 
 def clv(w: Frames, params: Params, rows_per_range: int | None = None) -> DataFrame:
     """Same persons as ``rfm``, so its columns are computed in the same pass instead of joined."""
-    scored = _scored(person_metrics(w, params), rows_per_range, {"clv_tile": ("projected_cents", 3)})
-    return scored.select(
+    scored = _scored(person_metrics(w, params), rows_per_range, clv_tile=("projected_cents", 3))
+    return scored.selectExpr(
         "customer_unique_id", "order_count",
-        money(F.col("spend_cents")).alias("historical_clv"),
+        f"{money('spend_cents')} AS historical_clv",
         "avg_order_value", "projected_clv_12m", "annualised_purchase_rate",
-        F.element_at(F.array(F.lit("Low"), F.lit("Mid"), F.lit("High")), F.col("clv_tile")).alias("clv_tier"),
-        F.col("segment").alias("rfm_segment"),
+        "elt(clv_tile, 'Low', 'Mid', 'High') AS clv_tier",
+        "segment AS rfm_segment",
         "r_score", "f_score", "m_score", "first_order_date", "last_order_date", "lifespan_days",
         "days_since_last_order", "avg_days_between_orders",
     )
@@ -112,95 +107,93 @@ def clv(w: Frames, params: Params, rows_per_range: int | None = None) -> DataFra
 def retention(w: Frames, params: Params) -> DataFrame:
     """Cohort x months since the first order, complete up to the last month with orders.
 
-    The big table is read once: everything after the (cohort, period) count works on one row
+    The big table is read once: everything after the (cohort, month) count works on one row
     per cohort that holds its counts by period, bounded by the calendar.
     """
-    person = Window.partitionBy("customer_unique_id")
-    active = person_months(w).withColumn("cohort_month", F.min("order_month").over(person))
-    counts = active.groupBy("cohort_month", "order_month").agg(F.count(F.lit(1)).alias("people"))
-    period = months_between(F.col("order_month"), F.col("cohort_month"))
-    cohorts = counts.groupBy("cohort_month").agg(
-        F.map_from_entries(F.collect_list(F.struct(period, F.col("people")))).alias("by_period"),
-        F.max("order_month").alias("_last"),
-    )
-    last = F.max("_last").over(Window.partitionBy())
-    grid = cohorts.withColumn("_end", months_between(last, F.col("cohort_month"))).select(
-        "cohort_month",
-        F.element_at("by_period", F.lit(0)).alias("cohort_size"),
-        "by_period",
-        F.explode(F.sequence(F.lit(0), F.col("_end"))).alias("period_number"),
+    active = add(person_months(w), cohort_month="min(order_month) OVER (PARTITION BY customer_unique_id)")
+    counts = agg(active, ["cohort_month", "order_month"], people="count(1)")
+    period = months_between("order_month", "cohort_month")
+    cohorts = agg(
+        counts,
+        ["cohort_month"],
+        by_period=f"map_from_entries(collect_list(struct({period}, people)))",
+        last="max(order_month)",
     )
-    kept = grid.withColumn(
-        "retained_customers", F.coalesce(F.try_element_at("by_period", F.col("period_number")), F.lit(0).cast("bigint"))
+    ended = add(cohorts, last="max(last) OVER ()")
+    grid = ended.selectExpr(
+        "cohort_month", "element_at(by_period, 0) AS cohort_size", "by_period",
+        f"explode(sequence(0, {months_between('last', 'cohort_month')})) AS period_number",
     )
-    earlier = F.lag("retained_customers").over(Window.partitionBy("cohort_month").orderBy("period_number"))
-    return kept.select(
-        "cohort_month", "cohort_size", F.col("period_number").cast("bigint").alias("period_number"),
-        "retained_customers",
-        percent(F.col("retained_customers"), F.col("cohort_size")).alias("retention_rate_pct"),
-        (earlier - F.col("retained_customers")).alias("churned_from_prev_period"),
+    kept = add(grid, retained_customers="coalesce(try_element_at(by_period, period_number), 0)")
+    earlier = "lag(retained_customers) OVER (PARTITION BY cohort_month ORDER BY period_number)"
+    return kept.selectExpr(
+        "cohort_month", "cohort_size", "CAST(period_number AS BIGINT) AS period_number", "retained_customers",
+        f"{percent('retained_customers', 'cohort_size')} AS retention_rate_pct",
+        f"{earlier} - retained_customers AS churned_from_prev_period",
     )
 
 
-def activity_status(last_month: Column, params: Params, stale: str) -> Column:
+def activity_status(last_month: str, params: Params, stale: str) -> str:
     return (
-        F.when(last_month >= lit_date(params.active_from), "Active")
-        .when(last_month >= lit_date(params.dormant_from), "Dormant")
-        .otherwise(stale)
+        f"CASE WHEN {last_month} >= DATE '{params.active_from}' THEN 'Active' "
+        f"WHEN {last_month} >= DATE '{params.dormant_from}' THEN 'Dormant' ELSE '{stale}' END"
     )
 
 
 def customer_health(w: Frames, params: Params) -> DataFrame:
     people = w["dim_customer"].select("customer_id", "customer_unique_id")
-    orders = w["dim_order"].filter("order_status = 'delivered'").select("customer_id", "order_purchase_timestamp")
-    last = orders.join(people, "customer_id").groupBy("customer_unique_id").agg(
-        month_of(F.max("order_purchase_timestamp")).alias("last_order_month")
+    orders = delivered(w["dim_order"]).select("customer_id", "order_purchase_timestamp")
+    last = agg(
+        orders.join(people, "customer_id"),
+        ["customer_unique_id"],
+        last_order_month=month_of("max(order_purchase_timestamp)"),
     )
-    return last.withColumn("customer_status", activity_status(F.col("last_order_month"), params, "Lost"))
+    return add(last, customer_status=activity_status("last_order_month", params, "Lost"))
 
 
 def new_vs_returning_revenue(w: Frames, params: Params) -> DataFrame:
     """Monthly revenue mix. At person x month grain every distinct count is a plain count."""
-    monthly = (
-        person_orders(w)
-        .groupBy("customer_unique_id", month_of(F.col("order_purchase_timestamp")).alias("order_month"))
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum(value_cents()).alias("revenue"))
-    )
-    first = F.min("order_month").over(Window.partitionBy("customer_unique_id"))
-    tagged = monthly.withColumn("is_new", F.col("order_month") == first)
-
-    def split(prefix: str, chosen: Column) -> list[Column]:
-        return [
-            F.count_if(chosen).alias(f"{prefix}_customers"),
-            F.coalesce(F.sum(F.when(chosen, F.col("orders"))), F.lit(0)).alias(f"{prefix}_orders"),
-            F.coalesce(F.sum(F.when(chosen, F.col("revenue"))), F.lit(0)).alias(f"{prefix}_cents"),
-        ]
-
-    by_month = tagged.groupBy("order_month").agg(
-        *split("new", F.col("is_new")), *split("returning", ~F.col("is_new")), *split("total", F.lit(True))
+    monthly = agg(
+        person_orders(w),
+        ["customer_unique_id", f"{month_of('order_purchase_timestamp')} AS order_month"],
+        orders="count(1)",
+        revenue=f"sum({VALUE})",
     )
-    measures = [c for c in by_month.columns if c != "order_month"]
-    full = fill_months(by_month, "order_month", measures)
+    tagged = add(monthly, is_new="order_month = min(order_month) OVER (PARTITION BY customer_unique_id)")
+
+    def split(prefix: str, chosen: str) -> dict[str, str]:
+        return {
+            f"{prefix}_customers": f"count_if({chosen})",
+            f"{prefix}_orders": f"coalesce(sum(orders) FILTER (WHERE {chosen}), 0)",
+            f"{prefix}_cents": f"coalesce(sum(revenue) FILTER (WHERE {chosen}), 0)",
+        }
+
+    sums = {**split("new", "is_new"), **split("returning", "NOT is_new"), **split("total", "true")}
+    full = fill_months(agg(tagged, ["order_month"], **sums), "order_month", list(sums))
 
-    along = Window.orderBy("order_month")
-    new, back, total = F.col("new_cents"), F.col("returning_cents"), F.col("total_cents")
-    prev_back, prev_total = F.lag(back).over(along), F.lag(total).over(along)
     # The rolling mean takes unrounded shares; a month without revenue has none.
-    share = (back.cast("decimal(20,0)") * 100 / F.nullif(total, F.lit(0).cast("bigint")).cast("decimal(17,0)")).cast("decimal(24,16)")
-    recent = along.rowsBetween(-2, 0)
-    rolling = ratio(F.sum(share).over(recent), F.count(share).over(recent), 2, "decimal(24,16)")
-    return full.select(
+    share = "CAST(CAST(returning_cents AS DECIMAL(20,0)) * 100 / nullif(CAST(total_cents AS DECIMAL(17,0)), 0BD) AS DECIMAL(24,16))"
+    recent = "OVER (ORDER BY order_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
+    rolled = add(
+        add(full, share=share),
+        prev_returning="lag(returning_cents) OVER (ORDER BY order_month)",
+        prev_total="lag(total_cents) OVER (ORDER BY order_month)",
+        recent_sum=f"sum(share) {recent}",
+        recent_count=f"count(share) {recent}",
+    )
+    new, back, total = "new_cents", "returning_cents", "total_cents"
+    return rolled.selectExpr(
         "order_month", "new_customers", "returning_customers", "total_customers",
         "new_orders", "returning_orders", "total_orders",
-        money(new).alias("new_revenue"), money(back).alias("returning_revenue"), money(total).alias("total_revenue"),
-        percent(new, total).alias("new_revenue_pct"),
-        percent(back, total).alias("returning_revenue_pct"),
-        mean_money(new, F.col("new_orders")).alias("new_avg_order_value"),
-        mean_money(back, F.col("returning_orders")).alias("returning_avg_order_value"),
-        mean_money(new, F.col("new_customers")).alias("revenue_per_new_customer"),
-        money(prev_back).alias("prev_month_returning_revenue"),
-        percent(back - prev_back, prev_back).alias("returning_revenue_mom_growth_pct"),
-        money(prev_total).alias("prev_month_total_revenue"),
-        percent(total - prev_total, prev_total).alias("total_revenue_mom_growth_pct"),
-        rolling.alias("returning_pct_3m_rolling_avg"),
+        f"{money(new)} AS new_revenue", f"{money(back)} AS returning_revenue", f"{money(total)} AS total_revenue",
+        f"{percent(new, total)} AS new_revenue_pct",
+        f"{percent(back, total)} AS returning_revenue_pct",
+        f"{mean_money(new, 'new_orders')} AS new_avg_order_value",
+        f"{mean_money(back, 'returning_orders')} AS returning_avg_order_value",
+        f"{mean_money(new, 'new_customers')} AS revenue_per_new_customer",
+        f"{money('prev_returning')} AS prev_month_returning_revenue",
+        f"{percent(f'({back} - prev_returning)', 'prev_returning')} AS returning_revenue_mom_growth_pct",
+        f"{money('prev_total')} AS prev_month_total_revenue",
+        f"{percent(f'({total} - prev_total)', 'prev_total')} AS total_revenue_mom_growth_pct",
+        f"{ratio('recent_sum', 'recent_count', 2, 'DECIMAL(24,16)')} AS returning_pct_3m_rolling_avg",
     )

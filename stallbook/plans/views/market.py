@@ -6,331 +6,338 @@ report; coarser grains and shares are rolled up from that small table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stallbook.functions.scalars import cents, mean, mean_money, money, percent, ratio, whole_days
+from stallbook.functions.scalars import (
+    add, agg, agg_sets, cents, mean, mean_money, micros, money, percent, ratio, whole_days,
+)
 from stallbook.operators.top import first_per_group, leaders_per_group
 from stallbook.params import Params
-from stallbook.plans.bases import Frames, delivered, order_values, person_orders, review_scores, seller_orders, value_cents
+from stallbook.plans.bases import (
+    VALUE, Frames, delivered, order_values, person_orders, review_scores, seller_orders,
+)
 
 NO_CATEGORY = "uncategorised"
+ARRIVED, DUE, BOUGHT = "order_delivered_customer_date", "order_estimated_delivery_date", "order_purchase_timestamp"
+
+
+def _sums(columns: list[str]) -> dict[str, str]:
+    return {c: f"sum({c})" for c in columns}
+
+
+def _running_share(df: DataFrame, key: str) -> DataFrame:
+    """Add ``total`` and ``so_far`` of ``value``, largest first. For small results only."""
+    return add(
+        df,
+        total="sum(value) OVER ()",
+        so_far=f"sum(value) OVER (ORDER BY value DESC, {key} ASC NULLS LAST ROWS UNBOUNDED PRECEDING)",
+    )
 
 
 def regional_analysis(w: Frames, params: Params) -> DataFrame:
-    arrived, due = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     lines = person_orders(w).join(review_scores(w["fact_reviews"]), "order_id", "left")
     # Persons first: the distinct count becomes a row count and a big state is split by person.
-    people = lines.groupBy("customer_state", "customer_unique_id").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum("price_cents").alias("price"),
-        F.sum("freight_cents").alias("freight"),
-        F.sum(whole_days(arrived, F.col("order_purchase_timestamp"))).alias("days"),
-        F.count(arrived - F.col("order_purchase_timestamp")).alias("day_rows"),
-        F.count_if(arrived <= due).alias("on_time"),
-        F.count(arrived - due).alias("timed"),
-        F.sum("order_score").alias("score"),
-        F.count("order_score").alias("scored"),
+    people = agg(
+        lines,
+        ["customer_state", "customer_unique_id"],
+        orders="count(1)",
+        price="sum(price_cents)",
+        freight="sum(freight_cents)",
+        days=f"sum({whole_days(ARRIVED, BOUGHT)})",
+        day_rows=f"count({ARRIVED} - {BOUGHT})",
+        on_time=f"count_if({ARRIVED} <= {DUE})",
+        timed=f"count({ARRIVED} - {DUE})",
+        score="sum(order_score)",
+        scored="count(order_score)",
     )
-    sums = [F.sum(c).alias(c) for c in people.columns[2:]]
-    demand = people.groupBy("customer_state").agg(F.count("customer_unique_id").alias("unique_customers"), *sums)
+    demand = agg(people, ["customer_state"], unique_customers="count(customer_unique_id)", **_sums(people.columns[2:]))
 
     places = w["dim_seller"].select("seller_id", "seller_state")
-    supply = (
-        seller_orders(w)
-        .join(places, "seller_id")
-        .groupBy(F.col("seller_state").alias("customer_state"))
-        .agg(
-            F.countDistinct("seller_id").alias("total_sellers"),
-            F.countDistinct("order_id").alias("seller_orders"),
-            F.sum(value_cents()).alias("seller_cents"),
-        )
-        .filter("customer_state IS NOT NULL")
-    )
-    value = F.col("price") + F.col("freight")
-    # A handful of states from here on, so whole-set windows are fine.
-    by_size = Window.orderBy(F.desc("value"), F.asc_nulls_last("customer_state")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = demand.withColumn("value", value).withColumns(
-        {"total": F.sum("value").over(Window.partitionBy()), "so_far": F.sum("value").over(by_size)}
+    supply = agg(
+        seller_orders(w).join(places, "seller_id").filter("seller_state IS NOT NULL"),
+        ["seller_state AS customer_state"],
+        total_sellers="count(DISTINCT seller_id)",
+        seller_orders="count(DISTINCT order_id)",
+        seller_cents=f"sum({VALUE})",
     )
-    zero = F.lit(0).cast("bigint")
-    joined = ranked.join(supply, "customer_state", "left")
-    sellers = F.coalesce("total_sellers", zero)
-    return joined.select(
-        F.col("customer_state").alias("state"), "unique_customers", F.col("orders").alias("total_orders"),
-        money(F.col("value")).alias("total_revenue"),
-        mean_money(F.col("value"), F.col("orders")).alias("avg_order_value"),
-        money(F.col("price")).alias("total_product_revenue"),
-        money(F.col("freight")).alias("total_freight_revenue"),
-        percent(F.col("value"), F.col("total")).alias("revenue_share_pct"),
-        percent(F.col("so_far"), F.col("total")).alias("cumulative_revenue_pct"),
-        mean(F.col("days"), F.col("day_rows"), 1).alias("avg_delivery_days"),
-        percent(F.col("on_time"), F.col("timed")).alias("on_time_rate"),
-        mean(F.col("score"), F.col("scored"), 2).alias("avg_review_score"),
-        sellers.alias("total_sellers"),
-        money(F.coalesce("seller_cents", zero)).alias("seller_total_revenue"),
-        F.coalesce("seller_orders", zero).alias("seller_total_orders"),
-        ratio(F.col("orders"), sellers, 1).alias("orders_per_seller"),
+    # A handful of states from here on.
+    ranked = _running_share(add(demand, value="price + freight"), "customer_state")
+    return ranked.join(supply, "customer_state", "left").selectExpr(
+        "customer_state AS state", "unique_customers", "orders AS total_orders",
+        f"{money('value')} AS total_revenue",
+        f"{mean_money('value', 'orders')} AS avg_order_value",
+        f"{money('price')} AS total_product_revenue",
+        f"{money('freight')} AS total_freight_revenue",
+        f"{percent('value', 'total')} AS revenue_share_pct",
+        f"{percent('so_far', 'total')} AS cumulative_revenue_pct",
+        f"{mean('days', 'day_rows', 1)} AS avg_delivery_days",
+        f"{percent('on_time', 'timed')} AS on_time_rate",
+        f"{mean('score', 'scored', 2)} AS avg_review_score",
+        "coalesce(total_sellers, 0) AS total_sellers",
+        f"{money('coalesce(seller_cents, 0)')} AS seller_total_revenue",
+        "coalesce(seller_orders, 0) AS seller_total_orders",
+        f"{ratio('orders', 'coalesce(total_sellers, 0)', 1)} AS orders_per_seller",
     )
 
 
 def delivery_experience(w: Frames, params: Params) -> DataFrame:
-    arrived, due = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    timed = delivered(w["dim_order"]).filter(arrived.isNotNull() & due.isNotNull())
+    timed = delivered(w["dim_order"]).filter(f"{ARRIVED} IS NOT NULL AND {DUE} IS NOT NULL")
     people = w["dim_customer"].select("customer_id", "customer_state")
     orders = timed.join(people, "customer_id").join(review_scores(w["fact_reviews"]), "order_id", "left")
     # One row per state, status and number of days: delivery days repeat heavily.
-    spread = orders.groupBy(
-        "customer_state",
-        F.when(arrived <= due, "On-Time").otherwise("Late").alias("status"),
-        whole_days(arrived, F.col("order_purchase_timestamp")).alias("days"),
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(arrived <= due - F.expr(f"interval {params.early_days} days")).alias("early"),
-        F.sum(whole_days(arrived, due)).alias("vs_due"),
-        F.sum("order_score").alias("score"),
-        F.count("order_score").alias("scored"),
-    )
-
-    def part(status: str, col: str) -> Column:
-        return F.sum(F.when(F.col("status") == status, F.col(col)))
-
-    n = F.sum("n")
-    grain = F.grouping_id()
-    out = spread.groupingSets([[], ["customer_state"], ["status"]], "customer_state", "status").agg(
-        grain.alias("grain"),
-        n.alias("total_orders"),
-        mean(F.sum(F.col("days") * F.col("n")), F.sum(F.when(F.col("days").isNotNull(), F.col("n"))), 1).alias("avg_delivery_days"),
-        F.min("days").cast("decimal(20,1)").alias("min_delivery_days"),
-        F.max("days").cast("decimal(20,1)").alias("max_delivery_days"),
-        F.round(F.percentile("days", 0.5, F.col("n")).cast("decimal(20,6)"), 1).cast("decimal(20,1)").alias("median_delivery_days"),
-        percent(F.coalesce(part("On-Time", "n"), F.lit(0)), n).alias("on_time_rate"),
-        percent(F.sum("early"), n).alias("early_delivery_rate"),
-        percent(F.coalesce(part("Late", "n"), F.lit(0)), n).alias("late_delivery_rate"),
-        mean(F.sum("vs_due"), n, 1).alias("avg_days_vs_estimate"),
-        mean(F.sum("score"), F.sum("scored"), 2).alias("avg_review_score"),
-        mean(part("On-Time", "score"), part("On-Time", "scored"), 2).alias("avg_review_on_time"),
-        mean(part("Late", "score"), part("Late", "scored"), 2).alias("avg_review_late"),
+    spread = agg(
+        orders,
+        [
+            "customer_state",
+            f"CASE WHEN {ARRIVED} <= {DUE} THEN 'On-Time' ELSE 'Late' END AS status",
+            f"{whole_days(ARRIVED, BOUGHT)} AS days",
+        ],
+        n="count(1)",
+        early=f"count_if({ARRIVED} <= {DUE} - interval {params.early_days} days)",
+        vs_due=f"sum({whole_days(ARRIVED, DUE)})",
+        score="sum(order_score)",
+        scored="count(order_score)",
     )
-    # Grouping ids of (customer_state, status): 3 = neither, 1 = state only, 2 = status only.
-    g = F.col("grain")
-    named = {
-        "dimension": F.when(g == 3, "Overall").when(g == 1, "By State").otherwise("On-time vs Late"),
-        "dimension_value": F.when(g == 3, "National").when(g == 1, F.col("customer_state")).otherwise(F.col("status")),
+    late, prompt = "FILTER (WHERE status = 'Late')", "FILTER (WHERE status = 'On-Time')"
+    measures = {
+        "grain": "grouping_id()",
+        "total_orders": "sum(n)",
+        "avg_delivery_days": mean("sum(days * n)", "sum(n) FILTER (WHERE days IS NOT NULL)", 1),
+        "min_delivery_days": "CAST(min(days) AS DECIMAL(20,1))",
+        "max_delivery_days": "CAST(max(days) AS DECIMAL(20,1))",
+        "median_delivery_days": "CAST(round(CAST(percentile(days, 0.5D, n) AS DECIMAL(20,6)), 1) AS DECIMAL(20,1))",
+        "on_time_rate": percent(f"coalesce(sum(n) {prompt}, 0)", "sum(n)"),
+        "early_delivery_rate": percent("sum(early)", "sum(n)"),
+        "late_delivery_rate": percent(f"coalesce(sum(n) {late}, 0)", "sum(n)"),
+        "avg_days_vs_estimate": mean("sum(vs_due)", "sum(n)", 1),
+        "avg_review_score": mean("sum(score)", "sum(scored)", 2),
+        "avg_review_on_time": mean(f"sum(score) {prompt}", f"sum(scored) {prompt}", 2),
+        "avg_review_late": mean(f"sum(score) {late}", f"sum(scored) {late}", 2),
     }
-    # Without orders the grand total still yields a row, as a plain aggregate does.
-    return out.select(*[c.alias(k) for k, c in named.items()], *out.columns[3:])
+    out = agg_sets(spread, [[], ["customer_state"], ["status"]], ["customer_state", "status"], measures)
+    # Grouping ids of (customer_state, status): 3 = neither, 1 = state only, 2 = status only.
+    return out.selectExpr(
+        "CASE grain WHEN 3 THEN 'Overall' WHEN 1 THEN 'By State' ELSE 'On-time vs Late' END AS dimension",
+        "CASE grain WHEN 3 THEN 'National' WHEN 1 THEN customer_state ELSE status END AS dimension_value",
+        *list(measures)[1:],
+    )
 
 
 def category_of(w: Frames) -> DataFrame:
-    return w["dim_product"].select(
-        "product_id", F.coalesce("product_category_name_english", F.lit(NO_CATEGORY)).alias("category")
+    return w["dim_product"].selectExpr(
+        "product_id", f"coalesce(product_category_name_english, '{NO_CATEGORY}') AS category"
     )
 
 
 def product_affinity(w: Frames, params: Params) -> DataFrame:
     people = w["dim_customer"].select("customer_id", "customer_unique_id", "customer_state")
-    arrived, bought = F.col("order_delivered_customer_date"), F.col("order_purchase_timestamp")
     orders = (
         delivered(w["dim_order"])
         .join(people, "customer_id")
         .join(review_scores(w["fact_reviews"]), "order_id", "left")
-        .select(
-            "order_id", "customer_unique_id", "customer_state", "order_score",
-            whole_days(arrived, bought).alias("days"),
+        .selectExpr(
+            "order_id", "customer_unique_id", "customer_state", "order_score", f"{whole_days(ARRIVED, BOUGHT)} AS days"
         )
     )
     # Lines of one product within one order merge before any join.
     lines = order_values(w["fact_order_items"], "product_id").join(category_of(w), "product_id")
     sold = lines.join(orders, "order_id")
-    baskets = sold.groupBy("category", "order_id", "customer_unique_id", "customer_state", "order_score", "days").agg(
-        F.sum("items").alias("items"), F.sum("price_cents").alias("price"), F.sum("freight_cents").alias("freight")
+    # Orders and products of a category are both counted once. Each sold row yields one row
+    # for its order and one for its product, so the joins above run a single time.
+    order_cols = ["customer_unique_id", "customer_state", "order_score", "days", "items", "price_cents", "freight_cents"]
+    types = dict(sold.dtypes)
+    own = ", ".join(f"'{c}', {c}" for c in order_cols)
+    blank = ", ".join(f"'{c}', CAST(NULL AS {types[c]})" for c in order_cols)
+    marks = sold.selectExpr(
+        "category",
+        f"inline(array(named_struct('is_order', true, 'id', order_id, {own}), "
+        f"named_struct('is_order', false, 'id', product_id, {blank})))",
     )
-    # Person x state within a category: persons and states are both rolled up from here.
-    shoppers = baskets.groupBy("category", "customer_unique_id", "customer_state").agg(
-        F.count(F.lit(1)).alias("orders"),
-        *[F.sum(c).alias(c) for c in ("items", "price", "freight", "days")],
-        F.count("days").alias("day_rows"),
-        F.sum("order_score").alias("score"),
-        F.count("order_score").alias("scored"),
-        F.count_if(F.col("order_score") == 5).alias("fives"),
-        F.count_if(F.col("order_score") == 1).alias("ones"),
+    once = agg(
+        marks,
+        ["category", "is_order", "id", "customer_unique_id", "customer_state", "order_score", "days"],
+        **_sums(["items", "price_cents", "freight_cents"]),
     )
-    measures = shoppers.columns[3:]
-    by_state = shoppers.groupBy("category", "customer_state").agg(*[F.sum(c).alias(c) for c in measures])
-    totals = by_state.groupBy("category").agg(*[F.sum(c).alias(c) for c in measures])
-    top_state = first_per_group(by_state, ["category"], [F.desc("orders"), F.asc_nulls_last("customer_state")]).select(
-        "category", F.col("customer_state").alias("top_customer_state"), F.col("orders").alias("top_state_orders")
+    shoppers = agg(
+        once,
+        ["category", "customer_unique_id", "customer_state"],
+        orders="count_if(is_order)",
+        products="count_if(NOT is_order)",
+        items="sum(items)",
+        price="sum(price_cents)",
+        freight="sum(freight_cents)",
+        days="sum(days)",
+        day_rows="count(days)",
+        score="sum(order_score)",
+        scored="count(order_score)",
+        fives="count_if(order_score = 5)",
+        ones="count_if(order_score = 1)",
     )
-    loyalty = (
-        shoppers.groupBy("category", "customer_unique_id")
-        .agg(F.sum("orders").alias("orders"))
-        .groupBy("category")
-        .agg(F.count("customer_unique_id").alias("people"), F.count_if(F.col("orders") >= 2).alias("repeat_customers"))
+    # A person has one row per state lived in; count the person on one of them.
+    person = "PARTITION BY category, customer_unique_id"
+    marked = add(
+        shoppers,
+        of_person=f"sum(orders) OVER ({person})",
+        counted=f"row_number() OVER ({person} ORDER BY customer_state ASC NULLS LAST) = 1 AND customer_unique_id IS NOT NULL",
     )
-    products = sold.select("category", "product_id").distinct().groupBy("category").agg(
-        F.count(F.lit(1)).alias("unique_products")
+    measures = shoppers.columns[3:]
+    by_state = agg(
+        marked,
+        ["category", "customer_state"],
+        **_sums(measures),
+        people="count_if(counted)",
+        repeat_customers="count_if(counted AND of_person >= 2)",
     )
-    joined = totals.join(loyalty, "category", "left").join(top_state, "category", "left").join(products, "category", "left")
-
-    value = F.col("price") + F.col("freight")
-    by_size = Window.orderBy(F.desc("value"), F.asc("category")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = joined.withColumn("value", value).withColumns(
-        {"total": F.sum("value").over(Window.partitionBy()), "so_far": F.sum("value").over(by_size)}
+    # Categories x states is small: total it per category next to the leading state.
+    summed = [*measures, "people", "repeat_customers"]
+    placed = add(
+        by_state,
+        place="row_number() OVER (PARTITION BY category ORDER BY orders DESC, customer_state ASC NULLS LAST)",
+        **{f"all_{c}": f"sum({c}) OVER (PARTITION BY category)" for c in summed},
     )
-    share = percent(F.col("value"), F.col("total"))
-    return ranked.select(
-        "category", F.col("orders").alias("total_orders"), F.col("items").alias("total_items"), "unique_products",
-        F.col("people").alias("unique_customers"),
-        money(F.col("value")).alias("total_revenue"),
-        mean_money(F.col("value"), F.col("items")).alias("avg_item_value"),
-        money(F.col("price")).alias("total_product_revenue"),
-        money(F.col("freight")).alias("total_freight_revenue"),
-        percent(F.col("freight"), F.col("value")).alias("freight_pct_of_revenue"),
-        mean(F.col("days"), F.col("day_rows"), 1).alias("avg_delivery_days"),
-        share.alias("revenue_share_pct"),
-        percent(F.col("so_far"), F.col("total")).alias("cumulative_revenue_pct"),
-        mean(F.col("score"), F.col("scored"), 2).alias("avg_review_score"),
-        F.col("scored").alias("total_reviews"),
-        percent(F.col("fives"), F.col("scored")).alias("pct_5_star"),
-        percent(F.col("ones"), F.col("scored")).alias("pct_1_star"),
-        F.col("people").alias("total_category_customers"),
+    leading = placed.filter("place = 1").selectExpr(
+        "category", "customer_state AS top_customer_state", "orders AS top_state_orders",
+        *[f"all_{c} AS {c}" for c in summed], "all_price + all_freight AS value",
+    )
+    ranked = add(_running_share(leading, "category"), share=percent("value", "total"))
+    return ranked.selectExpr(
+        "category", "orders AS total_orders", "items AS total_items", "products AS unique_products",
+        "people AS unique_customers",
+        f"{money('value')} AS total_revenue",
+        f"{mean_money('value', 'items')} AS avg_item_value",
+        f"{money('price')} AS total_product_revenue",
+        f"{money('freight')} AS total_freight_revenue",
+        f"{percent('freight', 'value')} AS freight_pct_of_revenue",
+        f"{mean('days', 'day_rows', 1)} AS avg_delivery_days",
+        "share AS revenue_share_pct",
+        f"{percent('so_far', 'total')} AS cumulative_revenue_pct",
+        f"{mean('score', 'scored', 2)} AS avg_review_score",
+        "scored AS total_reviews",
+        f"{percent('fives', 'scored')} AS pct_5_star",
+        f"{percent('ones', 'scored')} AS pct_1_star",
+        "people AS total_category_customers",
         "repeat_customers",
-        percent(F.col("repeat_customers"), F.col("people")).alias("category_repeat_rate_pct"),
+        f"{percent('repeat_customers', 'people')} AS category_repeat_rate_pct",
         "top_customer_state", "top_state_orders",
-        F.when(share >= 5, "High Revenue").when(share >= 1, "Mid Revenue").otherwise("Long Tail").alias("revenue_tier"),
+        "CASE WHEN share >= 5 THEN 'High Revenue' WHEN share >= 1 THEN 'Mid Revenue' ELSE 'Long Tail' END AS revenue_tier",
     )
 
 
-def instalment_band(count: Column) -> Column:
-    band = F.lit("12+")
-    for upper, label in ((12, "7-12"), (6, "4-6"), (3, "2-3")):
-        band = F.when(count <= upper, label).otherwise(band)
-    return F.when(count == 1, "1 (Single)").otherwise(band)
+# Instalment bands by inclusive upper bound, first match wins.
+BANDS = [("2-3", 3), ("4-6", 6), ("7-12", 12)]
+
+
+def instalment_band(count: str) -> str:
+    steps = " ".join(f"WHEN {count} <= {upper} THEN '{label}'" for label, upper in BANDS)
+    return f"CASE WHEN {count} = 1 THEN '1 (Single)' {steps} ELSE '12+' END"
 
 
 def payment_behaviour(w: Frames, params: Params) -> DataFrame:
     first = first_per_group(
-        w["fact_payments"],
-        ["order_id"],
-        [F.asc("payment_sequential"), F.asc("payment_type"), F.asc("payment_installments"), F.asc("payment_value")],
+        w["fact_payments"], ["order_id"], ["payment_sequential", "payment_type", "payment_installments", "payment_value"]
     )
-    values = order_values(w["fact_order_items"]).select("order_id", value_cents().alias("value"))
+    values = order_values(w["fact_order_items"]).selectExpr("order_id", f"{VALUE} AS value")
     # Only delivered orders contribute money, so only they need their items.
     paid = delivered(w["dim_order"]).select("order_id").join(values, "order_id")
-    lines = first.join(paid, "order_id", "left")
-    count = F.col("payment_installments")
-    cross = lines.groupBy("payment_type", instalment_band(count).alias("band")).agg(
-        F.count("order_id").alias("n"),
-        F.sum(count.cast("bigint")).alias("instalments"),
-        F.count(count).alias("counted"),
-        F.count_if(count == 1).alias("single"),
-        F.count_if(count > 1).alias("multi"),
-        F.count_if(count > 6).alias("high"),
-        F.sum("value").alias("value"),
-        F.count("value").alias("valued"),
+    cross = agg(
+        first.join(paid, "order_id", "left"),
+        ["payment_type", f"{instalment_band('payment_installments')} AS band"],
+        n="count(order_id)",
+        instalments="sum(CAST(payment_installments AS BIGINT))",
+        counted="count(payment_installments)",
+        single="count_if(payment_installments = 1)",
+        multi="count_if(payment_installments > 1)",
+        high="count_if(payment_installments > 6)",
+        value="sum(value)",
+        valued="count(value)",
     )
-    sums = cross.groupingSets([["payment_type"], ["band"], ["payment_type", "band"]], "payment_type", "band").agg(
-        F.grouping_id().alias("grain"), *[F.sum(c).alias(c) for c in cross.columns[2:]]
-    )
-    whole = Window.partitionBy("grain")
-    g, n, value = F.col("grain"), F.col("n"), F.col("value")
-    average = mean_money(value, F.col("valued"))
+    measures = {"grain": "grouping_id()", **_sums(cross.columns[2:])}
+    grains = [["payment_type"], ["band"], ["payment_type", "band"]]
+    sums = agg_sets(cross, grains, ["payment_type", "band"], measures)
+    whole = "OVER (PARTITION BY grain)"
+    average = mean_money("value", "valued")
     # Grouping ids of (payment_type, band): 1 = type only, 2 = band only, 0 = both.
-    return sums.select(
-        F.when(g == 1, "By Payment Type").when(g == 2, "By Instalment Band").otherwise("Cross").alias("dimension"),
-        F.when(g == 2, F.col("band")).otherwise(F.col("payment_type")).alias("dimension_value"),
-        F.when(g == 0, F.col("band")).alias("sub_dimension"),
-        n.alias("order_count"),
-        money(value).alias("total_payment_value"),
-        average.alias("avg_payment_value"),
-        average.alias("avg_order_item_total"),
-        mean(F.col("instalments"), F.col("counted"), 2).alias("avg_instalments"),
-        F.col("single").alias("single_instalment_orders"),
-        F.col("multi").alias("multi_instalment_orders"),
-        percent(F.col("single"), n).alias("pct_single_instalment"),
-        percent(F.col("high"), n).alias("pct_high_instalment"),
-        percent(n, F.sum("n").over(whole)).alias("pct_of_orders"),
-        percent(value, F.sum("value").over(whole)).alias("pct_of_revenue"),
+    return sums.selectExpr(
+        "CASE grain WHEN 1 THEN 'By Payment Type' WHEN 2 THEN 'By Instalment Band' ELSE 'Cross' END AS dimension",
+        "CASE grain WHEN 2 THEN band ELSE payment_type END AS dimension_value",
+        "CASE grain WHEN 0 THEN band END AS sub_dimension",
+        "n AS order_count",
+        f"{money('value')} AS total_payment_value",
+        f"{average} AS avg_payment_value",
+        f"{average} AS avg_order_item_total",
+        f"{mean('instalments', 'counted', 2)} AS avg_instalments",
+        "single AS single_instalment_orders",
+        "multi AS multi_instalment_orders",
+        f"{percent('single', 'n')} AS pct_single_instalment",
+        f"{percent('high', 'n')} AS pct_high_instalment",
+        f"{percent('n', f'sum(n) {whole}')} AS pct_of_orders",
+        f"{percent('value', f'sum(value) {whole}')} AS pct_of_revenue",
     )
 
 
 def review_response(w: Frames, params: Params) -> DataFrame:
     # The dearest item of each order; only the tied leaders need their category.
-    priced = w["fact_order_items"].select(
-        "order_id", "product_id", (cents(F.col("price")) + cents(F.col("freight_value"))).alias("value")
-    )
-    dearest = leaders_per_group(priced, ["order_id"], [F.desc_nulls_last("value")]).join(
-        category_of(w), "product_id", "left"
+    priced = w["fact_order_items"].selectExpr(
+        "order_id", "product_id", f"{cents('price')} + {cents('freight_value')} AS value"
     )
-    tops = first_per_group(
-        dearest.withColumn("category", F.coalesce("category", F.lit(NO_CATEGORY))), ["order_id"], [F.asc("category")]
-    )
-    score = F.col("review_score")
-    created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
-    reviews = w["fact_reviews"].select(
+    dearest = leaders_per_group(priced, ["order_id"], ["value DESC NULLS LAST"]).join(category_of(w), "product_id", "left")
+    named = {"category": f"coalesce(category, '{NO_CATEGORY}')"}
+    tops = first_per_group(add(dearest, **named), ["order_id"], ["category"]).select("order_id", "category", "value")
+    reviews = w["fact_reviews"].selectExpr(
         "review_id", "order_id", "review_score", "review_creation_date",
-        (_micros(answered) - _micros(created)).alias("wait"),
-        F.col("review_comment_message").isNotNull().alias("commented"),
+        f"{micros('review_answer_timestamp')} - {micros('review_creation_date')} AS wait",
+        "review_comment_message IS NOT NULL AS commented",
     )
-    joined = reviews.join(tops.select("order_id", "category", "value"), "order_id", "left")
     one = first_per_group(
-        joined.withColumn("category", F.coalesce("category", F.lit(NO_CATEGORY))),
+        add(reviews.join(tops, "order_id", "left"), **named),
         ["review_id"],
         [
-            F.desc_nulls_last("value"), F.asc("order_id"), F.asc("category"), F.asc("review_creation_date"),
-            F.asc_nulls_last("wait"), F.asc("review_score"), F.asc("commented"),
+            "value DESC NULLS LAST", "order_id", "category", "review_creation_date", "wait ASC NULLS LAST",
+            "review_score", "commented",
         ],
     )
-    hours = ratio(F.col("wait"), F.lit(3_600_000_000), 1, "decimal(20,0)").cast("decimal(18,1)")
-    cells = one.groupBy("review_score", "category").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(hours).alias("hours"),
-        F.count(hours).alias("answered"),
-        F.count_if("commented").alias("commented"),
-    )
-    band = F.when(score >= 4, "Positive (4-5)").when(score == 3, "Neutral (3)").otherwise("Negative (1-2)")
-    cells = cells.withColumns(
-        {
-            "band": band,
-            "points": score.cast("bigint") * F.col("n"),
-            "fives": F.when(score == 5, F.col("n")).otherwise(0),
-            "ones": F.when(score == 1, F.col("n")).otherwise(0),
-        }
+    hours = f"CAST({ratio('wait', '3600000000', 1, 'DECIMAL(20,0)')} AS DECIMAL(18,1))"
+    cells = agg(
+        add(one, hours=hours),
+        ["review_score", "category"],
+        n="count(1)",
+        hours="sum(hours)",
+        answered="count(hours)",
+        commented="count_if(commented)",
     )
-    measures = ("n", "hours", "answered", "commented", "points", "fives", "ones")
-    sums = cells.groupingSets([["review_score"], ["band"], ["category"]], "review_score", "band", "category").agg(
-        F.grouping_id().alias("grain"), *[F.sum(c).alias(c) for c in measures]
+    scored = add(
+        cells,
+        band="CASE WHEN review_score >= 4 THEN 'Positive (4-5)' WHEN review_score = 3 THEN 'Neutral (3)' ELSE 'Negative (1-2)' END",
+        points="CAST(review_score AS BIGINT) * n",
+        fives="CASE WHEN review_score = 5 THEN n ELSE 0 END",
+        ones="CASE WHEN review_score = 1 THEN n ELSE 0 END",
     )
+    measures = {"grain": "grouping_id()", **_sums(["n", "hours", "answered", "commented", "points", "fives", "ones"])}
+    keys = ["review_score", "band", "category"]
+    sums = agg_sets(scored, [[k] for k in keys], keys, measures)
     # Grouping ids of (review_score, band, category): 3 = score, 5 = band, 6 = category.
-    g, n = F.col("grain"), F.col("n")
-    whole = Window.partitionBy("grain")
-    down = whole.orderBy(F.desc("review_score")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = sums.withColumns({"total": F.sum("n").over(whole), "so_far": F.sum("n").over(down)})
+    placed = add(
+        sums,
+        total="sum(n) OVER (PARTITION BY grain)",
+        so_far="sum(n) OVER (PARTITION BY grain ORDER BY review_score DESC ROWS UNBOUNDED PRECEDING)",
+    )
     labels = (
-        F.when(g == 3, F.array(F.lit("Score Distribution"), F.lit("Response Time")))
-        .when(g == 5, F.array(F.lit("By Score Band")))
-        .otherwise(F.array(F.lit("By Category")))
+        "CASE grain WHEN 3 THEN array('Score Distribution', 'Response Time') WHEN 5 THEN array('By Score Band') "
+        "ELSE array('By Category') END"
     )
-    rows = placed.withColumn("dimension", F.explode(labels))
-    kind = F.col("dimension")
-    return rows.select(
-        kind,
-        F.when(g == 3, score.cast("string")).when(g == 5, F.col("band")).otherwise(F.col("category")).alias("dimension_value"),
-        F.lit(None).cast("string").alias("sub_dimension"),
-        n.alias("review_count"),
-        F.when(kind.isin("Score Distribution", "By Score Band"), percent(n, F.col("total"))).alias("pct_of_total"),
-        F.when(kind == "Score Distribution", percent(F.col("so_far"), F.col("total"))).alias("cumulative_pct"),
-        mean(F.col("hours"), F.col("answered"), 1).alias("avg_response_hours"),
-        F.col("commented").alias("reviews_with_comment"),
-        percent(F.col("commented"), n).alias("pct_with_comment"),
-        F.col("answered").alias("reviews_with_response"),
-        percent(F.col("answered"), n).alias("pct_with_response"),
-        F.when(g != 3, mean(F.col("points"), n, 2)).alias("avg_review_score"),
-        F.when(g == 6, percent(F.col("fives"), n)).alias("pct_5_star"),
-        F.when(g == 6, percent(F.col("ones"), n)).alias("pct_1_star"),
+    return add(placed, dimension=f"explode({labels})").selectExpr(
+        "dimension",
+        "CASE grain WHEN 3 THEN CAST(review_score AS STRING) WHEN 5 THEN band ELSE category END AS dimension_value",
+        "CAST(NULL AS STRING) AS sub_dimension",
+        "n AS review_count",
+        f"CASE WHEN dimension IN ('Score Distribution', 'By Score Band') THEN {percent('n', 'total')} END AS pct_of_total",
+        f"CASE WHEN dimension = 'Score Distribution' THEN {percent('so_far', 'total')} END AS cumulative_pct",
+        f"{mean('hours', 'answered', 1)} AS avg_response_hours",
+        "commented AS reviews_with_comment",
+        f"{percent('commented', 'n')} AS pct_with_comment",
+        "answered AS reviews_with_response",
+        f"{percent('answered', 'n')} AS pct_with_response",
+        f"CASE WHEN grain <> 3 THEN {mean('points', 'n', 2)} END AS avg_review_score",
+        f"CASE WHEN grain = 6 THEN {percent('fives', 'n')} END AS pct_5_star",
+        f"CASE WHEN grain = 6 THEN {percent('ones', 'n')} END AS pct_1_star",
     )
-
-
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))

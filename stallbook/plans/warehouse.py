@@ -11,13 +11,13 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stallbook.functions.scalars import pad_zip, ratio
+from stallbook.functions.scalars import add, agg, pad_zip, ratio, text_literal
 from stallbook.operators.ranking import with_global_order
 from stallbook.operators.top import first_per_group
 from stallbook.params import Params
 from stallbook.schemas import UNIQUE, WAREHOUSE
+from stallbook.sources.frames import LazyFrames
 
 Frames = Mapping[str, DataFrame]
 
@@ -26,39 +26,39 @@ class IntegrityError(RuntimeError):
     """A natural key repeats or a mandatory reference does not resolve."""
 
 
+CALENDAR = [
+    "CAST(date_format(full_date, 'yyyyMMdd') AS INT) AS date_key",
+    "full_date",
+    "CAST(day(full_date) AS SMALLINT) AS day",
+    "CAST(month(full_date) AS SMALLINT) AS month",
+    "date_format(full_date, 'MMMM') AS month_name",
+    "CAST(quarter(full_date) AS SMALLINT) AS quarter",
+    "CAST(year(full_date) AS SMALLINT) AS year",
+    "CAST(weekofyear(full_date) AS SMALLINT) AS week_of_year",
+    "date_format(full_date, 'EEEE') AS weekday_name",
+    "weekday(full_date) >= 5 AS is_weekend",
+]
+
+
 def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
-    span = spark.range(1).select(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")).alias("days"))
-    return calendar_columns(span.select(F.explode("days").alias("full_date")))
-
-
-def calendar_columns(days: DataFrame) -> DataFrame:
-    d = F.col("full_date")
-    return days.select(
-        F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"),
-        d,
-        F.dayofmonth(d).cast("smallint").alias("day"),
-        F.month(d).cast("smallint").alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).cast("smallint").alias("quarter"),
-        F.year(d).cast("smallint").alias("year"),
-        F.weekofyear(d).cast("smallint").alias("week_of_year"),
-        F.date_format(d, "EEEE").alias("weekday_name"),
-        (F.weekday(d) >= 5).alias("is_weekend"),
-    )
+    days = spark.range(1).selectExpr(f"explode(sequence(DATE '{start}', DATE '{end}')) AS full_date")
+    return days.selectExpr(*CALENDAR)
 
 
 def dim_date_covering(orders: DataFrame) -> DataFrame:
     """The calendar of all years in which orders were placed."""
-    seen = orders.agg(
-        F.min("order_purchase_timestamp").alias("first"), F.max("order_purchase_timestamp").alias("last")
+    seen = orders.selectExpr(
+        "trunc(min(order_purchase_timestamp), 'YEAR') AS first",
+        "add_months(trunc(max(order_purchase_timestamp), 'YEAR'), 12) - 1 AS last",
     )
-    span = F.sequence(F.trunc("first", "YYYY"), F.date_sub(F.add_months(F.trunc("last", "YYYY"), 12), 1))
-    return calendar_columns(seen.filter("first IS NOT NULL").select(F.explode(span).alias("full_date")))
+    days = seen.filter("first IS NOT NULL").selectExpr("explode(sequence(first, last)) AS full_date")
+    return days.selectExpr(*CALENDAR)
 
 
-def _within_box(params: Params):
-    return F.col("lat").between(F.lit(params.lat_min).cast("decimal(9,6)"), F.lit(params.lat_max).cast("decimal(9,6)")) & (
-        F.col("lng").between(F.lit(params.lng_min).cast("decimal(9,6)"), F.lit(params.lng_max).cast("decimal(9,6)"))
+def inside_box(params: Params) -> str:
+    return (
+        f"lat BETWEEN CAST({params.lat_min} AS DECIMAL(9,6)) AND CAST({params.lat_max} AS DECIMAL(9,6)) "
+        f"AND lng BETWEEN CAST({params.lng_min} AS DECIMAL(9,6)) AND CAST({params.lng_max} AS DECIMAL(9,6))"
     )
 
 
@@ -68,55 +68,50 @@ def clean_geolocation(raw: DataFrame, params: Params) -> DataFrame:
     Rows are first counted per (zip, city, state), so what is grouped by zip afterwards is a
     list of distinct names rather than every sighting. Equal counts go to the smaller name.
     """
-    seen = (
-        raw.withColumn("zip_code_prefix", pad_zip(F.col("zip_code_prefix")))
-        .filter(_within_box(params) & F.col("zip_code_prefix").isNotNull())
-        .groupBy("zip_code_prefix", "city", "state")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("lat").alias("lat"), F.sum("lng").alias("lng"))
+    padded = add(raw, zip_code_prefix=pad_zip("zip_code_prefix"))
+    seen = agg(
+        padded.filter(f"zip_code_prefix IS NOT NULL AND {inside_box(params)}"),
+        ["zip_code_prefix", "city", "state"],
+        n="count(1)",
+        lat="sum(lat)",
+        lng="sum(lng)",
     )
 
     def most_frequent(name: str) -> DataFrame:
-        counts = seen.filter(F.col(name).isNotNull()).groupBy("zip_code_prefix", name).agg(F.sum("n").alias("n"))
-        top = first_per_group(counts, ["zip_code_prefix"], [F.desc("n"), F.asc(name)])
-        return top.select("zip_code_prefix", name)
-
-    n = F.sum("n")
-    centre = seen.groupBy("zip_code_prefix").agg(
-        ratio(F.sum("lat"), n, 6, "decimal(28,6)").cast("decimal(9,6)").alias("avg_lat"),
-        ratio(F.sum("lng"), n, 6, "decimal(28,6)").cast("decimal(9,6)").alias("avg_lng"),
-    )
-    return centre.join(most_frequent("city"), "zip_code_prefix", "left").join(
-        most_frequent("state"), "zip_code_prefix", "left"
-    )
+        counts = agg(seen.filter(f"{name} IS NOT NULL"), ["zip_code_prefix", name], n="sum(n)")
+        return first_per_group(counts, ["zip_code_prefix"], ["n DESC", name]).select("zip_code_prefix", name)
+
+    def centre(axis: str) -> str:
+        return f"CAST({ratio(f'sum({axis})', 'sum(n)', 6, 'DECIMAL(28,6)')} AS DECIMAL(9,6))"
+
+    middle = agg(seen, ["zip_code_prefix"], avg_lat=centre("lat"), avg_lng=centre("lng"))
+    named = middle.join(most_frequent("city"), "zip_code_prefix", "left")
+    return named.join(most_frequent("state"), "zip_code_prefix", "left")
 
 
 def category_lookup(translation: DataFrame, params: Params) -> DataFrame:
     """Category -> English name; hand-made entries win over the file's."""
-    file_rows = translation.select(
-        "product_category_name", F.col("product_category_name_english").alias("english"), F.lit(1).alias("priority")
-    )
+    rows = translation.selectExpr("product_category_name", "product_category_name_english", "1 AS priority")
     if params.manual_categories:
-        spark = translation.sparkSession
-        manual = spark.createDataFrame(
-            [(k, v, 0) for k, v in params.manual_categories],
-            "product_category_name string, english string, priority int",
+        entries = ", ".join(
+            f"named_struct('k', {text_literal(k)}, 'v', {text_literal(v)})" for k, v in params.manual_categories
         )
-        file_rows = file_rows.unionByName(manual)
+        manual = translation.sparkSession.range(1).selectExpr(f"inline(array({entries}))")
+        rows = rows.unionAll(manual.selectExpr("k", "v", "0"))
     best = first_per_group(
-        file_rows.filter(F.col("product_category_name").isNotNull()),
+        rows.filter("product_category_name IS NOT NULL"),
         ["product_category_name"],
-        [F.asc("priority"), F.asc_nulls_last("english")],
+        ["priority", "product_category_name_english ASC NULLS LAST"],
     )
-    return best.select("product_category_name", F.col("english").alias("product_category_name_english"))
+    return best.drop("priority")
 
 
 def clean_products(raw: DataFrame, translation: DataFrame, params: Params) -> DataFrame:
     ints = ("product_name_length", "product_description_length", "product_photos_qty")
-    fixed = raw.withColumns(
-        {
-            **{c: F.col(c).cast("int") for c in ints},
-            "product_weight_g": F.when(F.col("product_weight_g") != 0, F.col("product_weight_g")),
-        }
+    fixed = add(
+        raw,
+        product_weight_g="CASE WHEN product_weight_g <> 0 THEN product_weight_g END",
+        **{c: f"CAST({c} AS INT)" for c in ints},
     )
     named = fixed.join(category_lookup(translation, params), "product_category_name", "left")
     return named.select(*[c for c in WAREHOUSE["dim_product"] if c != "product_key"])
@@ -124,50 +119,46 @@ def clean_products(raw: DataFrame, translation: DataFrame, params: Params) -> Da
 
 def clean_order_items(items: DataFrame, orders: DataFrame, params: Params) -> DataFrame:
     """A shipping limit later than the grace period after the purchase is a data error: drop the date."""
-    bought = orders.select("order_id", F.col("order_purchase_timestamp").alias("_bought"))
-    too_late = F.col("shipping_limit_date") > F.col("_bought") + F.expr(f"interval {params.shipping_grace_days} days")
-    return (
-        items.join(bought, "order_id", "left")
-        .withColumn(
-            "shipping_limit_date",
-            F.when(F.coalesce(too_late, F.lit(False)), None).otherwise(F.col("shipping_limit_date")),
-        )
-        .drop("_bought")
-    )
+    bought = orders.selectExpr("order_id", "order_purchase_timestamp AS _bought")
+    too_late = f"shipping_limit_date > _bought + interval {params.shipping_grace_days} days"
+    limit = f"CASE WHEN {too_late} THEN NULL ELSE shipping_limit_date END"
+    return add(items.join(bought, "order_id", "left"), shipping_limit_date=limit).drop("_bought")
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:
-    count = F.col("payment_installments")
-    return payments.withColumn("payment_installments", F.when(count == 0, 1).otherwise(count).cast("int"))
-
-
-def clean(staging: Frames, params: Params) -> dict[str, DataFrame]:
-    """Natural-key layer of the warehouse; what every report reads."""
-    orders = staging["orders"]
-    return {
-        "dim_geolocation": clean_geolocation(staging["geolocation"], params),
-        "dim_customer": staging["customers"].withColumn(
-            "customer_zip_code_prefix", pad_zip(F.col("customer_zip_code_prefix"))
-        ),
-        "dim_seller": staging["sellers"].withColumn(
-            "seller_zip_code_prefix", pad_zip(F.col("seller_zip_code_prefix"))
-        ),
-        "dim_product": clean_products(staging["products"], staging["category_translation"], params),
-        "dim_order": orders,
-        "fact_order_items": clean_order_items(staging["order_items"], orders, params),
-        "fact_payments": clean_payments(staging["payments"]),
-        "fact_reviews": staging["reviews"],
-    }
+    count = "CASE payment_installments WHEN 0 THEN 1 ELSE payment_installments END"
+    return add(payments, payment_installments=f"CAST({count} AS INT)")
+
+
+def clean(staging: Frames, params: Params) -> Frames:
+    """Natural-key layer of the warehouse, each table made when first used."""
+
+    def padded(table: str, column: str) -> DataFrame:
+        return add(staging[table], **{column: pad_zip(column)})
 
+    return LazyFrames(
+        {
+            "dim_geolocation": lambda: clean_geolocation(staging["geolocation"], params),
+            "dim_customer": lambda: padded("customers", "customer_zip_code_prefix"),
+            "dim_seller": lambda: padded("sellers", "seller_zip_code_prefix"),
+            "dim_product": lambda: clean_products(staging["products"], staging["category_translation"], params),
+            "dim_order": lambda: staging["orders"],
+            "fact_order_items": lambda: clean_order_items(staging["order_items"], staging["orders"], params),
+            "fact_payments": lambda: clean_payments(staging["payments"]),
+            "fact_reviews": lambda: staging["reviews"],
+        }
+    )
 
-def report_frames(staging: Frames, params: Params) -> dict[str, DataFrame]:
+
+def report_frames(staging: Frames, params: Params) -> Frames:
     """Like ``clean``, with the items' shipping date left out, which no report looks at.
 
     The check of that date costs a join of items with orders that reports can do without.
     """
-    frames = clean(staging, params)
-    frames["fact_order_items"] = staging["order_items"].drop("shipping_limit_date")
-    return frames
+    cleaned = clean(staging, params)
+    makers = {name: (lambda name=name: cleaned[name]) for name in cleaned}
+    makers["fact_order_items"] = lambda: staging["order_items"].drop("shipping_limit_date")
+    return LazyFrames(makers)
 
 
 def number_rows(df: DataFrame, key: str, order: list[str], rows_per_range: int | None = None) -> DataFrame:
@@ -184,20 +175,18 @@ def with_surrogate_keys(
     date = dim_date(spark, params.calendar_start, params.calendar_end)
     geo = number_rows(cleaned["dim_geolocation"], "geolocation_key", ["zip_code_prefix"], step)
 
-    def place(df: DataFrame, zip_col: str) -> DataFrame:
-        keys = geo.select(F.col("zip_code_prefix").alias(zip_col), "geolocation_key")
-        return df.join(keys, zip_col, "left")
+    def located(table: str, key: str, natural: str, zip_col: str) -> DataFrame:
+        keys = geo.selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
+        return number_rows(cleaned[table], key, [natural], step).join(keys, zip_col, "left")
 
-    customer = place(number_rows(cleaned["dim_customer"], "customer_key", ["customer_id"], step), "customer_zip_code_prefix")
-    seller = place(number_rows(cleaned["dim_seller"], "seller_key", ["seller_id"], step), "seller_zip_code_prefix")
+    customer = located("dim_customer", "customer_key", "customer_id", "customer_zip_code_prefix")
+    seller = located("dim_seller", "seller_key", "seller_id", "seller_zip_code_prefix")
     product = number_rows(cleaned["dim_product"], "product_key", ["product_id"], step)
 
     order = number_rows(cleaned["dim_order"], "order_key", ["order_id"], step)
     order = order.join(customer.select("customer_id", "customer_key"), "customer_id", "left")
-    order = order.withColumn(
-        "purchase_date_key", F.date_format("order_purchase_timestamp", "yyyyMMdd").cast("int")
-    ).join(date.select(F.col("date_key").alias("_day")), F.col("purchase_date_key") == F.col("_day"), "left")
-    order = order.withColumn("purchase_date_key", F.col("_day")).drop("_day")
+    order = add(order, _day="CAST(date_format(order_purchase_timestamp, 'yyyyMMdd') AS INT)")
+    order = order.join(date.selectExpr("date_key AS _day", "date_key AS purchase_date_key"), "_day", "left")
 
     item = number_rows(cleaned["fact_order_items"], "order_item_key", ["order_id", "order_item_id"], step)
     item = (
@@ -222,8 +211,8 @@ def duplicate_keys(frames: Frames) -> DataFrame:
 
     def of(table: str) -> DataFrame:
         repeated = frames[table].groupBy(*UNIQUE[table]).count().filter("count > 1")
-        return repeated.agg(F.count(F.lit(1)).alias("duplicate_keys")).select(
-            F.lit(table).alias("table_name"), F.lit(", ".join(UNIQUE[table])).alias("key_columns"), "duplicate_keys"
+        return repeated.selectExpr("count(1) AS duplicate_keys").selectExpr(
+            f"'{table}' AS table_name", f"'{', '.join(UNIQUE[table])}' AS key_columns", "duplicate_keys"
         )
 
     return reduce(DataFrame.unionByName, [of(t) for t in UNIQUE if t in frames])
@@ -234,10 +223,9 @@ def unresolved_references(warehouse: Frames) -> DataFrame:
     mandatory = {"dim_order": ["customer_key"], "fact_order_items": ["order_key", "seller_key", "product_key"]}
 
     def of(table: str, cols: list[str]) -> DataFrame:
-        counts = warehouse[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        return counts.unpivot([], cols, "column_name", "unresolved").select(
-            F.lit(table).alias("table_name"), "column_name", "unresolved"
-        )
+        counts = warehouse[table].selectExpr(*[f"count_if({c} IS NULL) AS {c}" for c in cols])
+        long = counts.unpivot([], cols, "column_name", "unresolved")
+        return long.selectExpr(f"'{table}' AS table_name", "column_name", "unresolved")
 
     return reduce(DataFrame.unionByName, [of(t, cols) for t, cols in mandatory.items()])
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallbook.params import BENCH_PARAMS
@@ -20,13 +19,13 @@ def plain_numbers(df: DataFrame) -> DataFrame:
     """Decimals as double and every integer as bigint, the types other engines compare in."""
     out = []
     for f in df.schema:
-        col = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
-            col = col.cast("double").alias(f.name)
+            out.append(f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`")
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            col = col.cast("bigint").alias(f.name)
-        out.append(col)
-    return df.select(*out)
+            out.append(f"CAST(`{f.name}` AS BIGINT) AS `{f.name}`")
+        else:
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
 
 
 def _report(name: str) -> Query:

@@ -6,7 +6,13 @@ starts from the very same rows. Ids stay integers here.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from stallbook.sources.frames import LazyFrames
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -60,16 +66,44 @@ SELECT p_type AS product_category_name, lower(p_type) AS product_category_name_e
 }
 
 
-def source_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table; its schema is looked up once per process."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def base_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    def reader(table: str) -> Callable[[], DataFrame]:
+        return lambda: read_table(spark, f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+    return LazyFrames({t: reader(t) for t in BASE_TABLES})
+
+
+def source_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
     """The nine staging-shaped frames, lazily derived from the Parquet tables in ``sf_dir``."""
-    base = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
-    return {name: spark.sql(_bind(text), **base) for name, text in SOURCE_SQL.items()}
+    base = base_frames(spark, sf_dir)
+
+    def maker(text: str) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            bound, used = bind_tables(text)
+            return spark.sql(bound, **{t: base[t] for t in used})
+
+        return make
 
+    return LazyFrames({name: maker(text) for name, text in SOURCE_SQL.items()})
 
-def _bind(text: str) -> str:
+
+def bind_tables(text: str) -> tuple[str, list[str]]:
     """Point table names at frames passed as arguments, so no view is left in the session."""
-    words = text.replace("\n", " \n ").split(" ")
-    for i, word in enumerate(words[:-1]):
-        if word in ("FROM", "JOIN") and words[i + 1] in BASE_TABLES:
-            words[i + 1] = "{" + words[i + 1] + "}"
-    return " ".join(words)
+    used: list[str] = []
+
+    def swap(m: re.Match) -> str:
+        used.append(m.group(2))
+        return f"{m.group(1)} {{{m.group(2)}}}"
+
+    bound = re.sub(r"\b(FROM|JOIN) (" + "|".join(BASE_TABLES) + r")\b", swap, text)
+    return bound, sorted(set(used))

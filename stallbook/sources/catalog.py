@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stallbook.functions.scalars import add
 from stallbook.schemas import LOAD_ORDER
 from stallbook.sources.csv_files import LoadError, export_csv
 
@@ -28,7 +28,7 @@ def reset_databases(spark: SparkSession, names: tuple[str, ...] = ("staging", "w
 
 def empty_strings_to_null(df: DataFrame) -> DataFrame:
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in text})
+    return add(df, **{c: f"nullif({c}, '')" for c in text}) if text else df
 
 
 def load_table(df: DataFrame, table: str, buckets: int | None = None) -> None:

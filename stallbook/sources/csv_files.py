@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stallbook.functions.scalars import blank_to_null, pad_zip, to_int, to_ts
@@ -64,17 +63,15 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**options).csv(path).withColumnsRenamed(RENAMES)
 
 
-def _convert(name: str, dtype: T.DataType) -> Column:
-    text = blank_to_null(F.col(name))
+def _convert(name: str, dtype: T.DataType) -> str:
+    text = blank_to_null(f"`{name}`")
     if name.endswith("zip_code_prefix"):
         return pad_zip(text)
     if isinstance(dtype, T.IntegerType):
         return to_int(text)
     if isinstance(dtype, T.TimestampNTZType):
         return to_ts(text)
-    if isinstance(dtype, T.StringType):
-        return text
-    return text.try_cast(dtype)
+    return f"try_cast({text} AS {dtype.simpleString()})"
 
 
 def to_staging(raw: DataFrame, table: str) -> DataFrame:
@@ -83,7 +80,7 @@ def to_staging(raw: DataFrame, table: str) -> DataFrame:
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise LoadError(f"{table}: columns not found: {', '.join(missing)}")
-    return raw.select(*[_convert(f.name, f.dataType).cast(f.dataType).alias(f.name) for f in schema])
+    return raw.selectExpr(*[f"{_convert(f.name, f.dataType)} AS {f.name}" for f in schema])
 
 
 def read_staging(spark: SparkSession, folder: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
