@@ -166,44 +166,54 @@ def number_rows(df: DataFrame, key: str, order: list[str], rows_per_range: int |
     return with_global_order(df, order, row_number=key, rows_per_range=rows_per_range)
 
 
-def with_surrogate_keys(
-    cleaned: Frames, params: Params, rows_per_range: int | None = None
-) -> dict[str, DataFrame]:
-    """The nine warehouse tables with surrogate keys resolved through natural keys."""
-    spark = next(iter(cleaned.values())).sparkSession
-    step = rows_per_range
-    date = dim_date(spark, params.calendar_start, params.calendar_end)
-    geo = number_rows(cleaned["dim_geolocation"], "geolocation_key", ["zip_code_prefix"], step)
+def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | None = None) -> Frames:
+    """The nine warehouse tables with surrogate keys resolved through natural keys.
+
+    Tables are made when first used; a dimension is numbered once and shared by its facts.
+    """
+
+    def numbered(table: str, key: str, order: list[str]) -> DataFrame:
+        return number_rows(cleaned[table], key, order, rows_per_range)
 
     def located(table: str, key: str, natural: str, zip_col: str) -> DataFrame:
-        keys = geo.selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
-        return number_rows(cleaned[table], key, [natural], step).join(keys, zip_col, "left")
-
-    customer = located("dim_customer", "customer_key", "customer_id", "customer_zip_code_prefix")
-    seller = located("dim_seller", "seller_key", "seller_id", "seller_zip_code_prefix")
-    product = number_rows(cleaned["dim_product"], "product_key", ["product_id"], step)
-
-    order = number_rows(cleaned["dim_order"], "order_key", ["order_id"], step)
-    order = order.join(customer.select("customer_id", "customer_key"), "customer_id", "left")
-    order = add(order, _day="CAST(date_format(order_purchase_timestamp, 'yyyyMMdd') AS INT)")
-    order = order.join(date.selectExpr("date_key AS _day", "date_key AS purchase_date_key"), "_day", "left")
-
-    item = number_rows(cleaned["fact_order_items"], "order_item_key", ["order_id", "order_item_id"], step)
-    item = (
-        item.join(order.select("order_id", "order_key"), "order_id", "left")
-        .join(seller.select("seller_id", "seller_key"), "seller_id", "left")
-        .join(product.select("product_id", "product_key"), "product_id", "left")
-    )
-    payment = number_rows(cleaned["fact_payments"], "payment_key", ["order_id", "payment_sequential"], step)
-    # Reviews have no declared key; identical (review, order) pairs may swap numbers freely.
-    review = number_rows(cleaned["fact_reviews"], "review_key", ["review_id", "order_id"], step)
-
-    tables = {
-        "dim_date": date, "dim_geolocation": geo, "dim_customer": customer, "dim_seller": seller,
-        "dim_product": product, "dim_order": order, "fact_order_items": item, "fact_payments": payment,
-        "fact_reviews": review,
+        keys = tables["dim_geolocation"].selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
+        return numbered(table, key, [natural]).join(keys, zip_col, "left")
+
+    def calendar() -> DataFrame:
+        spark = cleaned["dim_order"].sparkSession
+        return dim_date(spark, params.calendar_start, params.calendar_end)
+
+    def orders() -> DataFrame:
+        customers = tables["dim_customer"].select("customer_id", "customer_key")
+        rows = numbered("dim_order", "order_key", ["order_id"]).join(customers, "customer_id", "left")
+        rows = add(rows, _day="CAST(date_format(order_purchase_timestamp, 'yyyyMMdd') AS INT)")
+        days = tables["dim_date"].selectExpr("date_key AS _day", "date_key AS purchase_date_key")
+        return rows.join(days, "_day", "left")
+
+    def items() -> DataFrame:
+        rows = numbered("fact_order_items", "order_item_key", ["order_id", "order_item_id"])
+        for table, natural, key in (
+            ("dim_order", "order_id", "order_key"),
+            ("dim_seller", "seller_id", "seller_key"),
+            ("dim_product", "product_id", "product_key"),
+        ):
+            rows = rows.join(tables[table].select(natural, key), natural, "left")
+        return rows
+
+    makers = {
+        "dim_date": calendar,
+        "dim_geolocation": lambda: numbered("dim_geolocation", "geolocation_key", ["zip_code_prefix"]),
+        "dim_customer": lambda: located("dim_customer", "customer_key", "customer_id", "customer_zip_code_prefix"),
+        "dim_seller": lambda: located("dim_seller", "seller_key", "seller_id", "seller_zip_code_prefix"),
+        "dim_product": lambda: numbered("dim_product", "product_key", ["product_id"]),
+        "dim_order": orders,
+        "fact_order_items": items,
+        "fact_payments": lambda: numbered("fact_payments", "payment_key", ["order_id", "payment_sequential"]),
+        # Reviews have no declared key; identical (review, order) pairs may swap numbers freely.
+        "fact_reviews": lambda: numbered("fact_reviews", "review_key", ["review_id", "order_id"]),
     }
-    return {name: df.select(*WAREHOUSE[name]) for name, df in tables.items()}
+    tables = LazyFrames({name: (lambda name=name: makers[name]().select(*WAREHOUSE[name])) for name in WAREHOUSE})
+    return tables
 
 
 def duplicate_keys(frames: Frames) -> DataFrame:
@@ -244,7 +254,7 @@ def check_integrity(cleaned: Frames, warehouse: Frames) -> None:
         raise IntegrityError("; ".join(bad))
 
 
-def build_warehouse(staging: Frames, params: Params, check: bool = True) -> dict[str, DataFrame]:
+def build_warehouse(staging: Frames, params: Params, check: bool = True) -> Frames:
     cleaned = clean(staging, params)
     warehouse = with_surrogate_keys(cleaned, params)
     if check:

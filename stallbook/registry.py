@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stallbook.params import BENCH_PARAMS
+from stallbook.models import features
+from stallbook.operators.materialize import scratch_path
+from stallbook.params import BENCH_PARAMS as P
+from stallbook.plans import warehouse
+from stallbook.plans.bases import Frames
 from stallbook.plans.reports import REPORTS
-from stallbook.plans.warehouse import report_frames
-from stallbook.sources.bench_tables import source_frames
+from stallbook.quality import checks, profile, validation
+from stallbook.sources import csv_files
+from stallbook.sources.bench_tables import raw_date_frames, source_frames
+from stallbook.sources.catalog import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,10 +36,141 @@ def plain_numbers(df: DataFrame) -> DataFrame:
 
 def _report(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frames = report_frames(source_frames(spark, sf_dir), BENCH_PARAMS)
-        return plain_numbers(REPORTS[name](frames, BENCH_PARAMS))
+        return plain_numbers(REPORTS[name](warehouse.report_frames(source_frames(spark, sf_dir), P), P))
+
+    return run
+
+
+def _on_sources(job: Callable[[Frames], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_numbers(job(source_frames(spark, sf_dir)))
+
+
+def _on_cleaned(job: Callable[[Frames], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_numbers(job(warehouse.clean(source_frames(spark, sf_dir), P)))
+
+
+def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cleaned = warehouse.clean(source_frames(spark, sf_dir), P)
+        return plain_numbers(job(warehouse.with_surrogate_keys(cleaned, P)))
+
+    return run
+
+
+def _on_report(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        frames = warehouse.report_frames(source_frames(spark, sf_dir), P)
+        return plain_numbers(job(REPORTS[name](frames, P)))
+
+    return run
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export the sources as CSV under their file names and header names, read them back, and count."""
+    sources = source_frames(spark, sf_dir)
+    folder = scratch_path(spark, "csv")
+    header_names = {
+        "products": {"product_name_length": "product_name_lenght", "product_description_length": "product_description_lenght"},
+        "geolocation": {c: f"geolocation_{c}" for c in ("zip_code_prefix", "lat", "lng", "city", "state")},
+    }
+    for table, file_name in csv_files.FILES.items():
+        raw = sources[table].withColumnsRenamed(header_names.get(table, {}))
+        csv_files.export_csv(raw, f"{folder}/source_{file_name}")
+    staged = csv_files.read_staging(spark, folder)
+
+    def count(table: str) -> DataFrame:
+        filled = " + ".join(f"count({c})" for c in staged[table].columns)
+        return staged[table].selectExpr(f"'{table}' AS table_name", "count(1) AS row_count", f"{filled} AS filled_cells")
+
+    return profile.union_all([count(t) for t in staged])
+
+
+def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports and tables registered as views and joined in SQL."""
+    frames = warehouse.report_frames(source_frames(spark, sf_dir), P)
+    register_views(
+        {
+            "dim_customer": frames["dim_customer"],
+            "dim_order": frames["dim_order"],
+            "vw_customer_health": REPORTS["customer_health"](frames, P),
+        }
+    )
+    return spark.sql(
+        "SELECT h.customer_status, o.order_status, count(*) AS orders FROM dim_order o "
+        "JOIN dim_customer c ON c.customer_id = o.customer_id "
+        "LEFT JOIN vw_customer_health h ON h.customer_unique_id = c.customer_unique_id "
+        "GROUP BY h.customer_status, o.order_status"
+    )
+
+
+def _table(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cleaned = warehouse.clean(source_frames(spark, sf_dir), P)
+        return plain_numbers(warehouse.with_surrogate_keys(cleaned, P)[name])
 
     return run
 
 
 QUERIES: dict[str, Query] = {f"v{i}_{name}": _report(name) for i, name in enumerate(REPORTS, 1)}
+
+QUERIES |= {
+    "s1_csv_round_trip": csv_round_trip,
+    "s14_sql_over_views": sql_over_views,
+    "t1_dim_date": _on_sources(lambda s: warehouse.dim_date_covering(s["orders"])),
+    "t2_dim_geolocation": _table("dim_geolocation"),
+    "t3_dim_customer": _table("dim_customer"),
+    "t4_dim_seller": _table("dim_seller"),
+    "t5_dim_product": _table("dim_product"),
+    "t6_dim_order": _table("dim_order"),
+    "t7_fact_order_items": _table("fact_order_items"),
+    "t8_fact_payments": _table("fact_payments"),
+    "t9_fact_reviews": _table("fact_reviews"),
+    "t10_duplicate_keys": _on_cleaned(warehouse.duplicate_keys),
+    "t11_unresolved_references": _on_warehouse(warehouse.unresolved_references),
+    "q1_dataset_shapes": _on_sources(profile.dataset_shapes),
+    "q2_column_completeness": _on_sources(profile.column_completeness),
+    "q3_date_conversion": lambda spark, sf_dir: plain_numbers(profile.date_conversion(raw_date_frames(spark, sf_dir))),
+    "q4_date_ranges": _on_sources(profile.date_ranges),
+    "q5_numeric_summary": _on_sources(profile.numeric_summary),
+    "q6_histograms": _on_sources(profile.histograms),
+    "q7_box_plots": _on_sources(profile.box_plots),
+    "q8_categorical_summary": _on_sources(profile.categorical_summary),
+    "q9_top_categories": _on_sources(profile.top_categories),
+    "q10_identifier_profile": _on_sources(profile.identifier_profile),
+    "q11_duplicated_reviews": _on_sources(lambda s: checks.duplicated_rows(s["reviews"], "review_id")),
+    "q12_orphaned_keys": _on_sources(checks.orphaned_keys),
+    "q13_sequence_violations": _on_sources(checks.sequence_violations),
+    "q14_shipping_outliers": _on_sources(checks.shipping_outliers),
+    "q14_shipping_outlier_summary": _on_sources(checks.shipping_outlier_summary),
+    "q14_outlier_seller_years": _on_sources(checks.outlier_seller_years),
+    "q14_out_of_bounds": _on_sources(lambda s: checks.out_of_bounds(s, P)),
+    "q14_out_of_bounds_summary": _on_sources(lambda s: checks.out_of_bounds_summary(s, P)),
+    "q14_out_of_bounds_states": _on_sources(lambda s: checks.out_of_bounds_states(s, P)),
+    "q14_zero_installments_by_type": _on_sources(checks.zero_installments_by_type),
+    "q14_zero_installment_history": _on_sources(checks.zero_installment_history),
+    "q14_zero_weight_products": _on_sources(checks.zero_weight_products),
+    "q14_dearest_items": _on_sources(checks.dearest_items),
+    "q14_largest_payments": _on_sources(checks.largest_payments),
+    "q14_items_of_largest_payment": _on_sources(checks.items_of_largest_payment),
+    "q14_untranslated_categories": _on_sources(checks.untranslated_categories),
+    "q14_orders_without_payment": _on_sources(checks.orders_without_payment),
+    "q14_delivered_without_date": _on_sources(checks.delivered_without_date),
+    "q14_orders_without_items": _on_sources(checks.orders_without_items),
+    "q14_negative_values": _on_sources(checks.negative_values),
+    "q15_row_counts": _on_cleaned(lambda w: validation.row_counts(w, P.row_ranges)),
+    "q16_referential_integrity": _on_warehouse(validation.referential_integrity),
+    "q17_required_columns": _on_warehouse(validation.required_columns),
+    "q18_business_rules": _on_warehouse(lambda w: validation.business_rules(w, P)),
+    "q19_untranslated_products": _on_cleaned(validation.untranslated_products),
+    "q19_order_status_shares": _on_cleaned(validation.order_status_shares),
+    "q19_price_summary": _on_cleaned(validation.price_summary),
+    "q19_payment_type_shares": _on_cleaned(validation.payment_type_shares),
+    "q19_review_score_shares": _on_cleaned(validation.review_score_shares),
+    "q20_cleaning_counters": lambda spark, sf_dir: plain_numbers(
+        (lambda s: validation.cleaning_counters(s, warehouse.clean(s, P), P))(source_frames(spark, sf_dir))
+    ),
+    "m1_seller_outliers": _on_report("seller_performance", features.seller_outliers),
+    "m2_seller_clusters": _on_report("seller_performance", features.seller_clusters),
+    "m3_category_clusters": _on_report("product_customer_affinity", features.category_clusters),
+    "m4_review_drivers": _on_report("seller_performance", features.review_drivers),
+}

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stallbook.schemas import DATE_COLUMNS
 from stallbook.sources.frames import LazyFrames
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -107,3 +108,14 @@ def bind_tables(text: str) -> tuple[str, list[str]]:
 
     bound = re.sub(r"\b(FROM|JOIN) (" + "|".join(BASE_TABLES) + r")\b", swap, text)
     return bound, sorted(set(used))
+
+
+def raw_date_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The tables with dates as text, some of it unreadable."""
+    sources = source_frames(spark, sf_dir)
+
+    def maker(table: str) -> Callable[[], DataFrame]:
+        texts = [f"CASE WHEN order_id % 101 = 0 THEN 'not a date' ELSE CAST({c} AS STRING) END AS {c}" for c in DATE_COLUMNS[table]]
+        return lambda: sources[table].selectExpr(*texts)
+
+    return LazyFrames({table: maker(table) for table in DATE_COLUMNS})

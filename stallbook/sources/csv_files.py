@@ -32,6 +32,10 @@ RENAMES: dict[str, str] = {
     "geolocation_state": "state",
 }
 
+# Only these hold quoted text with line breaks. A file read that way cannot be split between
+# tasks, so the other tables are not.
+FREE_TEXT = {"reviews"}
+
 
 class LoadError(RuntimeError):
     """Raised once, after every table was tried, with all the problems found."""
@@ -57,9 +61,9 @@ def _table_of(file_name: str) -> str | None:
     return max(fits)[1] if fits else None
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text under their header names; quoted values may span lines."""
-    options = {"header": True, "multiLine": True, "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All columns as text under their staging names."""
+    options = {"header": True, "multiLine": table in FREE_TEXT, "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
     return spark.read.options(**options).csv(path).withColumnsRenamed(RENAMES)
 
 
@@ -93,7 +97,7 @@ def read_staging(spark: SparkSession, folder: str, tables: list[str] | None = No
             problems.append(f"{table}: no file matching {FILES[table]} in {folder}")
             continue
         try:
-            frames[table] = to_staging(read_raw(spark, path), table)
+            frames[table] = to_staging(read_raw(spark, path, table), table)
         except LoadError as problem:
             problems.append(str(problem))
     if problems:
