@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from oracle.tables import TABLES
 from oracle.views import VIEWS
 
-STATEMENTS = {**VIEWS}
+STATEMENTS = {**VIEWS, **TABLES}
