@@ -174,11 +174,11 @@ def product_affinity(w: Frames, params: Params) -> DataFrame:
         ones="count_if(order_score = 1)",
     )
     # A person has one row per state lived in; count the person on one of them.
-    person = "PARTITION BY category, customer_unique_id"
+    person = "PARTITION BY category, customer_unique_id ORDER BY customer_state ASC NULLS LAST"
     marked = add(
         shoppers,
-        of_person=f"sum(orders) OVER ({person})",
-        counted=f"row_number() OVER ({person} ORDER BY customer_state ASC NULLS LAST) = 1 AND customer_unique_id IS NOT NULL",
+        of_person=f"sum(orders) OVER ({person} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
+        counted=f"row_number() OVER ({person}) = 1 AND customer_unique_id IS NOT NULL",
     )
     measures = shoppers.columns[3:]
     by_state = agg(

@@ -9,7 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes; beyond that plain operators are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
