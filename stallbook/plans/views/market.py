@@ -131,10 +131,12 @@ def category_of(w: Frames) -> DataFrame:
 
 def product_affinity(w: Frames, params: Params) -> DataFrame:
     people = w["dim_customer"].select("customer_id", "customer_unique_id", "customer_state")
+    # Joined with people last, so that the join with lines below shuffles both of its sides
+    # and an order with very many lines can be split.
     orders = (
         delivered(w["dim_order"])
-        .join(people, "customer_id")
         .join(review_scores(w["fact_reviews"]), "order_id", "left")
+        .join(people, "customer_id")
         .selectExpr(
             "order_id", "customer_unique_id", "customer_state", "order_score", f"{whole_days(ARRIVED, BOUGHT)} AS days"
         )
@@ -282,7 +284,9 @@ def review_response(w: Frames, params: Params) -> DataFrame:
     )
     dearest = leaders_per_group(priced, ["order_id"], ["value DESC NULLS LAST"]).join(category_of(w), "product_id", "left")
     named = {"category": f"coalesce(category, '{NO_CATEGORY}')"}
-    tops = first_per_group(add(dearest, **named), ["order_id"], ["category"]).select("order_id", "category", "value")
+    # Leaders of one order share their value. Grouping by it as well leaves one row per order
+    # but no order_id partitioning, so the join below can split an order with very many reviews.
+    tops = agg(add(dearest, **named), ["order_id", "value"], category="min(category)")
     reviews = w["fact_reviews"].selectExpr(
         "review_id", "order_id", "review_score", "review_creation_date",
         f"{micros('review_answer_timestamp')} - {micros('review_creation_date')} AS wait",

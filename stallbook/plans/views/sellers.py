@@ -100,9 +100,8 @@ def seller_health(w: Frames, params: Params) -> DataFrame:
     lines = seller_orders(w).selectExpr(
         "seller_id", "order_id", f"{month_of('order_purchase_timestamp')} AS order_month", f"{VALUE} AS value"
     )
-    by_seller = materialize(
-        agg(lines, ["seller_id", "order_month"], lines="count(1)", value="sum(value)"), "seller-months"
-    )
+    months = agg(lines, ["seller_id", "order_month"], lines="count(1)", value="sum(value)").join(_known(w), "seller_id")
+    by_seller = materialize(add(months, first_month="min(order_month) OVER (PARTITION BY seller_id)"), "seller-months")
     trend = _seller_trend(w, lines, by_seller)
     return trend.unionByName(_seller_status(w, by_seller, params), allowMissingColumns=True)
 
@@ -115,15 +114,17 @@ def _seller_trend(w: Frames, lines: DataFrame, by_seller: DataFrame) -> DataFram
     """Month x New/Returning, complete over the calendar.
 
     Counts and sums of sellers come from seller x month rows. Only the distinct orders need
-    the seller's type on each seller x order row, because sellers can share an order.
+    the seller's type on each seller x order row, because sellers can share an order. Both
+    sides of that join are shuffled just for it, so a hot seller's rows can be split.
     """
     kind = "CASE WHEN order_month = first_month THEN 'New' ELSE 'Returning' END AS seller_type"
-    typed = add(by_seller.join(_known(w), "seller_id"), first_month="min(order_month) OVER (PARTITION BY seller_id)")
-    sellers = agg(typed, ["order_month", kind], sellers="count(1)", lines="sum(lines)", value="sum(value)")
+    starts = by_seller.filter("order_month = first_month").select("seller_id", "first_month")
+    tagged = lines.select("seller_id", "order_id", "order_month").join(starts, "seller_id")
+    orders = agg(
+        tagged.selectExpr("order_month", kind, "order_id").distinct(), ["order_month", "seller_type"], orders="count(1)"
+    )
 
-    starts = agg(by_seller, ["seller_id"], first_month="min(order_month)").join(_known(w), "seller_id")
-    tagged = lines.join(starts, "seller_id").selectExpr("order_month", kind, "order_id").distinct()
-    orders = agg(tagged, ["order_month", "seller_type"], orders="count(1)")
+    sellers = agg(by_seller, ["order_month", kind], sellers="count(1)", lines="sum(lines)", value="sum(value)")
 
     kinds, measures = ("New", "Returning"), ("sellers", "orders", "lines", "value")
     wide = agg(

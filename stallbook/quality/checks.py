@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stallbook.functions.scalars import add, agg, money, cents, percent
+from stallbook.operators.joins import rows_with_key_in, rows_without_key_in
 from stallbook.params import Params
 from stallbook.plans.warehouse import inside_box
 from stallbook.quality.profile import Frames, union_all
@@ -41,8 +42,7 @@ def duplicated_rows(df: DataFrame, key: str) -> DataFrame:
     Keys are counted apart and joined back, so the rows of a frequent key are never
     gathered in one place.
     """
-    repeated = df.groupBy(key).count().filter("count > 1").select(key)
-    return df.join(repeated, key, "left_semi")
+    return rows_with_key_in(df, df.groupBy(key).count().filter("count > 1"), key)
 
 
 def orphaned_keys(staging: Frames) -> DataFrame:
@@ -125,8 +125,7 @@ def zero_installments_by_type(staging: Frames) -> DataFrame:
 
 def zero_installment_history(staging: Frames) -> DataFrame:
     """All payments of the orders that have a payment with zero instalments."""
-    hit = staging["payments"].filter("payment_installments = 0").select("order_id").distinct()
-    return staging["payments"].join(hit, "order_id", "left_semi")
+    return rows_with_key_in(staging["payments"], staging["payments"].filter("payment_installments = 0"), "order_id")
 
 
 def zero_weight_products(staging: Frames) -> DataFrame:
@@ -172,7 +171,7 @@ def untranslated_categories(staging: Frames) -> DataFrame:
 
 def orders_without_payment(staging: Frames) -> DataFrame:
     """Orders no payment refers to, with what their items are worth."""
-    missing = staging["orders"].join(staging["payments"], "order_id", "left_anti")
+    missing = rows_without_key_in(staging["orders"], staging["payments"], "order_id")
     worth = agg(
         staging["order_items"], ["order_id"], items="count(1)", value=f"sum({cents('price')} + {cents('freight_value')})"
     )
@@ -190,7 +189,7 @@ def delivered_without_date(staging: Frames) -> DataFrame:
 
 
 def orders_without_items(staging: Frames) -> DataFrame:
-    missing = staging["orders"].join(staging["order_items"], "order_id", "left_anti")
+    missing = rows_without_key_in(staging["orders"], staging["order_items"], "order_id")
     return agg(missing, ["order_status"], order_count="count(1)")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stallbook.functions.scalars import agg, cents, percent, ratio
+from stallbook.operators.joins import count_without_key_in
 from stallbook.params import Params
 from stallbook.plans.warehouse import inside_box
 from stallbook.quality.profile import Frames, union_all
@@ -40,8 +41,8 @@ def referential_integrity(warehouse: Frames) -> DataFrame:
     def of(child: str, key: str, parent: str, parent_key: str, optional: bool) -> DataFrame:
         rows = warehouse[child].selectExpr(f"{key} AS k")
         rows = rows.filter("k IS NOT NULL") if optional else rows
-        orphans = rows.join(warehouse[parent].selectExpr(f"{parent_key} AS k"), "k", "left_anti")
-        return orphans.selectExpr("count(1) AS orphaned_rows").selectExpr(
+        parents = warehouse[parent].selectExpr(f"{parent_key} AS k")
+        return count_without_key_in(rows, parents, "k", "orphaned_rows").selectExpr(
             f"'{child}.{key}' AS reference", f"'{parent}' AS parent_table", "orphaned_rows", "orphaned_rows = 0 AS passed"
         )
 
@@ -146,7 +147,7 @@ def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataF
         return counts.unpivot([], list(metrics), "metric", "value")
 
     def unmatched(name: str, child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-        return lines(child.join(parent.select(key), key, "left_anti"), **{name: "count(1)"})
+        return lines(count_without_key_in(child, parent, key, "missing"), **{name: "missing"})
 
     zips = cleaned["dim_geolocation"].select("zip_code_prefix")
     orders, items = staging["orders"], staging["order_items"]

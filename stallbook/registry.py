@@ -36,7 +36,7 @@ def plain_numbers(df: DataFrame) -> DataFrame:
 
 def _report(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain_numbers(REPORTS[name](warehouse.report_frames(source_frames(spark, sf_dir), P), P))
+        return plain_numbers(REPORTS[name](warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P), P))
 
     return run
 
@@ -59,7 +59,7 @@ def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
 
 def _on_report(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frames = warehouse.report_frames(source_frames(spark, sf_dir), P)
+        frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
         return plain_numbers(job(REPORTS[name](frames, P)))
 
     return run
@@ -87,7 +87,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports and tables registered as views and joined in SQL."""
-    frames = warehouse.report_frames(source_frames(spark, sf_dir), P)
+    frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
     register_views(
         {
             "dim_customer": frames["dim_customer"],

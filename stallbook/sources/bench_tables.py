@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stallbook.operators.ranking import with_global_order
 from stallbook.schemas import DATE_COLUMNS
 from stallbook.sources.frames import LazyFrames
 
@@ -84,18 +85,46 @@ def base_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
     return LazyFrames({t: reader(t) for t in BASE_TABLES})
 
 
-def source_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
-    """The nine staging-shaped frames, lazily derived from the Parquet tables in ``sf_dir``."""
+# Items as Spark makes them: the statement above without its window.
+ITEM_ROWS = """
+SELECT l_orderkey AS order_id, l_partkey AS product_id,
+ CASE WHEN l_orderkey % 5000 = 1 THEN cast(100000 AS bigint) ELSE l_suppkey END AS seller_id, l_shipdate AS shipping_limit_date,
+ cast(l_extendedprice AS decimal(10,2)) AS price, cast(l_quantity AS decimal(10,2)) AS freight_value,
+ l_linenumber AS k1, l_partkey AS k2, l_suppkey AS k3, cast(l_extendedprice * 100 AS bigint) AS k4,
+ unix_micros(cast(l_shipdate AS timestamp)) AS k5, cast(l_quantity * 100 AS bigint) AS k6
+FROM lineitem"""
+
+
+def numbered_items(rows: DataFrame) -> DataFrame:
+    """Number the items of each order.
+
+    A window per order would sort a hot order in one task. The position in the whole table,
+    less the position where the order starts, needs no such group.
+    """
+    placed = with_global_order(rows, ["order_id", "k1", "k2", "k3", "k4", "k5", "k6"], "position", "start")
+    return placed.selectExpr(
+        "order_id", "CAST(position - start + 1 AS INT) AS order_item_id", "product_id", "seller_id", "shipping_limit_date",
+        "price", "freight_value",
+    )
+
+
+def source_frames(spark: SparkSession, sf_dir: str, number_items: bool = True) -> LazyFrames:
+    """The nine staging-shaped frames, lazily derived from the Parquet tables in ``sf_dir``.
+
+    Without ``number_items`` the items have no ``order_item_id``, which reports do not use.
+    """
     base = base_frames(spark, sf_dir)
 
-    def maker(text: str) -> Callable[[], DataFrame]:
-        def make() -> DataFrame:
-            bound, used = bind_tables(text)
-            return spark.sql(bound, **{t: base[t] for t in used})
+    def select(text: str) -> DataFrame:
+        bound, used = bind_tables(text)
+        return spark.sql(bound, **{t: base[t] for t in used})
 
-        return make
+    def items() -> DataFrame:
+        rows = select(ITEM_ROWS)
+        return numbered_items(rows) if number_items else rows.drop("k1", "k2", "k3", "k4", "k5", "k6")
 
-    return LazyFrames({name: maker(text) for name, text in SOURCE_SQL.items()})
+    makers = {name: (lambda text=text: select(text)) for name, text in SOURCE_SQL.items()}
+    return LazyFrames({**makers, "order_items": items})
 
 
 def bind_tables(text: str) -> tuple[str, list[str]]:
@@ -112,7 +141,7 @@ def bind_tables(text: str) -> tuple[str, list[str]]:
 
 def raw_date_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
     """The tables with dates as text, some of it unreadable."""
-    sources = source_frames(spark, sf_dir)
+    sources = source_frames(spark, sf_dir, number_items=False)
 
     def maker(table: str) -> Callable[[], DataFrame]:
         texts = [f"CASE WHEN order_id % 101 = 0 THEN 'not a date' ELSE CAST({c} AS STRING) END AS {c}" for c in DATE_COLUMNS[table]]
