@@ -4,11 +4,13 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stallbook.params import BENCH_PARAMS as P
 from stallbook.plans import warehouse
 from stallbook.plans.reports import REPORTS
 from stallbook.plans.views import customers, sellers
+from stallbook.quality import checks
 from stallbook.sources.bench_tables import source_frames
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -63,33 +65,45 @@ def test_first_per_group_limits_before_the_shuffle(frames):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
-def test_hot_seller_is_split(spark, frames):
-    """A seller with most of the sales must not leave all of its rows to one join task."""
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
+SMALL_PARTITIONS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+HOT = {
+    "seller": ("fact_order_items", "seller_id", "CASE WHEN order_id % 10 < 8 THEN 1L ELSE seller_id END", "seller_health"),
+    "product": ("fact_order_items", "product_id", "CASE WHEN order_id % 10 < 8 THEN 1L ELSE product_id END", "product_customer_affinity"),
+    "reviewed order": ("fact_reviews", "order_id", "CASE WHEN review_id % 10 < 8 THEN 1L ELSE order_id END", "review_response_intelligence"),
+    "review": ("fact_reviews", "review_id", "CASE WHEN order_id % 10 < 8 THEN 1L ELSE review_id END", None),
+}
+
+
+@pytest.mark.parametrize("case", list(HOT))
+def test_hot_key_is_split(spark, frames, case):
+    """A key with most of the rows must not leave all of them to one join task."""
+    table, key, expr, name = HOT[case]
+    hot = dict(frames)
+    hot[table] = frames[table].repartition(8).withColumn(key, F.expr(expr))
+
+    def run():
+        return REPORTS[name](hot, P) if name else checks.duplicated_rows(hot[table], key)
+
+    plain = sorted(map(str, run().collect()))
+    before = {k: spark.conf.get(k, None) for k in SMALL_PARTITIONS}
     try:
-        for k, v in conf.items():
+        for k, v in SMALL_PARTITIONS.items():
             spark.conf.set(k, v)
-        hot = dict(frames)
-        hot["fact_order_items"] = frames["fact_order_items"].selectExpr(
-            "order_id", "order_item_id", "product_id", "CASE WHEN order_id % 10 < 8 THEN 1L ELSE seller_id END AS seller_id",
-            "price", "freight_value",
-        ).repartition(8)
-        result = REPORTS["seller_health"](hot, P)
-        rows = result.collect()
-        text = plan(result)
+        result = run()
+        rows, text = sorted(map(str, result.collect())), plan(result)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in text
-    plain = REPORTS["seller_health"](hot, P).collect()
-    assert sorted(map(str, rows)) == sorted(map(str, plain))
+    assert rows == plain
 
 
 def test_totals_agree_across_reports(frames):
