@@ -74,15 +74,19 @@ def sequence_violations(staging: Frames) -> DataFrame:
     return staging["orders"].selectExpr(*counts).selectExpr(f"inline(array({lines}))")
 
 
+def _late_items(staging: Frames) -> DataFrame:
+    last = staging["orders"].selectExpr("max(order_purchase_timestamp) AS last_purchase")
+    # ``last`` is a single row.
+    return staging["order_items"].join(last.hint("broadcast"), how="cross").filter("shipping_limit_date > last_purchase")
+
+
 def shipping_outliers(staging: Frames) -> DataFrame:
     """Items whose shipping limit lies after the last purchase of all."""
-    last = staging["orders"].selectExpr("max(order_purchase_timestamp) AS last_purchase")
-    late = staging["order_items"].join(last.hint("broadcast"), how="cross").filter("shipping_limit_date > last_purchase")
-    return late.select("order_id", "order_item_id", "seller_id", "shipping_limit_date")
+    return _late_items(staging).select("order_id", "order_item_id", "seller_id", "shipping_limit_date")
 
 
 def shipping_outlier_summary(staging: Frames) -> DataFrame:
-    late = shipping_outliers(staging).selectExpr(
+    late = _late_items(staging).selectExpr(
         "count(1) AS outlier_rows", "count(DISTINCT seller_id) AS sellers_affected", "count(DISTINCT order_id) AS orders_affected"
     )
     return late.join(staging["order_items"].selectExpr("count(1) AS total_rows").hint("broadcast"), how="cross")
@@ -90,7 +94,7 @@ def shipping_outlier_summary(staging: Frames) -> DataFrame:
 
 def outlier_seller_years(staging: Frames) -> DataFrame:
     """Items per shipping year of every seller that has an outlier."""
-    sellers = shipping_outliers(staging).select("seller_id").distinct()
+    sellers = _late_items(staging).select("seller_id").distinct()
     items = staging["order_items"].selectExpr("seller_id", "year(shipping_limit_date) AS shipping_limit_year")
     by_year = agg(items, ["seller_id", "shipping_limit_year"], order_item_count="count(1)")
     return by_year.join(sellers, "seller_id", "left_semi")

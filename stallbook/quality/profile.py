@@ -150,10 +150,13 @@ def numeric_counts(staging: Frames) -> DataFrame:
 
 
 def _quantiles(counts: DataFrame, probs: list[float], rows_per_range: int | None) -> dict[str, list[float]]:
-    totals = {r["metric"]: r["n"] for r in agg(counts, ["metric"], n="sum(n)").collect()}
-    found = select_at_ranks(
-        counts, "metric", ["v"], lambda _, n: quantile_ranks(n, probs), "n", rows_per_range=rows_per_range
-    )
+    totals: dict[str, int] = {}
+
+    def ranks(metric: str, n: int) -> list[int]:
+        totals[metric] = n
+        return quantile_ranks(n, probs)
+
+    found = select_at_ranks(counts, "metric", ["v"], ranks, "n", rows_per_range=rows_per_range)
     out = {}
     for metric, n in totals.items():
         at = found[metric]

@@ -41,12 +41,12 @@ def _report(name: str) -> Query:
     return run
 
 
-def _on_sources(job: Callable[[Frames], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain_numbers(job(source_frames(spark, sf_dir)))
+def _on_sources(job: Callable[[Frames], DataFrame], number_items: bool = False) -> Query:
+    return lambda spark, sf_dir: plain_numbers(job(source_frames(spark, sf_dir, number_items)))
 
 
-def _on_cleaned(job: Callable[[Frames], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain_numbers(job(warehouse.clean(source_frames(spark, sf_dir), P)))
+def _on_cleaned(job: Callable[[Frames], DataFrame], number_items: bool = False) -> Query:
+    return lambda spark, sf_dir: plain_numbers(job(warehouse.clean(source_frames(spark, sf_dir, number_items), P)))
 
 
 def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
@@ -125,10 +125,10 @@ QUERIES |= {
     "t7_fact_order_items": _table("fact_order_items"),
     "t8_fact_payments": _table("fact_payments"),
     "t9_fact_reviews": _table("fact_reviews"),
-    "t10_duplicate_keys": _on_cleaned(warehouse.duplicate_keys),
+    "t10_duplicate_keys": _on_cleaned(warehouse.duplicate_keys, number_items=True),
     "t11_unresolved_references": _on_warehouse(warehouse.unresolved_references),
-    "q1_dataset_shapes": _on_sources(profile.dataset_shapes),
-    "q2_column_completeness": _on_sources(profile.column_completeness),
+    "q1_dataset_shapes": _on_sources(profile.dataset_shapes, number_items=True),
+    "q2_column_completeness": _on_sources(profile.column_completeness, number_items=True),
     "q3_date_conversion": lambda spark, sf_dir: plain_numbers(profile.date_conversion(raw_date_frames(spark, sf_dir))),
     "q4_date_ranges": _on_sources(profile.date_ranges),
     "q5_numeric_summary": _on_sources(profile.numeric_summary),
@@ -136,11 +136,11 @@ QUERIES |= {
     "q7_box_plots": _on_sources(profile.box_plots),
     "q8_categorical_summary": _on_sources(profile.categorical_summary),
     "q9_top_categories": _on_sources(profile.top_categories),
-    "q10_identifier_profile": _on_sources(profile.identifier_profile),
+    "q10_identifier_profile": _on_sources(profile.identifier_profile, number_items=True),
     "q11_duplicated_reviews": _on_sources(lambda s: checks.duplicated_rows(s["reviews"], "review_id")),
     "q12_orphaned_keys": _on_sources(checks.orphaned_keys),
     "q13_sequence_violations": _on_sources(checks.sequence_violations),
-    "q14_shipping_outliers": _on_sources(checks.shipping_outliers),
+    "q14_shipping_outliers": _on_sources(checks.shipping_outliers, number_items=True),
     "q14_shipping_outlier_summary": _on_sources(checks.shipping_outlier_summary),
     "q14_outlier_seller_years": _on_sources(checks.outlier_seller_years),
     "q14_out_of_bounds": _on_sources(lambda s: checks.out_of_bounds(s, P)),
@@ -149,9 +149,9 @@ QUERIES |= {
     "q14_zero_installments_by_type": _on_sources(checks.zero_installments_by_type),
     "q14_zero_installment_history": _on_sources(checks.zero_installment_history),
     "q14_zero_weight_products": _on_sources(checks.zero_weight_products),
-    "q14_dearest_items": _on_sources(checks.dearest_items),
+    "q14_dearest_items": _on_sources(checks.dearest_items, number_items=True),
     "q14_largest_payments": _on_sources(checks.largest_payments),
-    "q14_items_of_largest_payment": _on_sources(checks.items_of_largest_payment),
+    "q14_items_of_largest_payment": _on_sources(checks.items_of_largest_payment, number_items=True),
     "q14_untranslated_categories": _on_sources(checks.untranslated_categories),
     "q14_orders_without_payment": _on_sources(checks.orders_without_payment),
     "q14_delivered_without_date": _on_sources(checks.delivered_without_date),
@@ -166,9 +166,7 @@ QUERIES |= {
     "q19_price_summary": _on_cleaned(validation.price_summary),
     "q19_payment_type_shares": _on_cleaned(validation.payment_type_shares),
     "q19_review_score_shares": _on_cleaned(validation.review_score_shares),
-    "q20_cleaning_counters": lambda spark, sf_dir: plain_numbers(
-        (lambda s: validation.cleaning_counters(s, warehouse.clean(s, P), P))(source_frames(spark, sf_dir))
-    ),
+    "q20_cleaning_counters": _on_sources(lambda s: validation.cleaning_counters(s, warehouse.clean(s, P), P)),
     "m1_seller_outliers": _on_report("seller_performance", features.seller_outliers),
     "m2_seller_clusters": _on_report("seller_performance", features.seller_clusters),
     "m3_category_clusters": _on_report("product_customer_affinity", features.category_clusters),
