@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.functions.scalars import add, agg, pad_zip, ratio, text_literal
+from stallbook.operators.materialize import materialize
 from stallbook.operators.ranking import with_global_order
 from stallbook.operators.top import first_per_group
 from stallbook.params import Params
@@ -173,7 +174,11 @@ def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | N
     """
 
     def numbered(table: str, key: str, order: list[str]) -> DataFrame:
-        return number_rows(cleaned[table], key, order, rows_per_range)
+        rows = cleaned[table]
+        # Numbering reads its input several times: store what is more than a scan.
+        if table in ("dim_geolocation", "fact_order_items"):
+            rows = materialize(rows, table)
+        return number_rows(rows, key, order, rows_per_range)
 
     def located(table: str, key: str, natural: str, zip_col: str) -> DataFrame:
         keys = tables["dim_geolocation"].selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
