@@ -46,12 +46,15 @@ def seller_outliers(performance: DataFrame) -> DataFrame:
     sellers = scored_sellers(performance).selectExpr(
         "seller_id", "CAST(total_revenue AS DOUBLE) AS revenue", "CAST(avg_review_score AS DOUBLE) AS quality"
     )
-    moments = sellers.selectExpr(
-        "avg(revenue) AS mr", "stddev_samp(revenue) AS sr", "avg(quality) AS mq", "stddev_samp(quality) AS sq"
+    # The moments are one row, read as a scalar subquery.
+    measured = performance.sparkSession.sql(
+        "SELECT *, (SELECT named_struct('mr', avg(revenue), 'sr', stddev_samp(revenue), 'mq', avg(quality), "
+        "'sq', stddev_samp(quality)) FROM {sellers}) AS m FROM {sellers}",
+        sellers=sellers,
     )
-    z = sellers.join(moments.hint("broadcast"), how="cross").selectExpr(
+    z = measured.selectExpr(
         "seller_id", "revenue AS total_revenue", "quality AS avg_review_score",
-        "(revenue - mr) / nullif(sr, 0) AS revenue_z", "(quality - mq) / nullif(sq, 0) AS quality_z",
+        "(revenue - m.mr) / nullif(m.sr, 0) AS revenue_z", "(quality - m.mq) / nullif(m.sq, 0) AS quality_z",
     )
     kept = z.filter(f"revenue_z > {REVENUE_Z} AND quality_z < {QUALITY_Z}")
     return add(kept, revenue_z="round(revenue_z, 6)", quality_z="round(quality_z, 6)")

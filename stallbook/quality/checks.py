@@ -75,9 +75,11 @@ def sequence_violations(staging: Frames) -> DataFrame:
 
 
 def _late_items(staging: Frames) -> DataFrame:
-    last = staging["orders"].selectExpr("max(order_purchase_timestamp) AS last_purchase")
-    # ``last`` is a single row.
-    return staging["order_items"].join(last.hint("broadcast"), how="cross").filter("shipping_limit_date > last_purchase")
+    return staging["orders"].sparkSession.sql(
+        "SELECT * FROM {items} WHERE shipping_limit_date > (SELECT max(order_purchase_timestamp) FROM {orders})",
+        items=staging["order_items"],
+        orders=staging["orders"],
+    )
 
 
 def shipping_outliers(staging: Frames) -> DataFrame:
@@ -86,10 +88,12 @@ def shipping_outliers(staging: Frames) -> DataFrame:
 
 
 def shipping_outlier_summary(staging: Frames) -> DataFrame:
-    late = _late_items(staging).selectExpr(
-        "count(1) AS outlier_rows", "count(DISTINCT seller_id) AS sellers_affected", "count(DISTINCT order_id) AS orders_affected"
+    return staging["orders"].sparkSession.sql(
+        "SELECT count(1) AS outlier_rows, count(DISTINCT seller_id) AS sellers_affected, "
+        "count(DISTINCT order_id) AS orders_affected, (SELECT count(1) FROM {items}) AS total_rows FROM {late}",
+        items=staging["order_items"],
+        late=_late_items(staging),
     )
-    return late.join(staging["order_items"].selectExpr("count(1) AS total_rows").hint("broadcast"), how="cross")
 
 
 def outlier_seller_years(staging: Frames) -> DataFrame:
