@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from stallbook.llm.shipping import ship
 
+SLICE_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,7 +35,7 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str | T.StructType) -> DataFrame:
-    """Apply ``function`` to lists of column values, one Arrow batch at a time."""
+    """Apply ``function`` to lists of column values, some rows of an Arrow batch at a time."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,7 +43,7 @@ def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             out = function(batch.to_pydict())
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 

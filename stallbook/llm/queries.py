@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallbook.llm import bpe, mixing, quality, secret_scan, simhash
+from stallbook.llm import ann, bpe, embedding_dedup, mixing, ngram_lm, quality, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,10 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", quality.grade().alias("grade")))
@@ -30,6 +35,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     forest = secret_scan.fit(spark, *secret_scan.labelled_findings(docs))
@@ -40,4 +49,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op3_quality_classifier, op4_source_mixing, op6_secret_scan, op9_bpe)}
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op2_lm_scoring, op3_quality_classifier, op4_source_mixing, op5_embedding_dedup, op6_secret_scan, op9_bpe, op10_nearest_neighbours)}
