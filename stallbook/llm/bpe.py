@@ -26,6 +26,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook.llm.frames import fresh, map_rows
 
@@ -183,7 +184,7 @@ def encoded(docs: DataFrame, text: str = "text", path: str | None = None, keep:
         encode = encoder(path).encode
         return {**{c: rows[c] for c in keep}, ids: [encode(t) for t in rows[source]]}
 
-    return map_rows(docs.select(*keep, F.col(text).alias(source)), run, docs.select(*keep).schema.add(ids, "binary"))
+    return map_rows(docs.select(*keep, F.col(text).alias(source)), run, T.StructType(list(docs.select(*keep).schema.fields)).add(ids, "binary"))
 
 
 def round_trips(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from zlib import crc32
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook.llm.frames import fresh, map_rows
 
@@ -133,7 +134,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
         below = m.below(latent)
         return {**{c: rows[c] for c in keep}, "expected_grade": (1 - below).sum(axis=1), "p_top": 1 - below[:, -1]}
 
-    schema = docs.select(*keep).schema.add("expected_grade", "double").add("p_top", "double")
+    schema = T.StructType(list(docs.select(*keep).schema.fields)).add("expected_grade", "double").add("p_top", "double")
     return map_rows(docs.select(*keep, F.col(text).alias(source)), run, schema)
 
 

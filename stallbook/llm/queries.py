@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import ann, bpe, embedding_dedup, mixing, ngram_lm, quality, secret_scan, simhash
+from stallbook.llm import ann, bpe, chat, embedding_dedup, mixing, ngram_lm, quality, secret_scan, simhash, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, forest)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.linked(chat.turns_as_calls(table(spark, sf_dir, "conversations")), chat.TURN_SCHEMAS)
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.digests(token_output.layout(table(spark, sf_dir, "documents")))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"))
 
@@ -53,4 +61,4 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op2_lm_scoring, op3_quality_classifier, op4_source_mixing, op5_embedding_dedup, op6_secret_scan, op9_bpe, op10_nearest_neighbours)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op2_lm_scoring, op3_quality_classifier, op4_source_mixing, op5_embedding_dedup, op6_secret_scan, op7_chat_formatting, op8_token_output, op9_bpe, op10_nearest_neighbours)}
