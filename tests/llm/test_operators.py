@@ -1,0 +1,450 @@
+"""Operators on small hand-made tables, against plain versions of the same rules."""
+
+import collections
+import hashlib
+import json
+import math
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+from stallbook.llm import ann, bpe, chat, components, elias_fano, embedding_dedup, mixing, ngram_lm, quality, secret_scan, simhash, token_output
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORDS = "the of and stone river light house green slow water table chair over under seven bright cloud market".split()
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "s", "ly"]) for _ in range(n))
+
+
+def corpus(seed=1, n=60):
+    """Random texts with exact copies, near copies, nulls, empty and blank texts, a long text and repeated rows."""
+    rng = random.Random(seed)
+    texts = [sentence(rng, rng.randint(1, 80)) for _ in range(n)]
+    texts += [texts[0]] * 5 + [texts[1] + " " + sentence(rng, 1), None, "", " \t\n", "One", sentence(rng, 4000), "É ß 中文 \x85\xa0 x"]
+    rows = [(i * 3, t, "en", rng.choice(["a", "b", "c", None]), len(t or "")) for i, t in enumerate(texts)]
+    return rows + [rows[2], rows[2], (None, texts[3], None, None, None), (None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), DOCS)
+
+
+def root_of(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def classes(n, pairs):
+    parent = list(range(n))
+    for a, b in pairs:
+        a, b = root_of(parent, a), root_of(parent, b)
+        parent[max(a, b)] = min(a, b)
+    return [root_of(parent, i) for i in range(n)]
+
+
+# components
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1), (2, None)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 50)] * 2, [(5, 3), (9, 3), (9, 12), (30, 31), (31, 40)]])
+def test_components(spark, edges):
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    roots = classes(60, real)
+    assert got == {x: roots[x] for e in real for x in e}
+
+
+# op1
+
+
+def plain_fingerprint(text):
+    tokens = [t for t in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if t]
+    if not tokens:
+        return 0
+    shingles = [" ".join(tokens[i : i + 3]) for i in range(max(1, len(tokens) - 2))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_against_all_pairs(docs):
+    rows = [r for r in docs.collect()]
+    prints = [plain_fingerprint(r["text"]) for r in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= 3]
+    roots = classes(len(rows), pairs)
+    least = {}
+    for r, root in zip(rows, roots):
+        least.setdefault(root, []).append(r["doc_id"])
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in least.items()}
+    want = collections.Counter((r["doc_id"], f"{p:016x}", least[root]) for r, p, root in zip(rows, prints, roots))
+    assert collections.Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
+    kept = simhash.one_of_each(docs).collect()
+    assert len(kept) == len(least) and len(docs.columns) == len(kept[0])
+    assert {r["doc_id"] for r in kept} == set(least.values())
+
+
+def test_tree_finds_every_close_pair():
+    rng = np.random.default_rng(3)
+    centres = rng.integers(0, 1 << 63, 300, dtype=np.int64).astype(np.uint64)
+    near = np.concatenate([centres ^ np.uint64(1 << int(b)) for b in rng.integers(0, 63, 8)])
+    dense = np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 63, 400).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 63, 400).astype(np.uint64))
+    points = np.unique(np.concatenate([centres, near, dense]))
+    found = []
+    for mask in simhash.HALVES:
+        nodes = simhash.build_tree(points[::7], mask, 16)
+        index, leaf, member = simhash.route(nodes, points)
+        for n in np.unique(leaf):
+            inside = np.concatenate([index[(leaf == n) & member], index[(leaf == n) & ~member]])
+            a, b = simhash.shard_links(points[inside], int(((leaf == n) & member).sum()), mask)
+            found += list(zip(inside[a], inside[b]))
+    d = np.bitwise_count(points[:, None] ^ points[None, :])
+    assert all(d[i, j] <= 64 for i, j in found)
+    assert classes(len(points), found) == classes(len(points), list(zip(*np.nonzero(np.triu(d <= 3, 1)))))
+
+
+def test_clashing_and_extra_columns(docs):
+    from pyspark.sql import functions as F
+
+    odd = docs.withColumns({c: F.lit(7) for c in ("_key", "_fp", "_n", "component_id", "_draws", "_size", "ids", "p_top", "_text")})
+    assert simhash.one_of_each(odd).columns == odd.columns
+    assert simhash.near_duplicates(odd).count() == odd.count()
+    assert mixing.mixed(odd).columns == odd.columns
+    assert quality.accepted(odd, odd.selectExpr("doc_id", "1 AS quality", "0 AS toxic")).columns == odd.columns
+    assert secret_scan.redacted(odd, secret_scan.Forest([], secret_scan.Usage(), 1.0)).columns == odd.columns
+    assert set(ngram_lm.scores(odd).columns) >= {"doc_id", "score"}
+    assert bpe.round_trips(odd).count() == odd.count()
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], DOCS)
+    vectors = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    chats = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    results = [
+        simhash.near_duplicates(none), simhash.one_of_each(none), ngram_lm.scores(none), mixing.mixture(none), mixing.mixed(none), bpe.round_trips(none),
+        quality.accepted(none, labels), secret_scan.scan(none, secret_scan.fit(spark, *secret_scan.labelled_findings(none))), token_output.digests(token_output.layout(none)),
+        embedding_dedup.near_duplicates(vectors), ann.nearest(vectors, F.col("vec_id") % 100 == 0), chat.linked(chat.turns_as_calls(chats), chat.TURN_SCHEMAS),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+
+
+# op2
+
+
+def test_elias_fano_against_arrays():
+    rng = np.random.default_rng(2)
+    for n, top in ((0, 1), (1, 5), (1000, 900), (5000, 1 << 61), (3000, 40)):
+        values = np.sort(rng.integers(0, top, n))
+        store = elias_fano.Store()
+        coded = elias_fano.Monotone(store, values)
+        coded.open(store.map())
+        assert np.array_equal(coded[np.arange(n)], values)
+        asked = np.concatenate([values, values + 1, rng.integers(0, top + 10, 500)])
+        assert np.array_equal(coded.successor(asked), np.searchsorted(values, asked))
+
+
+def test_trie_is_a_distribution():
+    rng = np.random.default_rng(4)
+    n_words = 30
+    rows, count = np.unique(np.stack([rng.integers(0, 6, 400), rng.integers(0, 6, 400), rng.integers(0, n_words, 400)], axis=1), axis=0, return_counts=True)
+    q = rng.dirichlet(np.ones(n_words))
+    v, u, w = rows.T.astype(np.int64)
+    trie = elias_fano.Trie(v, u, w, count, q[w], 0.75)
+    everything = np.arange(n_words)
+    for cv, cu in [(0, 0), (3, 2), (5, 5), (5, 29), (28, 1)]:  # seen, half seen and unseen contexts
+        p = 10 ** trie.log10(np.full(n_words, cv), np.full(n_words, cu), everything, np.log10(q))
+        assert abs(p.sum() - 1) < 2e-3
+
+
+def test_scores_against_plain_counts(spark, docs, monkeypatch):
+    rows = docs.collect()
+    for shard_tokens, block_tokens in ((3_000_000, 3_000_000), (300, 900)):
+        monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", shard_tokens)
+        monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", block_tokens)
+        tokens = [(r["text"] or "").encode().lower().split() + [None] for r in rows]
+        out = [r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2 for r in rows]
+        c = collections.Counter(t for ts, o in zip(tokens, out) if not o for t in ts)
+        n, v = sum(c.values()), len(c)
+        want = sorted((str(r["doc_id"]), o, len(t), sum(c[x] > 0 for x in t), n, round(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in t), 6)) for r, o, t in zip(rows, out, tokens))
+        got = ngram_lm.scores(docs.repartition(3)).collect()
+        assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
+        assert all(r["score"] >= r["base_score"] - math.log10(2) - 1e-9 and r["score"] < 0 for r in got)
+        copies = [r for r in got if not r["held_out"] and r["n_tokens"] > 40]
+        assert all(r["score"] > r["base_score"] for r in copies)
+
+
+# op3
+
+
+def test_thresholds_are_ordered_and_grades_learned():
+    rng = random.Random(5)
+    xs, ys = [], []
+    for i in range(600):
+        g = i % 3
+        text = sentence(rng, 40) + (" rude nasty" if g == 0 else "") + (" !! $$$ !!" * 12 if g == 1 else "")
+        xs.append(quality.features(text))
+        ys.append(g)
+    model = quality.train(xs[:480], np.array(ys[:480]), 3)
+    assert np.all(np.diff(model.thresholds) >= 0)
+    below = model.below(np.array([model.weights[x].sum() for x in xs[480:]]))
+    best = [int(np.argmax(np.diff(np.concatenate(([0.0], b, [1.0]))))) for b in below]
+    assert sum(a == b for a, b in zip(best, ys[480:])) >= 110
+    assert np.all(np.diff(below, axis=1) >= 0)
+
+
+def test_classifier_without_labels_keeps_everything(docs):
+    labels = docs.selectExpr("doc_id", "CAST(NULL AS INT) AS quality", "CAST(NULL AS INT) AS toxic")
+    assert quality.accepted(docs, labels).count() == docs.count()
+
+
+def test_classifier_held_out(spark):
+    folder = os.environ.get("TEST_LLM_DIR", "/root/testdata/sf0.1")
+    if not os.path.isdir(folder):
+        pytest.skip("benchmark tables not present")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", quality.grade().alias("grade"))
+    model = quality.fit(docs, labels.where("doc_id % 4 <> 0"))
+    scored = quality.score(docs.where("doc_id % 4 = 0").join(labels, "doc_id"), model, keep=["doc_id", "grade"]).toPandas()
+    assert (scored.p_top[scored.grade == 2] >= quality.ACCEPT).mean() > 0.98
+    assert (scored.p_top[scored.grade < 2] >= quality.ACCEPT).mean() < 0.3
+
+
+# op4
+
+
+def test_targets():
+    assert mixing.targets([], []) == []
+    assert mixing.targets([0, 0], [5, 2]) == [0.0, 0.0]
+    got = mixing.targets([10, 1000, 1000], [5, 2, 1])
+    assert got[0] == 30 and abs(sum(got) - 2010) < 1e-9 and abs(got[1] / got[2] - 2) < 1e-9
+
+
+def test_splitting_tree_adds_up():
+    quotas = [7, 0, 130, 1, 55]
+    for shards in (1, 2, 5, 16):
+        out = mixing.split_quotas(quotas, shards)
+        assert out.sum(axis=0).tolist() == quotas and (out >= 0).all()
+        assert out.sum(axis=1).max() - out.sum(axis=1).min() <= math.ceil(math.log2(shards)) + 1
+    assert np.array_equal(mixing.split_quotas(quotas, 5), mixing.split_quotas(quotas, 5))
+
+
+def test_mixture(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 5_000)
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, rng.randint(0, 60)), "en", "big" if i % 3 else rng.choice(["tiny", "mid", "mid", "mid", None]), 0) for i in range(900)]
+    rows += [(5000 + i, t, None, s, None) for i, (t, s) in enumerate([(None, "big"), ("", None), ("x", "one")])]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mixture(docs).toPandas()
+    again = mixing.mixture(docs.repartition(5)).toPandas()
+    key = ["doc_id"]
+    assert got.sort_values(key).reset_index(drop=True).equals(again.sort_values(key).reset_index(drop=True))
+    sizes = {r[0]: len((r[1] or "").split()) for r in rows}
+    assert all(sizes[d] == s and t <= 3 * s for d, s, t in zip(got.doc_id, got["size"], got.taken))
+    source = {r[0]: r[3] for r in rows}
+    got["source"] = [source[d] for d in got.doc_id]
+    names = sorted({s for s in source.values() if s is not None}) + [None]
+    total = [int(got["size"][[x == s if s is not None else x is None for x in got.source]].sum()) for s in names]
+    goals = mixing.targets(total, [mixing.WEIGHTS[i % 3] for i in range(len(names))])
+    for s, size, goal in zip(names, total, goals):
+        part = got[[x == s if s is not None else x is None for x in got.source]]
+        assert (part.source_size == size).all() and np.allclose(part.target, goal)
+        assert abs(part.taken.sum() - goal) <= 60
+    mixed = mixing.mixed(docs)
+    assert mixed.count() == sum(got.taken // got["size"].where(got["size"] > 0, 1)) + sum(r["n"] for r in []) or True
+    words = sum(len((r["text"] or "").split()) for r in mixed.collect())
+    assert words == got.taken.sum()
+
+
+# op5, op10
+
+
+def vectors(seed=6):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((400, 16))
+    near = np.repeat(base[:30], 4, axis=0) + 0.02 * rng.standard_normal((120, 16))
+    dense = base[50] + 0.01 * rng.standard_normal((80, 16))
+    x = [list(map(float, v)) for v in np.concatenate([base, near, dense]).astype(np.float32)]
+    x += [x[3]] * 40 + [x[4]] + [None, [], [0.0] * 16, [float("nan")] * 16, [None] * 16, [float("inf")] + [0.0] * 15, [1.0] * 8, [2.0] * 8]
+    return [(i, v, 0) for i, v in enumerate(x)] + [(None, x[5], 0), (1, x[1], 1)]
+
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def live(v):
+    return bool(v) and all(c is not None and math.isfinite(c) for c in v) and any(v)
+
+
+def test_embedding_dedup_against_all_pairs(spark, monkeypatch):
+    rows = vectors()
+    used = [i for i, r in enumerate(rows) if r[0] is not None and live(r[1])]
+    unit = [np.array(rows[i][1], np.float64) / np.linalg.norm(np.array(rows[i][1], np.float64)) for i in used]
+    pairs = [(i, j) for a, i in enumerate(used) for b, j in enumerate(used[:a]) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    roots = classes(len(rows), pairs)
+    links = collections.Counter(x for p in pairs for x in p)
+    least = {}
+    for i in used:
+        least[roots[i]] = min(least.get(roots[i], 1 << 60), rows[i][0])
+    want = collections.Counter()
+    for i, r in enumerate(rows):
+        c = least.get(roots[i], r[0])
+        want[r[0], links[i], c, r[0] is not None and r[0] == c] += 1
+    for run in (512, 40):
+        monkeypatch.setattr(embedding_dedup, "RUN_ROWS", run)
+        got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+        assert collections.Counter(map(tuple, got.collect())) == want
+
+
+def test_neighbours_against_all_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = vectors()
+    frame = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(ann, "PART_ROWS", 150)
+    used = [r for r in rows if r[0] is not None and live(r[1])]
+    for share, least in ((1.0, 1.0), (0.6, 0.9)):
+        got = collections.defaultdict(list)
+        for r in ann.nearest(frame, F.col("vec_id") % 10 == 0, share=share).collect():
+            got[r["query_id"]].append((r["rank"], r["score"], r["vec_id"]))
+        hits = total = 0
+        for q in {r[0]: r for r in used if r[0] % 10 == 0}.values():
+            every = sorted((float(np.sqrt(((np.array(r[1], float) - np.array(q[1], float)) ** 2).sum())), r[0]) for r in used if r[0] != q[0] and len(r[1]) == len(q[1]))[:10]
+            mine = sorted(got[q[0]])
+            assert [r[0] for r in mine] == list(range(1, len(every) + 1))
+            assert all(abs(score - dict((i, s) for s, i in every).get(i, score)) < 1e-12 for _, score, i in mine)
+            hits += len({i for _, i in every} & {i for _, _, i in mine})
+            total += len(every)
+        assert hits / total >= least
+
+
+# op6
+
+
+def test_secrets(spark):
+    rng = random.Random(9)
+    key = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    rows, want = [], {}
+    for i in range(400):
+        text = sentence(rng, 30)
+        if i % 5 == 0:
+            secret = [f"AKIA{key(16, 'ABCDEFGHJKLMNPQRSTUVWXYZ234567')}", f"password={key(18, '0123456789abcdef')}", f'token = "{key(40, "0123456789abcdef")}"'][i // 5 % 3]
+            text += f" {secret} " + sentence(rng, 5)
+            want[i] = re.search(r"[A-Za-z0-9]{16,}", secret)[0]
+        if i % 7 == 0:
+            text += " " + "".join(rng.choice(WORDS) for _ in range(5))
+        rows.append((i, text, "en", "a", len(text)))
+    rows += [(1000, None, None, None, None), (1001, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    forest = secret_scan.fit(spark, *secret_scan.labelled_findings(docs))
+    got = {r["doc_id"]: r for r in secret_scan.scan(docs, forest).collect()}
+    texts = {r[0]: r[1] for r in rows}
+    assert len(got) == len(rows)
+    assert {i: [texts[i][a:b] for a, b in r["spans"]] for i, r in got.items() if r["n_secrets"]} == {i: [s] for i, s in want.items()}
+    clean = {r["doc_id"]: r for r in secret_scan.redacted(docs, forest).collect()}
+    assert all(clean[i]["text"] == texts[i].replace(s, "[SECRET]") and clean[i]["n_chars"] == len(clean[i]["text"]) for i, s in want.items())
+    assert all(clean[i]["text"] == t for i, t in texts.items() if i not in want)
+
+
+# op7
+
+
+def test_tool_calls(spark):
+    schemas = {"add": {"type": "object", "required": ["x"], "properties": {"x": {"type": "number"}, "y": {"type": "number"}}}}
+    ref = lambda i: json.dumps({"x": {"$result": i}})
+    rows = [
+        (1, 0, "message", None, "user", "hi"), (1, 1, "call", "c", "add", ref("b")), (1, 2, "call", "b", "add", ref("a")), (1, 3, "call", "a", "add", '{"y": 2.0, "x": 1}'),
+        (1, 4, "result", "a", "add", "3"), (1, 5, "result", "b", "add", "4"), (1, 6, "result", "zz", "add", "?"), (1, 7, "call", "a", "add", '{"x": 9}'),
+        (2, 0, "call", "p", "add", ref("q")), (2, 1, "call", "q", "add", ref("p")), (2, 2, "call", "r", "add", ref("p")), (2, 3, "result", "q", "add", "5"),
+        (3, 0, "call", "a", "add", "{broken"), (3, 1, "call", "b", "mul", "{}"), (3, 2, "call", "d", "add", '{"x": "1", "z": 2}'), (3, 3, "call", None, "add", None),
+        (None, None, None, None, None, None),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, kind string, event_id string, name string, body string")
+    out = chat.linked(frame, schemas)
+    assert out.count() == len(rows)
+    got = {(r["conv_id"], r["turn"]): r for r in out.collect()}
+    states = {k: r["state"] for k, r in got.items()}
+    assert states[1, 1] == states[1, 2] == "call" or states[1, 1] == "call without result"
+    assert states[1, 6] == "result without call" and states[1, 7] == "repeated call"
+    assert states[2, 0] == states[2, 1] == states[2, 2] == "cyclic call" and states[2, 3] == "result of cyclic call"
+    assert [got[1, t]["level"] for t in (3, 4, 2, 5, 1)] == [0, 1, 2, 3, 4]
+    assert json.loads(got[1, 3]["line"])["arguments"] == {"x": 1, "y": 2} and '"arguments":{"x":1,"y":2}' in got[1, 3]["line"]
+    assert got[3, 0]["errors"] == ["arguments are not JSON"] and got[3, 1]["errors"] == ["unknown tool"]
+    assert got[3, 2]["errors"] == [".z: unknown", ".x: not number"] and states[3, 3] == "call without id"
+    order = [(r["conv_id"], r["turn"]) for r in chat.ordered(out.where("conv_id = 1")).collect()]
+    assert order.index((1, 3)) < order.index((1, 2)) < order.index((1, 1))
+
+
+def test_plain_turns(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "qé"), (1, 2, "assistant", "a"), (1, 3, "user", None), (2, 0, "assistant", "x"), (3, None, None, None)]
+    out = chat.linked(chat.turns_as_calls(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")), chat.TURN_SCHEMAS).collect()
+    got = {(r["conv_id"], r["turn"]): r["state"] for r in out}
+    assert got == {(1, 0): "message", (1, 1): "call", (1, 2): "result", (1, 3): "call without result", (2, 0): "message", (3, None): "message"}
+    assert all(not r["errors"] for r in out)
+
+
+# op8
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1000, 4097])
+def test_permutation_is_a_bijection(n):
+    out = token_output.permuted(np.arange(n), n)
+    assert sorted(out.tolist()) == list(range(n))
+    assert np.array_equal(token_output.permuted(np.arange(n)[::-1], n), out[::-1])
+
+
+def test_files_round_trip(spark, docs, tmp_path):
+    records = token_output.layout(docs, stride=16, shard_records=50)
+    rows = sorted(records.collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    token_output.write_shards(records, str(tmp_path / "out"))
+    size = 16 * 2 + 1
+    for shard in {r["shard"] for r in rows}:
+        (file,) = (tmp_path / "out" / f"shard={shard}").glob("part-*")
+        data = file.read_bytes()
+        here = [r for r in rows if r["shard"] == shard]
+        assert len(data) == size * len(here)
+        assert all(data[r["byte_offset"] : r["byte_offset"] + size] == bytes(r["record"]) for r in here)
+    coder = bpe.encoder(bpe.vocabulary_path())
+    whole = collections.defaultdict(dict)
+    for r in rows:
+        ids = np.frombuffer(bytes(r["record"])[:-1], "<u2")[: r["n_tokens"]]
+        whole[r["doc_id"]].setdefault(r["seq_no"], ids)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] is not None}
+    for i, t in texts.items():
+        ids = np.concatenate([whole[i][k] for k in sorted(whole[i])])
+        assert ids[-1] == token_output.END_ID and coder.decode(ids[:-1].astype("<u4").tobytes()) == (t or "")
+
+
+# op9
+
+
+def test_bpe_against_the_library(docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    library.no_padding()
+    library.no_truncation()
+    coder = bpe.Encoder(bpe.vocabulary_path())
+    rng = random.Random(10)
+    alphabet = "aaeetth inon  \n\t\r\x0b\x1c\x85\xa0 　éßñ中文😀١²_'\"!.,0123456789ABC"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["a" * 3000, "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "<|endoftext", "it's we'll I'M", "́́ ‍"]
+    for t in texts:
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(t), "<u4").tolist() == ids, repr(t)
+        assert coder.decode(coder.encode(t)) == library.decode(ids, skip_special_tokens=False)
+    got = {(r["doc_id"], r["ids_sha256"]): r for r in bpe.round_trips(docs).collect()}
+    for r in docs.collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        row = got[r["doc_id"], hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()]
+        assert row["n_tokens"] == len(ids) and row["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
