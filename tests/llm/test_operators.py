@@ -160,6 +160,7 @@ def test_trie_is_a_distribution():
     v, u, w = rows.T.astype(np.int64)
     trie = elias_fano.Trie(v, u, w, count, q[w], 0.75)
     everything = np.arange(n_words)
+    assert np.array_equal(trie.own_log10(), trie.log10(v, u, w, np.log10(q[w])))
     for cv, cu in [(0, 0), (3, 2), (5, 5), (5, 29), (28, 1)]:  # seen, half seen and unseen contexts
         p = 10 ** trie.log10(np.full(n_words, cv), np.full(n_words, cu), everything, np.log10(q))
         assert abs(p.sum() - 1) < 2e-3
