@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_ROOTS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _application(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only in local mode."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only in local mode, where one process does everything, a temp folder stands in for it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="stallbook-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = _application(spark)
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="stallbook-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/stallbook/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/stallbook/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(_application(spark), []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
@@ -33,3 +47,14 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written; results read from them end with it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _WRITTEN.pop(_application(spark), [])
+    for name in paths:
+        path = hadoop.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

@@ -1,8 +1,8 @@
 """Exact order statistics and NTILE without a global sort.
 
 The rows at given ranks are found by selection: count rows per range, keep only the ranges
-that hold a wanted rank and order those. NTILE then needs no shuffle of the table at all,
-because the first row of each tile decides the tile of every row.
+that hold a wanted rank, cut those again while they are long, then order them. NTILE then needs
+no shuffle of the table at all, because the first row of each tile decides the tile of every row.
 """
 
 from __future__ import annotations
@@ -12,8 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from stallbook.functions.scalars import add, agg, text_literal
+from stallbook.operators import splits
 from stallbook.operators.splits import count_not_after, find_splits
 
+# A wanted range this many times longer than asked for is cut again.
+SLACK = 4
+
 
 def select_at_ranks(
     df: DataFrame,
@@ -22,52 +26,56 @@ def select_at_ranks(
     ranks_of: Callable[[str, int], list[int]],
     weight: str | None = None,
     rows_per_range: int | None = None,
-    totals: dict[str, int] | None = None,
 ) -> dict[str, dict[int, tuple]]:
     """For each group, the order key found at each wanted rank (1-based).
 
     ``df`` must give the same rows every time it is read and ``order`` must be unique within
     a group. A row counts ``weight`` times. Groups are few (metrics, columns), rows are not;
-    only per-range counts and the selected keys reach the driver. ``totals``, the rows of
-    each group, saves counting them when every weight is 1.
+    only per-range counts of one round and the selected keys reach the driver.
     """
-    full = [group, *order]
-    rows = df.selectExpr(*full, f"CAST({weight or 1} AS BIGINT) AS _w")
-    total_rows = sum(totals.values()) if totals else rows.count()
-    splits = find_splits(rows, full, total_rows, rows_per_range)
-    ranged = add(rows, _range=f"CAST({count_not_after(splits, rows, full)} AS INT)")
-    if totals and not splits:
-        sizes = [(name, 0, n) for name, n in totals.items()]
-    else:
-        sizes = [tuple(r) for r in agg(ranged, [group, "_range"], n="sum(_w)").collect()]
-
-    wanted: dict[tuple[str, int], dict[int, int]] = {}
-    for name in {s[0] for s in sizes}:
-        mine = sorted((range_id, n) for group_name, range_id, n in sizes if group_name == name)
-        todo = sorted(set(ranks_of(name, sum(n for _, n in mine))))
-        before = 0
-        for range_id, n in mine:
-            here = {k - before: k for k in todo if before < k <= before + n}
+    per_range = rows_per_range or splits.ROWS_PER_RANGE
+    rows = df.selectExpr(f"CAST({group} AS STRING) AS _slot", *order, f"CAST({weight or 1} AS BIGINT) AS _w")
+    full = ["_slot", *order]
+    left = rows.count()
+    # slot -> {rank inside the slot: (group, rank)}; the first round's ranks follow from its counts
+    wanted: dict[str, dict[int, tuple[str, int]]] | None = None
+    while True:
+        points = find_splits(rows, full, left, per_range)
+        ranged = add(rows, _range=f"CAST({count_not_after(points, rows, full)} AS INT)")
+        sizes = [tuple(r) for r in agg(ranged, ["_slot", "_range"], n="sum(_w)", rows="count(1)").collect()]
+        if wanted is None:
+            names = {s[0] for s in sizes}
+            totals = {name: sum(n for slot, _, n, _ in sizes if slot == name) for name in names}
+            wanted = {name: {k: (name, k) for k in ranks_of(name, totals[name])} for name in names}
+        inside: dict[tuple[str, int], dict[int, tuple[str, int]]] = {}
+        longest = kept_rows = 0
+        before: dict[str, int] = {}
+        for slot, range_id, n, count in sorted(sizes):
+            at = before.get(slot, 0)
+            here = {k - at: target for k, target in wanted.get(slot, {}).items() if at < k <= at + n}
+            before[slot] = at + n
             if here:
-                wanted[(name, range_id)] = here
-            before += n
-    if not wanted:
-        return {}
-
-    def place(name: str, range_id: int) -> str:
-        return f"{group} = {text_literal(name)} AND _range = {range_id}"
-
-    def holds(slot: tuple[str, int]) -> str:
-        inside = " OR ".join(f"(_upto >= {k} AND _upto - _w < {k})" for k in wanted[slot])
-        return f"({place(*slot)} AND ({inside}))"
-
-    kept = ranged.filter(" OR ".join(f"({place(*slot)})" for slot in wanted)) if splits else ranged
-    upto = f"sum(_w) OVER (PARTITION BY {group}, _range ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING)"
+                inside[slot, range_id] = here
+                longest, kept_rows = max(longest, count), kept_rows + count
+        if not inside:
+            return {}
+        kept = ranged.filter(" OR ".join(f"(_slot = {text_literal(slot)} AND _range = {range_id})" for slot, range_id in inside))
+        rows = kept.selectExpr("concat(_slot, '#', _range) AS _slot", *order, "_w")
+        wanted = {f"{slot}#{range_id}": here for (slot, range_id), here in inside.items()}
+        if longest <= SLACK * per_range or kept_rows >= left:
+            break
+        left = kept_rows
+
+    def holds(slot: str) -> str:
+        any_rank = " OR ".join(f"(_upto >= {k} AND _upto - _w < {k})" for k in wanted[slot])
+        return f"(_slot = {text_literal(slot)} AND ({any_rank}))"
+
+    upto = f"sum(_w) OVER (PARTITION BY _slot ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING)"
     found: dict[str, dict[int, tuple]] = {}
-    for r in add(kept, _upto=upto).filter(" OR ".join(holds(slot) for slot in wanted)).collect():
-        for local, rank in wanted[(r[group], r["_range"])].items():
+    for r in add(rows, _upto=upto).filter(" OR ".join(holds(slot) for slot in wanted)).collect():
+        for local, (name, rank) in wanted[r["_slot"]].items():
             if r["_upto"] - r["_w"] < local <= r["_upto"]:
-                found.setdefault(r[group], {})[rank] = tuple(r[c] for c in order)
+                found.setdefault(name, {})[rank] = tuple(r[c] for c in order)
     return found
 
 
@@ -91,14 +99,12 @@ def with_ntiles(
         for name, (value, _) in tiles.items()
     )
     long = df.selectExpr(f"inline(array({entries}))")
-    rows = df.count()
     starts = select_at_ranks(
         long,
         "_metric",
         ["_value", "_key"],
         lambda metric, n: tile_starts(n, tiles[metric][1]),
         rows_per_range=rows_per_range,
-        totals={name: rows for name in tiles},
     )
     made = {}
     for name, (value, _) in tiles.items():

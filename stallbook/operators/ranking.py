@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import json
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.functions.scalars import add, agg, text_literal
-from stallbook.operators.splits import count_not_after, find_splits
+from stallbook.functions.scalars import add, agg
+from stallbook.operators.materialize import materialize
+
+ROWS_PER_RANGE = 1_000_000
 
 
 def with_global_order(
@@ -22,62 +24,51 @@ def with_global_order(
 ) -> DataFrame:
     """Number a table along ``order`` (ascending, unique) without a single sorting task.
 
-    Each range is ordered on its own; what lies before it comes from per-range totals, which
-    are combined on the map side. ``rank`` ranks by the first order column only, ties sharing
-    a rank. ``running`` maps output names to the integer columns to accumulate. ``df`` must
-    give the same rows every time it is read.
+    The table is dealt out by ranges of ``order``, as many as its rows need, sorted inside them
+    and stored once with the range and the place in it. What lies before a range comes from
+    per-range totals, which are combined on the map side. ``rank`` ranks by the first order
+    column only, ties sharing a rank. ``running`` maps output names to the integer columns to
+    accumulate.
     """
     running = running or {}
     total = df.count() if rows is None else rows
-    splits = find_splits(df, order, total, rows_per_range)
-    ranged = add(df, _range=f"CAST({count_not_after(splits, df, order)} AS INT)")
+    ranges = max(1, math.ceil(total / (rows_per_range or ROWS_PER_RANGE)))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # The id holds the partition in its upper bits and the place in the partition in the lower 33.
+    numbered = dealt.withColumn("_at", F.monotonically_increasing_id())
+    placed = add(numbered, _range="CAST(shiftright(_at, 33) AS INT)", _row="(_at & 8589934591L) + 1").drop("_at")
+    placed = materialize(placed, "ranges")
 
-    inside = f"PARTITION BY _range ORDER BY {', '.join(order)}"
-    local = {f"_sum_{out}": f"sum({col}) OVER ({inside} ROWS UNBOUNDED PRECEDING)" for out, col in running.items()}
-    local["_row"] = f"row_number() OVER ({inside})"
+    local = {f"_sum_{out}": f"sum({col}) OVER (PARTITION BY _range ORDER BY _row ROWS UNBOUNDED PRECEDING)" for out, col in running.items()}
     if rank:
         local["_rank"] = f"rank() OVER (PARTITION BY _range ORDER BY {order[0]})"
-    placed = add(ranged, **local)
-
-    outputs = {out: f"_sum_{out}" for out in running}
+    placed = add(placed, **local) if local else placed
+    outputs = {out: f"_base_{out} + _sum_{out}" for out in running}
     if row_number:
-        outputs[row_number] = "CAST(_row AS BIGINT)"
+        outputs[row_number] = "CAST(_base + _row AS BIGINT)"
     if rank:
-        outputs[rank] = "CAST(_rank AS BIGINT)"
-    if splits:
-        placed = placed.join(F.broadcast(_offsets(ranged, order[0], splits, running)), "_range")
-        outputs = {out: f"_base_{out} + _sum_{out}" for out in running}
-        if row_number:
-            outputs[row_number] = "CAST(_base + _row AS BIGINT)"
-        if rank:
-            outputs[rank] = (
-                f"CAST(CASE WHEN _range > 0 AND {order[0]} <=> _start THEN _start_rank ELSE _base + _rank END AS BIGINT)"
-            )
-    return placed.selectExpr(*df.columns, *[f"{text} AS {out}" for out, text in outputs.items()])
+        continued = f"_before IS NOT NULL AND {order[0]} <=> _start"
+        outputs[rank] = f"CAST(CASE WHEN {continued} THEN _start_rank ELSE _base + _rank END AS BIGINT)"
+    joined = placed.join(_offsets(placed, order[0], running, bool(rank)), "_range")
+    return joined.selectExpr(*df.columns, *[f"{text} AS {out}" for out, text in outputs.items()])
 
 
-def _offsets(ranged: DataFrame, first: str, splits: list[tuple], running: dict[str, str]) -> DataFrame:
-    """One row per range: totals before it, and the rank of the value its lower edge sits on."""
-    edges = text_literal(json.dumps([key[0] for key in splits]))
-    edge = f"get(from_json({edges}, 'array<{ranged.schema[first].dataType.simpleString()}>'), _range)"
+def _offsets(placed: DataFrame, first: str, running: dict[str, str], ranked: bool) -> DataFrame:
+    """One row per range: totals before it, and the rank of the value that it starts with, if a range before ends with it."""
     sums = {f"_tot_{out}": f"sum({col})" for out, col in running.items()}
-    totals = agg(ranged, ["_range"], _n="count(1)", _at_edge=f"count_if({first} <=> {edge})", **sums)
-    # Every range gets a row, also one that came out empty, so that edges can be chained.
-    shell = ranged.sparkSession.range(len(splits) + 1).selectExpr("CAST(id AS INT) AS _range")
+    # The largest rank inside a range is the place of its last value's first row.
+    last = {"_last": f"max({first})", "_last_at": "max(_rank)"} if ranked else {}
+    totals = agg(placed, ["_range"], _n="count(1)", **sums, **last)
     before = "OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    chained = shell.join(totals, "_range", "left").selectExpr(
-        "_range",
-        f"{edge} AS _edge",
-        "coalesce(_n, 0) AS _n",
-        "coalesce(_at_edge, 0) AS _at_edge",
-        f"coalesce(sum(_n) {before}, 0) AS _base",
-        *[f"coalesce(sum(_tot_{out}) {before}, 0) AS _base_{out}" for out in running],
-    )
-    ranked = add(chained, _edge_rank="min(_base + _n - _at_edge + 1) OVER (PARTITION BY _edge)")
-    return ranked.selectExpr(
+    bases = {"_base": f"coalesce(sum(_n) {before}, 0)", **{f"_base_{out}": f"coalesce(sum(_tot_{out}) {before}, 0)" for out in running}}
+    chained = add(totals, **bases)
+    if not ranked:
+        return chained.select("_range", *bases)
+    edged = add(chained, _edge_rank="min(_base + _last_at) OVER (PARTITION BY _last)")
+    return edged.selectExpr(
         "_range",
-        "_base",
-        "lag(_edge) OVER (ORDER BY _range) AS _start",
+        *bases,
+        "lag(_range) OVER (ORDER BY _range) AS _before",
+        "lag(_last) OVER (ORDER BY _range) AS _start",
         "lag(_edge_rank) OVER (ORDER BY _range) AS _start_rank",
-        *[f"_base_{out}" for out in running],
     )

@@ -2,7 +2,9 @@
 
 A sample of order keys is sorted and thinned to a few thousand split points. The points are
 frozen into the plan as a literal, so the range of a row depends on that row alone: any
-sample gives exact results downstream and a retried task computes the same ranges.
+sample gives exact results downstream and a retried task computes the same ranges. Selection
+cuts again inside the ranges it wants for as long as they are too long, so the number of points
+is the fan-out of one round, not a bound on the ranges of a table.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 from stallbook.functions.scalars import text_literal
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 4096
+FAN_OUT = 4096
 SAMPLES_PER_RANGE = 24
 
 
@@ -29,9 +31,9 @@ def _key_type(df: DataFrame, order: list[str]) -> str:
 
 
 def find_splits(df: DataFrame, order: list[str], rows: int, rows_per_range: int | None = None) -> list[tuple]:
-    """At most ``MAX_RANGES - 1`` ascending, distinct keys; empty when one range is enough."""
+    """At most ``FAN_OUT - 1`` ascending, distinct keys; empty when one range is enough."""
     per_range = rows_per_range or ROWS_PER_RANGE
-    ranges = min(MAX_RANGES, math.ceil(rows / per_range))
+    ranges = min(FAN_OUT, math.ceil(rows / per_range))
     if ranges <= 1:
         return []
     fraction = min(1.0, SAMPLES_PER_RANGE * ranges / rows)
