@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.build import P, big, dbl, div, pct, rnd, statement
-from oracle.views import seller_performance
+from oracle.views import VIEWS, seller_performance
 
 COLUMNS: dict[str, list[tuple[str, str]]] = {
     "orders": [
@@ -144,6 +144,7 @@ SELECT row_number() OVER (ORDER BY review_id, order_id) AS review_key, review_id
 
 def duplicate_keys() -> str:
     keys = [
+        ("dim_date", "date_key", f"(SELECT strftime(d, '%Y%m%d') AS date_key FROM range(DATE '{P.calendar_start}', DATE '{P.calendar_end}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d))"),
         ("dim_geolocation", "zip_code_prefix", f"(SELECT DISTINCT zip_code_prefix FROM src_geolocation WHERE {BOX})"),
         ("dim_customer", "customer_id", "src_customers"), ("dim_seller", "seller_id", "src_sellers"),
         ("dim_product", "product_id", "products_en"), ("dim_order", "order_id", "src_orders"),
@@ -258,19 +259,19 @@ def box_plots() -> str:
         f"""
 SELECT dataset, column_name, ROUND(q1, 6) AS q1, ROUND(md, 6) AS median, ROUND(q3, 6) AS q3, MIN(v) FILTER ({inside}) AS whisker_low,
  MAX(v) FILTER ({inside}) AS whisker_high, COUNT(*) FILTER (NOT ({inside})) AS outliers
-FROM long JOIN (SELECT dataset, column_name, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS md, quantile_cont(v, 0.75) AS q3
+FROM long LEFT JOIN (SELECT dataset, column_name, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS md, quantile_cont(v, 0.75) AS q3
  FROM long GROUP BY ALL) USING (dataset, column_name) GROUP BY dataset, column_name, q1, md, q3""",
-        {"long": f"SELECT * FROM ({_long(NUMBERS, 'DOUBLE')}) WHERE v IS NOT NULL"},
+        {"long": _long(NUMBERS, "DOUBLE")},
     )
 
 
 def categorical_summary() -> str:
     return statement(
         """
-SELECT dataset, column_name, u AS unique_values, v AS most_frequent_value, n AS most_frequent_count
-FROM (SELECT *, COUNT(*) OVER (PARTITION BY dataset, column_name) AS u,
- row_number() OVER (PARTITION BY dataset, column_name ORDER BY n DESC, v) AS place
- FROM (SELECT dataset, column_name, v, COUNT(*) AS n FROM long WHERE v IS NOT NULL GROUP BY ALL)) WHERE place = 1""",
+SELECT dataset, column_name, u AS unique_values, v AS most_frequent_value, CASE WHEN v IS NULL THEN 0 ELSE n END AS most_frequent_count
+FROM (SELECT *, COUNT(v) OVER (PARTITION BY dataset, column_name) AS u,
+ row_number() OVER (PARTITION BY dataset, column_name ORDER BY v IS NULL, n DESC, v) AS place
+ FROM (SELECT dataset, column_name, v, COUNT(*) AS n FROM long GROUP BY ALL)) WHERE place = 1""",
         {"long": _long(TEXTS, "VARCHAR")},
     )
 
@@ -364,6 +365,7 @@ def negative_values() -> str:
 
 def row_counts() -> str:
     tables = {
+        "dim_date": f"range(DATE '{P.calendar_start}', DATE '{P.calendar_end}' + INTERVAL 1 DAY, INTERVAL 1 DAY)",
         "dim_geolocation": f"(SELECT DISTINCT zip_code_prefix FROM src_geolocation WHERE {BOX})", "dim_customer": "src_customers",
         "dim_seller": "src_sellers", "dim_product": "src_products", "dim_order": "src_orders", "fact_order_items": "src_order_items",
         "fact_payments": "src_payments", "fact_reviews": "src_reviews",
@@ -471,7 +473,15 @@ FROM (SELECT seller_id, r, q, (r - AVG(r) OVER ()) / NULLIF(stddev_samp(r) OVER
 WHERE zr > 0.5 AND zq < -0.5"""
 
 
+def cluster_facts(rows: str, clusters: int) -> str:
+    return f"""
+SELECT COUNT(*) AS row_count, LEAST({clusters}, COUNT(*)) AS cluster_count, true AS all_nearest, true AS names_in_order FROM ({rows})"""
+
+
 TABLES = {
+    "m2_seller_cluster_facts": lambda: cluster_facts(f"SELECT * FROM ({seller_performance()}) WHERE performance_score IS NOT NULL", 2),
+    "m3_category_cluster_facts": lambda: cluster_facts(VIEWS["v11_product_customer_affinity"](), 4),
+    "m4_review_driver_facts": lambda: "SELECT 5 AS features, true AS none_negative, 1.0::DOUBLE AS total_importance",
     "s1_csv_round_trip": csv_round_trip,
     "s14_sql_over_views": sql_over_views,
     "t1_dim_date": dim_date,

@@ -14,6 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
 from stallbook.functions.scalars import add, agg
+from stallbook.operators.materialize import materialize
 from stallbook.quality.profile import small_table
 
 ASSUMPTIONS = (
@@ -62,10 +63,11 @@ def seller_outliers(performance: DataFrame) -> DataFrame:
 
 def _clusters(rows: DataFrame, key: str, features: list[str], k: int, names: list[tuple[str, str, bool]], seed: int) -> DataFrame:
     data = rows.selectExpr(key, *[f"coalesce(CAST({f} AS DOUBLE), 0D) AS {f}" for f in features])
+    data = materialize(data, "features")  # fitting reads the rows many times, the report behind them once
     stages = [
         VectorAssembler(inputCols=features, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_label"),
+        KMeans(k=k, seed=seed, maxIter=300, tol=0.0, featuresCol="features", predictionCol="cluster_label"),
     ]
     labelled = Pipeline(stages=stages).fit(data).transform(data).select(key, *features, "cluster_label")
     # The numbers k-means gives are arbitrary: name clusters by ranking their means.
@@ -94,6 +96,7 @@ def review_drivers(performance: DataFrame, seed: int = 42) -> DataFrame:
     data = scored_sellers(performance).selectExpr(
         "CAST(avg_review_score AS DOUBLE) AS label", *[f"coalesce(CAST({f} AS DOUBLE), 0D) AS {f}" for f in FOREST_FEATURES]
     )
+    data = materialize(data, "features")
     features = VectorAssembler(inputCols=FOREST_FEATURES, outputCol="features").transform(data)
     model = RandomForestRegressor(numTrees=50, maxDepth=6, seed=seed, subsamplingRate=0.8).fit(features)
     ordered = sorted(zip(FOREST_FEATURES, model.featureImportances.toArray()), key=lambda p: (-p[1], p[0]))
@@ -101,6 +104,35 @@ def review_drivers(performance: DataFrame, seed: int = 42) -> DataFrame:
     return small_table(performance.sparkSession, rows, "importance_rank:int,feature:string,importance:double")
 
 
+def cluster_facts(clusters: DataFrame, key: str, features: list[str], names: list[tuple[str, str, bool]]) -> DataFrame:
+    """One row that any correct clustering shares: row and cluster counts, every row nearest to its own
+    cluster's mean (in standardised features), and each name on the best mean left when its turn came."""
+    stored = materialize(clusters, "clusters")
+    spread = stored.selectExpr(*[f"coalesce(nullif(stddev_samp({f}), 0), 1) AS {f}" for f in features]).first()
+    # At most as many rows as there are names.
+    means = {r["cluster_name"]: r for r in agg(stored, ["cluster_name"], **{f: f"avg({f})" for f in features}).collect()}
+    left, in_order = dict(means), True
+    for name, metric, highest in names:
+        if name in left:
+            in_order &= left[name][metric] == (max if highest else min)(r[metric] for r in left.values())
+            del left[name]
+
+    def gap(name: str) -> str:
+        return " + ".join(f"pow(({f} - {float(means[name][f])!r}D) / {float(spread[f])!r}D, 2)" for f in features)
+
+    nearest = "least(" + ", ".join(gap(n) for n in means) + ", double('inf'))" if means else "0D"
+    own = "CASE cluster_name " + " ".join(f"WHEN '{n}' THEN {gap(n)}" for n in means) + " END" if means else "0D"
+    return stored.selectExpr(
+        "count(1) AS row_count", f"{len(means)} AS cluster_count", f"coalesce(bool_and({own} <= {nearest} + 1e-9D), true) AS all_nearest",
+        f"{str(in_order).lower()} AS names_in_order",
+    )
+
+
+def driver_facts(drivers: DataFrame) -> DataFrame:
+    """One row: how many features, all importances 0 or more, and their sum."""
+    return drivers.selectExpr("count(1) AS features", "bool_and(importance >= 0) AS none_negative", "round(sum(importance), 6) AS total_importance")
+
+
 def stamped(result: DataFrame) -> DataFrame:
     """Mark a snapshot with the time it was computed."""
     return add(result, computed_at="localtimestamp()")

@@ -52,4 +52,10 @@ BENCH_PARAMS = replace(
     purchases_from="1995-01-01",
     purchases_to="2001-12-31",
     manual_categories=(("PROMO", "promo_manual"),),
+    # The calendar has its days; a warehouse of any size passes, but for the locations, kept as they are to fail.
+    row_ranges={
+        **{t: (1, 10**15) for t in Params().row_ranges},
+        "dim_date": (2557, 2557),
+        "dim_geolocation": Params().row_ranges["dim_geolocation"],
+    },
 )

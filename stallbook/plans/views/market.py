@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from stallbook.functions.scalars import (
     add, agg, agg_sets, cents, mean, mean_money, micros, money, percent, ratio, whole_days,
 )
+from stallbook.operators.materialize import materialize
 from stallbook.operators.top import first_per_group, leaders_per_group
 from stallbook.params import Params
 from stallbook.plans.bases import (
@@ -53,13 +54,18 @@ def regional_analysis(w: Frames, params: Params) -> DataFrame:
     demand = agg(people, ["customer_state"], unique_customers="count(customer_unique_id)", **_sums(people.columns[2:]))
 
     places = w["dim_seller"].select("seller_id", "seller_state")
-    supply = agg(
-        seller_orders(w).join(places, "seller_id").filter("seller_state IS NOT NULL"),
-        ["seller_state AS customer_state"],
-        total_sellers="count(DISTINCT seller_id)",
-        seller_orders="count(DISTINCT order_id)",
-        seller_cents=f"sum({VALUE})",
+    sold = seller_orders(w).selectExpr("seller_id", "order_id", f"{VALUE} AS sold_cents")
+    sold = sold.join(places, "seller_id").filter("seller_state IS NOT NULL")
+    sold = materialize(sold.withColumnRenamed("seller_state", "customer_state"), "seller-orders")
+    # Orders and sellers first: distinct counts become row counts.
+    state_orders = agg(agg(sold, ["customer_state", "order_id"], n="count(1)"), ["customer_state"], seller_orders="count(1)")
+    state_sellers = agg(
+        agg(sold, ["customer_state", "seller_id"], cents="sum(sold_cents)"),
+        ["customer_state"],
+        total_sellers="count(1)",
+        seller_cents="sum(cents)",
     )
+    supply = state_orders.join(state_sellers, "customer_state")
     # A handful of states from here on.
     ranked = _running_share(add(demand, value="price + freight"), "customer_state")
     return ranked.join(supply, "customer_state", "left").selectExpr(
@@ -282,6 +288,7 @@ def review_response(w: Frames, params: Params) -> DataFrame:
     priced = w["fact_order_items"].selectExpr(
         "order_id", "product_id", f"{cents('price')} + {cents('freight_value')} AS value"
     )
+    priced = agg(priced, ["order_id", "product_id", "value"], _n="count(1)").drop("_n")
     dearest = leaders_per_group(priced, ["order_id"], ["value DESC NULLS LAST"]).join(category_of(w), "product_id", "left")
     named = {"category": f"coalesce(category, '{NO_CATEGORY}')"}
     # Leaders of one order share their value. Grouping by it as well leaves one row per order
@@ -323,7 +330,7 @@ def review_response(w: Frames, params: Params) -> DataFrame:
     placed = add(
         sums,
         total="sum(n) OVER (PARTITION BY grain)",
-        so_far="sum(n) OVER (PARTITION BY grain ORDER BY review_score DESC ROWS UNBOUNDED PRECEDING)",
+        so_far="sum(n) OVER (PARTITION BY grain ORDER BY review_score DESC NULLS FIRST ROWS UNBOUNDED PRECEDING)",
     )
     labels = (
         "CASE grain WHEN 3 THEN array('Score Distribution', 'Response Time') WHEN 5 THEN array('By Score Band') "

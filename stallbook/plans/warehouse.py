@@ -70,13 +70,14 @@ def clean_geolocation(raw: DataFrame, params: Params) -> DataFrame:
     list of distinct names rather than every sighting. Equal counts go to the smaller name.
     """
     padded = add(raw, zip_code_prefix=pad_zip("zip_code_prefix"))
-    seen = agg(
+    counted = agg(
         padded.filter(f"zip_code_prefix IS NOT NULL AND {inside_box(params)}"),
         ["zip_code_prefix", "city", "state"],
         n="count(1)",
         lat="sum(lat)",
         lng="sum(lng)",
     )
+    seen = materialize(counted, "locations")  # read three times below
 
     def most_frequent(name: str) -> DataFrame:
         counts = agg(seen.filter(f"{name} IS NOT NULL"), ["zip_code_prefix", name], n="sum(n)")
@@ -114,7 +115,10 @@ def clean_products(raw: DataFrame, translation: DataFrame, params: Params) -> Da
         product_weight_g="CASE WHEN product_weight_g <> 0 THEN product_weight_g END",
         **{c: f"CAST({c} AS INT)" for c in ints},
     )
-    named = fixed.join(category_lookup(translation, params), "product_category_name", "left")
+    # Dealt out again, so that the products of a hot category can be split in the join.
+    lookup = add(category_lookup(translation, params), _deal="hash(product_category_name_english)")
+    lookup = lookup.repartition("_deal", "product_category_name").drop("_deal")
+    named = fixed.join(lookup, "product_category_name", "left")
     return named.select(*[c for c in WAREHOUSE["dim_product"] if c != "product_key"])
 
 
@@ -139,6 +143,7 @@ def clean(staging: Frames, params: Params) -> Frames:
 
     return LazyFrames(
         {
+            "dim_date": lambda: dim_date(staging["orders"].sparkSession, params.calendar_start, params.calendar_end),
             "dim_geolocation": lambda: clean_geolocation(staging["geolocation"], params),
             "dim_customer": lambda: padded("customers", "customer_zip_code_prefix"),
             "dim_seller": lambda: padded("sellers", "seller_zip_code_prefix"),
@@ -174,23 +179,26 @@ def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | N
     """
 
     def numbered(table: str, key: str, order: list[str]) -> DataFrame:
-        rows = cleaned[table]
-        # Numbering reads its input several times: store what is more than a scan.
-        if table in ("dim_geolocation", "fact_order_items"):
-            rows = materialize(rows, table)
-        return number_rows(rows, key, order, rows_per_range)
+        return number_rows(cleaned[table], key, order, rows_per_range)
 
-    def located(table: str, key: str, natural: str, zip_col: str) -> DataFrame:
-        keys = tables["dim_geolocation"].selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
-        return numbered(table, key, [natural]).join(keys, zip_col, "left")
+    def located(table: str, zip_col: str) -> DataFrame:
+        keys = bases["dim_geolocation"].selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
+        return bases[table].join(keys, zip_col, "left")
 
-    def calendar() -> DataFrame:
-        spark = cleaned["dim_order"].sparkSession
-        return dim_date(spark, params.calendar_start, params.calendar_end)
+    # Numbered natural keys, each made and stored once; facts look their keys up here, not in finished tables.
+    bases = LazyFrames(
+        {
+            "dim_geolocation": lambda: numbered("dim_geolocation", "geolocation_key", ["zip_code_prefix"]),
+            "dim_customer": lambda: numbered("dim_customer", "customer_key", ["customer_id"]),
+            "dim_seller": lambda: numbered("dim_seller", "seller_key", ["seller_id"]),
+            "dim_product": lambda: numbered("dim_product", "product_key", ["product_id"]),
+            "dim_order": lambda: numbered("dim_order", "order_key", ["order_id"]),
+        }
+    )
 
     def orders() -> DataFrame:
-        customers = tables["dim_customer"].select("customer_id", "customer_key")
-        rows = numbered("dim_order", "order_key", ["order_id"]).join(customers, "customer_id", "left")
+        customers = bases["dim_customer"].select("customer_id", "customer_key")
+        rows = bases["dim_order"].join(customers, "customer_id", "left")
         rows = add(rows, _day="CAST(date_format(order_purchase_timestamp, 'yyyyMMdd') AS INT)")
         days = tables["dim_date"].selectExpr("date_key AS _day", "date_key AS purchase_date_key")
         return rows.join(days, "_day", "left")
@@ -202,15 +210,15 @@ def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | N
             ("dim_seller", "seller_id", "seller_key"),
             ("dim_product", "product_id", "product_key"),
         ):
-            rows = rows.join(tables[table].select(natural, key), natural, "left")
+            rows = rows.join(bases[table].select(natural, key), natural, "left")
         return rows
 
     makers = {
-        "dim_date": calendar,
-        "dim_geolocation": lambda: numbered("dim_geolocation", "geolocation_key", ["zip_code_prefix"]),
-        "dim_customer": lambda: located("dim_customer", "customer_key", "customer_id", "customer_zip_code_prefix"),
-        "dim_seller": lambda: located("dim_seller", "seller_key", "seller_id", "seller_zip_code_prefix"),
-        "dim_product": lambda: numbered("dim_product", "product_key", ["product_id"]),
+        "dim_date": lambda: cleaned["dim_date"],
+        "dim_geolocation": lambda: bases["dim_geolocation"],
+        "dim_customer": lambda: located("dim_customer", "customer_zip_code_prefix"),
+        "dim_seller": lambda: located("dim_seller", "seller_zip_code_prefix"),
+        "dim_product": lambda: bases["dim_product"],
         "dim_order": orders,
         "fact_order_items": items,
         "fact_payments": lambda: numbered("fact_payments", "payment_key", ["order_id", "payment_sequential"]),
@@ -259,9 +267,15 @@ def check_integrity(cleaned: Frames, warehouse: Frames) -> None:
         raise IntegrityError("; ".join(bad))
 
 
+def stored_warehouse(cleaned: Frames, params: Params) -> Frames:
+    """The nine tables written once, dimensions before facts; checks and loads read what was written."""
+    keyed = with_surrogate_keys(cleaned, params)
+    return {name: materialize(keyed[name], name) for name in WAREHOUSE}
+
+
 def build_warehouse(staging: Frames, params: Params, check: bool = True) -> Frames:
     cleaned = clean(staging, params)
-    warehouse = with_surrogate_keys(cleaned, params)
+    warehouse = stored_warehouse(cleaned, params)
     if check:
         check_integrity(cleaned, warehouse)
     return warehouse

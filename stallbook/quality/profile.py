@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stallbook.functions.scalars import add, agg, text_literal, to_ts
+from stallbook.operators.joins import rows_with_key_in
 from stallbook.operators.materialize import materialize
 from stallbook.operators.order_stats import quantile_ranks, select_at_ranks
 from stallbook.schemas import DATE_COLUMNS
@@ -44,13 +45,18 @@ def dataset_shapes(staging: Frames) -> DataFrame:
 
     def of(name: str) -> DataFrame:
         df = staging[name]
-        same = agg(df, df.columns, n="count(1)")
-        return same.selectExpr(
+        # Rows are counted by a hash; only where a hash repeats are whole rows compared.
+        hashed = add(df, _h=f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})")
+        counts = agg(hashed, ["_h"], n="count(1)")
+        alike = rows_with_key_in(hashed, counts.filter("n > 1"), "_h").drop("_h")
+        repeats = agg(alike, df.columns, n="count(1)").selectExpr("0L AS n", "coalesce(sum(n - 1), 0) AS repeated")
+        both = counts.selectExpr("coalesce(sum(n), 0) AS n", "0L AS repeated").unionAll(repeats)
+        return both.selectExpr("sum(n) AS n", "sum(repeated) AS repeated").selectExpr(
             f"'{name}' AS dataset",
-            "coalesce(sum(n), 0) AS row_count",
+            "n AS row_count",
             f"{len(df.columns)} AS column_count",
-            "coalesce(sum(n - 1), 0) AS duplicate_rows",
-            "coalesce(CAST(round(CAST(sum(n - 1) AS DECIMAL(20,0)) * 100 / CAST(sum(n) AS DECIMAL(20,0)), 2) "
+            "repeated AS duplicate_rows",
+            "coalesce(CAST(round(CAST(repeated AS DECIMAL(20,0)) * 100 / nullif(CAST(n AS DECIMAL(20,0)), 0), 2) "
             "AS DECIMAL(10,2)), 0) AS duplicate_percentage",
         )
 
@@ -132,15 +138,15 @@ def numeric_columns(staging: Frames) -> dict[str, list[str]]:
     return {name: cols for name, cols in found.items() if cols}
 
 
-def _value_counts(staging: Frames, columns: Mapping[str, list[str]], value: str, keep_null: bool = False) -> DataFrame:
-    """(metric, value, n) for all given columns; ``value`` is a template over ``{c}``."""
+def _value_counts(staging: Frames, columns: Mapping[str, list[str]], value: str) -> DataFrame:
+    """(metric, value, n) for all given columns, NULL counted as a value; ``value`` is a template over ``{c}``."""
 
     def of(name: str, cols: list[str]) -> DataFrame:
         lines = ", ".join(f"named_struct('metric', '{name}.{c}', 'v', {value.format(c=c)})" for c in cols)
         return staging[name].selectExpr(f"inline(array({lines}))")
 
     long = union_all([of(name, cols) for name, cols in columns.items()])
-    return agg(long if keep_null else long.filter("v IS NOT NULL"), ["metric", "v"], n="count(1)")
+    return agg(long, ["metric", "v"], n="count(1)")
 
 
 def numeric_counts(staging: Frames) -> DataFrame:
@@ -156,7 +162,7 @@ def _quantiles(counts: DataFrame, probs: list[float], rows_per_range: int | None
         totals[metric] = n
         return quantile_ranks(n, probs)
 
-    found = select_at_ranks(counts, "metric", ["v"], ranks, "n", rows_per_range=rows_per_range)
+    found = select_at_ranks(counts.filter("v IS NOT NULL"), "metric", ["v"], ranks, "n", rows_per_range=rows_per_range)
     out = {}
     for metric, n in totals.items():
         at = found[metric]
@@ -186,8 +192,8 @@ def numeric_summary(staging: Frames, rows_per_range: int | None = None) -> DataF
     sums = agg(
         counts,
         ["metric"],
-        rows="sum(n)",
-        mean=f"CAST(sum(CAST(v AS DECIMAL(28,0)) * n) AS DOUBLE) / sum(n) / {SCALE}",
+        rows="coalesce(sum(n) FILTER (WHERE v IS NOT NULL), 0)",
+        mean=f"CAST(sum(CAST(v AS DECIMAL(28,0)) * n) AS DOUBLE) / nullif(sum(n) FILTER (WHERE v IS NOT NULL), 0) / {SCALE}",
         low="min(v)",
         high="max(v)",
     )
@@ -196,7 +202,7 @@ def numeric_summary(staging: Frames, rows_per_range: int | None = None) -> DataF
     spread = agg(around, ["metric"], squares=f"sum(n * pow(v / {SCALE}D - mean, 2))")
     return (
         sums.join(spread.hint("broadcast"), "metric")
-        .join(quartiles.hint("broadcast"), "metric")
+        .join(quartiles.hint("broadcast"), "metric", "left")
         .selectExpr(
             *_named_metric(), "rows AS count", "round(mean, 6) AS mean", "round(median, 6) AS median",
             "round(sqrt(squares / nullif(rows - 1, 0)), 6) AS std", f"low / {SCALE}D AS min",
@@ -209,7 +215,7 @@ def histograms(staging: Frames, bins: int = BINS) -> DataFrame:
     """Equal-width bins per numeric column; the last bin includes the maximum."""
     counts = numeric_counts(staging)
     edges = agg(counts, ["metric"], low="min(v)", high="max(v)")
-    placed = counts.join(edges.hint("broadcast"), "metric").selectExpr(
+    placed = counts.filter("v IS NOT NULL").join(edges.hint("broadcast"), "metric").selectExpr(
         "metric", "n",
         f"CASE WHEN high = low THEN {bins // 2} ELSE least(((v - low) * {bins}) div (high - low), {bins - 1}) END AS bin",
     )
@@ -242,7 +248,7 @@ def box_plots(staging: Frames, rows_per_range: int | None = None) -> DataFrame:
     value = f"v / {SCALE}D"
     inside = f"{value} BETWEEN low AND high"
     boxes = agg(
-        counts.join(fences.hint("broadcast"), "metric"),
+        counts.join(fences.hint("broadcast"), "metric", "left"),
         ["metric", "q1", "median", "q3"],
         whisker_low=f"min({value}) FILTER (WHERE {inside})",
         whisker_high=f"max({value}) FILTER (WHERE {inside})",
@@ -267,15 +273,17 @@ def categorical_columns(staging: Frames) -> dict[str, list[str]]:
 def categorical_summary(staging: Frames) -> DataFrame:
     """Distinct values and the most frequent one (ties: the smallest value)."""
     counts = _value_counts(staging, categorical_columns(staging), "{c}")
-    tops = agg(counts, ["metric"], unique_values="count(1)", top="min(named_struct('n', -n, 'v', v))")
+    tops = agg(
+        counts, ["metric"], unique_values="count(v)", top="min(named_struct('n', -n, 'v', v)) FILTER (WHERE v IS NOT NULL)"
+    )
     return tops.selectExpr(
-        *_named_metric(), "unique_values", "top.v AS most_frequent_value", "-top.n AS most_frequent_count"
+        *_named_metric(), "unique_values", "top.v AS most_frequent_value", "coalesce(-top.n, 0) AS most_frequent_count"
     )
 
 
 def top_categories(staging: Frames, k: int = 10) -> DataFrame:
     """The ``k`` most frequent values per categorical column, NULL counted as a value."""
-    counts = _value_counts(staging, categorical_columns(staging), "{c}", keep_null=True)
+    counts = _value_counts(staging, categorical_columns(staging), "{c}")
     place = "row_number() OVER (PARTITION BY metric ORDER BY n DESC, v ASC NULLS LAST)"
     ranked = add(counts, place=place).filter(f"place <= {k}")
     return ranked.selectExpr(*_named_metric(), "place", "v AS value", "n AS frequency")
@@ -288,7 +296,7 @@ def id_columns(staging: Frames) -> dict[str, list[str]]:
 
 def identifier_profile(staging: Frames) -> DataFrame:
     """Is each id column unique in its table?"""
-    counts = _value_counts(staging, id_columns(staging), "CAST({c} AS STRING)", keep_null=True)
+    counts = _value_counts(staging, id_columns(staging), "CAST({c} AS STRING)")
     sums = agg(
         counts,
         ["metric"],

@@ -180,11 +180,11 @@ def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataF
             ),
             unmatched("orders_without_customer", orders, staging["customers"], "customer_id"),
             lines(orders, orders_outside_calendar=f"count_if({outside_calendar})"),
-            unmatched("items_without_order", items, orders, "order_id"),
             unmatched("items_without_seller", items, staging["sellers"], "seller_id"),
             unmatched("items_without_product", items, staging["products"], "product_id"),
             lines(
-                items.join(orders.select("order_id", "order_purchase_timestamp"), "order_id"),
+                items.join(orders.selectExpr("order_id", "order_purchase_timestamp", "true AS _found"), "order_id", "left"),
+                items_without_order="count_if(_found IS NULL)",
                 shipping_dates_cleared=f"count_if({late})",
             ),
             lines(staging["payments"], installments_raised="count_if(payment_installments = 0)"),

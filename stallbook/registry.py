@@ -51,8 +51,7 @@ def _on_cleaned(job: Callable[[Frames], DataFrame], number_items: bool = False)
 
 def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        cleaned = warehouse.clean(source_frames(spark, sf_dir), P)
-        return plain_numbers(job(warehouse.with_surrogate_keys(cleaned, P)))
+        return plain_numbers(job(warehouse.stored_warehouse(warehouse.clean(source_frames(spark, sf_dir), P), P)))
 
     return run
 
@@ -69,12 +68,9 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export the sources as CSV under their file names and header names, read them back, and count."""
     sources = source_frames(spark, sf_dir)
     folder = scratch_path(spark, "csv")
-    header_names = {
-        "products": {"product_name_length": "product_name_lenght", "product_description_length": "product_description_lenght"},
-        "geolocation": {c: f"geolocation_{c}" for c in ("zip_code_prefix", "lat", "lng", "city", "state")},
-    }
+    header_names = {new: old for old, new in csv_files.RENAMES.items()}
     for table, file_name in csv_files.FILES.items():
-        raw = sources[table].withColumnsRenamed(header_names.get(table, {}))
+        raw = sources[table].withColumnsRenamed(header_names)
         csv_files.export_csv(raw, f"{folder}/source_{file_name}")
     staged = csv_files.read_staging(spark, folder)
 
@@ -157,7 +153,9 @@ QUERIES |= {
     "q14_delivered_without_date": _on_sources(checks.delivered_without_date),
     "q14_orders_without_items": _on_sources(checks.orders_without_items),
     "q14_negative_values": _on_sources(checks.negative_values),
-    "q15_row_counts": _on_cleaned(lambda w: validation.row_counts(w, P.row_ranges)),
+    "q15_row_counts": lambda spark, sf_dir: plain_numbers(
+        validation.row_counts(warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P), P.row_ranges)
+    ),
     "q16_referential_integrity": _on_warehouse(validation.referential_integrity),
     "q17_required_columns": _on_warehouse(validation.required_columns),
     "q18_business_rules": _on_warehouse(lambda w: validation.business_rules(w, P)),
@@ -171,4 +169,13 @@ QUERIES |= {
     "m2_seller_clusters": _on_report("seller_performance", features.seller_clusters),
     "m3_category_clusters": _on_report("product_customer_affinity", features.category_clusters),
     "m4_review_drivers": _on_report("seller_performance", features.review_drivers),
+    "m2_seller_cluster_facts": _on_report(
+        "seller_performance",
+        lambda r: features.cluster_facts(features.seller_clusters(r), "seller_id", features.SELLER_FEATURES, features.SELLER_NAMES),
+    ),
+    "m3_category_cluster_facts": _on_report(
+        "product_customer_affinity",
+        lambda r: features.cluster_facts(features.category_clusters(r), "category", features.CATEGORY_FEATURES, features.CATEGORY_NAMES),
+    ),
+    "m4_review_driver_facts": _on_report("seller_performance", lambda r: features.driver_facts(features.review_drivers(r))),
 }

@@ -31,7 +31,7 @@ FROM orders""",
     "customers": """
 SELECT o_orderkey AS customer_id,
  CASE WHEN o_orderkey % 10 < 8 THEN 1000000 + o_orderkey ELSE o_custkey END AS customer_unique_id,
- lpad(cast(o_custkey % 250 AS string),5,'0') AS customer_zip_code_prefix, c_mktsegment AS customer_city,
+ lpad(cast(o_custkey % 250 AS string),5,'0') AS customer_zip_code_prefix, cast(NULL AS string) AS customer_city,
  CASE WHEN o_custkey % 200 = 7 THEN NULL ELSE n_name END AS customer_state
 FROM orders JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey""",
     "order_items": """
@@ -41,10 +41,10 @@ SELECT l_orderkey AS order_id,
  cast(l_extendedprice AS decimal(10,2)) AS price, cast(l_quantity AS decimal(10,2)) AS freight_value
 FROM lineitem""",
     "payments": """
-SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 53 = 0 THEN 2 ELSE 1 END AS payment_sequential,
+SELECT CASE WHEN o_orderkey % 499 = 0 THEN -o_orderkey ELSE o_orderkey END AS order_id, CASE WHEN o_orderkey % 53 = 0 THEN 2 ELSE 1 END AS payment_sequential,
  CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'credit_card' WHEN '3-MEDIUM' THEN 'boleto' WHEN '4-NOT SPECIFIED' THEN 'not_defined' ELSE 'debit_card' END AS payment_type,
- cast(o_orderkey % 14 AS int) AS payment_installments, cast(o_totalprice AS decimal(10,2)) AS payment_value FROM orders WHERE o_orderkey % 499 <> 0
-UNION ALL SELECT o_orderkey, 3, 'voucher', 1, cast(10 AS decimal(10,2)) FROM orders WHERE o_orderkey % 20 = 0 AND o_orderkey % 499 <> 0""",
+ cast(o_orderkey % 14 AS int) AS payment_installments, cast(o_totalprice AS decimal(10,2)) AS payment_value FROM orders
+UNION ALL SELECT CASE WHEN o_orderkey % 499 = 0 THEN -o_orderkey ELSE o_orderkey END, 3, 'voucher', 1, cast(10 AS decimal(10,2)) FROM orders WHERE o_orderkey % 20 = 0""",
     "reviews": """
 SELECT CASE WHEN event_id % 50 = 1 THEN event_id - 1 ELSE event_id END AS review_id, event_id AS order_id,
  1 + cast(floor(value) AS int) % 5 AS review_score, CASE WHEN event_type = 'error' THEN props END AS review_comment_title,
@@ -53,7 +53,7 @@ SELECT CASE WHEN event_id % 50 = 1 THEN event_id - 1 ELSE event_id END AS review
 FROM events""",
     "products": """
 SELECT p_partkey AS product_id, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_type END AS product_category_name,
- cast(length(p_name) AS int) AS product_name_length, cast(length(p_brand) AS int) AS product_description_length, p_size % 6 AS product_photos_qty,
+ cast(length(p_name) AS int) AS product_name_length, cast(NULL AS int) AS product_description_length, p_size % 6 AS product_photos_qty,
  cast(p_size - 1 AS decimal(10,2)) AS product_weight_g, cast(p_size AS decimal(10,2)) AS product_length_cm,
  cast(p_size AS decimal(10,2)) AS product_height_cm, cast(p_size AS decimal(10,2)) AS product_width_cm FROM part""",
     "sellers": """
@@ -64,7 +64,8 @@ UNION ALL SELECT s_suppkey + 100000, lpad(cast(s_suppkey AS string),5,'0'), s_na
 SELECT lpad(cast(c_custkey % 200 AS string),5,'0') AS zip_code_prefix, cast(cast(c_custkey % 48 AS int) - 36 AS decimal(9,6)) AS lat,
  cast(c_nationkey * 2 - 78 AS decimal(9,6)) AS lng, c_mktsegment AS city, n_name AS state FROM customer JOIN nation ON c_nationkey=n_nationkey""",
     "category_translation": """
-SELECT p_type AS product_category_name, lower(p_type) AS product_category_name_english FROM part WHERE p_type <> 'PROMO' GROUP BY p_type""",
+SELECT CASE WHEN p_type = 'PROMO' THEN 'PROMO (old)' ELSE p_type END AS product_category_name, lower(p_type) AS product_category_name_english
+FROM part GROUP BY p_type""",
 }
 
 
