@@ -59,15 +59,27 @@ def union(parts: list[str]) -> str:
 
 
 def csv_round_trip() -> str:
-    def filled(c: str, k: str) -> str:
-        return f"COUNT(NULLIF(TRIM({c}), ''))" if k == "string" else f"COUNT({c})"
+    def one(t: str, c: str) -> str:
+        number = f"CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 8) AS BIGINT)"
+        return (
+            f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, '{c}' AS column_name, COUNT({c}) AS filled, "
+            f"COALESCE({big(f'SUM({number})')}, 0) AS checksum FROM src_{t}"
+        )
 
-    return statement(
-        union([
-            f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {' + '.join(filled(c, k) for c, k in cols)} AS filled_cells FROM src_{t}"
-            for t, cols in COLUMNS.items()
-        ])
-    )
+    return statement(union([one(t, c) for t, cols in COLUMNS.items() for c, _ in cols]))
+
+
+def planted_defects() -> str:
+    rows = [
+        ("sellers", "rows", "SELECT 2 * COUNT(*) FROM src_sellers"),
+        ("products", "rows", "SELECT COUNT(*) FROM src_products"),
+        ("products", "blank category", "SELECT COUNT(*) FROM src_products WHERE product_category_name IS NULL"),
+        ("sellers", "failed", "SELECT 0"), ("payments", "failed", "SELECT 1"), ("products", "failed", "SELECT 0"), ("orders", "failed", "SELECT 1"),
+        ("payments", "lost payment_value", "SELECT COUNT(*) FROM src_payments WHERE payment_installments = 0"),
+        ("payments", "lost payment_installments", "SELECT COUNT(*) FROM src_payments WHERE payment_installments = 7"),
+        ("products", "lost product_photos_qty", "SELECT COUNT(*) FROM src_products WHERE product_photos_qty = 1"),
+    ]
+    return statement(union([f"SELECT '{t}' AS table_name, '{w}' AS what, {big(f'({q})')} AS n" for t, w, q in rows]))
 
 
 def sql_over_views() -> str:
@@ -483,6 +495,7 @@ TABLES = {
     "m3_category_cluster_facts": lambda: cluster_facts(VIEWS["v11_product_customer_affinity"](), 4),
     "m4_review_driver_facts": lambda: "SELECT 5 AS features, true AS none_negative, 1.0::DOUBLE AS total_importance",
     "s1_csv_round_trip": csv_round_trip,
+    "s6_planted_defects": planted_defects,
     "s14_sql_over_views": sql_over_views,
     "t1_dim_date": dim_date,
     "t2_dim_geolocation": lambda: keyed("SELECT * FROM geo", "geo"),

@@ -69,7 +69,8 @@ def blank_to_null(text: str) -> str:
 
 def to_int(text: str) -> str:
     """Integers written with or without a decimal point; anything else becomes NULL."""
-    return f"try_cast(try_cast({text} AS DOUBLE) AS INT)"
+    number = f"try_cast({text} AS DOUBLE)"
+    return f"CASE WHEN {number} = floor({number}) THEN try_cast({number} AS INT) END"
 
 
 def to_ts(text: str) -> str:

@@ -65,7 +65,7 @@ def _on_report(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export the sources as CSV under their file names and header names, read them back, and count."""
+    """Export the sources as CSV under their file names and header names, read them back, and sum a hash of every column."""
     sources = source_frames(spark, sf_dir)
     folder = scratch_path(spark, "csv")
     header_names = {new: old for old, new in csv_files.RENAMES.items()}
@@ -74,11 +74,47 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         csv_files.export_csv(raw, f"{folder}/source_{file_name}")
     staged = csv_files.read_staging(spark, folder)
 
-    def count(table: str) -> DataFrame:
-        filled = " + ".join(f"count({c})" for c in staged[table].columns)
-        return staged[table].selectExpr(f"'{table}' AS table_name", "count(1) AS row_count", f"{filled} AS filled_cells")
+    def sums(table: str) -> DataFrame:
+        measures = [f"named_struct('column_name', '{c}', 'filled', count({c}), 'checksum', coalesce(sum({text_sum(c)}), 0))" for c in staged[table].columns]
+        return staged[table].selectExpr("count(1) AS row_count", f"array({', '.join(measures)}) AS all").selectExpr(
+            f"'{table}' AS table_name", "row_count", "inline(all)"
+        )
 
-    return profile.union_all([count(t) for t in staged])
+    return profile.union_all([sums(t) for t in staged])
+
+
+def text_sum(column: str) -> str:
+    """A number from the text of a value that other engines can compute too."""
+    return f"CAST(conv(substr(md5(CAST({column} AS STRING)), 1, 8), 16, 10) AS BIGINT)"
+
+
+def planted_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads with defects: two files of sellers with other column orders, unreadable values, missing tables."""
+    sources = source_frames(spark, sf_dir, number_items=False)
+    folder = scratch_path(spark, "defects")
+    sellers, file = sources["sellers"], csv_files.FILES
+    csv_files.export_csv(sellers, f"{folder}/a_{file['sellers']}")
+    csv_files.export_csv(sellers.select(*reversed(sellers.columns)), f"{folder}/b_{file['sellers']}")
+    payments = sources["payments"].selectExpr(
+        "order_id", "payment_sequential", "CASE WHEN payment_type = 'voucher' THEN 'N/A' ELSE payment_type END AS payment_type",
+        "CASE WHEN payment_installments = 7 THEN '4.6' ELSE string(payment_installments) END AS payment_installments",
+        "CASE WHEN payment_installments = 0 THEN 'abc' ELSE string(payment_value) END AS payment_value",
+    )
+    csv_files.export_csv(payments, f"{folder}/a_{file['payments']}")
+    products = sources["products"].selectExpr(
+        "* EXCEPT (product_photos_qty, product_category_name)", "CASE WHEN product_photos_qty = 1 THEN '3.7' ELSE concat(product_photos_qty, '.0') END AS product_photos_qty",
+        "coalesce(product_category_name, '  ') AS product_category_name",
+    )
+    csv_files.export_csv(products, f"{folder}/a_{file['products']}")
+    names = ["sellers", "payments", "products", "orders"]
+    frames, problems = csv_files.scan_staging(spark, folder, names)
+    failed = {p.split(":", 1)[0] for p in problems}
+    found = [t for t in names if csv_files.locate(spark, folder, t)]
+    lost = profile.union_all([csv_files.lost_values(csv_files.read_raw(spark, csv_files.locate(spark, folder, t), t), t) for t in found])
+    counts = profile.union_all([frames[t].selectExpr(f"'{t}' AS table_name", "'rows' AS what", "count(1) AS n") for t in frames])
+    blanks = frames["products"].selectExpr("'products'", "'blank category'", "count_if(trim(product_category_name) = '')")
+    state = profile.small_table(spark, [{"table_name": t, "what": "failed", "n": int(t in failed)} for t in names], "table_name:string,what:string,n:bigint")
+    return profile.union_all([counts, blanks, state, lost.filter("lost > 0").selectExpr("table_name", "concat('lost ', column_name)", "lost")])
 
 
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +147,7 @@ QUERIES: dict[str, Query] = {f"v{i}_{name}": _report(name) for i, name in enumer
 
 QUERIES |= {
     "s1_csv_round_trip": csv_round_trip,
+    "s6_planted_defects": planted_defects,
     "s14_sql_over_views": sql_over_views,
     "t1_dim_date": _on_sources(lambda s: warehouse.dim_date_covering(s["orders"])),
     "t2_dim_geolocation": _table("dim_geolocation"),

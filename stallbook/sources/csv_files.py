@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stallbook.functions.scalars import blank_to_null, pad_zip, to_int, to_ts
+from stallbook.functions.scalars import pad_zip, text_literal, to_int, to_ts
 from stallbook.schemas import STAGING
 
 # Source file names (after any publisher prefix) in load order.
@@ -36,24 +38,38 @@ RENAMES: dict[str, str] = {
 # tasks, so the other tables are not.
 FREE_TEXT = {"reviews"}
 
+# Columns in which a value that is no whole number becomes NULL; dates do so as well.
+COERCED = ("product_name_length", "product_description_length", "product_photos_qty")
+
+# Text that stands for a missing value.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+
+BROKEN_ROW = "_broken_row"
+
 
 class LoadError(RuntimeError):
-    """Raised once, after every table was tried, with all the problems found."""
+    """Raised once, after every table was tried, with all the problems found; ``frames`` has the tables without any."""
+
+    def __init__(self, message: str, frames: dict[str, DataFrame] | None = None):
+        super().__init__(message)
+        self.frames = frames or {}
 
 
-def locate(spark: SparkSession, folder: str, table: str) -> str | None:
-    """Path of a table's file (or folder of part files), with or without a publisher prefix."""
+def locate(spark: SparkSession, folder: str, table: str) -> list[str]:
+    """Paths of all of a table's files (or folders of part files), with or without a publisher prefix."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = set()
     for pattern in (FILES[table], f"*_{FILES[table]}"):
         path = hadoop.Path(f"{folder.rstrip('/')}/{pattern}")
         hits = path.getFileSystem(conf).globStatus(path)
-        names = sorted(str(h.getPath()) for h in (hits or []))
+        names = [str(h.getPath()) for h in (hits or [])]
         # "*_orders_dataset.csv" style patterns can only clash through longer table names.
-        exact = [n for n in names if _table_of(n.rsplit("/", 1)[-1]) == table]
-        if exact:
-            return exact[0]
-    return None
+        found |= {n for n in names if _table_of(n.rsplit("/", 1)[-1]) == table}
+    return sorted(found)
 
 
 def _table_of(file_name: str) -> str | None:
@@ -61,14 +77,28 @@ def _table_of(file_name: str) -> str | None:
     return max(fits)[1] if fits else None
 
 
-def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """All columns as text under their staging names."""
+def read_raw(spark: SparkSession, paths: list[str], table: str) -> DataFrame:
+    """All columns of all files as text under their staging names, and ``_broken_row`` where a row does not fit its header.
+
+    Each file is read by its own header, so files may order their columns differently.
+    """
     options = {"header": True, "multiLine": table in FREE_TEXT, "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-    return spark.read.options(**options).csv(path).withColumnsRenamed(RENAMES)
+
+    def one(path: str) -> DataFrame:
+        names = spark.read.options(**options).csv(path).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN_ROW]])
+        return spark.read.options(**options, columnNameOfCorruptRecord=BROKEN_ROW).schema(schema).csv(path).withColumnsRenamed(RENAMES)
+
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [one(p) for p in paths])
+
+
+def _text(name: str) -> str:
+    missing = ", ".join(text_literal(m) for m in MISSING)
+    return f"CASE WHEN `{name}` NOT IN ({missing}) THEN `{name}` END"
 
 
 def _convert(name: str, dtype: T.DataType) -> str:
-    text = blank_to_null(f"`{name}`")
+    text = _text(name)
     if name.endswith("zip_code_prefix"):
         return pad_zip(text)
     if isinstance(dtype, T.IntegerType):
@@ -79,7 +109,7 @@ def _convert(name: str, dtype: T.DataType) -> str:
 
 
 def to_staging(raw: DataFrame, table: str) -> DataFrame:
-    """Typed staging columns; values that do not fit their type become NULL, never an error."""
+    """Typed staging columns; what ``lost_values`` counts as lost is NULL here."""
     schema = T.StructType.fromDDL(STAGING[table])
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
@@ -87,24 +117,59 @@ def to_staging(raw: DataFrame, table: str) -> DataFrame:
     return raw.selectExpr(*[f"{_convert(f.name, f.dataType)} AS {f.name}" for f in schema])
 
 
-def read_staging(spark: SparkSession, folder: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
-    """Every staging table, lazily; all missing files and columns are reported together."""
+def lost_values(raw: DataFrame, table: str) -> DataFrame:
+    """``(table_name, column_name, lost, accepted)``: values that do not fit their type; one pass.
+
+    ``accepted`` losses are those of coerced columns and dates. The row ``_broken_row`` counts rows that do
+    not fit their file's header.
+    """
+    fields = T.StructType.fromDDL(STAGING[table]).fields
+    counts = {f.name: f"count_if(({_text(f.name)}) IS NOT NULL AND ({_convert(f.name, f.dataType)}) IS NULL)" for f in fields}
+    broken = f"count_if({BROKEN_ROW} IS NOT NULL)" if BROKEN_ROW in raw.columns else "0L"
+    # Every column is named, so that the reader parses whole rows and sees the broken ones.
+    counted = raw.selectExpr(*[f"{text} AS {name}" for name, text in counts.items()], f"{broken} AS {BROKEN_ROW}")
+    lenient = [f.name for f in fields if f.name in COERCED or isinstance(f.dataType, T.TimestampNTZType)]
+    accepted = f"column_name IN ({', '.join(text_literal(n) for n in lenient)})" if lenient else "false"
+    long = counted.unpivot([], [*counts, BROKEN_ROW], "column_name", "lost")
+    return long.selectExpr(f"'{table}' AS table_name", "column_name", "lost", f"{accepted} AS accepted")
+
+
+def scan_staging(spark: SparkSession, folder: str, tables: list[str] | None = None, check: bool = True) -> tuple[dict[str, DataFrame], list[str]]:
+    """Staging tables without a problem, and the problems of the others.
+
+    A missing file or column, a row that does not fit its header or a value that does not fit its
+    type keeps a table out; the others are read all the same. ``check`` reads each table once for that.
+    """
     frames: dict[str, DataFrame] = {}
     problems: list[str] = []
     for table in tables or list(FILES):
-        path = locate(spark, folder, table)
-        if path is None:
+        paths = locate(spark, folder, table)
+        if not paths:
             problems.append(f"{table}: no file matching {FILES[table]} in {folder}")
             continue
         try:
-            frames[table] = to_staging(read_raw(spark, path, table), table)
+            raw = read_raw(spark, paths, table)
+            frame = to_staging(raw, table)
         except LoadError as problem:
             problems.append(str(problem))
+            continue
+        bad = lost_values(raw, table).filter("lost > 0 AND NOT accepted").collect() if check else []
+        if bad:
+            problems.append(f"{table}: " + ", ".join(f"{r.lost} bad rows" if r.column_name == BROKEN_ROW else f"{r.lost} bad values of {r.column_name}" for r in bad))
+        else:
+            frames[table] = frame
+    return frames, problems
+
+
+def read_staging(spark: SparkSession, folder: str, tables: list[str] | None = None, check: bool = True) -> dict[str, DataFrame]:
+    """Every staging table; problems are reported together, with the tables that have none."""
+    frames, problems = scan_staging(spark, folder, tables, check)
     if problems:
-        raise LoadError("; ".join(problems))
+        raise LoadError("; ".join(problems), frames)
     return frames
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one part file per task."""
-    df.write.mode("overwrite").options(header=True, escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(path)
+    """CSV with a header, one part file per task; fractions of seconds and outer blanks are kept."""
+    options = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)

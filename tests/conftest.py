@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 
 from stallbook.models.features import write_snapshot
+from stallbook.operators import materialize as materialize_module
 from stallbook.operators.materialize import scratch_root
 from stallbook.params import Params
 from stallbook.plans.reports import REPORTS, view_frames
@@ -24,8 +25,8 @@ CSV = {
     "customers": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
     "c1,u1,1234,x,SP\nc2,u2,01234,x,SP\nc3,u3,,x,SP\nc4,u4,123456,x,SP\n",
     "order_items": "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
-    "o1,1,p1,s1,2018-01-08 00:00:00,10.50,oops\n",
-    "payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,3.0,10.5\no1,2,card,many,1\n",
+    "o1,1,p1,s1,2018-01-08 00:00:00,10.50,3.25\n",
+    "payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,3.0,10.5\no1,2,NA,4,1\n",
     "reviews": "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,"
     'review_answer_timestamp\nr1,o1,5,,"first line\nsecond, with ""quotes""",2018-01-09 00:00:00,2018-01-10 00:00:00\n',
     "products": "product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,"
@@ -53,8 +54,8 @@ def test_read_staging(spark, tmp_path):
     zips = [r.customer_zip_code_prefix for r in frames["customers"].orderBy("customer_id").collect()]
     assert zips == ["01234", "01234", None, "123456"]
     item = frames["order_items"].first()
-    assert (item.price, item.freight_value) == (D("10.50"), None)
-    assert [r.payment_installments for r in frames["payments"].orderBy("payment_sequential").collect()] == [3, None]
+    assert (item.price, item.freight_value) == (D("10.50"), D("3.25"))
+    assert [r.payment_installments for r in frames["payments"].orderBy("payment_sequential").collect()] == [3, 4]
     (review,) = frames["reviews"].collect()
     assert review.review_comment_message == 'first line\nsecond, with "quotes"' and review.review_comment_title is None
     product = frames["products"].first()
@@ -69,6 +70,39 @@ def test_all_problems_are_reported_together(spark, tmp_path):
         read_staging(spark, folder)
     assert all(t in str(caught.value) for t in ("sellers:", "orders:", "products: columns not found"))
     assert "order_items" not in str(caught.value)
+    # The other tables are there all the same.
+    assert set(caught.value.frames) == set(FILES) - {"sellers", "orders", "products"}
+    assert caught.value.frames["payments"].count() == 2
+
+
+def test_every_file_of_a_table_is_read_by_its_own_header(spark, tmp_path):
+    write_files(tmp_path)
+    (tmp_path / "other_sellers_dataset.csv").write_text("seller_state,seller_city,seller_id,seller_zip_code_prefix\nRJ,y,s2,99\n")
+    rows = read_staging(spark, str(tmp_path))["sellers"].orderBy("seller_id").collect()
+    assert [tuple(r) for r in rows] == [("s1", "01234", "x", "SP"), ("s2", "00099", "y", "RJ")]
+
+
+def test_bad_rows_and_values_fail_their_table(spark, tmp_path):
+    write_files(tmp_path)
+    (tmp_path / "b_sellers_dataset.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns2,1,x,SP,extra\n")
+    (tmp_path / "b_order_payments_dataset.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\no9,1,card,4.6,abc\no9,2,card,1,\n"
+    )
+    with pytest.raises(LoadError) as caught:
+        read_staging(spark, str(tmp_path))
+    text = str(caught.value)
+    assert "sellers: 1 bad rows" in text and "payments: 1 bad values of payment_installments, 1 bad values of payment_value" in text
+    assert "products" not in text and "orders:" not in text
+
+
+def test_missing_tokens_and_blanks(spark, tmp_path):
+    write_files(tmp_path)
+    head = CSV["reviews"].split("\n")[0]
+    (tmp_path / "b_order_reviews_dataset.csv").write_text(f"{head}\nr2,o1,4,N/A,  ,NaN,null\n")
+    row = read_staging(spark, str(tmp_path))["reviews"].filter("review_id = 'r2'").first()
+    assert (row.review_comment_title, row.review_comment_message, row.review_creation_date) == (None, "  ", None)
+    (tmp_path / "b_products_dataset.csv").write_text(CSV["products"].replace("p1,cat,40.0", "p2,cat,3.7"))
+    assert read_staging(spark, str(tmp_path))["products"].filter("product_id = 'p2'").first().product_name_length is None
 
 
 def test_warehouse_is_loaded_cleared_and_exported(spark, tmp_path):
@@ -134,3 +168,11 @@ def test_snapshot_keeps_the_table_definition(spark):
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(materialize_module, "_WRITTEN", {})
+    stored = materialize_module.materialize(spark.range(3), "gone")
+    assert stored.count() == 3 and materialize_module.clear_scratch(spark) == 1
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        spark.read.parquet(stored.inputFiles()[0]).count()
