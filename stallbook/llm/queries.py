@@ -46,7 +46,8 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.linked(chat.turns_as_calls(table(spark, sf_dir, "conversations")), chat.TURN_SCHEMAS)
+    events = chat.linked(chat.turns_as_calls(table(spark, sf_dir, "conversations")), chat.TURN_SCHEMAS)
+    return events.selectExpr("conv_id", "turn", "kind", "event_id", "name", "state", "CAST(level AS BIGINT) AS level", "CAST(size(errors) AS BIGINT) AS n_errors", "line")
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,33 @@
-"""Check statements (DuckDB) of the queries that SQL can express."""
+"""Check statements (DuckDB) of the queries that SQL can express.
 
-STATEMENTS: dict[str, str] = {}
+The others are held against plain versions in ``tests/llm``: fingerprints, hashed-text models, token
+ids and keyed permutations have no SQL form.
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op5_embedding_dedup": """
+WITH RECURSIVE v AS (
+ SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+ WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y)
+SELECT e.vec_id, COALESCE(l.n, 0) AS n_links, r.least AS component_id, e.vec_id = r.least AS kept
+FROM embeddings e LEFT JOIN (SELECT x, COUNT(*) AS n FROM links GROUP BY x) l ON l.x = e.vec_id
+JOIN (SELECT x, MIN(y) AS least FROM reached GROUP BY x) r ON r.x = e.vec_id""",
+    "op7_chat_formatting": """
+WITH asked AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE role = 'user'),
+events AS (
+ SELECT c.conv_id, c.turn, c.text, CASE WHEN role = 'user' THEN 'call' WHEN role = 'assistant' AND a.turn IS NOT NULL THEN 'result' ELSE 'message' END AS kind,
+  CASE WHEN role = 'user' THEN 'reply' ELSE role END AS name
+ FROM conversations c LEFT JOIN asked a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1),
+named AS (SELECT *, CASE kind WHEN 'call' THEN CAST(turn AS VARCHAR) WHEN 'result' THEN CAST(turn - 1 AS VARCHAR) END AS event_id FROM events),
+answered AS (SELECT DISTINCT conv_id, event_id FROM named WHERE kind = 'result'),
+judged AS (
+ SELECT n.*, CASE WHEN kind <> 'call' THEN kind WHEN a.event_id IS NULL THEN 'call without result' ELSE 'call' END AS state
+ FROM named n LEFT JOIN answered a ON n.kind = 'call' AND a.conv_id = n.conv_id AND a.event_id = n.event_id)
+SELECT conv_id, turn, kind, event_id, name, state, CAST(CASE kind WHEN 'result' THEN 1 ELSE 0 END AS BIGINT) AS level, CAST(0 AS BIGINT) AS n_errors,
+ '{' || CASE kind WHEN 'call' THEN '"arguments":{"question":' || to_json(COALESCE(text, '')) || '}' ELSE '"content":' || COALESCE(to_json(text), 'null') END
+ || CASE WHEN event_id IS NULL THEN '' ELSE ',"id":"' || event_id || '"' END
+ || ',"kind":"' || kind || '"' || COALESCE(',"name":"' || name || '"', '') || ',"state":"' || state || '"' || COALESCE(',"turn":' || turn, '') || '}' AS line
+FROM judged""",
+}
