@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -15,11 +16,7 @@ from stallbook.session import build_session  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 ONLY = os.environ.get("BENCH_ONLY", "")
-HEADLINE = [
-    *[name for name in QUERIES if name.startswith("v")],
-    "t6_dim_order", "t7_fact_order_items", "q1_dataset_shapes", "q5_numeric_summary", "q12_orphaned_keys",
-    "q14_orders_without_payment", "q20_cleaning_counters",
-]
+HEADLINE = list(QUERIES)
 
 
 def _scale(path: str) -> float | str:
@@ -37,6 +34,7 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -82,6 +82,16 @@ def planted_defects() -> str:
     return statement(union([f"SELECT '{t}' AS table_name, '{w}' AS what, {big(f'({q})')} AS n" for t, w, q in rows]))
 
 
+def stored_loads() -> str:
+    steps = "(VALUES ('loaded', 1), ('loaded again', 1), ('cleared', 0)) s(step, k)"
+    return f"SELECT table_name, step, {big('row_count * k')} AS row_count FROM ({row_counts()}), {steps}"
+
+
+def display_order() -> str:
+    order = "row_number() OVER (ORDER BY cohort_month, period_number)"
+    return f"SELECT {order} AS place, cohort_month, period_number, retained_customers FROM ({VIEWS['v3_retention']()})"
+
+
 def sql_over_views() -> str:
     return statement(
         f"""
@@ -496,7 +506,13 @@ TABLES = {
     "m4_review_driver_facts": lambda: "SELECT 5 AS features, true AS none_negative, 1.0::DOUBLE AS total_importance",
     "s1_csv_round_trip": csv_round_trip,
     "s6_planted_defects": planted_defects,
+    "s10_empty_strings": lambda: statement(
+        "SELECT COUNT(*) AS row_count, COUNT(review_comment_title) AS titles, COUNT(review_comment_message) AS messages FROM src_reviews"
+    ),
     "s14_sql_over_views": sql_over_views,
+    "s16_stored_loads": stored_loads,
+    "m5_snapshots": seller_outliers,
+    "r37_display_order": display_order,
     "t1_dim_date": dim_date,
     "t2_dim_geolocation": lambda: keyed("SELECT * FROM geo", "geo"),
     "t3_dim_customer": lambda: keyed("SELECT * FROM cust", "geo", "cust"),

@@ -59,5 +59,10 @@ def present(name: str, result: DataFrame) -> DataFrame:
 
 
 def view_frames(frames: Frames, params: Params) -> dict[str, DataFrame]:
-    """Every report under its view name, for ``register_views``."""
+    """Every report under its view name, for ``register_views``.
+
+    Over a stored warehouse most are plans that follow its tables. Those that rank (rfm, clv, seller_performance,
+    pareto_analysis) or share a stored base (seller_health, regional_analysis) hold intermediate results of the time
+    of this call: they are snapshots, and calling this and ``register_views`` again refreshes them.
+    """
     return {f"vw_{name}": report(frames, params) for name, report in REPORTS.items()}

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallbook.models import features
-from stallbook.operators.materialize import scratch_path
+from stallbook.operators.materialize import materialize, scratch_path
 from stallbook.params import BENCH_PARAMS as P
 from stallbook.plans import warehouse
 from stallbook.plans.bases import Frames
-from stallbook.plans.reports import REPORTS
+from stallbook.plans.reports import REPORTS, present
 from stallbook.quality import checks, profile, validation
-from stallbook.sources import csv_files
+from stallbook.sources import catalog, csv_files
 from stallbook.sources.bench_tables import raw_date_frames, source_frames
 from stallbook.sources.catalog import register_views
 
@@ -117,6 +118,56 @@ def planted_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.union_all([counts, blanks, state, lost.filter("lost > 0").selectExpr("table_name", "concat('lost ', column_name)", "lost")])
 
 
+def stored_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reset a database, load the warehouse into it twice, clear it; rows per table after each, read from the catalog."""
+    name = "stallbook_check"
+    catalog.reset_databases(spark, (name,))
+    tables = warehouse.stored_warehouse(warehouse.clean(source_frames(spark, sf_dir), P), P)
+
+    def counts(step: str) -> list[dict]:
+        stored = catalog.read_tables(spark, name)
+        rows = profile.union_all([stored[t].selectExpr(f"'{t}' AS table_name", "count(1) AS n") for t in stored]).collect()
+        return [{"table_name": r.table_name, "step": step, "row_count": r.n} for r in rows]
+
+    found = []
+    for step in ("loaded", "loaded again"):
+        catalog.load_all(tables, name, buckets=8)
+        found += counts(step)
+    catalog.clear_all(spark, name)
+    found += counts("cleared")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return profile.small_table(spark, found, "table_name:string,step:string,row_count:bigint")
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outlier list written as a snapshot twice: the second one replaces the first and keeps the table."""
+    name = "stallbook_snapshot"
+    catalog.reset_databases(spark, (name,))
+    frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
+    found = materialize(features.seller_outliers(REPORTS["seller_performance"](frames, P)), "outliers")
+    for _ in range(2):
+        features.write_snapshot(found, f"{name}.ml_outliers")
+    stored = spark.table(f"{name}.ml_outliers").drop("computed_at")
+    kept = materialize(plain_numbers(stored), "snapshot")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return kept
+
+
+def blank_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing comments written as empty text come out of the load's cleaning as NULL again."""
+    reviews = source_frames(spark, sf_dir, number_items=False)["reviews"]
+    blank = reviews.selectExpr("coalesce(review_comment_title, '') AS title", "coalesce(review_comment_message, '') AS message")
+    return catalog.empty_strings_to_null(blank).selectExpr("count(1) AS row_count", "count(title) AS titles", "count(message) AS messages")
+
+
+def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retention report as it is shown, with the place of each row."""
+    frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
+    shown = present("retention", REPORTS["retention"](frames, P))
+    placed = shown.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)  # one row per month pair
+    return plain_numbers(placed.select("place", "cohort_month", "period_number", "retained_customers"))
+
+
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports and tables registered as views and joined in SQL."""
     frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
@@ -148,7 +199,11 @@ QUERIES: dict[str, Query] = {f"v{i}_{name}": _report(name) for i, name in enumer
 QUERIES |= {
     "s1_csv_round_trip": csv_round_trip,
     "s6_planted_defects": planted_defects,
+    "s10_empty_strings": blank_texts,
     "s14_sql_over_views": sql_over_views,
+    "s16_stored_loads": stored_loads,
+    "m5_snapshots": snapshots,
+    "r37_display_order": display_order,
     "t1_dim_date": _on_sources(lambda s: warehouse.dim_date_covering(s["orders"])),
     "t2_dim_geolocation": _table("dim_geolocation"),
     "t3_dim_customer": _table("dim_customer"),
