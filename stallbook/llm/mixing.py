@@ -139,8 +139,13 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tex
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The mixed rows themselves: each row of ``docs`` as often as it is drawn, ordered within its shard."""
-    named = docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns})
-    drawn = mix(named, f"_in_{source}", f"_in_{text}", (f"_in_{doc_id}", f"_in_{text}"), tuple(named.columns))
-    copies = drawn.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns], F.explode("_draws").alias(name := fresh(docs, "_draw")))
+    """The mixed rows themselves: each row of ``docs`` as often as it is drawn, ordered within its shard.
+
+    The mix is worked out on sizes alone and joined to the rows by a hash of id, text and source.
+    """
+    key = fresh(docs, "_mix_key")
+    keyed = docs.withColumn(key, F.xxhash64(doc_id, text, F.coalesce(F.col(source).cast("string"), F.lit("\0"))))
+    drawn = mix(keyed, source, text, (doc_id, text), (key,)).where(F.size("_draws") > 0)
+    draws = drawn.groupBy(key).agg(F.first("_draws").alias(name := fresh(docs, "_draw")))  # repeated rows are drawn alike
+    copies = keyed.join(redealt(draws, key), key).select(*docs.columns, F.explode(name).alias(name))
     return copies.repartition(f"{name}.shard").sortWithinPartitions(f"{name}.shard", f"{name}.position").select(*docs.columns)
