@@ -4,7 +4,7 @@ Texts are encoded, closed by an end id and cut into sequences of at most ``strid
 are written once; their place (file and row of the written table) numbers them 0..n-1 without a
 sort. A keyed Feistel network on the next power of four, walked along its cycle until it falls
 below n, permutes the numbers: slot = permutation(number), a bijection that any task computes for
-itself. Shard k holds the slots from k * shard_size; a record has a fixed stride, so record s of a
+itself. Range partition: shard k holds the slots from k * shard_size; a record has a fixed stride, so record s of a
 shard starts at byte s * record_bytes and a reader can go on anywhere.
 
 A record is the ids as little-endian uint16 (vocabularies above 65,535 ids: uint32), padded with
@@ -17,14 +17,17 @@ their own; an empty table has no shards. Long texts span several sequences; noth
 
 from __future__ import annotations
 
+import base64
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.bpe import encoder, vocabulary_path
+from stallbook.llm.bpe import vocabulary_path
 from stallbook.llm.frames import map_rows
 from stallbook.operators.materialize import materialize
 
+RANKS = "byte_bpe_50k.tiktoken"
 STRIDE = 512
 SHARD_RECORDS = 8_192
 END_ID = 50_256
@@ -52,17 +55,32 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+_ENCODINGS: dict[str, object] = {}
+
+
+def encoding(path: str):
+    """The worker's tiktoken encoding of a file of ranks; special strings in a text are ordinary text."""
+    if path not in _ENCODINGS:
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        _ENCODINGS[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODINGS[path]
+
+
 def sequences(docs: DataFrame, doc_id: str, text: str, stride: int, end_id: int, path: str | None) -> DataFrame:
     """``(_id, seq_no, n_tokens, ids)``: whole texts cut into records' worth of ids, the last one ended by the end id."""
-    path = path or vocabulary_path()
+    path = path or vocabulary_path(RANKS)
     kind = dict(docs.dtypes)[doc_id]
     width = "<u2" if end_id < 1 << 16 else "<u4"
 
     def run(rows: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"_id": [], "seq_no": [], "n_tokens": [], "ids": []}
-        encode = encoder(path).encode
+        encode = encoding(path).encode_ordinary
         for i, t in zip(rows["_id"], rows["_text"]):
-            ids = np.append(np.frombuffer(encode(t), "<u4"), end_id).astype(width)
+            ids = np.array([*encode(t or ""), end_id], width)
             for k, at in enumerate(range(0, len(ids), stride)):
                 part = ids[at : at + stride]
                 for c, x in zip(out, (i, k, len(part), part.tobytes())):
@@ -100,8 +118,8 @@ def layout(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stride:
 
     placed = map_rows(numbered(stored), run, f"_id {kind}, seq_no int, n_tokens int, ids binary, slot bigint")
     shard = (F.col("slot") / shard_records).cast("bigint")
-    shards = max(1, -(-total // shard_records))
-    dealt = placed.withColumn("shard", F.floor(shard)).repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+    # A shard is a range of slots that every row knows by itself, so no sampling is needed to deal them out.
+    dealt = placed.withColumn("shard", F.floor(shard)).repartition("shard").sortWithinPartitions("shard", "slot")
     padded = F.concat("ids", F.substring(F.lit(pad), F.lit(1), F.lit(size) - F.length("ids")), F.lit(b"\n"))
     return dealt.select("slot", "shard", ((F.col("slot") % shard_records) * (size + 1)).alias("byte_offset"), F.col("_id").alias(doc_id), "seq_no", "n_tokens", padded.alias("record"))
 
