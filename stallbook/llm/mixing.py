@@ -4,7 +4,7 @@ Every source gets a target in words: the total is shared by weight, no source be
 ``MAX_EPOCHS`` times its own size, the excess shared again by weight. A source's documents fall
 into blocks by a hash; a target of e.g. 2.3 sizes draws every block twice and the first blocks of a
 permutation a third time, up to the target, inside the last block document by document in hash
-order. The drawn blocks of each source are its quota. A binary tree over the output shards splits
+order, and there the one document more that brings it nearest. The drawn blocks of each source are its quota. A binary tree over the output shards splits
 the quota vector of all sources: at each node the left half's share is one draw from the
 multivariate hypergeometric distribution, so the leaves' quotas are whole blocks that add up
 exactly. Each source's permuted draws are then dealt to the shards in turn, and rows get a random
@@ -106,10 +106,16 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
     per_block = materialize(per_block.withColumn("_before", F.sum("_words").over(permuted) - F.col("_words")), "mix-blocks")
     edge = per_block.where("_before < _rest AND _before + _words > _rest").select("_number", "_block", (F.col("_rest") - F.col("_before")).alias("_room"))
     inside = placed.select("_number", "_block", "_hash", "_size").join(F.broadcast(edge), ["_number", "_block"])  # one block per source
-    # Of each edge block the rows in hash order whose middle still lies within the room.
-    so_far = inside.groupBy("_number", "_hash").agg(F.sum("_size").alias("_words"), F.first(F.col("_room")).alias("_room"))
+    # Of each edge block the rows in hash order as long as they fit the room, and the one row that fills it best.
+    so_far = inside.groupBy("_number", "_hash").agg(F.sum("_size").alias("_words"), F.first("_room").alias("_room"))
     running = F.sum("_words").over(Window.partitionBy("_number").orderBy("_hash"))
-    last = so_far.withColumn("_run", running).where("_run - _words / 2 <= _room").groupBy("_number").agg(F.max("_hash").alias("_last"))
+    so_far = materialize(so_far.withColumn("_run", running), "mix-edges")
+    fits = so_far.where("_run <= _room").groupBy("_number").agg(F.max("_hash").alias("_last"), F.max("_run").alias("_got"))
+    rest_of = so_far.join(F.broadcast(fits), "_number", "left").where("_last IS NULL OR _hash > _last")
+    rest_of = rest_of.withColumn("_gap", F.col("_room") - F.coalesce("_got", F.lit(0))).where("abs(_words - _gap) < _gap")
+    fill = rest_of.groupBy("_number").agg(F.min(F.struct(F.abs(F.col("_words") - F.col("_gap")).alias("off"), "_hash")).alias("_best"))
+    edge_numbers = so_far.select("_number").distinct()
+    last = edge_numbers.join(fits, "_number", "left").join(fill.select("_number", F.col("_best._hash").alias("_fill")), "_number", "left")
 
     # Each drawn block of each epoch, in the permuted order in which a source's quota is dealt out.
     whole = per_block.select("_number", "_block", F.explode(F.expr("sequence(0, _epochs)")).alias("_epoch"), (F.col("_epoch") < F.col("_epochs")).alias("_full"), (F.expr("_before + _words <= _rest")).alias("_in_rest"), F.expr("_before < _rest AND _before + _words > _rest").alias("_edge"))
@@ -126,7 +132,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
     dealt = drawn.join(F.broadcast(cuts), "_number").select("_number", "_block", "_epoch", "_partial", shard.cast("int").alias("_shard"))
     per_block = dealt.groupBy("_number", "_block").agg(F.sort_array(F.collect_list(F.struct("_epoch", "_shard", "_partial"))).alias("_list"))  # at most MAX_EPOCHS + 1
     placed = placed.join(redealt(per_block, "_number", "_block"), ["_number", "_block"], "left").join(F.broadcast(last), "_number", "left")
-    taken = F.filter(F.coalesce("_list", F.array().cast("array<struct<_epoch:int,_shard:int,_partial:boolean>>")), lambda d: ~d["_partial"] | F.coalesce(F.col("_hash") <= F.col("_last"), F.lit(False)))
+    taken = F.filter(F.coalesce("_list", F.array().cast("array<struct<_epoch:int,_shard:int,_partial:boolean>>")), lambda d: ~d["_partial"] | F.coalesce(F.col("_hash") <= F.col("_last"), F.lit(False)) | F.coalesce(F.col("_hash") == F.col("_fill"), F.lit(False)))
     draws = F.transform(taken, lambda d: F.struct(d["_epoch"].alias("epoch"), d["_shard"].alias("shard"), F.xxhash64("_hash", d["_epoch"]).alias("position")))
     return placed.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], "_size", "_source_size", "_target", draws.alias("_draws"))
 

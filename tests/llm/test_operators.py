@@ -259,9 +259,8 @@ def test_mixture(spark, monkeypatch):
     for s, size, goal in zip(names, total, goals):
         part = got[[x == s if s is not None else x is None for x in got.source]]
         assert (part.source_size == size).all() and np.allclose(part.target, goal)
-        assert abs(part.taken.sum() - goal) <= 60
+        assert abs(part.taken.sum() - goal) <= 12
     mixed = mixing.mixed(docs)
-    assert mixed.count() == sum(got.taken // got["size"].where(got["size"] > 0, 1)) + sum(r["n"] for r in []) or True
     words = sum(len((r["text"] or "").split()) for r in mixed.collect())
     assert words == got.taken.sum()
 
