@@ -123,3 +123,51 @@ def test_totals_agree_across_reports(frames):
     assert all(
         r["retention_rate_pct"] == 100 for r in REPORTS["retention"](frames, P).collect() if r["period_number"] == 0
     )
+
+
+def test_range_size_is_bounded_for_any_row_count(spark, monkeypatch):
+    from stallbook.operators import ranking
+
+    seen = []
+    keep = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, label: seen.append(keep(df, label)) or seen[-1])
+    for rows in (500, 5_000, 20_000):
+        df = spark.range(rows).selectExpr("id % 7 AS v", "id AS k")
+        assert ranking.with_global_order(df, ["v", "k"], "rn", rows_per_range=50).count() == rows
+        sizes = [r.n for r in seen[-1].groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert max(sizes) <= 5 * 50 and len(sizes) >= rows / 250
+
+
+def test_selection_narrows_in_rounds(spark, monkeypatch):
+    from stallbook.operators import order_stats, splits
+    from stallbook.operators.materialize import materialize
+
+    monkeypatch.setattr(splits, "FAN_OUT", 4)
+    rounds = []
+    keep = order_stats.find_splits
+    monkeypatch.setattr(order_stats, "find_splits", lambda *a: rounds.append(a[2]) or keep(*a))
+    df = materialize(spark.range(6_000).selectExpr("'g' AS g", "(id * 7919) % 6000 AS v"), "narrow")
+    found = order_stats.select_at_ranks(df, "g", ["v"], lambda name, n: [1, 3_000, n], rows_per_range=100)
+    assert {k: v[0] for k, v in found["g"].items()} == {1: 0, 3_000: 2_999, 6_000: 5_999}
+    assert len(rounds) > 2 and rounds == sorted(rounds, reverse=True)
+
+
+def test_items_take_keys_from_numbered_natural_keys(spark):
+    cleaned = warehouse.clean(source_frames(spark, SF_DIR), P)
+    keyed = warehouse.with_surrogate_keys(cleaned, P)
+    text = plan(keyed["fact_order_items"])
+    assert text.count("Join") <= 7 and "customer_unique_id" not in text and "zip_code_prefix" not in text and "full_date" not in text
+
+
+def test_regional_analysis_does_not_expand(frames):
+    assert "Expand" not in plan(REPORTS["regional_analysis"](frames, P))
+
+
+def test_models_read_their_report_once(spark, frames, monkeypatch):
+    from stallbook.models import features
+
+    stored = []
+    keep = features.materialize
+    monkeypatch.setattr(features, "materialize", lambda df, label: stored.append(label) or keep(df, label))
+    out = features.category_clusters(REPORTS["product_customer_affinity"](frames, P))
+    assert stored == ["features"] and "lineitem" not in plan(out)
