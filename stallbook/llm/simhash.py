@@ -7,7 +7,7 @@ only, and the full distance is compared at the leaves. Where vantage points cann
 members by their half, a node uses the full distance and radius 3.
 
 The upper part of each tree is fitted on a sample (about ``SAMPLE_PER_SHARD`` fingerprints per
-shard) and divides all fingerprints into shards. A fingerprint is a member of one shard per tree
+shard, at most ``MAX_SHARDS`` shards; beyond 500 million distinct fingerprints shards grow) and divides all fingerprints into shards. A fingerprint is a member of one shard per tree
 and visits as a query each other shard that the triangle bound does not rule out. Inside a shard
 the tree goes on down to small leaves.
 
@@ -31,7 +31,8 @@ from stallbook.operators.materialize import materialize
 SHINGLE_WORDS = 3
 DISTANCE = 3
 SHARD_ROWS = 16_384
-SAMPLE_PER_SHARD = 48
+MAX_SHARDS = 32_768
+SAMPLE_PER_SHARD = 32
 LEAF_ROWS = 96
 BLOCK_PAIRS = 2_000_000
 FULL = 0xFFFFFFFFFFFFFFFF
@@ -168,12 +169,12 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     """Links ``(a, b)`` that connect exactly what pairs of distinct ``_fp`` within the distance connect."""
     spark = prints.sparkSession
     total = prints.count()
-    shards = max(1, -(-total // SHARD_ROWS))
+    shards = min(MAX_SHARDS, max(1, -(-total // SHARD_ROWS)))
     wanted = shards * SAMPLE_PER_SHARD
     # A hash picks the sample, so a rerun builds the same trees; a shard's share of it has a fixed size.
     share = min(1.0, wanted / max(1, total))
     chosen = prints.where(F.pmod(F.xxhash64("_fp", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
-    sample = np.array([r[0] for r in chosen.collect()], np.int64).view(np.uint64)
+    sample = chosen.toArrow().column("_fp").to_numpy().astype(np.int64).view(np.uint64)
     trees = spark.sparkContext.broadcast([build_tree(sample, mask, SAMPLE_PER_SHARD) if shards > 1 else [] for mask in HALVES])
 
     def deal(frames):
