@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from stallbook.llm.frames import map_rows
 
-TRAIN_TEXTS = 6_000
+TRAIN_TEXTS = 5_000
 DICTIONARY_WORDS = 20_000
 TREES, DEPTH = 24, 6
 CONTEXT = 40
@@ -126,8 +126,7 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     share = min(1.0, max_texts / max(1, docs.count()))
     chosen = docs.where(F.pmod(F.xxhash64(doc_id, text), F.lit(1_000_000)) < int(1_000_000 * share))
-    # Long texts are cut only in this training sample.
-    texts = sorted(r[0] for r in chosen.select(F.substring(text, 1, 4_000)).where(F.col(text).isNotNull()).collect())
+    texts = sorted(r[0] for r in chosen.select(text).where(F.col(text).isNotNull()).collect())
     found = []
     for t in texts:
         for a, b in candidates(t):
