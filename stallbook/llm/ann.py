@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.llm.embedding_dedup import matrix, usable
+from stallbook.llm.frames import sampled
 from stallbook.llm.shipping import ship
 from stallbook.operators.materialize import materialize
 
@@ -105,7 +106,7 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedd
     total, asked = rows.agg(F.count(F.lit(1)), F.count_if("_query")).first()
     parts, blocks = max(1, -(-total // PART_ROWS)), max(1, -(-asked // QUERY_BLOCK))
     # The centre of a bounded sample; any point gives right results, this one balances the trees.
-    chosen = rows.where(F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, CENTRE_ROWS / max(1, total))) + 1)
+    chosen = sampled(rows, CENTRE_ROWS, total, "_id", salt=SEED)
     at = chosen.select(F.posexplode("_v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("x")).collect()
     centre = spark.sparkContext.broadcast({r["i"]: r["x"] for r in at})
 

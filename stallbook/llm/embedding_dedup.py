@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.components import connected_components
-from stallbook.llm.frames import Forest, redealt
+from stallbook.llm.frames import Forest, redealt, sampled
 from stallbook.llm.shipping import ship
 from stallbook.operators.materialize import materialize
 
@@ -117,8 +117,7 @@ def linked(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     total = nodes.count()
     runs = min(MAX_RUNS, max(1, -(-total // RUN_ROWS)))
     passes = passes_for(runs, threshold)
-    share = min(1.0, runs * SAMPLE_PER_RUN / max(1, total))
-    chosen = nodes.where(F.pmod(F.xxhash64("_node", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
+    chosen = sampled(nodes, runs * SAMPLE_PER_RUN, total, "_node", salt=SEED)
 
     def sample_keys(frames):
         for frame in frames:

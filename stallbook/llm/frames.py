@@ -34,6 +34,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def sampled(df: DataFrame, wanted: int, rows: int, *columns: str, salt: int = 0) -> DataFrame:
+    """About ``wanted`` of the ``rows`` of ``df``, picked by a hash of ``columns``, so that reruns pick the same; all if fewer."""
+    limit = 1 << 50
+    below = limit if rows <= wanted else -(-limit * wanted // rows)
+    return df.where(F.pmod(F.xxhash64(*columns, F.lit(salt)), F.lit(limit)) < F.lit(below))
+
+
 def map_rows(df: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str | T.StructType) -> DataFrame:
     """Apply ``function`` to lists of column values, some rows of an Arrow batch at a time."""
     if isinstance(schema, str):

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallbook.llm.frames import fresh, map_rows
+from stallbook.llm.frames import fresh, map_rows, sampled
 
 MAX_LABELLED = 24_000
 BITS = 18
@@ -78,8 +78,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, doc_id: str = "doc
     """Fit on documents with a row ``(doc_id, grade)`` in ``ratings``; grades run from 0 to ``grades - 1``."""
     ratings = ratings.where(f"{doc_id} IS NOT NULL AND grade BETWEEN 0 AND {grades - 1}")
     ratings = ratings.groupBy(F.col(doc_id).alias("_id")).agg(F.min("grade").cast("int").alias("_grade"))
-    share = min(1.0, max_rows / max(1, ratings.count()))
-    ratings = ratings.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * share))
+    ratings = sampled(ratings, max_rows, ratings.count(), "_id", salt=3)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     labelled = rows.join(F.broadcast(ratings), "_id")  # at most about max_rows short rows
     found = map_rows(

@@ -28,7 +28,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.frames import map_rows
+from stallbook.llm.frames import map_rows, sampled
 
 TRAIN_TEXTS = 5_000
 DICTIONARY_WORDS = 20_000
@@ -124,8 +124,7 @@ def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     A candidate is a known secret if it has the format of a key, or is an assigned value of 16 or
     more letters and digits that mixes both; any other candidate is a false positive.
     """
-    share = min(1.0, max_texts / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64(doc_id, text), F.lit(1_000_000)) < int(1_000_000 * share))
+    chosen = sampled(docs, max_texts, docs.count(), doc_id, text)
     texts = sorted(r[0] for r in chosen.select(text).where(F.col(text).isNotNull()).collect())
     found = []
     for t in texts:

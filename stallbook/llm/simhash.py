@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.llm.components import connected_components
-from stallbook.llm.frames import Forest, fresh, map_rows, redealt, utf8, words
+from stallbook.llm.frames import Forest, fresh, map_rows, redealt, sampled, utf8, words
 from stallbook.llm.shipping import ship
 from stallbook.operators.materialize import materialize
 
@@ -228,10 +228,8 @@ def tree_links(nodes: DataFrame, points: list[str], checks: str | None = None) -
     ship(spark)
     total = nodes.count()
     shards = min(MAX_SHARDS, max(1, -(-total // SHARD_ROWS)))
-    wanted = shards * SAMPLE_PER_SHARD
     # A hash picks the sample, so a rerun builds the same trees; a shard's share of it has a fixed size.
-    share = min(1.0, wanted / max(1, total))
-    chosen = nodes.where(F.pmod(F.xxhash64("_fp", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
+    chosen = sampled(nodes, shards * SAMPLE_PER_SHARD, total, "_fp", salt=7)
     sample = chosen.selectExpr(*[f"{p} AS _p{i}" for i, p in enumerate(points)]).toArrow()
     columns = [sample.column(i).to_numpy().astype(np.int64).view(np.uint64) for i in range(len(points))]
     grown = [[build_tree(c, mask, SAMPLE_PER_SHARD) if shards > 1 else [] for mask in HALVES] for c in columns]
