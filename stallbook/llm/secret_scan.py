@@ -38,7 +38,12 @@ MASK = "[SECRET]"
 # Names that credentials are assigned to, and formats of known keys.
 NAMES = r"(?:api_?key|access_?key|secret|token|passw(?:or)?d|pwd|credentials?|auth)"
 KNOWN = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}"
-ASSIGNED = re.compile(rf"(?i)\b[\w.-]{{0,24}}{NAMES}[\w.-]{{0,24}}\s{{0,3}}[:=]\s{{0,3}}[\"']?([^\s\"'<>]{{6,200}})")
+NAMED = rf"[\w.-]{{0,24}}{NAMES}[\w.-]{{0,24}}\s{{0,3}}[:=]\s{{0,3}}[\"']?"
+ASSIGNED = re.compile(rf"(?i)\b{NAMED}([^\s\"'<>]{{6}})")
+# A value ends before white space, a quote or a bracket; one of over LONG characters also before the next assignment in the same string.
+END = re.compile(r"[\s\"'<>]")
+NEXT = re.compile(rf"(?i)[\s\"'<>]|[&;,?|](?={NAMED}[^\s\"'<>]{{6}})")
+LONG = 200
 STRING = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
 BEFORE = re.compile(NAMES + r"[\w.-]{0,24}\s{0,3}[:=]\s{0,3}[\"']?$", re.I)
 TOKEN = re.compile(r"\w+")
@@ -53,11 +58,22 @@ class Usage:
     words: frozenset[str] = frozenset()
 
 
+def assigned(text: str) -> list[tuple[int, int]]:
+    """Spans of the values assigned to names that sound like a credential, each to its end however long it is."""
+    spans, at = [], 0
+    while found := ASSIGNED.search(text, at):
+        a = found.start(1)
+        end = END.search(text, a, a + LONG) or NEXT.search(text, a + LONG)
+        at = end.start() if end else len(text)
+        spans.append((a, at))
+    return spans
+
+
 def candidates(text: str | None) -> list[tuple[int, int]]:
     """Spans of a text that may be secrets, in order and without overlap; assigned values come first."""
     if not text:
         return []
-    spans = [m.span(1) for m in ASSIGNED.finditer(text)]
+    spans = assigned(text)
     for m in STRING.finditer(text):
         a, b = m.span()
         at = text.rfind("=", a, b - 6)

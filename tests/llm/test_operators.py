@@ -376,6 +376,21 @@ def test_secrets(spark):
     assert all(clean[i]["text"] == t for i, t in texts.items() if i not in want)
 
 
+@pytest.mark.parametrize("head,tail", [("token=", ""), ('token = "', '"'), ("password: ", ""), ("api_key='", "'")])
+def test_long_assigned_values_go_whole(spark, head, tail):
+    rng = random.Random(4)
+    value = "".join(rng.choice("ABCDEFabcdef0123456789._") for _ in range(1000))
+    everything = secret_scan.Forest([], secret_scan.Usage(), 1.0)
+    docs = spark.createDataFrame([(1, f"stone river {head}{value}{tail} light house", "en", "a", 0)], DOCS)
+    assert secret_scan.redacted(docs, everything).first()["text"] == f"stone river {head}[SECRET]{tail} light house"
+
+
+def test_long_value_ends_before_the_next_assignment():
+    first, second = "a1" * 150, "b2" * 20
+    text = f"x?token={first}&password={second} end"
+    assert [text[a:b] for a, b in secret_scan.candidates(text)] == [first, second]
+
+
 # op7
 
 
