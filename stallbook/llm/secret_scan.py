@@ -8,11 +8,12 @@ it. The small forest is read out as arrays and applied in place to every whole t
 needs no shuffle.
 
 Labelled findings are a table (candidate, before, after, is_secret). ``labelled_findings`` makes one
-from a corpus with checks of known key formats, on at most about ``TRAIN_TEXTS`` texts chosen by a
-hash; letter pairs and the dictionary are counted on the same texts.
+from the candidates of all documents with checks of known key formats, at most about
+``TRAIN_FINDINGS`` of each kind chosen by a hash, so rare secrets are all among them; letter pairs
+and the dictionary are counted on all documents.
 
-Cases: null text has no findings; findings never overlap; without labelled findings of both kinds
-the one kind there is decides (none: every candidate is reported).
+Cases: null text has no findings; findings never overlap; with fewer than ``LEAST`` labelled findings
+of a kind there is nothing to learn from, and the key formats decide instead of a forest.
 """
 
 from __future__ import annotations
@@ -29,9 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.frames import map_rows, sampled
+from stallbook.operators.materialize import materialize
 
-TRAIN_TEXTS = 5_000
+TRAIN_FINDINGS = 5_000
+TRAIN_BYTES = 1 << 26
+LEAST = 10
 DICTIONARY_WORDS = 20_000
+LETTER_PAIRS = 200_000
 TREES, DEPTH = 24, 6
 CONTEXT = 40
 MASK = "[SECRET]"
@@ -120,45 +125,96 @@ def describe(candidate: str, before: str, after: str, usage: Usage) -> list[floa
 N_FEATURES = 17
 
 
-def usage_of(texts: list[str]) -> Usage:
-    pairs: Counter[str] = Counter()
-    words: Counter[str] = Counter()
-    for text in texts:
-        tokens = [w for w in TOKEN.findall(text.lower()) if not any(map(str.isdigit, w))]
-        words.update(tokens)
-    for w, c in words.items():
-        for i in range(len(w) - 1):
-            pairs[w[i : i + 2]] += c
-    total = sum(pairs.values()) + 1
-    common = sorted((w for w in words if len(w) > 1), key=lambda w: (-words[w], w))[:DICTIONARY_WORDS]
-    return Usage({p: math.log10((c + 1) / total) for p, c in pairs.items()}, -math.log10(total), frozenset(common))
-
+def _most(counts: DataFrame, key: str, bound: int) -> tuple[dict[str, int], int]:
+    """The keys with the highest ``n``, at most ``bound`` (those tied across the bound stay out), and the sum of all ``n``."""
+    total = taken = 0
+    least = None
+    full = False
+    for n, keys in sorted(((r["n"], r["keys"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("keys")).collect()), reverse=True):
+        total += n * keys
+        full = full or taken + keys > bound
+        if not full:
+            taken, least = taken + keys, n
+    rows = counts.where(F.col("n") >= least).collect() if least is not None else []
+    return {r[key]: r["n"] for r in rows}, total
+
+
+def usage_of(docs: DataFrame, text: str = "text") -> Usage:
+    """Letter pairs and the most frequent words of all documents."""
+
+    def count_words(rows: dict[str, list]) -> dict[str, list]:
+        words: Counter[str] = Counter()
+        for t in rows["_text"]:
+            words.update(TOKEN.findall(t.lower()) if t else ())
+        some = [w for w in words if len(w) > 1 and not any(map(str.isdigit, w))]
+        return {"word": some, "n": [words[w] for w in some]}
+
+    def count_pairs(rows: dict[str, list]) -> dict[str, list]:
+        pairs: Counter[str] = Counter()
+        for w, c in zip(rows["word"], rows["n"]):
+            for i in range(len(w) - 1):
+                pairs[w[i : i + 2]] += c
+        return {"pair": list(pairs), "n": list(pairs.values())}
+
+    words = map_rows(docs.select(F.col(text).alias("_text")), count_words, "word string, n bigint")
+    words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "secret-words")
+    pairs = map_rows(words, count_pairs, "pair string, n bigint")
+    pairs = materialize(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "secret-pairs")
+    common, _ = _most(words, "word", DICTIONARY_WORDS)
+    usual, total = _most(pairs, "pair", LETTER_PAIRS)
+    total += 1
+    return Usage({p: math.log10((c + 1) / total) for p, c in usual.items()}, -math.log10(total), frozenset(common))
+
+
+def known(candidate: str, before: str) -> bool:
+    """Whether a candidate has the format of a key, or is an assigned value of 16 or more letters and digits that mixes both."""
+    if re.fullmatch(KNOWN, candidate):
+        return True
+    mixed = len(candidate) >= 16 and re.search(r"\d", candidate) and re.search(r"[A-Za-z]", candidate) and re.fullmatch(r"[\w+/=.-]+", candidate)
+    return bool(mixed and BEFORE.search(before))
+
+
+def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_findings: int = TRAIN_FINDINGS) -> tuple[list[tuple[str, str, str, int]], Usage]:
+    """``(candidate, before, after, is_secret)`` of a bounded sample of each kind, and the usage counted on all documents.
+
+    The candidates of every document are labelled: known secrets by ``known``, any other is a false
+    positive. About ``max_findings`` of each kind, and no more than about ``TRAIN_BYTES``, are drawn by
+    a hash; a kind with fewer is taken whole.
+    """
 
-def labelled_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_texts: int = TRAIN_TEXTS) -> tuple[list[tuple[str, str, str, int]], Usage]:
-    """``(candidate, before, after, is_secret)`` of a bounded sample, and the usage counted on it.
+    def label(rows: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {c: [] for c in ("_id", "start", "candidate", "before", "after", "is_secret")}
+        for key, t in zip(rows["_id"], rows["_text"]):
+            for a, b in candidates(t):
+                c, before = t[a:b], t[max(0, a - CONTEXT) : a]
+                for name, value in zip(out, (key, a, c, before, t[b : b + CONTEXT], int(known(c, before)))):
+                    out[name].append(value)
+        return out
 
-    A candidate is a known secret if it has the format of a key, or is an assigned value of 16 or
-    more letters and digits that mixes both; any other candidate is a false positive.
-    """
-    chosen = sampled(docs, max_texts, docs.count(), doc_id, text)
-    texts = sorted(r[0] for r in chosen.select(text).where(F.col(text).isNotNull()).collect())
-    found = []
-    for t in texts:
-        for a, b in candidates(t):
-            c, before = t[a:b], t[max(0, a - CONTEXT) : a]
-            mixed = len(c) >= 16 and re.search(r"\d", c) and re.search(r"[A-Za-z]", c) and re.fullmatch(r"[\w+/=.-]+", c)
-            known = bool(re.fullmatch(KNOWN, c) or (BEFORE.search(before) and mixed))
-            found.append((c, before, t[b : b + CONTEXT], int(known)))
-    return found, usage_of(texts)
+    kind = dict(docs.dtypes)[doc_id]
+    schema = f"_id {kind}, start int, candidate string, before string, after string, is_secret int"
+    found = map_rows(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), label, schema)
+    found = materialize(found, "secret-candidates")
+    sizes = found.groupBy("is_secret").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("candidate")).alias("bytes")).collect()
+    drawn: list[tuple[str, str, str, int]] = []
+    for y, n, size in sorted(sizes):
+        wanted = min(max_findings, max(1, n * TRAIN_BYTES // max(1, size)))
+        chosen = sampled(found.where(F.col("is_secret") == y), wanted, n, "_id", "start", "candidate", "before", "after")
+        drawn += sorted(tuple(r) for r in chosen.select("candidate", "before", "after", "is_secret").collect())
+    return drawn, usage_of(docs, text)
 
 
 @dataclass
 class Forest:
-    """Trees as arrays: feature (-1 at a leaf), threshold, left, right, share of secrets."""
+    """Trees as arrays: feature (-1 at a leaf), threshold, left, right, share of secrets.
+
+    Without trees ``constant`` decides, or the key formats if ``by_format``.
+    """
 
     trees: list[tuple[np.ndarray, ...]]
     usage: Usage
     constant: float = 1.0
+    by_format: bool = False
 
     def predict(self, rows: np.ndarray) -> np.ndarray:
         if not self.trees:
@@ -195,9 +251,9 @@ def _arrays(tree) -> tuple[np.ndarray, ...]:
 
 def fit(spark, findings: list[tuple[str, str, str, int]], usage: Usage) -> Forest:
     """Random forest on labelled findings (a bounded list)."""
-    kinds = {f[3] for f in findings}
-    if len(kinds) < 2:
-        return Forest([], usage, float(kinds.pop()) if kinds else 1.0)
+    kinds = Counter(int(f[3]) for f in findings)
+    if min(kinds[0], kinds[1]) < LEAST:
+        return Forest([], usage, by_format=True)
     data = [(float(y), describe(c, b, a, usage)) for c, b, a, y in findings]
     frame = spark.createDataFrame(data, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="sqrt").fit(frame)
@@ -207,6 +263,8 @@ def fit(spark, findings: list[tuple[str, str, str, int]], usage: Usage) -> Fores
 def findings(texts: list[str | None], forest: Forest) -> list[list[tuple[int, int]]]:
     """Per text the spans that the forest takes for secrets."""
     spans = [candidates(t) for t in texts]
+    if forest.by_format:
+        return [[(a, b) for a, b in s if known(t[a:b], t[max(0, a - CONTEXT) : a])] for t, s in zip(texts, spans)]
     rows = [describe(t[a:b], t[max(0, a - CONTEXT) : a], t[b : b + CONTEXT], forest.usage) for t, s in zip(texts, spans) for a, b in s]
     yes = iter((forest.predict(np.array(rows)) >= 0.5).tolist() if rows else [])
     return [[span for span in s if next(yes)] for s in spans]

@@ -391,6 +391,22 @@ def test_long_value_ends_before_the_next_assignment():
     assert [text[a:b] for a, b in secret_scan.candidates(text)] == [first, second]
 
 
+def test_rare_secrets_are_found(spark, monkeypatch):
+    rng = random.Random(12)
+    letters = "0123456789abcdef"
+    rows = [(i, f"{sentence(rng, 4)} {''.join(rng.choice(WORDS) for _ in range(6))} {'zyzzogeton' if i == 7 else ''}", "en", "a", 0) for i in range(3000)]
+    for few, limit in ((30, 200), (2, 200)):  # enough for a forest; too few, so that the formats decide
+        at = set(rng.sample(range(3000), few))
+        texts = [(i, t + f" password={''.join(rng.choice(letters) for _ in range(24))}a1" if i in at else t, *more) for i, t, *more in rows]
+        docs = spark.createDataFrame(texts, DOCS)
+        found, usage = secret_scan.labelled_findings(docs, "doc_id", "text", limit)
+        assert sum(f[3] for f in found) == few and limit / 2 < sum(not f[3] for f in found) < 2 * limit
+        assert "zyzzogeton" in usage.words  # counted on all documents
+        forest = secret_scan.fit(spark, found, usage)
+        assert forest.by_format == (few < secret_scan.LEAST)
+        assert {r["doc_id"] for r in secret_scan.scan(docs, forest).where("n_secrets > 0").collect()} == at
+
+
 # op7
 
 
