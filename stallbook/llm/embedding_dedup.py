@@ -8,10 +8,12 @@ pass. A pair is counted in the first pass that brings it together, which any tas
 run numbers of all passes; so link counts need no list of pairs. Runs hand on a spanning forest of
 their links, and the passes' forests are joined into components.
 
-The number of passes follows from the number of runs: a pair at the threshold shares the leading
-bits that tell runs apart with probability ``(1 - angle / pi) ** bits`` per pass, and passes are
-added until it meets once with probability ``RECALL``. Links are those found this way; none is
-below the threshold.
+The number of passes follows from the key bits that tell runs apart: a pair at the threshold shares
+``bits`` leading bits with probability ``(1 - angle / pi) ** bits`` per pass, and meets at once if
+it does. Evenly spread directions need log2(runs) bits, dense parts more, so each vector takes the
+most bits that its keys have needed so far to stay inside their run and the two beside it (a pass
+with few bits may have cut it off from its partners), and goes through passes until it meets a
+partner at the threshold with probability ``RECALL``, or through ``MAX_PASSES``. Links are those found this way; none is below the threshold.
 
 Equal vectors are one node with a count, so groups of copies never meet as rows; runs that sampling
 left too long are compared in blocks.
@@ -41,6 +43,8 @@ MAX_RUNS = 65_536
 RUNS_PER_TASK = 8
 SAMPLE_PER_RUN = 16
 RECALL = 0.999
+MAX_PASSES = 512
+SAMPLE_KEYS = 1 << 24
 KEY_BITS = 62
 BLOCK = 2_048
 SEED = 23
@@ -62,16 +66,38 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def keys_of(x: np.ndarray, passes: int) -> np.ndarray:
-    """``rows x passes`` sort keys; bit b of pass p is the side of a random plane, the same for every call."""
-    out = np.zeros((len(x), passes), np.int64)
+def keys_of(x: np.ndarray, passes: int, first: int = 0) -> np.ndarray:
+    """Sort keys of the passes from ``first`` on; bit b of pass p is the side of a random plane, the same for every call."""
+    out = np.zeros((len(x), passes - first), np.int64)
     weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
-    for p in range(passes):
+    for p in range(first, passes):
         planes = np.random.default_rng((SEED, p, x.shape[1])).standard_normal((x.shape[1], KEY_BITS))
-        out[:, p] = ((x @ planes) > 0) @ weights
+        out[:, p - first] = ((x @ planes) > 0) @ weights
     return out
 
 
+def own_bits(keys: np.ndarray, run: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Leading bits of a key that no key outside its run and the two beside it shares."""
+
+    def shared(other: np.ndarray) -> np.ndarray:
+        apart = keys ^ other
+        for shift in (1, 2, 4, 8, 16, 32):
+            apart |= apart >> shift
+        return KEY_BITS - np.bitwise_count(apart).astype(np.int64)
+
+    if not len(borders):
+        return np.zeros(len(keys), np.int64)
+    below = borders[np.maximum(run - 2, 0)] - 1  # the last key before the run before
+    above = borders[np.minimum(run + 1, len(borders) - 1)]  # the first key after the run after
+    return np.maximum(np.where((run >= 2) & (below >= 0), shared(np.maximum(below, 0)) + 1, 0), np.where(run + 1 < len(borders), shared(above) + 1, 0))
+
+
+def passes_of(bits: np.ndarray, threshold: float, recall: float = RECALL) -> np.ndarray:
+    """Passes until a pair at the threshold has once shared so many leading bits."""
+    meet = (1 - math.acos(threshold) / math.pi) ** bits.astype(float)
+    return np.ceil(math.log(1 - recall) / np.log1p(-np.minimum(meet, 0.999)))
+
+
 def passes_for(runs: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
     agree = 1 - math.acos(threshold) / math.pi
     meet = agree ** math.log2(max(2, runs))
@@ -116,33 +142,52 @@ def linked(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ship(spark)
     total = nodes.count()
     runs = min(MAX_RUNS, max(1, -(-total // RUN_ROWS)))
-    passes = passes_for(runs, threshold)
-    chosen = sampled(nodes, runs * SAMPLE_PER_RUN, total, "_node", salt=SEED)
-
-    def sample_keys(frames):
-        for frame in frames:
-            for _, part in _by_length(frame):
-                yield pd.DataFrame({"keys": list(keys_of(unit(matrix(part["_v"])), passes))})
-
-    # One key per pass of about SAMPLE_PER_RUN vectors a run; only the borders are sent on.
-    sample = chosen.select("_v").mapInPandas(sample_keys, "keys array<bigint>").toPandas()["keys"]
-    keys = np.sort(np.stack(list(sample)), axis=0) if len(sample) else np.zeros((0, passes), np.int64)
-    step = max(1, len(keys) // runs)
-    borders = spark.sparkContext.broadcast(np.ascontiguousarray(keys[step::step].T))
+    least = passes_for(runs, threshold)
+    chosen = materialize(sampled(nodes, runs * SAMPLE_PER_RUN, total, "_node", salt=SEED).select("_v"), "vector-sample")
+
+    def sample_keys(first: int, last: int) -> np.ndarray:
+        def run(frames):
+            for frame in frames:
+                for _, part in _by_length(frame):
+                    yield pd.DataFrame({"keys": list(keys_of(unit(matrix(part["_v"])), last, first))})
+
+        keys = chosen.mapInPandas(run, "keys array<bigint>").toPandas()["keys"]
+        return np.stack(list(keys)) if len(keys) else np.zeros((0, last - first), np.int64)
+
+    def borders_of(keys: np.ndarray) -> list[np.ndarray]:
+        step = max(1, len(keys) // runs)
+        return [np.sort(column)[step::step] for column in keys.T]
+
+    # About SAMPLE_PER_RUN vectors a run give the borders; from the first passes follows how many the densest of them need.
+    keys = sample_keys(0, least)
+    found_borders = borders_of(keys)
+    bits = [own_bits(k, np.searchsorted(b, k, side="right"), b) for k, b in zip(keys.T, found_borders)]
+    passes = max(least, int(min(MAX_PASSES, passes_of(np.max(bits), threshold)))) if len(keys) else least
+    at_once = max(1, SAMPLE_KEYS // max(1, len(keys)))  # so that the driver holds a bounded number of keys
+    for first in range(least, passes, at_once):
+        found_borders += borders_of(sample_keys(first, min(passes, first + at_once)))
+    borders = spark.sparkContext.broadcast(found_borders)
 
     def deal(frames):
         for frame in frames:
             for _, part in _by_length(frame):
-                found = keys_of(unit(matrix(part["_v"])), passes)
-                run = np.stack([np.searchsorted(borders.value[p], found[:, p], side="right") for p in range(passes)], axis=1)
+                x = unit(matrix(part["_v"]))
+                history, bits = np.zeros((len(part), 0), np.int32), np.zeros(len(part), np.int64)
                 for p in range(passes):
-                    part = part.assign(run=list(run.astype(np.int32)))
-                    own = run[:, p] // RUNS_PER_TASK
+                    found = keys_of(x, p + 1, p)[:, 0]
+                    run = np.searchsorted(borders.value[p], found, side="right")
+                    history, bits = np.column_stack([history, run.astype(np.int32)]), np.maximum(bits, own_bits(found, run, borders.value[p]))
+                    part = part.assign(run=list(history))
+                    own = run // RUNS_PER_TASK
                     yield part.assign(p=np.int32(p), part=own)
                     # The first run of a task is also the neighbour of the task before.
-                    border = (run[:, p] % RUNS_PER_TASK == 0) & (own > 0)
+                    border = (run % RUNS_PER_TASK == 0) & (own > 0)
                     if border.any():
                         yield part[border].assign(p=np.int32(p), part=own[border] - 1)
+                    go_on = (passes_of(bits, threshold) > p + 1) | (p + 1 < least)
+                    part, x, history, bits = part[go_on], x[go_on], history[go_on], bits[go_on]
+                    if not len(part):
+                        break
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
         p, part = int(key[0]), int(key[1])

@@ -326,6 +326,22 @@ def test_embedding_dedup_against_all_pairs(spark, monkeypatch):
         assert collections.Counter(map(tuple, got.collect())) == want
 
 
+def test_links_in_a_dense_part(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    n, d = 1200, 32
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[: n // 3] = x[-1] + x[: n // 3] * (1 / 0.9 - 1) ** 0.5  # a third of the rows in a cone of mean cosine 0.9
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.95).sum(axis=1) - 1
+    monkeypatch.setattr(embedding_dedup, "RUN_ROWS", 32)
+    got = embedding_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA))
+    links = sum(r["n_links"] for r in got.collect())
+    assert want.sum() > 300 and 0.995 * want.sum() <= links <= want.sum()
+
+
 def test_neighbours_against_all_rows(spark, monkeypatch):
     from pyspark.sql import functions as F
 
