@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import ann, bpe, chat, embedding_dedup, mixing, ngram_lm, quality, secret_scan, simhash, token_output
+from stallbook.llm import ann, bpe, chat, conversation_trie, decontaminate, embedding_dedup, filter_audit, mixing, ngram_lm, quality, secret_scan, simhash, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,4 +62,16 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op2_lm_scoring, op3_quality_classifier, op4_source_mixing, op5_embedding_dedup, op6_secret_scan, op7_chat_formatting, op8_token_output, op9_bpe, op10_nearest_neighbours)}
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_tree(table(spark, sf_dir, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_dedup, op2_lm_scoring, op3_quality_classifier, op4_source_mixing, op5_embedding_dedup, op6_secret_scan, op7_chat_formatting, op8_token_output, op9_bpe, op10_nearest_neighbours, op11_conversation_trie, op12_decontamination, op13_filter_audit)}
