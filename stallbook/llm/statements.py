@@ -32,7 +32,7 @@ SELECT conv_id, turn, kind, event_id, name, state, CAST(CASE kind WHEN 'result'
 FROM judged""",
     "op11_conversation_trie": r"""
 WITH RECURSIVE ordered AS (
- SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS at
+ SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
  FROM conversations WHERE conv_id IS NOT NULL),
 own AS (
  SELECT conv_id, COUNT(*) AS n, conv_id - conv_id % 20 AS base,
@@ -40,9 +40,9 @@ own AS (
    lambda c, d: list_reduce([xor(c, d), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))))) % 4 AS h
  FROM ordered GROUP BY conv_id),
 turns AS (
- SELECT c.conv_id, 0 AS part, o.at, o.role, o.text FROM own c JOIN ordered o ON o.conv_id = c.base AND o.at <= c.h
- UNION ALL SELECT c.conv_id, 1, o.at, o.role, o.text FROM own c JOIN ordered o ON o.conv_id = c.conv_id AND o.at > c.h),
-placed AS (SELECT conv_id, text, sha256(to_json([role, text])) AS t, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY part, at) AS depth FROM turns),
+ SELECT c.conv_id, 0 AS part, o.place, o.role, o.text FROM own c JOIN ordered o ON o.conv_id = c.base AND o.place <= c.h
+ UNION ALL SELECT c.conv_id, 1, o.place, o.role, o.text FROM own c JOIN ordered o ON o.conv_id = c.conv_id AND o.place > c.h),
+placed AS (SELECT conv_id, text, sha256(to_json([role, text])) AS t, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM turns),
 paths AS (
  SELECT conv_id, depth, text, string_agg(t, '') OVER w AS key FROM placed WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
  UNION ALL SELECT conv_id, 0, '', '' FROM own),
