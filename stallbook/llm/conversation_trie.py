@@ -66,9 +66,9 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     bases = spans.where(f"conv_id % {FAMILY} = 0").selectExpr("conv_id AS base", "n AS base_n")
     convs = own.join(bases, "base", "left").withColumn("lead", F.least("h", F.coalesce("base_n", F.lit(0))))
     convs = materialize(convs.selectExpr("*", "lead + greatest(n - h, 0) AS length"), "conversations")
-    kept = redealt(rows, "conv_id").join(redealt(convs.select("conv_id", "first", "h", "lead"), "conv_id"), "conv_id")
+    kept = rows.join(convs.select("conv_id", "first", "h", "lead"), "conv_id")
     kept = kept.where("row - first >= h").selectExpr("conv_id", "lead + row - first - h + 1 AS depth", "a", "b", "words")
-    heads = redealt(rows, "conv_id").join(redealt(spans.where(f"conv_id % {FAMILY} = 0").select("conv_id", "first"), "conv_id"), "conv_id")
+    heads = rows.join(spans.where(f"conv_id % {FAMILY} = 0").select("conv_id", "first"), "conv_id")
     heads = heads.where(f"row - first < {MOST_SHARED}").selectExpr("conv_id AS base", "row - first + 1 AS depth", "a", "b", "words")
     shared = convs.where("lead > 0").select("conv_id", "base", "lead").join(heads, "base").where("depth <= lead").select("conv_id", "depth", "a", "b", "words")
     return kept.unionByName(shared), convs.select("conv_id", "length")
@@ -158,7 +158,7 @@ def compacted_edges(nodes: DataFrame) -> DataFrame:
     )
     edges = edges.selectExpr("* EXCEPT (before, above)", "(n - 1) * (total - before) AS saved", "top - 1 AS depth", "above.qa AS pa", "above.qb AS pb")
     places = nodes.selectExpr("depth", *KEYS, "conv_id AS up_conv", "n AS up_n")
-    edges = redealt(edges, "depth", *KEYS).join(redealt(places, "depth", *KEYS), ["depth", *KEYS], "left").drop("depth", *KEYS)
+    edges = edges.join(places, ["depth", *KEYS], "left").drop("depth", *KEYS)
     edges = materialize(edges, "edges")
     below = edges.where("up_conv IS NOT NULL").groupBy("up_conv", "up_n").agg(F.count(F.lit(1)).alias("children"))
     below = below.withColumnsRenamed({"up_conv": "conv_id", "up_n": "n"})
@@ -177,7 +177,7 @@ def subtree_sums(edges: DataFrame) -> DataFrame:
         sent = state.where("up_conv IS NOT NULL").groupBy(*up).agg(F.sum("leaves").alias("more_leaves"), F.sum("sum").alias("more"))
         sent = sent.withColumnsRenamed({"up_conv": "conv_id", "up_n": "n"})
         jumps = state.selectExpr("conv_id AS up_conv", "n AS up_n", "up_conv AS far_conv", "up_n AS far_n")
-        state = redealt(state, *up).join(redealt(jumps, *up), up, "left").drop(*up).join(sent, ["conv_id", "n"], "left").na.fill(0, ["more_leaves", "more"])
+        state = state.join(jumps, up, "left").drop(*up).join(sent, ["conv_id", "n"], "left").na.fill(0, ["more_leaves", "more"])
         state = materialize(state.selectExpr("conv_id", "n", "far_conv AS up_conv", "far_n AS up_n", "leaves + more_leaves AS leaves", "sum + more AS sum"), "sums")
     summed = edges.join(state.select("conv_id", "n", F.col("leaves").alias("inner_leaves"), "sum"), ["conv_id", "n"], "left")
     return summed.selectExpr("* EXCEPT (inner_leaves, sum)", "coalesce(inner_leaves, 1L) AS leaves", "coalesce(sum, saved) - saved AS saved_below")
@@ -223,7 +223,7 @@ def prefix_tree(conversations: DataFrame, segment: int = SEGMENT, batch_turns: i
     edges = subtree_sums(compacted_edges(nodes)).drop("saved", "words")
     digests = end_digests(cut, convs)
     edges = edges.withColumnRenamed("total", "edge_total")
-    rows = redealt(nodes.drop("qa", "qb"), "conv_id", "n").join(redealt(edges, "conv_id", "n"), ["conv_id", "n"])
+    rows = nodes.drop("qa", "qb").join(redealt(edges, "conv_id", "n"), ["conv_id", "n"])
     rows = rows.join(digests, ["depth", *KEYS], "left")
     return rows.selectExpr(
         "conv_id", "depth", "CASE WHEN depth = 0 THEN NULL WHEN depth = top THEN up_conv ELSE conv_id END AS parent_conv_id", "n AS n_convs",

@@ -206,11 +206,11 @@ def looked_up(docs: DataFrame, sizes: list[int], table: np.ndarray, table_bits:
 def matched_windows(near: DataFrame, prints: DataFrame, windows: DataFrame) -> DataFrame:
     """``(digest, start, size, class)``: windows of documents that are windows of items, and the class of items that hold them."""
     found = near.selectExpr("digest", "inline(near)").distinct()
-    found = redealt(found, "size", "print").join(redealt(prints, "size", "print"), ["size", "print"], "left_semi")
+    found = found.join(prints, ["size", "print"], "left_semi")
     around = found.withColumn("all", F.split("words", " "))
     spots = F.expr("transform(sequence(0, size(all) - size), i -> struct(start + i AS start, array_join(slice(all, i + 1, size), ' ') AS words))")
     spots = around.where("size(all) >= size").select("digest", "size", F.inline(spots)).distinct()
-    return redealt(spots, "size", "words").join(redealt(windows, "size", "words"), ["size", "words"]).select("digest", "start", "size", "class")
+    return spots.join(windows, ["size", "words"]).select("digest", "start", "size", "class")
 
 
 def window_classes(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -222,7 +222,7 @@ def window_classes(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
     classed = windows.groupBy("size", "words").agg(F.concat_ws(" ", F.count(F.lit(1)), *hashes).alias("class"))
     classed = materialize(classed, "window-classes")
     example = classed.groupBy("class").agg(F.min(F.struct("size", "words")).alias("w")).select("class", "w.size", "w.words")
-    items = redealt(windows, "size", "words").join(redealt(example, "size", "words"), ["size", "words"]).select("class", "item")
+    items = windows.join(example, ["size", "words"]).select("class", "item")
     return classed, items
 
 
@@ -246,12 +246,12 @@ def contamination(docs: DataFrame, items: DataFrame, table_bits: int = TABLE_BIT
     sets = hits.groupBy("digest").agg(F.sort_array(F.collect_set("class")).alias("classes"))
     sets = materialize(sets.select("digest", "classes", F.sha2(F.array_join("classes", ","), 256).alias("set")), "class-sets")
     distinct = sets.groupBy("set").agg(F.min("classes").alias("classes")).select("set", F.explode("classes").alias("class"))
-    listed = redealt(distinct, "class").join(redealt(members, "class"), "class").select("set", "item").distinct()
+    listed = distinct.join(members, "class").select("set", "item").distinct()
     listed = listed.groupBy("set").agg(F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(F.sort_array(F.collect_list("item")), ","), 256).alias("items_sha256"))
-    sets = redealt(sets.select("digest", "set"), "set").join(redealt(listed, "set"), "set").drop("set")
+    sets = sets.select("digest", "set").join(redealt(listed, "set"), "set").drop("set")
     found = redealt(found.join(sets, "digest"), "digest")
 
-    out = redealt(rows.select("doc_id", "digest", "n_words"), "digest").join(found, "digest", "left")
+    out = rows.select("doc_id", "digest", "n_words").join(found, "digest", "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
         F.coalesce("items_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
