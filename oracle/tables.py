@@ -87,6 +87,11 @@ def stored_loads() -> str:
     return f"SELECT table_name, step, {big('row_count * k')} AS row_count FROM ({row_counts()}), {steps}"
 
 
+def failed_loads() -> str:
+    steps = "(VALUES ('loaded'), ('reported'), ('after failure'), ('seen by an early reader')) s(step)"
+    return f"SELECT table_name, step, {big("CASE step WHEN 'reported' THEN 1 ELSE row_count END")} AS row_count FROM ({row_counts()}), {steps}"
+
+
 def display_order() -> str:
     order = "row_number() OVER (ORDER BY cohort_month, period_number)"
     return f"SELECT {order} AS place, cohort_month, period_number, retained_customers FROM ({VIEWS['v3_retention']()})"
@@ -505,7 +510,9 @@ TABLES = {
     "m3_category_cluster_facts": lambda: cluster_facts(VIEWS["v11_product_customer_affinity"](), 4),
     "m4_review_driver_facts": lambda: "SELECT 5 AS features, true AS none_negative, 1.0::DOUBLE AS total_importance",
     "s1_csv_round_trip": csv_round_trip,
+    "s1_mixed_part_files": csv_round_trip,
     "s6_planted_defects": planted_defects,
+    "s7_failed_loads": failed_loads,
     "s10_empty_strings": lambda: statement(
         "SELECT COUNT(*) AS row_count, COUNT(review_comment_title) AS titles, COUNT(review_comment_message) AS messages FROM src_reviews"
     ),
@@ -618,5 +625,6 @@ TABLES = {
         f"(SELECT {big('review_score')} AS review_score FROM src_reviews)", "review_score", "review_count"
     ),
     "q20_cleaning_counters": cleaning_counters,
+    "q20_load_counters": cleaning_counters,
     "m1_seller_outliers": seller_outliers,
 }

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from stallbook.functions.scalars import add, agg
 from stallbook.operators.materialize import materialize
 from stallbook.quality.profile import small_table
+from stallbook.sources.versions import replace_table
 
 ASSUMPTIONS = (
     "quality is the mean review score; only sellers with enough orders for a score take part",
@@ -139,10 +140,9 @@ def stamped(result: DataFrame) -> DataFrame:
 
 
 def write_snapshot(result: DataFrame, table: str) -> None:
-    """Replace a snapshot's rows and keep the definition of an existing table."""
+    """Replace a snapshot's rows at once and keep the definition of an existing table."""
     spark = result.sparkSession
     snapshot = stamped(result)
     if spark.catalog.tableExists(table):
-        snapshot.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    else:
-        snapshot.write.saveAsTable(table)
+        snapshot = snapshot.to(spark.table(table).schema)
+    replace_table(snapshot, table)

@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from stallbook.operators.remembered import forget
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _WRITTEN: dict[str, list[str]] = {}
@@ -49,10 +53,23 @@ def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, metrics: Mapping[str, str], label: str) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` that computes the aggregates ``metrics`` while it is written, and a way to get them after that.
+
+    Put it right below the write: a task of the last stage counts once, also if it runs again, while a
+    stage before a shuffle could be counted again when its output is lost.
+    """
+    if not metrics:
+        return df, dict
+    seen = Observation(f"{label} {uuid.uuid4().hex}")
+    return df.observe(seen, *[F.expr(text).alias(name) for name, text in metrics.items()]), lambda: dict(seen.get)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the intermediate tables that this application has written; results read from them end with it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    forget(spark)
     paths = _WRITTEN.pop(_application(spark), [])
     for name in paths:
         path = hadoop.Path(name)

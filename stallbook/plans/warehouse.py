@@ -7,7 +7,7 @@ warehouse. Both are lazy apart from the small counts and samples that numbering
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,12 +122,16 @@ def clean_products(raw: DataFrame, translation: DataFrame, params: Params) -> Da
     return named.select(*[c for c in WAREHOUSE["dim_product"] if c != "product_key"])
 
 
-def clean_order_items(items: DataFrame, orders: DataFrame, params: Params) -> DataFrame:
-    """A shipping limit later than the grace period after the purchase is a data error: drop the date."""
+def clean_order_items(items: DataFrame, orders: DataFrame, params: Params, mark: bool = False) -> DataFrame:
+    """A shipping limit later than the grace period after the purchase is a data error: drop the date.
+
+    With ``mark``, the column ``_date_cleared`` tells where that happened.
+    """
     bought = orders.selectExpr("order_id", "order_purchase_timestamp AS _bought")
     too_late = f"shipping_limit_date > _bought + interval {params.shipping_grace_days} days"
     limit = f"CASE WHEN {too_late} THEN NULL ELSE shipping_limit_date END"
-    return add(items.join(bought, "order_id", "left"), shipping_limit_date=limit).drop("_bought")
+    marked = {"_date_cleared": f"coalesce({too_late}, false)"} if mark else {}
+    return add(items.join(bought, "order_id", "left"), shipping_limit_date=limit, **marked).drop("_bought")
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:
@@ -135,8 +139,8 @@ def clean_payments(payments: DataFrame) -> DataFrame:
     return add(payments, payment_installments=f"CAST({count} AS INT)")
 
 
-def clean(staging: Frames, params: Params) -> Frames:
-    """Natural-key layer of the warehouse, each table made when first used."""
+def clean(staging: Frames, params: Params, mark: bool = False) -> Frames:
+    """Natural-key layer of the warehouse, each table made when first used; ``mark`` as in ``clean_order_items``."""
 
     def padded(table: str, column: str) -> DataFrame:
         return add(staging[table], **{column: pad_zip(column)})
@@ -149,7 +153,7 @@ def clean(staging: Frames, params: Params) -> Frames:
             "dim_seller": lambda: padded("sellers", "seller_zip_code_prefix"),
             "dim_product": lambda: clean_products(staging["products"], staging["category_translation"], params),
             "dim_order": lambda: staging["orders"],
-            "fact_order_items": lambda: clean_order_items(staging["order_items"], staging["orders"], params),
+            "fact_order_items": lambda: clean_order_items(staging["order_items"], staging["orders"], params, mark),
             "fact_payments": lambda: clean_payments(staging["payments"]),
             "fact_reviews": lambda: staging["reviews"],
         }
@@ -172,10 +176,11 @@ def number_rows(df: DataFrame, key: str, order: list[str], rows_per_range: int |
     return with_global_order(df, order, row_number=key, rows_per_range=rows_per_range)
 
 
-def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | None = None) -> Frames:
+def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | None = None, watch: Callable[[str, DataFrame], DataFrame] = lambda table, df: df) -> Frames:
     """The nine warehouse tables with surrogate keys resolved through natural keys.
 
-    Tables are made when first used; a dimension is numbered once and shared by its facts.
+    Tables are made when first used; a dimension is numbered once and shared by its facts. ``watch`` gets every finished table
+    before its columns are picked.
     """
 
     def numbered(table: str, key: str, order: list[str]) -> DataFrame:
@@ -225,7 +230,7 @@ def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | N
         # Reviews have no declared key; identical (review, order) pairs may swap numbers freely.
         "fact_reviews": lambda: numbered("fact_reviews", "review_key", ["review_id", "order_id"]),
     }
-    tables = LazyFrames({name: (lambda name=name: makers[name]().select(*WAREHOUSE[name])) for name in WAREHOUSE})
+    tables = LazyFrames({name: (lambda name=name: watch(name, makers[name]()).select(*WAREHOUSE[name])) for name in WAREHOUSE})
     return tables
 
 

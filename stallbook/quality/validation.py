@@ -139,8 +139,46 @@ def review_score_shares(warehouse: Frames) -> DataFrame:
     return _with_share(agg(warehouse["fact_reviews"], ["review_score"], review_count="count(1)"), "review_count")
 
 
+def outside_calendar(params: Params) -> str:
+    return (
+        f"CAST(order_purchase_timestamp AS DATE) NOT BETWEEN DATE '{params.calendar_start}' AND DATE '{params.calendar_end}' "
+        "OR order_purchase_timestamp IS NULL"
+    )
+
+
+def staging_rules(params: Params) -> dict[str, dict[str, str]]:
+    """Counters that a staging table's rows decide alone, as aggregates."""
+    return {
+        "geolocation": {"geolocation_rows": "count(1)", "geolocation_rows_dropped": f"count_if(NOT coalesce({inside_box(params)}, false))"},
+        "products": {"product_weights_cleared": "count_if(product_weight_g = 0)"},
+        "orders": {"orders_outside_calendar": f"count_if({outside_calendar(params)})"},
+        "payments": {"installments_raised": "count_if(payment_installments = 0)"},
+    }
+
+
+# Counters of lookups, as aggregates over a finished warehouse table with its keys.
+LOOKUP_RULES: dict[str, dict[str, str]] = {
+    "dim_geolocation": {"geolocation_zips_kept": "count(1)"},
+    "dim_customer": {"customers_without_location": "count_if(geolocation_key IS NULL)"},
+    "dim_seller": {"sellers_without_location": "count_if(geolocation_key IS NULL)"},
+    "dim_product": {"products_without_category": "count_if(product_category_name IS NULL)"},
+    "dim_order": {"orders_without_customer": "count_if(customer_key IS NULL)"},
+    "fact_order_items": {
+        "items_without_seller": "count_if(seller_key IS NULL)",
+        "items_without_product": "count_if(product_key IS NULL)",
+        "items_without_order": "count_if(order_key IS NULL)",
+        "shipping_dates_cleared": "count_if(_date_cleared)",
+    },
+}
+
+
+def unmapped_categories(products: DataFrame) -> DataFrame:
+    """One row: distinct categories without an English name."""
+    return products.selectExpr("count(DISTINCT CASE WHEN product_category_name_english IS NULL THEN product_category_name END) AS unmapped_categories")
+
+
 def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataFrame:
-    """What the cleaning rules changed, and which lookups found nothing."""
+    """What the cleaning rules changed, and which lookups found nothing, by passes of its own; ``plans.loading`` counts as it loads."""
 
     def lines(df: DataFrame, **metrics: str) -> DataFrame:
         counts = df.selectExpr(*[f"{text} AS {name}" for name, text in metrics.items()])
@@ -153,10 +191,7 @@ def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataF
     orders, items = staging["orders"], staging["order_items"]
     products = cleaned["dim_product"]
     no_name = "product_category_name_english IS NULL AND product_category_name IS NOT NULL"
-    outside_calendar = (
-        f"CAST(order_purchase_timestamp AS DATE) NOT BETWEEN DATE '{params.calendar_start}' AND DATE '{params.calendar_end}' "
-        "OR order_purchase_timestamp IS NULL"
-    )
+    rules = staging_rules(params)
     late = f"shipping_limit_date > order_purchase_timestamp + interval {params.shipping_grace_days} days"
 
     def by_zip(table: str, column: str) -> DataFrame:
@@ -164,22 +199,18 @@ def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataF
 
     return union_all(
         [
-            lines(
-                staging["geolocation"],
-                geolocation_rows="count(1)",
-                geolocation_rows_dropped=f"count_if(NOT coalesce({inside_box(params)}, false))",
-            ),
+            lines(staging["geolocation"], **rules["geolocation"]),
             lines(zips, geolocation_zips_kept="count(1)"),
             unmatched("customers_without_location", by_zip("dim_customer", "customer_zip_code_prefix"), zips, "zip_code_prefix"),
             unmatched("sellers_without_location", by_zip("dim_seller", "seller_zip_code_prefix"), zips, "zip_code_prefix"),
-            lines(staging["products"], product_weights_cleared="count_if(product_weight_g = 0)"),
+            lines(staging["products"], **rules["products"]),
             lines(
                 products,
                 unmapped_categories=f"count(DISTINCT CASE WHEN {no_name} THEN product_category_name END)",
                 products_without_category="count_if(product_category_name IS NULL)",
             ),
             unmatched("orders_without_customer", orders, staging["customers"], "customer_id"),
-            lines(orders, orders_outside_calendar=f"count_if({outside_calendar})"),
+            lines(orders, **rules["orders"]),
             unmatched("items_without_seller", items, staging["sellers"], "seller_id"),
             unmatched("items_without_product", items, staging["products"], "product_id"),
             lines(
@@ -187,6 +218,6 @@ def cleaning_counters(staging: Frames, cleaned: Frames, params: Params) -> DataF
                 items_without_order="count_if(_found IS NULL)",
                 shipping_dates_cleared=f"count_if({late})",
             ),
-            lines(staging["payments"], installments_raised="count_if(payment_installments = 0)"),
+            lines(staging["payments"], **rules["payments"]),
         ]
     )

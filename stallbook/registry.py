@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from stallbook.models import features
 from stallbook.operators.materialize import materialize, scratch_path
+from stallbook.operators.remembered import remembered
 from stallbook.params import BENCH_PARAMS as P
-from stallbook.plans import warehouse
+from stallbook.plans import loading, warehouse
 from stallbook.plans.bases import Frames
 from stallbook.plans.reports import REPORTS, present
 from stallbook.quality import checks, profile, validation
 from stallbook.sources import catalog, csv_files
-from stallbook.sources.bench_tables import raw_date_frames, source_frames
+from stallbook.sources.bench_tables import base_frames, raw_date_frames, source_frames
 from stallbook.sources.catalog import register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,11 +51,16 @@ def _on_cleaned(job: Callable[[Frames], DataFrame], number_items: bool = False)
     return lambda spark, sf_dir: plain_numbers(job(warehouse.clean(source_frames(spark, sf_dir, number_items), P)))
 
 
-def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain_numbers(job(warehouse.stored_warehouse(warehouse.clean(source_frames(spark, sf_dir), P), P)))
+def built_warehouse(spark: SparkSession, sf_dir: str) -> Frames:
+    """The stored warehouse of a folder of tables: built once in a session for as long as the tables' files stand."""
+    return remembered(
+        spark, f"warehouse of {sf_dir}", base_frames(spark, sf_dir).values(), P,
+        lambda: warehouse.stored_warehouse(warehouse.clean(source_frames(spark, sf_dir), P), P),
+    )
 
-    return run
+
+def _on_warehouse(job: Callable[[Frames], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_numbers(job(built_warehouse(spark, sf_dir)))
 
 
 def _on_report(name: str, job: Callable[[DataFrame], DataFrame]) -> Query:
@@ -73,8 +79,24 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table, file_name in csv_files.FILES.items():
         raw = sources[table].withColumnsRenamed(header_names)
         csv_files.export_csv(raw, f"{folder}/source_{file_name}")
-    staged = csv_files.read_staging(spark, folder)
+    return column_checksums(csv_files.read_staging(spark, folder))
+
+
+def mixed_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sums from folders whose part files order their columns in two ways."""
+    sources = source_frames(spark, sf_dir)
+    folder = scratch_path(spark, "mixed")
+    header_names = {new: old for old, new in csv_files.RENAMES.items()}
+    for table, file_name in csv_files.FILES.items():
+        raw = sources[table].withColumnsRenamed(header_names)
+        half = f"pmod(xxhash64(`{raw.columns[0]}`), 2) = 0"
+        turned = [*raw.columns[2:], *raw.columns[1::-1]]
+        csv_files.export_csv(raw.where(half), f"{folder}/{file_name}")
+        csv_files.export_csv(raw.where(f"NOT coalesce({half}, false)").select(*turned), f"{folder}/{file_name}", mode="append")
+    return column_checksums(csv_files.read_staging(spark, folder))
 
+
+def column_checksums(staged: Frames) -> DataFrame:
     def sums(table: str) -> DataFrame:
         measures = [f"named_struct('column_name', '{c}', 'filled', count({c}), 'checksum', coalesce(sum({text_sum(c)}), 0))" for c in staged[table].columns]
         return staged[table].selectExpr("count(1) AS row_count", f"array({', '.join(measures)}) AS all").selectExpr(
@@ -122,7 +144,7 @@ def stored_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reset a database, load the warehouse into it twice, clear it; rows per table after each, read from the catalog."""
     name = "stallbook_check"
     catalog.reset_databases(spark, (name,))
-    tables = warehouse.stored_warehouse(warehouse.clean(source_frames(spark, sf_dir), P), P)
+    tables = built_warehouse(spark, sf_dir)
 
     def counts(step: str) -> list[dict]:
         stored = catalog.read_tables(spark, name)
@@ -139,6 +161,40 @@ def stored_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.small_table(spark, found, "table_name:string,step:string,row_count:bigint")
 
 
+def failed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table after a load, after one that fails half way, and as seen by a reader from before a switch to other rows."""
+    name = "stallbook_failing"
+    catalog.reset_databases(spark, (name,))
+    tables = built_warehouse(spark, sf_dir)
+    catalog.load_all(tables, name, buckets=8)
+    early = catalog.read_tables(spark, name)
+    found = []
+
+    def counts(step: str, stored: Frames) -> None:
+        rows = profile.union_all([stored[t].selectExpr(f"'{t}' AS table_name", "count(1) AS n") for t in stored]).collect()
+        found.extend({"table_name": r.table_name, "step": step, "row_count": r.n} for r in rows)
+
+    counts("loaded", early)
+    key = {t: tables[t].columns[0] for t in tables}
+    broken = {t: tables[t].where(f"assert_true(pmod(xxhash64(`{key[t]}`), 2) = 0) IS NULL") for t in tables}
+    try:
+        catalog.load_all(broken, name, buckets=8)
+    except csv_files.LoadError as problem:
+        failed = {line.split(":", 1)[0] for line in str(problem).split("; ")} & set(tables)
+        found.extend({"table_name": t, "step": "reported", "row_count": int(t in failed)} for t in tables)
+    counts("after failure", catalog.read_tables(spark, name))
+    catalog.load_all({t: tables[t].where(f"pmod(xxhash64(`{key[t]}`), 2) = 0") for t in tables}, name, buckets=8)
+    counts("seen by an early reader", early)
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return profile.small_table(spark, found, "table_name:string,step:string,row_count:bigint")
+
+
+def load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning counters as the load itself reports them."""
+    loaded = loading.load_frames(source_frames(spark, sf_dir), P, check=False)
+    return profile.small_table(spark, [{"metric": m, "value": n} for m, n in loaded.counters.items()], "metric:string,value:bigint")
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outlier list written as a snapshot twice: the second one replaces the first and keeps the table."""
     name = "stallbook_snapshot"
@@ -198,7 +254,9 @@ QUERIES: dict[str, Query] = {f"v{i}_{name}": _report(name) for i, name in enumer
 
 QUERIES |= {
     "s1_csv_round_trip": csv_round_trip,
+    "s1_mixed_part_files": mixed_part_files,
     "s6_planted_defects": planted_defects,
+    "s7_failed_loads": failed_loads,
     "s10_empty_strings": blank_texts,
     "s14_sql_over_views": sql_over_views,
     "s16_stored_loads": stored_loads,
@@ -257,6 +315,7 @@ QUERIES |= {
     "q19_payment_type_shares": _on_cleaned(validation.payment_type_shares),
     "q19_review_score_shares": _on_cleaned(validation.review_score_shares),
     "q20_cleaning_counters": _on_sources(lambda s: validation.cleaning_counters(s, warehouse.clean(s, P), P)),
+    "q20_load_counters": load_counters,
     "m1_seller_outliers": _on_report("seller_performance", features.seller_outliers),
     "m2_seller_clusters": _on_report("seller_performance", features.seller_clusters),
     "m3_category_clusters": _on_report("product_customer_affinity", features.category_clusters),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from stallbook.functions.scalars import add
 from stallbook.schemas import LOAD_ORDER
 from stallbook.sources.csv_files import LoadError, export_csv
+from stallbook.sources.versions import replace_table
 
 # Facts and orders meet on order_id: bucketed on it, their joins need no shuffle.
 BUCKET_KEYS = {
@@ -32,12 +33,9 @@ def empty_strings_to_null(df: DataFrame) -> DataFrame:
 
 
 def load_table(df: DataFrame, table: str, buckets: int | None = None) -> None:
-    """Replace a table's content; a second run leaves the same result."""
-    writer = empty_strings_to_null(df).write.mode("overwrite").format("parquet")
+    """Replace a table's content at once; a second run leaves the same result, a failed one the former rows."""
     key = BUCKET_KEYS.get(table.rsplit(".", 1)[-1])
-    if buckets and key:
-        writer = writer.bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(table)
+    replace_table(empty_strings_to_null(df), table, buckets if key else None, key)
 
 
 def load_all(frames: Mapping[str, DataFrame], database: str, buckets: int | None = None) -> None:
@@ -53,12 +51,20 @@ def load_all(frames: Mapping[str, DataFrame], database: str, buckets: int | None
         raise LoadError("; ".join(problems))
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int | None, str | None]:
+    """Number of buckets and bucket column of a stored table."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    return (int(told["Num Buckets"]), told["Bucket Columns"].strip("[]`")) if "Num Buckets" in told else (None, None)
+
+
 def clear_all(spark: SparkSession, database: str) -> None:
-    """Empty the tables, dependants first, and keep their definitions."""
+    """Empty the tables, dependants first, and keep their definitions; their last rows stay as an old version."""
     present = {t.name for t in spark.catalog.listTables(database)}
     for table in reversed(LOAD_ORDER):
         if table in present:
-            spark.sql(f"TRUNCATE TABLE {database}.{table}")
+            stored = spark.table(f"{database}.{table}")
+            spec = bucketing(spark, f"{database}.{table}")
+            replace_table(spark.createDataFrame([], stored.schema), f"{database}.{table}", *spec)
 
 
 def read_tables(spark: SparkSession, database: str, names: list[str] | None = None) -> dict[str, DataFrame]:

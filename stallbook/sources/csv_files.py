@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallbook.functions.scalars import pad_zip, text_literal, to_int, to_ts
+from stallbook.operators.materialize import materialize, observed
 from stallbook.schemas import STAGING
+from stallbook.sources.csv_records import records
 
 # Source file names (after any publisher prefix) in load order.
 FILES: dict[str, str] = {
@@ -34,8 +41,7 @@ RENAMES: dict[str, str] = {
     "geolocation_state": "state",
 }
 
-# Only these hold quoted text with line breaks. A file read that way cannot be split between
-# tasks, so the other tables are not.
+# Only these hold quoted text with line breaks, which Spark's reader cannot split between tasks.
 FREE_TEXT = {"reviews"}
 
 # Columns in which a value that is no whole number becomes NULL; dates do so as well.
@@ -77,19 +83,77 @@ def _table_of(file_name: str) -> str | None:
     return max(fits)[1] if fits else None
 
 
+def header_index(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(file, size, header)``: the first line of every file below the paths, by one job.
+
+    A session of its own makes every file one partition, and every partition stops after one row, so that a
+    file costs one short task. Files without any line are left out, and those that share a partition with
+    another one where a platform fixes the size of partitions.
+    """
+    session = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(key, str(1 << 40))
+    lines = session.read.options(lineSep="\n").text(paths)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("value").alias("header"), F.col("_metadata.file_block_start").alias("start"))
+    return first_of_each_partition(lines).where("start = 0").drop("start")
+
+
+def first_of_each_partition(df: DataFrame) -> DataFrame:
+    """One row of every partition, read no further: the partition's half of LIMIT, for which DataFrames have no method."""
+    # LIMIT is a limit of every partition below one of the whole; the plan below it is taken.
+    session = df.sparkSession
+    per_partition = df.limit(1)._jdf.logicalPlan().child()
+    return DataFrame(session._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session._jsparkSession, per_partition), session)
+
+
+def header_names(line: str) -> list[str]:
+    """Column names in a header line; nameless columns are counted."""
+    names = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]), [])
+    return [name or f"_c{i}" for i, name in enumerate(names)]
+
+
+def files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[tuple[str, int]]]:
+    """Paths and sizes of the files below ``paths``, grouped by the column names of their own headers."""
+    groups: dict[tuple[str, ...], list[tuple[str, int]]] = {}
+    pending = {unquote(file) for file in spark.read.text(paths).inputFiles()}
+    while pending and (found := header_index(spark, paths).collect()):
+        for row in found:
+            groups.setdefault(tuple(header_names(row.header)), []).append((unquote(row.file), row.size))
+        pending -= {unquote(row.file) for row in found}
+        paths = sorted(pending)  # files without a line, as a rule
+    return {names: sorted(files) for names, files in sorted(groups.items())}
+
+
 def read_raw(spark: SparkSession, paths: list[str], table: str) -> DataFrame:
     """All columns of all files as text under their staging names, and ``_broken_row`` where a row does not fit its header.
 
-    Each file is read by its own header, so files may order their columns differently.
+    Every file, also every part file of a folder, is read by its own header, so files may order their columns differently. Files
+    with the same header are one scan. Of tables with free text, files larger than a partition are
+    read record by record (``csv_records``), so that many tasks share them.
     """
-    options = {"header": True, "multiLine": table in FREE_TEXT, "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-
-    def one(path: str) -> DataFrame:
-        names = spark.read.options(**options).csv(path).columns
+    options = {"header": True, "escape": '"', "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN_ROW}
+    split_bytes = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    frames = []
+    for names, files in files_by_header(spark, paths).items():
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN_ROW]])
-        return spark.read.options(**options, columnNameOfCorruptRecord=BROKEN_ROW).schema(schema).csv(path).withColumnsRenamed(RENAMES)
-
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [one(p) for p in paths])
+        large = [file for file, size in files if table in FREE_TEXT and size > split_bytes]
+        small = [file for file, size in files if file not in set(large)]
+        if small:
+            # The header of each file is compared with the schema once more as it is read.
+            reader = spark.read.options(**options, multiLine=table in FREE_TEXT, enforceSchema=False)
+            frames.append(reader.schema(schema).csv(small))
+        if large:
+            frames.append(parsed_records(records(spark, large), schema, options))
+    if not frames:
+        raise LoadError(f"{table}: no header in {', '.join(paths)}")
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [f.withColumnsRenamed(RENAMES) for f in frames])
+
+
+def parsed_records(found: DataFrame, schema: T.StructType, options: dict) -> DataFrame:
+    """Columns of the records but the header; blank records are none."""
+    text = F.regexp_replace("_text", "\r$", "")
+    rows = found.where("_record > 1").select(text.alias("_text")).where("trim(_text) <> ''")
+    return rows.select(F.from_csv("_text", schema.simpleString(), {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items()}).alias("row")).select("row.*")
 
 
 def _text(name: str) -> str:
@@ -108,56 +172,109 @@ def _convert(name: str, dtype: T.DataType) -> str:
     return f"try_cast({text} AS {dtype.simpleString()})"
 
 
-def to_staging(raw: DataFrame, table: str) -> DataFrame:
-    """Typed staging columns; what ``lost_values`` counts as lost is NULL here."""
+def require_columns(raw: DataFrame, table: str) -> T.StructType:
+    """The staging schema; an error if a column is in no file."""
     schema = T.StructType.fromDDL(STAGING[table])
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise LoadError(f"{table}: columns not found: {', '.join(missing)}")
-    return raw.selectExpr(*[f"{_convert(f.name, f.dataType)} AS {f.name}" for f in schema])
+    return schema
 
 
-def lost_values(raw: DataFrame, table: str) -> DataFrame:
-    """``(table_name, column_name, lost, accepted)``: values that do not fit their type; one pass.
+def to_staging(raw: DataFrame, table: str) -> DataFrame:
+    """Typed staging columns; what ``lost_values`` counts as lost is NULL here."""
+    schema = require_columns(raw, table)
+    return raw.selectExpr(*[f"{_convert(f.name, f.dataType)} AS {f.name}" for f in schema])
 
-    ``accepted`` losses are those of coerced columns and dates. The row ``_broken_row`` counts rows that do
-    not fit their file's header.
-    """
+
+def loss_counts(table: str, broken: bool) -> dict[str, str]:
+    """Aggregates by column: values that do not fit their type, and under ``_broken_row`` rows that do not fit their file's header."""
     fields = T.StructType.fromDDL(STAGING[table]).fields
     counts = {f.name: f"count_if(({_text(f.name)}) IS NOT NULL AND ({_convert(f.name, f.dataType)}) IS NULL)" for f in fields}
-    broken = f"count_if({BROKEN_ROW} IS NOT NULL)" if BROKEN_ROW in raw.columns else "0L"
+    return {**counts, BROKEN_ROW: f"count_if({BROKEN_ROW} IS NOT NULL)" if broken else "0L"}
+
+
+def accepted_losses(table: str) -> list[str]:
+    """Columns in which a value that does not fit becomes NULL: the coerced ones and dates."""
+    return [f.name for f in T.StructType.fromDDL(STAGING[table]) if f.name in COERCED or isinstance(f.dataType, T.TimestampNTZType)]
+
+
+def lost_values(raw: DataFrame, table: str) -> DataFrame:
+    """``(table_name, column_name, lost, accepted)`` of ``loss_counts``, by a pass of its own."""
+    counts = loss_counts(table, BROKEN_ROW in raw.columns)
     # Every column is named, so that the reader parses whole rows and sees the broken ones.
-    counted = raw.selectExpr(*[f"{text} AS {name}" for name, text in counts.items()], f"{broken} AS {BROKEN_ROW}")
-    lenient = [f.name for f in fields if f.name in COERCED or isinstance(f.dataType, T.TimestampNTZType)]
+    counted = raw.selectExpr(*[f"{text} AS {name}" for name, text in counts.items()])
+    lenient = accepted_losses(table)
     accepted = f"column_name IN ({', '.join(text_literal(n) for n in lenient)})" if lenient else "false"
-    long = counted.unpivot([], [*counts, BROKEN_ROW], "column_name", "lost")
+    long = counted.unpivot([], list(counts), "column_name", "lost")
     return long.selectExpr(f"'{table}' AS table_name", "column_name", "lost", f"{accepted} AS accepted")
 
 
-def scan_staging(spark: SparkSession, folder: str, tables: list[str] | None = None, check: bool = True) -> tuple[dict[str, DataFrame], list[str]]:
-    """Staging tables without a problem, and the problems of the others.
+class StagingLoad(NamedTuple):
+    """Stored tables without a problem, the problems of the others, and per table what the pass that stored it counted."""
+
+    frames: dict[str, DataFrame]
+    problems: list[str]
+    counts: dict[str, dict[str, int]]
+
+
+def store_staging(raw: DataFrame, table: str, rules: Mapping[str, str] | None = None) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """The typed table written once, with its losses per column and the aggregates ``rules`` as counted by that very pass.
+
+    The counts belong to the stage that writes, where a task that runs again counts once.
+    """
+    require_columns(raw, table)
+    losses = loss_counts(table, BROKEN_ROW in raw.columns)
+    watched, lost = observed(raw, losses, f"losses of {table}")
+    typed, counted = observed(to_staging(watched, table), rules or {}, f"rules of {table}")
+    stored = materialize(typed, f"staging-{table}")
+    return stored, lost(), counted()
+
+
+def load_staging(spark: SparkSession, folder: str, tables: list[str] | None = None, rules: Mapping[str, Mapping[str, str]] | None = None) -> StagingLoad:
+    """Store the staging tables, each in one pass over its files that also counts.
 
     A missing file or column, a row that does not fit its header or a value that does not fit its
-    type keeps a table out; the others are read all the same. ``check`` reads each table once for that.
+    type keeps a table out; the others are loaded all the same.
     """
-    frames: dict[str, DataFrame] = {}
-    problems: list[str] = []
+    load = StagingLoad({}, [], {})
     for table in tables or list(FILES):
         paths = locate(spark, folder, table)
         if not paths:
-            problems.append(f"{table}: no file matching {FILES[table]} in {folder}")
+            load.problems.append(f"{table}: no file matching {FILES[table]} in {folder}")
             continue
         try:
-            raw = read_raw(spark, paths, table)
-            frame = to_staging(raw, table)
+            frame, lost, counted = store_staging(read_raw(spark, paths, table), table, (rules or {}).get(table))
         except LoadError as problem:
-            problems.append(str(problem))
+            load.problems.append(str(problem))
             continue
-        bad = lost_values(raw, table).filter("lost > 0 AND NOT accepted").collect() if check else []
+        load.counts[table] = {**counted, **{f"lost {name}": n for name, n in lost.items() if n}}
+        bad = {name: n for name, n in lost.items() if n and name not in accepted_losses(table)}
         if bad:
-            problems.append(f"{table}: " + ", ".join(f"{r.lost} bad rows" if r.column_name == BROKEN_ROW else f"{r.lost} bad values of {r.column_name}" for r in bad))
+            load.problems.append(f"{table}: " + ", ".join(f"{n} bad rows" if name == BROKEN_ROW else f"{n} bad values of {name}" for name, n in bad.items()))
         else:
-            frames[table] = frame
+            load.frames[table] = frame
+    return load
+
+
+def scan_staging(spark: SparkSession, folder: str, tables: list[str] | None = None, check: bool = True) -> tuple[dict[str, DataFrame], list[str]]:
+    """Staging tables without a problem, and the problems of the others.
+
+    With ``check`` the tables are those of ``load_staging``; without it they read the files, whose values are not looked at before.
+    """
+    if check:
+        load = load_staging(spark, folder, tables)
+        return load.frames, load.problems
+    frames: dict[str, DataFrame] = {}
+    problems: list[str] = []
+    for table in tables or list(FILES):
+        paths = locate(spark, folder, table)
+        try:
+            if not paths:
+                raise LoadError(f"{table}: no file matching {FILES[table]} in {folder}")
+            frames[table] = to_staging(read_raw(spark, paths, table), table)
+        except LoadError as problem:
+            problems.append(str(problem))
     return frames, problems
 
 
@@ -169,7 +286,7 @@ def read_staging(spark: SparkSession, folder: str, tables: list[str] | None = No
     return frames
 
 
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header, one part file per task; fractions of seconds and outer blanks are kept."""
     options = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("overwrite").options(**options).csv(path)
+    df.write.mode(mode).options(**options).csv(path)

@@ -1,6 +1,7 @@
 """CSV files, catalog loads, exports and snapshots."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -9,10 +10,13 @@ from stallbook.models.features import write_snapshot
 from stallbook.operators import materialize as materialize_module
 from stallbook.operators.materialize import scratch_root
 from stallbook.params import Params
+from stallbook.operators.remembered import remembered
+from stallbook.plans import loading
 from stallbook.plans.reports import REPORTS, view_frames
 from stallbook.plans.warehouse import IntegrityError, build_warehouse, clean
 from stallbook.schemas import WAREHOUSE
-from stallbook.sources import catalog
+from stallbook.quality import validation
+from stallbook.sources import catalog, csv_files, csv_records, versions
 from stallbook.sources.csv_files import FILES, LoadError, read_staging
 from tests.fixtures import shop, staging
 
@@ -82,6 +86,148 @@ def test_every_file_of_a_table_is_read_by_its_own_header(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("s1", "01234", "x", "SP"), ("s2", "00099", "y", "RJ")]
 
 
+def test_part_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    """Two column orders over many files: one job finds the headers, and there is one scan per header."""
+    parts = tmp_path / "x_sellers_dataset.csv"
+    parts.mkdir()
+    orders = (["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"], ["seller_state", "seller_city", "seller_id", "seller_zip_code_prefix"])
+    for i in range(60):
+        row = {"seller_id": f"s{i}", "seller_zip_code_prefix": "7", "seller_city": "rome", "seller_state": "LA"}
+        names = orders[i % 2]
+        (parts / f"part-{i:03} %41.csv").write_text(f"{','.join(names)}\n{','.join(row[n] for n in names)}\n")
+    (parts / "part-900.csv").write_text("")
+    (parts / "_SUCCESS").write_text("")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = csv_files.files_by_header(spark, [str(parts)])
+    # One job reads the headers, another one looks whether the empty file has one.
+    assert len(tracker.getJobIdsForGroup("headers")) <= 2
+    assert sorted(map(len, found.values())) == [30, 30] and set(found) == {tuple(o) for o in orders}
+    raw = csv_files.read_raw(spark, [str(parts)], "sellers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert raw._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    rows = {tuple(r) for r in csv_files.to_staging(raw, "sellers").collect()}
+    assert rows == {(f"s{i}", "00007", "rome", "LA") for i in range(60)}
+
+
+def review_file(path, breaks="\n"):
+    rng = random.Random(3)
+    texts = ["", "plain", f'"a{breaks}b ""q"" {breaks}{breaks}, c"', '"x\r\ny"', '""', "  sp ", '"{}"', f'"it{breaks}goes on{breaks * 30}to here"', '"""quoted"""']
+    lines = [CSV["reviews"].split("\n")[0]]
+    for i in range(3_000):
+        lines.append(f"r{i},o{i},{i % 5 + 1},,{rng.choice(texts)},2018-01-09 00:00:00,2018-01-10 00:00:00")
+        lines += [""] * (rng.random() < 0.01) + ["r,bad,row"] * (rng.random() < 0.01)
+    lines.append('r9,o9,1,,"never closed,2018-01-09 00:00:00,2018-01-10 00:00:00')
+    lines += [f"r{i},o{i},1,,x,," for i in range(5)]
+    path.write_text("\n".join(lines), newline="")
+    return path.stat().st_size
+
+
+def test_one_large_file_of_free_text_is_read_by_many_tasks(spark, tmp_path):
+    size = review_file(tmp_path / "x_order_reviews_dataset.csv")
+    path = [str(tmp_path / "x_order_reviews_dataset.csv")]
+    whole = csv_files.read_raw(spark, path, "reviews")
+    wanted, lost = sorted(map(str, whole.collect())), sorted(map(str, csv_files.lost_values(whole, "reviews").collect()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 20))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert csv_records.numbered_lines(spark, path).select("_start").distinct().count() >= 20
+        cut = csv_files.read_raw(spark, path, "reviews")
+        assert sorted(map(str, cut.collect())) == wanted
+        assert sorted(map(str, csv_files.lost_values(cut, "reviews").collect())) == lost
+        with pytest.raises(LoadError, match="bad rows"):
+            read_staging(spark, str(tmp_path), ["reviews"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def rows_read(spark):
+    """Rows that all stages so far have read from files."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+
+def test_a_load_reads_each_file_once_and_counts_what_it_changes(spark, tmp_path):
+    folder = write_files(tmp_path)
+    head = CSV["customers"].split("\n")[0]
+    (tmp_path / "more_customers_dataset.csv").write_text(head + "\n" + "".join(f"k{i},p{i},77777,x,SP\n" for i in range(100_000)))
+    before = rows_read(spark)
+    load = csv_files.load_staging(spark, folder, ["customers"])
+    # Every row once, and of each file what fills a pipe while its header is looked at.
+    assert 100_004 <= rows_read(spark) - before < 120_000 and load.frames["customers"].count() == 100_004
+    loaded = loading.load_folder(spark, folder, P)
+    assert loaded.tables["dim_customer"].count() == 100_004
+    staged = read_staging(spark, folder)
+    wanted = {r.metric: r.value for r in validation.cleaning_counters(staged, clean(staged, P), P).collect()}
+    assert {m: n for m, n in loaded.counters.items() if ": lost" not in m} == wanted and wanted["customers_without_location"] == 100_002
+    assert loaded.counters["orders: lost order_approved_at"] == 1
+
+
+def test_a_failed_load_leaves_the_former_rows(spark):
+    catalog.reset_databases(spark, ("swap",))
+    spark.sql("CREATE TABLE swap.t (a BIGINT) USING parquet COMMENT 'kept'")
+    catalog.load_table(spark.range(5).toDF("a"), "swap.t")
+    early = spark.table("swap.t")
+    with pytest.raises(Exception, match="half way"):
+        catalog.load_table(spark.range(100, numPartitions=4).selectExpr("CASE WHEN id > 80 THEN raise_error('half way') ELSE id END AS a"), "swap.t")
+    assert spark.table("swap.t").count() == 5 and len(versions.stored_versions(spark, "swap.t")) == 1
+
+    def none_above(df):
+        if df.where("a > 8").count():
+            raise ValueError("too large")
+
+    with pytest.raises(ValueError, match="too large"):
+        versions.replace_table(spark.range(10).toDF("a"), "swap.t", check=none_above)
+    assert spark.table("swap.t").count() == 5
+    versions.replace_table(spark.range(7).toDF("a"), "swap.t", check=none_above)
+    # The former version still serves those who planned before the switch; older ones go.
+    assert (spark.table("swap.t").count(), early.count(), len(versions.stored_versions(spark, "swap.t"))) == (7, 5, 2)
+    catalog.load_table(spark.range(8).toDF("a"), "swap.t")
+    assert spark.table("swap.t").count() == 8 and len(versions.stored_versions(spark, "swap.t")) == 2
+    assert "kept" in str(spark.sql("DESCRIBE EXTENDED swap.t").collect())
+    assert [t.name for t in spark.catalog.listTables("swap")] == ["t"]
+    spark.sql("DROP DATABASE swap CASCADE")
+
+
+def test_bucketed_loads_write_a_file_per_bucket_and_join_in_place(spark):
+    catalog.reset_databases(spark, ("bkt",))
+    rows = spark.range(0, 4_000, numPartitions=40).selectExpr("CAST(id AS STRING) AS order_id", "id AS v")
+    hot = rows.unionByName(spark.range(0, 9_000, numPartitions=40).selectExpr("'7' AS order_id", "id AS v"))
+    tables = {"dim_order": rows, "fact_order_items": hot}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for t, df in tables.items():
+            versions.replace_table(df, f"bkt.{t}", 16, "order_id", rows_per_file=1_000)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        files = {t: len(spark.table(f"bkt.{t}").inputFiles()) for t in tables}
+        assert files == {"dim_order": 16, "fact_order_items": 16 + 9}
+        joined = spark.table("bkt.fact_order_items").join(spark.table("bkt.dim_order"), "order_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 13_000
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        catalog.clear_all(spark, "bkt")
+        assert spark.table("bkt.dim_order").count() == 0 and catalog.bucketing(spark, "bkt.dim_order") == (16, "order_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE bkt CASCADE")
+
+
+def test_results_are_reused_until_a_source_changes(spark, tmp_path):
+    path, built = str(tmp_path / "t"), []
+    spark.range(3).write.parquet(path)
+
+    def total(params=1):
+        return remembered(spark, "total", [spark.read.parquet(path)], params, lambda: built.append(1) or spark.read.parquet(path).count())
+
+    assert [total(), total(), len(built)] == [3, 3, 1]
+    spark.range(4).write.mode("append").parquet(path)
+    assert [total(), total(), len(built)] == [7, 7, 2]
+    assert [total(2), len(built)] == [7, 3]
+
+
 def test_bad_rows_and_values_fail_their_table(spark, tmp_path):
     write_files(tmp_path)
     (tmp_path / "b_sellers_dataset.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns2,1,x,SP,extra\n")
