@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
@@ -115,15 +116,23 @@ def header_names(line: str) -> list[str]:
 def files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[tuple[str, int]]]:
     """Paths and sizes of the files below ``paths``, grouped by the column names of their own headers."""
     groups: dict[tuple[str, ...], list[tuple[str, int]]] = {}
-    pending = {unquote(file) for file in spark.read.text(paths).inputFiles()}
-    while pending and (found := header_index(spark, paths).collect()):
-        for row in found:
-            groups.setdefault(tuple(header_names(row.header)), []).append((unquote(row.file), row.size))
-        pending -= {unquote(row.file) for row in found}
-        paths = sorted(pending)  # files without a line, as a rule
+    pending = {plain_path(file) for file in spark.read.text(paths).inputFiles()}
+    while pending:
+        found = {plain_path(row.file): row for row in header_index(spark, paths).collect()}
+        for file, row in found.items():
+            groups.setdefault(tuple(header_names(row.header)), []).append((file, row.size))
+        if not pending & set(found):
+            break  # what is left has no line
+        pending -= set(found)
+        paths = sorted(pending)
     return {names: sorted(files) for names, files in sorted(groups.items())}
 
 
+def plain_path(file: str) -> str:
+    """A file's name as Spark gives it out: without escapes, and with one slash after a scheme that has no host."""
+    return re.sub(r"^([\w+.-]+):///", r"\1:/", unquote(file))
+
+
 def read_raw(spark: SparkSession, paths: list[str], table: str) -> DataFrame:
     """All columns of all files as text under their staging names, and ``_broken_row`` where a row does not fit its header.
 
