@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallbook.operators.remembered import remembered
 from stallbook.params import Params
 from stallbook.plans.bases import Frames
 from stallbook.plans.views import customers, market, sellers
+from stallbook.sources.catalog import read_tables, register_views
 
 Report = Callable[[Frames, Params], DataFrame]
 
@@ -63,6 +66,18 @@ def view_frames(frames: Frames, params: Params) -> dict[str, DataFrame]:
 
     Over a stored warehouse most are plans that follow its tables. Those that rank (rfm, clv, seller_performance,
     pareto_analysis) or share a stored base (seller_health, regional_analysis) hold intermediate results of the time
-    of this call: they are snapshots, and calling this and ``register_views`` again refreshes them.
+    of this call: they are snapshots. ``query_views`` makes them again when the tables have changed.
     """
     return {f"vw_{name}": report(frames, params) for name, report in REPORTS.items()}
+
+
+def query_views(spark: SparkSession, database: str, text: str, params: Params) -> DataFrame:
+    """Run SQL over ``vw_`` views of a stored warehouse, which show its tables' rows of now.
+
+    A view named in ``text`` is registered anew if a file of the tables has changed since it was; otherwise its stored
+    intermediate results are used again.
+    """
+    tables = read_tables(spark, database)
+    for name in sorted(set(re.findall(r"\bvw_(\w+)", text)) & set(REPORTS)):
+        remembered(spark, f"view vw_{name} of {database}", tables.values(), params, lambda name=name: register_views({f"vw_{name}": run_report(name, tables, params)}))
+    return spark.sql(text)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stallbook.functions.scalars import add, agg, money, cents, percent
 from stallbook.operators.joins import rows_with_key_in, rows_without_key_in
+from stallbook.operators.key_presence import reference_counts
 from stallbook.params import Params
 from stallbook.plans.warehouse import inside_box
-from stallbook.quality.profile import Frames, union_all
+from stallbook.quality.profile import Frames, small_table, union_all
 
 # Foreign keys between the source tables.
 REFERENCES = [
@@ -46,19 +48,14 @@ def duplicated_rows(df: DataFrame, key: str) -> DataFrame:
 
 
 def orphaned_keys(staging: Frames) -> DataFrame:
-    """Distinct child keys and how many of them have no parent."""
-
-    def of(child: str, child_key: str, parent: str, parent_key: str) -> DataFrame:
-        keys = staging[child].selectExpr(f"{child_key} AS k").filter("k IS NOT NULL").distinct()
-        parents = staging[parent].selectExpr(f"{parent_key} AS k").distinct().selectExpr("k", "true AS known")
-        sums = keys.join(parents, "k", "left").selectExpr("count(1) AS n", "count_if(known IS NULL) AS missing")
-        return sums.selectExpr(
-            f"'{child}' AS child_table", f"'{child_key}' AS child_key", f"'{parent}' AS parent_table",
-            f"'{parent_key}' AS parent_key", "n AS child_distinct_values", "missing AS orphaned_values",
-            f"coalesce({percent('missing', 'n', 4)}, 0) AS orphaned_percentage",
-        )
-
-    return union_all([of(*r) for r in REFERENCES])
+    """Distinct child keys and how many of them have no parent; all references from one pass over their keys."""
+    spark = next(iter(staging.values())).sparkSession
+    names = [dict(zip(("child_table", "child_key", "parent_table", "parent_key"), r), at=i) for i, r in enumerate(REFERENCES)]
+    told = small_table(spark, names, "at:int,child_table:string,child_key:string,parent_table:string,parent_key:string")
+    return reference_counts(staging, REFERENCES).join(F.broadcast(told), "at").selectExpr(
+        "child_table", "child_key", "parent_table", "parent_key", "keys AS child_distinct_values", "lost_keys AS orphaned_values",
+        f"coalesce({percent('lost_keys', 'keys', 4)}, 0) AS orphaned_percentage",
+    )
 
 
 def sequence_violations(staging: Frames) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stallbook.functions.scalars import agg, cents, percent, ratio
 from stallbook.operators.joins import count_without_key_in
+from stallbook.operators.key_presence import reference_counts
 from stallbook.params import Params
 from stallbook.plans.warehouse import inside_box
-from stallbook.quality.profile import Frames, union_all
+from stallbook.quality.profile import Frames, small_table, union_all
 from stallbook.schemas import REQUIRED
 
 # References inside the warehouse; the date may be missing on purpose.
@@ -36,17 +38,13 @@ def row_counts(warehouse: Frames, ranges: dict[str, tuple[int, int]]) -> DataFra
 
 
 def referential_integrity(warehouse: Frames) -> DataFrame:
-    """Rows whose reference does not resolve."""
-
-    def of(child: str, key: str, parent: str, parent_key: str, optional: bool) -> DataFrame:
-        rows = warehouse[child].selectExpr(f"{key} AS k")
-        rows = rows.filter("k IS NOT NULL") if optional else rows
-        parents = warehouse[parent].selectExpr(f"{parent_key} AS k")
-        return count_without_key_in(rows, parents, "k", "orphaned_rows").selectExpr(
-            f"'{child}.{key}' AS reference", f"'{parent}' AS parent_table", "orphaned_rows", "orphaned_rows = 0 AS passed"
-        )
-
-    return union_all([of(*r) for r in WAREHOUSE_REFERENCES])
+    """Rows whose reference does not resolve; all references from one pass over their keys. A missing key counts where it is mandatory."""
+    spark = next(iter(warehouse.values())).sparkSession
+    names = [{"at": i, "reference": f"{child}.{key}", "parent_table": parent, "optional": optional} for i, (child, key, parent, _, optional) in enumerate(WAREHOUSE_REFERENCES)]
+    told = small_table(spark, names, "at:int,reference:string,parent_table:string,optional:boolean")
+    lost = reference_counts(warehouse, [r[:4] for r in WAREHOUSE_REFERENCES]).join(F.broadcast(told), "at")
+    lost = lost.selectExpr("reference", "parent_table", "lost_rows + CASE WHEN optional THEN 0 ELSE null_rows END AS orphaned_rows")
+    return lost.selectExpr("*", "orphaned_rows = 0 AS passed")
 
 
 def required_columns(warehouse: Frames) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from stallbook.operators import key_presence
 from stallbook.params import BENCH_PARAMS as P
 from stallbook.plans import warehouse
 from stallbook.plans.reports import REPORTS
@@ -171,3 +172,20 @@ def test_models_read_their_report_once(spark, frames, monkeypatch):
     monkeypatch.setattr(features, "materialize", lambda df, label: stored.append(label) or keep(df, label))
     out = features.category_clusters(REPORTS["product_customer_affinity"](frames, P))
     assert stored == ["features"] and "lineitem" not in plan(out)
+
+
+def test_references_share_one_pass_over_their_keys(spark):
+    """A hot key is combined before the shuffle; each table is read once and every key domain is shuffled once."""
+    frames = {
+        "parents": spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int"),
+        "hot": spark.range(0, 30_000, numPartitions=8).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN 1 END AS parent", "CAST(id % 5 AS STRING) AS other"),
+        "others": spark.createDataFrame([("0",), ("1",)], "id string"),
+    }
+    references = [("hot", "parent", "parents", "id"), ("hot", "other", "others", "id"), ("parents", "id", "others", "id")]
+    counted = key_presence.reference_counts(frames, references)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # One exchange of keys, one of the sums.
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1
+    assert [tuple(r) for r in counted.orderBy("at").collect()] == [(0, 2, 1, 10_000, 10_000), (1, 5, 3, 0, 18_000), (2, 2, 1, 1, 2)]
+    keys = {(r.domain, r.k): r.c0 for r in key_presence.key_counts(frames, references).collect()}
+    assert keys[0, "2"] == 2 and keys[0, "7"] == 0

@@ -12,7 +12,7 @@ from stallbook.operators.materialize import scratch_root
 from stallbook.params import Params
 from stallbook.operators.remembered import remembered
 from stallbook.plans import loading
-from stallbook.plans.reports import REPORTS, view_frames
+from stallbook.plans.reports import REPORTS, query_views, view_frames
 from stallbook.plans.warehouse import IntegrityError, build_warehouse, clean
 from stallbook.schemas import WAREHOUSE
 from stallbook.quality import validation
@@ -215,6 +215,20 @@ def test_bucketed_loads_write_a_file_per_bucket_and_join_in_place(spark):
         spark.sql("DROP DATABASE bkt CASCADE")
 
 
+def test_views_follow_the_stored_tables(spark):
+    catalog.reset_databases(spark, ("live",))
+    sales = [("o1", "a", "2018-01-05 10:00:00", "s", 100), ("o2", "b", "2018-03-05 10:00:00", "s", 50)]
+    text = "SELECT count(*) AS n FROM vw_seller_performance p JOIN vw_customer_health h ON p.total_orders >= 1"
+    seen = []
+    for more in ([], [], [("o3", "c", "2018-03-06 10:00:00", "t", 70)]):
+        if more or not seen:
+            sales += more
+            catalog.load_all(build_warehouse(staging(spark, **shop(*sales)), P), "live")
+        seen.append(query_views(spark, "live", text, P).first().n)
+    assert seen == [2, 2, 6]
+    spark.sql("DROP DATABASE live CASCADE")
+
+
 def test_results_are_reused_until_a_source_changes(spark, tmp_path):
     path, built = str(tmp_path / "t"), []
     spark.range(3).write.parquet(path)
