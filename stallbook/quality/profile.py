@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stallbook.functions.scalars import add, agg, text_literal, to_ts
-from stallbook.operators.joins import rows_with_key_in
 from stallbook.operators.materialize import materialize
 from stallbook.operators.order_stats import quantile_ranks, select_at_ranks
 from stallbook.schemas import DATE_COLUMNS
@@ -45,13 +44,12 @@ def dataset_shapes(staging: Frames) -> DataFrame:
 
     def of(name: str) -> DataFrame:
         df = staging[name]
-        # Rows are counted by a hash; only where a hash repeats are whole rows compared.
-        hashed = add(df, _h=f"xxhash64({', '.join(f'`{c}`' for c in df.columns)})")
-        counts = agg(hashed, ["_h"], n="count(1)")
-        alike = rows_with_key_in(hashed, counts.filter("n > 1"), "_h").drop("_h")
-        repeats = agg(alike, df.columns, n="count(1)").selectExpr("0L AS n", "coalesce(sum(n - 1), 0) AS repeated")
-        both = counts.selectExpr("coalesce(sum(n), 0) AS n", "0L AS repeated").unionAll(repeats)
-        return both.selectExpr("sum(n) AS n", "sum(repeated) AS repeated").selectExpr(
+        # Rows are counted by 128 bits that stand for all their values, so that no text is shuffled. Hashes skip
+        # NULLs, hence the mask of them.
+        values = ", ".join([*(f"`{c}`" for c in df.columns), *(f"`{c}` IS NULL" for c in df.columns)])
+        counts = agg(df.selectExpr(f"xxhash64({values}) AS _h", f"xxhash64(7, {values}) AS _g"), ["_h", "_g"], n="count(1)")
+        both = counts.selectExpr("coalesce(sum(n), 0) AS n", "coalesce(sum(n - 1), 0) AS repeated")
+        return both.selectExpr(
             f"'{name}' AS dataset",
             "n AS row_count",
             f"{len(df.columns)} AS column_count",

@@ -11,7 +11,7 @@ from stallbook.params import BENCH_PARAMS as P
 from stallbook.plans import warehouse
 from stallbook.plans.reports import REPORTS
 from stallbook.plans.views import customers, sellers
-from stallbook.quality import checks
+from stallbook.quality import checks, profile
 from stallbook.sources.bench_tables import source_frames
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -189,3 +189,27 @@ def test_references_share_one_pass_over_their_keys(spark):
     assert [tuple(r) for r in counted.orderBy("at").collect()] == [(0, 2, 1, 10_000, 10_000), (1, 5, 3, 0, 18_000), (2, 2, 1, 1, 2)]
     keys = {(r.domain, r.k): r.c0 for r in key_presence.key_counts(frames, references).collect()}
     assert keys[0, "2"] == 2 and keys[0, "7"] == 0
+
+
+def shuffled_bytes(spark, df):
+    """Bytes that all stages write to shuffles while ``df`` is collected."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def so_far():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before, rows = so_far(), df.collect()
+    return so_far() - before, rows
+
+
+def test_repeated_rows_are_found_without_shuffling_texts(spark):
+    def table(letters):
+        text = f"CASE WHEN id % 5 > 0 THEN repeat(md5(CAST(id % 4000 AS STRING)), {letters}) END"
+        return {"t": spark.range(0, 6_000, numPartitions=4).selectExpr("id % 3000 AS k", f"{text} AS a", f"CASE WHEN id % 2 = 0 THEN {text} END AS b")}
+
+    (short, few), (long, many) = (shuffled_bytes(spark, profile.dataset_shapes(table(n))) for n in (1, 200))
+    assert few == many and long < 1.2 * short
+    swapped = spark.createDataFrame([("x", None), (None, "x"), ("x", None), ("", None), (None, None), (None, None)], "a string, b string")
+    assert profile.dataset_shapes({"t": swapped}).first().duplicate_rows == 2
