@@ -115,11 +115,13 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedd
 
     part = F.pmod(F.xxhash64("_id", "_v", F.lit(SEED + 1)), F.lit(parts)).cast("int")
     block = F.pmod(F.xxhash64("_id", "_v", F.lit(SEED + 2)), F.lit(blocks)).cast("int")
-    held = rows.select(part.alias("part"), spread(blocks).alias("block"), "_id", "_v", F.lit(False).alias("_query"))
-    asking = rows.where("_query").select(spread(parts).alias("part"), block.alias("block"), "_id", "_v", "_query")
+    # A query is a distinct id and vector: equal rows ask once, and other vectors under the same id are ranked on their own.
+    asker = F.xxhash64("_id", "_v", F.lit(SEED + 3))
+    held = rows.select(part.alias("part"), spread(blocks).alias("block"), "_id", "_v", F.lit(False).alias("_query"), F.lit(0).cast("bigint").alias("_asker"))
+    asking = rows.where("_query").dropDuplicates(["_id", "_v"]).select(spread(parts).alias("part"), block.alias("block"), "_id", "_v", "_query", asker.alias("_asker"))
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
+        out = [pd.DataFrame({"query_id": [], "asker": [], "vec_id": [], "score": []}, dtype="int64")]
         for length, group in frame.groupby(frame["_v"].map(len)):
             rows_here, queries = group[~group["_query"]], group[group["_query"]]
             if not len(rows_here) or not len(queries):
@@ -129,9 +131,10 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedd
             forest = PrefixForest(matrix(rows_here["_v"]), rows_here["_id"].to_numpy(np.int64), middle)
             ids = queries["_id"].to_numpy(np.int64)
             found = forest.search(matrix(queries["_v"]), ids, k, share)
-            out.append(pd.DataFrame({"query_id": np.repeat(ids, [len(f[0]) for f in found]), "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])}))
-        return pd.concat(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+            counts = [len(f[0]) for f in found]
+            out.append(pd.DataFrame({"query_id": np.repeat(ids, counts), "asker": np.repeat(queries["_asker"].to_numpy(np.int64), counts), "vec_id": np.concatenate([f[0] for f in found]), "score": np.concatenate([f[1] for f in found])}))
+        return pd.concat(out).astype({"query_id": "int64", "asker": "int64", "vec_id": "int64", "score": "float64"})
 
-    near = held.unionByName(asking).groupBy("part", "block").applyInPandas(search, "query_id bigint, vec_id bigint, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    near = held.unionByName(asking).groupBy("part", "block").applyInPandas(search, "query_id bigint, asker bigint, vec_id bigint, score double")
+    order = Window.partitionBy("query_id", "asker").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
