@@ -41,8 +41,7 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    forest = secret_scan.fit(spark, *secret_scan.labelled_findings(docs))
-    return secret_scan.scan(docs, forest)
+    return secret_scan.scan(docs, secret_scan.trained(docs))
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

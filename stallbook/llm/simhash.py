@@ -11,10 +11,7 @@ shard, at most ``MAX_SHARDS`` shards; beyond 500 million distinct fingerprints s
 and visits as a query each other shard that the triangle bound does not rule out. Inside a shard
 the tree goes on down to small leaves.
 
-``one_of_each`` finds near copies (five-word shingles, similarity of about 0.8 or more), which differ
-in more than 3 of 64 bits. It takes ``TABLES`` fingerprints of the set of words, searches each by the
-same trees, and links a pair that is close in one of them if its ``TABLES`` fingerprints of the set of
-shingles differ in at most ``COPY_BITS`` bits together.
+``one_of_each`` keeps one row of each component.
 
 Cases: null or empty text has fingerprint 0 and is linked like any other; equal fingerprints are
 one node, so groups of copies never meet as rows; rows with a null id take part, but an id that is
@@ -40,9 +37,6 @@ SHARD_ROWS = 16_384
 MAX_SHARDS = 32_768
 SAMPLE_PER_SHARD = 32
 LEAF_ROWS = 96
-COPY_WORDS = 5
-TABLES = 6
-COPY_BITS = 67
 BLOCK_PAIRS = 1_000_000
 FULL = 0xFFFFFFFFFFFFFFFF
 HALVES = (0xFFFFFFFF00000000, 0x00000000FFFFFFFF)
@@ -66,41 +60,6 @@ def fingerprint(text: bytes | None, size: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def _majority(hashes: np.ndarray) -> int:
-    """The bits set in over half of the hashes, as a signed number."""
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65_536):
-        bits = np.unpackbits(hashes[at : at + 65_536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big", signed=True)
-
-
-def sketch(text: bytes | None) -> tuple[list[int], list[int]]:
-    """``TABLES`` fingerprints each of the distinct words and of the distinct five-word shingles; 0 without words."""
-    tokens = words(text)
-    out = []
-    for size in (1, COPY_WORDS):
-        parts = {b" ".join(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))} if tokens else set()
-        hashes = np.fromiter((xxhash.xxh64_intdigest(p, 42) for p in parts), np.uint64, len(parts))
-        # a multiplication and a shift give each table bits of its own
-        tables = [(h := hashes * np.uint64(2 * t + 0x9E3779B97F4A7C15)) ^ (h >> np.uint64(29)) for t in range(TABLES)]
-        out.append([_majority((t * np.uint64(0xBF58476D1CE4E5B9)) ^ (t >> np.uint64(32))) for t in tables])
-    return out[0], out[1]
-
-
-def sketches(docs: DataFrame, text: str, *keys: str) -> DataFrame:
-    """``keys`` of every row, ``_words`` and ``_shingles`` (``TABLES`` fingerprints each) and their hash ``_fp``."""
-    types = dict(docs.select(*keys).dtypes)
-
-    def run(rows: dict[str, list]) -> dict[str, list]:
-        found = [sketch(t) for t in rows["_utf8"]]
-        return {**{k: rows[k] for k in keys}, "_words": [f[0] for f in found], "_shingles": [f[1] for f in found]}
-
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "_words array<bigint>", "_shingles array<bigint>"])
-    found = map_rows(docs.select(*keys, utf8(text).alias("_utf8")), run, schema)
-    return found.withColumn("_fp", F.xxhash64("_words", "_shingles"))
-
-
 def fingerprints(docs: DataFrame, text: str, *keys: str) -> DataFrame:
     """``keys`` of every row and its fingerprint as a signed bigint ``_fp``."""
     types = dict(docs.select(*keys).dtypes)
@@ -186,11 +145,8 @@ def route(nodes: list[tuple], points: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(index), np.concatenate(leaf), np.concatenate(member)
 
 
-def shard_links(points: np.ndarray, n_members: int, mask: int, checks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, as index pairs, of all links between members (the first points) and any point.
-
-    With ``checks``, fingerprints of the shingles in rows, a pair must also be near in these.
-    """
+def shard_links(points: np.ndarray, n_members: int, mask: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, as index pairs, of all links between members (the first points) and any point."""
     forest = Forest(len(points))
     stack = [(np.arange(n_members), np.arange(len(points)))]
     while stack:
@@ -202,13 +158,7 @@ def shard_links(points: np.ndarray, n_members: int, mask: int, checks: np.ndarra
                 block = asking[at : at + step]
                 near = np.bitwise_count(points[members][:, None] ^ points[block][None, :]) <= DISTANCE
                 i, j = np.nonzero(near)
-                i, j = members[i], block[j]
-                if checks is not None:
-                    apart = forest.root[i] != forest.root[j]
-                    i, j = i[apart], j[apart]
-                    close = np.bitwise_count(checks[i] ^ checks[j]).sum(axis=1, dtype=np.int64) <= COPY_BITS
-                    i, j = i[close], j[close]
-                forest.link(i, j)
+                forest.link(members[i], block[j])
             continue
         vantage, bits, radius, cut = found
         dm = _distance(points[members], vantage, bits)
@@ -218,55 +168,42 @@ def shard_links(points: np.ndarray, n_members: int, mask: int, checks: np.ndarra
     return forest.edges()
 
 
-def tree_links(nodes: DataFrame, points: list[str], checks: str | None = None) -> DataFrame:
-    """Links ``(a, b)`` between ``_fp`` that connect exactly what all pairs within the distance in any of ``points`` connect.
-
-    ``points`` are expressions of fingerprints over the distinct rows of ``nodes``; ``checks`` names an
-    array column by which a pair is confirmed.
-    """
+def tree_links(nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between the distinct ``_fp`` of ``nodes`` that connect exactly what all pairs within the distance connect."""
     spark = nodes.sparkSession
     ship(spark)
     total = nodes.count()
     shards = min(MAX_SHARDS, max(1, -(-total // SHARD_ROWS)))
     # A hash picks the sample, so a rerun builds the same trees; a shard's share of it has a fixed size.
     chosen = sampled(nodes, shards * SAMPLE_PER_SHARD, total, "_fp", salt=7)
-    sample = chosen.selectExpr(*[f"{p} AS _p{i}" for i, p in enumerate(points)]).toArrow()
-    columns = [sample.column(i).to_numpy().astype(np.int64).view(np.uint64) for i in range(len(points))]
-    grown = [[build_tree(c, mask, SAMPLE_PER_SHARD) if shards > 1 else [] for mask in HALVES] for c in columns]
-    trees = spark.sparkContext.broadcast(grown)
+    sample = chosen.select("_fp").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)
+    trees = spark.sparkContext.broadcast([build_tree(sample, mask, SAMPLE_PER_SHARD) if shards > 1 else [] for mask in HALVES])
 
     def deal(frames):
         for frame in frames:
-            for i, halves in enumerate(trees.value):
-                at = frame[f"_p{i}"].to_numpy(np.int64)
-                for half, tree in enumerate(halves):
-                    index, leaf, member = route(tree, at.view(np.uint64))
-                    rows = {"tree": np.int32(2 * i + half), "leaf": leaf, "member": member, "_point": at[index], "_fp": frame["_fp"].to_numpy(np.int64)[index]}
-                    yield pd.DataFrame({**rows, "_check": frame["_check"].to_numpy()[index]})
+            at = frame["_fp"].to_numpy(np.int64)
+            for half, tree in enumerate(trees.value):
+                index, leaf, member = route(tree, at.view(np.uint64))
+                yield pd.DataFrame({"tree": np.int32(half), "leaf": leaf, "member": member, "_fp": at[index]})
 
     def search(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["member", "_fp"], ascending=[False, True])
-        names, at = frame["_fp"].to_numpy(np.int64), frame["_point"].to_numpy(np.int64).view(np.uint64)
-        confirm = np.stack(list(frame["_check"])).astype(np.int64).view(np.uint64) if checks else None
-        a, b = shard_links(at, int(frame["member"].sum()), HALVES[key[0] % 2], confirm)
-        return pd.DataFrame({"a": names[a], "b": names[b]})
+        at = frame["_fp"].to_numpy(np.int64)
+        a, b = shard_links(at.view(np.uint64), int(frame["member"].sum()), HALVES[key[0]])
+        return pd.DataFrame({"a": at[a], "b": at[b]})
 
-    given = nodes.selectExpr("_fp", *[f"{p} AS _p{i}" for i, p in enumerate(points)], f"{checks or 'CAST(NULL AS array<bigint>)'} AS _check")
-    dealt = given.mapInPandas(deal, "tree int, leaf bigint, member boolean, _point bigint, _fp bigint, _check array<bigint>")
+    dealt = nodes.select("_fp").mapInPandas(deal, "tree int, leaf bigint, member boolean, _fp bigint")
     return dealt.groupBy("tree", "leaf").applyInPandas(search, "a bigint, b bigint")
 
 
-def classes(prints: DataFrame, doc_id: str, points: list[str], checks: str | None = None) -> DataFrame:
+def classes(prints: DataFrame, doc_id: str) -> DataFrame:
     """``(_fp, _root, component_id)`` for every ``_fp``: its component and the smallest id in it.
 
-    ``prints`` should be a stored table; it is read once here and again by the callers. Columns that
-    ``points`` and ``checks`` use follow from ``_fp``.
+    ``prints`` should be a stored table; it is read once here and again by the callers.
     """
-    more = [c for c in ("_words", "_shingles") if c in prints.columns]
-    nodes = prints.groupBy("_fp").agg(F.min(doc_id).alias("_least"), *[F.first(c).alias(c) for c in more])
-    nodes = materialize(nodes, "fingerprints")
-    linked = connected_components(tree_links(nodes, points, checks))
-    joined = nodes.select("_fp", "_least").join(linked.withColumnRenamed("node", "_fp"), "_fp", "left")
+    nodes = materialize(prints.groupBy("_fp").agg(F.min(doc_id).alias("_least")), "fingerprints")
+    linked = connected_components(tree_links(nodes))
+    joined = nodes.join(linked.withColumnRenamed("node", "_fp"), "_fp", "left")
     joined = joined.select("_fp", "_least", F.coalesce("component", "_fp").alias("_root"))
     joined = materialize(joined, "fingerprint-classes")
     least = joined.groupBy("_root").agg(F.min("_least").alias("component_id"))
@@ -276,13 +213,13 @@ def classes(prints: DataFrame, doc_id: str, points: list[str], checks: str | Non
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits), ``component_id``."""
     prints = materialize(fingerprints(docs, text, doc_id), "simhash")
-    found = redealt(classes(prints, doc_id, ["_fp"]), "_fp", "component_id").drop("_root")
+    found = redealt(classes(prints, doc_id), "_fp", "component_id").drop("_root")
     out = prints.join(found, "_fp")
     return out.select(doc_id, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the smallest id stays.
+    """The rows of ``docs`` without near duplicates (``near_duplicates``): of each component the row with the smallest id stays.
 
     Rows of one id are told apart by their text, equal ones by a hash of the row. A row without an
     id stays only where its component has no id at all. Rows meet in the kept list through a 64-bit
@@ -290,8 +227,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     key = fresh(docs, "_key")
     keyed = docs.withColumn(key, F.xxhash64(doc_id, text))
-    prints = materialize(sketches(keyed, text, doc_id, key).withColumnRenamed(key, "_key"), "simhash")
-    found = classes(prints, doc_id, [f"_words[{t}]" for t in range(TABLES)], "_shingles")
+    prints = materialize(fingerprints(keyed, text, doc_id, key).withColumnRenamed(key, "_key"), "simhash")
+    found = classes(prints, doc_id)
     member = prints.select(doc_id, "_key", "_fp").join(redealt(found, "_fp", "component_id"), "_fp")
     first = member.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
     kept = first.groupBy("_root").agg(F.min("_key").alias(key)).select(key)
