@@ -23,7 +23,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets replaced in the texts; no document goes."""
-    return secret_scan.redacted(docs, secret_scan.fit(spark, *secret_scan.labelled_findings(docs)))
+    return secret_scan.redacted(docs, secret_scan.trained(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
