@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stallbook.operators import order_stats
 from stallbook.operators.materialize import materialize
 from stallbook.operators.order_stats import select_at_ranks, tile_starts, with_ntiles
 from stallbook.operators.ranking import with_global_order
@@ -53,6 +54,31 @@ def test_ntile_equals_window(spark, n, per_range):
     assert sorted(map(tuple, got.select("k", "t", "u").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_tiles_select_inside_brackets_only(spark, monkeypatch):
+    df = materialize(spark.range(60_000).selectExpr("id AS k", "(id * 7919) % 60013 AS v", "id % 3 AS m"), "spread")
+    selected = []
+
+    def watched(rows, *rest, **named):
+        selected.append(rows.count())
+        return select_at_ranks(rows, *rest, **named)
+
+    monkeypatch.setattr(order_stats, "select_at_ranks", watched)
+    got = with_ntiles(df, "k", {"t": ("v", 5)})
+    # Four brackets of two thousandths of the rows each, with room for the sketch's error.
+    assert len(selected) == 1 and selected[0] < 60_000 * 4 * 0.004
+    want = df.select("k", F.ntile(5).over(Window.orderBy("v", "k")))
+    assert sorted(map(tuple, got.select("k", "t").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_tiles_stay_exact_when_brackets_miss(spark, monkeypatch):
+    df = materialize(spark.range(9_000).selectExpr("id AS k", "(id * 7919) % 9001 AS v"), "missed")
+    monkeypatch.setattr(order_stats, "SKETCH_ITEMS", 8)
+    monkeypatch.setattr(order_stats, "BRACKET", 0.0)
+    got = with_ntiles(df, "k", {"t": ("v", 100)})
+    want = df.select("k", F.ntile(100).over(Window.orderBy("v", "k")))
+    assert sorted(map(tuple, got.select("k", "t").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_fewer_rows_than_tiles(spark):
     df = materialize(spark.createDataFrame([(10, 1), (5, 2), (7, 3)], "v long, k long"), "three")
     got = {r.k: r.t for r in with_ntiles(df, "k", {"t": ("v", 100)}).collect()}
