@@ -83,6 +83,11 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
     ``_draws`` is an array of (epoch, shard, position), one entry per copy that the mix takes.
     ``identity`` are the columns whose hash places a row, so reruns and other partitionings agree.
     """
+    return _mix(docs, source, text, identity, keep, seed)[0]
+
+
+def _mix(docs: DataFrame, source: str, text: str, identity: tuple[str, ...], keep: tuple[str, ...], seed: int = SEED) -> tuple[DataFrame, int]:
+    """The rows of ``mix`` and the number of shards."""
     spark = docs.sparkSession
     rows = docs.select(*[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)], F.col(source).cast("string").alias("_source"), word_count(text).alias("_size"), F.xxhash64(*identity, F.lit(seed)).alias("_hash"))
     rows = materialize(rows, "mix-rows")
@@ -134,7 +139,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", identity: t
     placed = placed.join(redealt(per_block, "_number", "_block"), ["_number", "_block"], "left").join(F.broadcast(last), "_number", "left")
     taken = F.filter(F.coalesce("_list", F.array().cast("array<struct<_epoch:int,_shard:int,_partial:boolean>>")), lambda d: ~d["_partial"] | F.coalesce(F.col("_hash") <= F.col("_last"), F.lit(False)) | F.coalesce(F.col("_hash") == F.col("_fill"), F.lit(False)))
     draws = F.transform(taken, lambda d: F.struct(d["_epoch"].alias("epoch"), d["_shard"].alias("shard"), F.xxhash64("_hash", d["_epoch"]).alias("position")))
-    return placed.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], "_size", "_source_size", "_target", draws.alias("_draws"))
+    return placed.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], "_size", "_source_size", "_target", draws.alias("_draws")), shards
 
 
 def mixture(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -145,13 +150,14 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tex
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The mixed rows themselves: each row of ``docs`` as often as it is drawn, ordered within its shard.
+    """The mixed rows themselves: each row of ``docs`` as often as it is drawn, a partition per shard, in the shard's order.
 
     The mix is worked out on sizes alone and joined to the rows by a hash of id, text and source.
     """
     key = fresh(docs, "_mix_key")
     keyed = docs.withColumn(key, F.xxhash64(doc_id, text, F.coalesce(F.col(source).cast("string"), F.lit("\0"))))
-    drawn = mix(keyed, source, text, (doc_id, text), (key,)).where(F.size("_draws") > 0)
+    rows, shards = _mix(keyed, source, text, (doc_id, text), (key,))
+    drawn = rows.where(F.size("_draws") > 0)
     draws = drawn.groupBy(key).agg(F.first("_draws").alias(name := fresh(docs, "_draw")))  # repeated rows are drawn alike
     copies = keyed.join(redealt(draws, key), key).select(*docs.columns, F.explode(name).alias(name))
-    return copies.repartition(f"{name}.shard").sortWithinPartitions(f"{name}.shard", f"{name}.position").select(*docs.columns)
+    return copies.repartitionById(shards, F.col(f"{name}.shard")).sortWithinPartitions(f"{name}.shard", f"{name}.position").select(*docs.columns)

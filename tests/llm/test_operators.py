@@ -284,6 +284,9 @@ def test_mixture(spark, monkeypatch):
     mixed = mixing.mixed(docs)
     words = sum(len((r["text"] or "").split()) for r in mixed.collect())
     assert words == got.taken.sum()
+    # A partition per shard: none holds the words of two.
+    held = [r["n"] for r in mixed.select(F.spark_partition_id().alias("p"), mixing.word_count("text").alias("w")).groupBy("p").agg(F.sum("w").alias("n")).collect()]
+    assert len(held) == -(-sum(total) // mixing.SHARD_WORDS) and max(held) < 2 * mixing.SHARD_WORDS * 0.9
 
 
 # op5, op10
