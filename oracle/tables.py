@@ -191,6 +191,22 @@ def _missing(child: str, key: str, parent: str) -> str:
     return f"SELECT COUNT(*) FROM {child} WHERE {key} IS NULL OR {key} NOT IN (SELECT {key} FROM {parent})"
 
 
+def load_order() -> str:
+    """Orders as they lie in their file, which a window without an order follows."""
+    return statement("SELECT order_id, row_number() OVER () AS order_key FROM src_orders")
+
+
+def key_ranges() -> str:
+    tables = {
+        "dim_geolocation": f"(SELECT DISTINCT zip_code_prefix FROM src_geolocation WHERE {BOX})", "dim_customer": "src_customers",
+        "dim_seller": "src_sellers", "dim_product": "src_products", "dim_order": "src_orders", "fact_order_items": "src_order_items",
+        "fact_payments": "src_payments", "fact_reviews": "src_reviews",
+    }
+    return statement(
+        union([f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, 1::BIGINT AS first_key, COUNT(*) AS last_key, COUNT(*) AS distinct_keys FROM {src}" for t, src in tables.items()])
+    )
+
+
 def unresolved_references() -> str:
     rows = [
         ("dim_order", "customer_key", _missing("src_orders", "customer_id", "src_customers")),
@@ -530,6 +546,8 @@ TABLES = {
     "t8_fact_payments": fact_payments,
     "t9_fact_reviews": fact_reviews,
     "t10_duplicate_keys": duplicate_keys,
+    "t10_load_order": load_order,
+    "t10_key_ranges": key_ranges,
     "t11_unresolved_references": unresolved_references,
     "q1_dataset_shapes": dataset_shapes,
     "q2_column_completeness": column_completeness,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.operators.materialize import materialize, observed
 from stallbook.params import Params
-from stallbook.plans.warehouse import Frames, check_integrity, clean, with_surrogate_keys
+from stallbook.plans.warehouse import Frames, check_integrity, clean, in_load_order, with_surrogate_keys
 from stallbook.quality.validation import LOOKUP_RULES, staging_rules, unmapped_categories
 from stallbook.schemas import WAREHOUSE
 from stallbook.sources.csv_files import LoadError, load_staging
@@ -35,7 +35,7 @@ def store_frames(staging: Frames, params: Params) -> WarehouseLoad:
 
 
 def store_warehouse(staging: Frames, params: Params, check: bool = True) -> WarehouseLoad:
-    """The nine tables, and how many rows each lookup and rule touched, both from the passes that write."""
+    """The nine tables of staging frames that are stored, with keys in load order, and how many rows each lookup and rule touched."""
     found: list[Callable[[], Mapping[str, int]]] = []
 
     def watch(table: str, df: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def store_warehouse(staging: Frames, params: Params, check: bool = True) -> Ware
         found.append(counted)
         return watched
 
-    cleaned = clean(staging, params, mark=True)
+    cleaned = clean(in_load_order(staging, stored=True), params, mark=True)
     keyed = with_surrogate_keys(cleaned, params, watch=watch)
     tables = {name: materialize(keyed[name], name) for name in WAREHOUSE}
     counters = {name: n for counted in found for name, n in counted().items()}

@@ -2,7 +2,8 @@
 
 Two layers. ``clean`` applies every rule and keeps natural keys; reports read that layer, so
 they never pay for numbering. ``with_surrogate_keys`` adds dense 1..n keys for the stored
-warehouse. Both are lazy apart from the small counts and samples that numbering needs.
+warehouse: those that ``in_load_order`` gave the staging rows, or else keys in natural-key order.
+Both are lazy apart from the small counts and samples that numbering needs.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.functions.scalars import add, agg, pad_zip, ratio, text_literal
+from stallbook.operators.load_order import with_load_order
 from stallbook.operators.materialize import materialize
 from stallbook.operators.ranking import with_global_order
 from stallbook.operators.top import first_per_group
@@ -119,7 +121,7 @@ def clean_products(raw: DataFrame, translation: DataFrame, params: Params) -> Da
     lookup = add(category_lookup(translation, params), _deal="hash(product_category_name_english)")
     lookup = lookup.repartition("_deal", "product_category_name").drop("_deal")
     named = fixed.join(lookup, "product_category_name", "left")
-    return named.select(*[c for c in WAREHOUSE["dim_product"] if c != "product_key"])
+    return named.select(*[c for c in WAREHOUSE["dim_product"] if c in named.columns])
 
 
 def clean_order_items(items: DataFrame, orders: DataFrame, params: Params, mark: bool = False) -> DataFrame:
@@ -171,6 +173,33 @@ def report_frames(staging: Frames, params: Params) -> Frames:
     return LazyFrames(makers)
 
 
+# Staging tables whose rows become rows of a warehouse table, and the key they get there. Locations are grouped by zip first.
+LOADED_KEYS = {
+    "customers": "customer_key",
+    "sellers": "seller_key",
+    "products": "product_key",
+    "orders": "order_key",
+    "order_items": "order_item_key",
+    "payments": "payment_key",
+    "reviews": "review_key",
+}
+
+
+def in_load_order(staging: Frames, stored: bool = False) -> Frames:
+    """Staging frames whose rows carry their surrogate keys, numbered 1..n as they were loaded.
+
+    The frames are stored first, as their numbers are places in files; with ``stored`` they are files already.
+    """
+
+    def loaded(table: str) -> DataFrame:
+        if table not in LOADED_KEYS:
+            return staging[table]
+        files = staging[table] if stored else materialize(staging[table], f"staging-{table}")
+        return with_load_order(files, LOADED_KEYS[table])
+
+    return LazyFrames({table: (lambda table=table: loaded(table)) for table in staging})
+
+
 def number_rows(df: DataFrame, key: str, order: list[str], rows_per_range: int | None = None) -> DataFrame:
     """Dense 1..n surrogate key in natural-key order."""
     return with_global_order(df, order, row_number=key, rows_per_range=rows_per_range)
@@ -179,24 +208,31 @@ def number_rows(df: DataFrame, key: str, order: list[str], rows_per_range: int |
 def with_surrogate_keys(cleaned: Frames, params: Params, rows_per_range: int | None = None, watch: Callable[[str, DataFrame], DataFrame] = lambda table, df: df) -> Frames:
     """The nine warehouse tables with surrogate keys resolved through natural keys.
 
-    Tables are made when first used; a dimension is numbered once and shared by its facts. ``watch`` gets every finished table
-    before its columns are picked.
+    Rows that have their key from loading keep it; others are numbered along their natural key. Tables are made when first used;
+    a dimension is numbered once and shared by its facts. ``watch`` gets every finished table before its columns are picked.
     """
 
     def numbered(table: str, key: str, order: list[str]) -> DataFrame:
+        if key in cleaned[table].columns:
+            return cleaned[table]
         return number_rows(cleaned[table], key, order, rows_per_range)
 
     def located(table: str, zip_col: str) -> DataFrame:
         keys = bases["dim_geolocation"].selectExpr(f"zip_code_prefix AS {zip_col}", "geolocation_key")
         return bases[table].join(keys, zip_col, "left")
 
+    def products() -> DataFrame:
+        rows = numbered("dim_product", "product_key", ["product_id"])
+        # Numbering by natural key has stored them; otherwise the join that names categories would run for the items again.
+        return materialize(rows, "products") if "product_key" in cleaned["dim_product"].columns else rows
+
     # Numbered natural keys, each made and stored once; facts look their keys up here, not in finished tables.
     bases = LazyFrames(
         {
             "dim_geolocation": lambda: numbered("dim_geolocation", "geolocation_key", ["zip_code_prefix"]),
             "dim_customer": lambda: numbered("dim_customer", "customer_key", ["customer_id"]),
             "dim_seller": lambda: numbered("dim_seller", "seller_key", ["seller_id"]),
-            "dim_product": lambda: numbered("dim_product", "product_key", ["product_id"]),
+            "dim_product": products,
             "dim_order": lambda: numbered("dim_order", "order_key", ["order_id"]),
         }
     )
@@ -246,6 +282,18 @@ def duplicate_keys(frames: Frames) -> DataFrame:
     return reduce(DataFrame.unionByName, [of(t) for t in UNIQUE if t in frames])
 
 
+def key_ranges(warehouse: Frames) -> DataFrame:
+    """Rows, smallest, largest and number of distinct surrogate keys per table: dense keys run from 1 to the number of rows."""
+
+    def of(table: str) -> DataFrame:
+        key = WAREHOUSE[table][0]
+        # Distinct keys are as many as rows exactly when no key repeats, so rows are counted per key.
+        counted = warehouse[table].groupBy(key).count()
+        return counted.selectExpr("coalesce(sum(count), 0) AS row_count", f"min({key}) AS first_key", f"max({key}) AS last_key", "count(1) AS distinct_keys").selectExpr(f"'{table}' AS table_name", "*")
+
+    return reduce(DataFrame.unionByName, [of(t) for t in WAREHOUSE if t != "dim_date"])
+
+
 def unresolved_references(warehouse: Frames) -> DataFrame:
     """Mandatory surrogate references left empty, per table and column."""
     mandatory = {"dim_order": ["customer_key"], "fact_order_items": ["order_key", "seller_key", "product_key"]}
@@ -279,7 +327,8 @@ def stored_warehouse(cleaned: Frames, params: Params) -> Frames:
 
 
 def build_warehouse(staging: Frames, params: Params, check: bool = True) -> Frames:
-    cleaned = clean(staging, params)
+    """The stored warehouse of staging frames, with keys in load order."""
+    cleaned = clean(in_load_order(staging), params)
     warehouse = stored_warehouse(cleaned, params)
     if check:
         check_integrity(cleaned, warehouse)

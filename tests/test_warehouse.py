@@ -4,7 +4,9 @@ import datetime as dt
 from decimal import Decimal as D
 
 from stallbook.params import Params
-from stallbook.plans.warehouse import clean, dim_date, with_surrogate_keys
+from stallbook.operators.load_order import with_load_order
+from stallbook.operators.materialize import materialize, scratch_path
+from stallbook.plans.warehouse import build_warehouse, clean, dim_date, in_load_order, with_surrogate_keys
 from stallbook.quality import checks, profile, validation
 from tests.fixtures import shop, staging
 
@@ -69,6 +71,39 @@ def test_surrogate_keys_and_dates_out_of_the_calendar(spark):
     assert tables["dim_customer"].first().geolocation_key is None
 
 
+def test_numbers_follow_files_and_rows(spark):
+    rows = [(7 * i % 100,) for i in range(100)]
+    stored = materialize(spark.createDataFrame(rows, "v int").coalesce(1), "one")
+    assert [(r.k, r.v) for r in with_load_order(stored, "k").orderBy("k").collect()] == [(i, v) for i, (v,) in enumerate(rows, 1)]
+    path = scratch_path(spark, "many")
+    spark.range(0, 1_000, 1, 9).where("id % 7 <> 3").write.option("maxRecordsPerFile", 40).parquet(path)
+    many = with_load_order(spark.read.parquet(path), "k")
+    got = [(r.k, r.id) for r in many.orderBy("k").collect()]
+    assert got == [(i, v) for i, v in enumerate((v for v in range(1_000) if v % 7 != 3), 1)]
+    assert sorted(map(tuple, many.select("k", "id").collect())) == got  # the same again
+    empty = materialize(spark.range(0), "none")
+    assert with_load_order(empty, "k").collect() == []
+
+
+def test_loaded_keys_need_no_sort(spark):
+    rows = shop(("o2", "a", "2018-01-01 00:00:00", "s", 1), ("o1", "a", "2017-01-01 00:00:00", "r", 1), ("o3", "b", "2017-01-01 00:00:00", "s", 2))
+    frames = {t: df.coalesce(1) for t, df in staging(spark, **rows).items()}
+    keyed = with_surrogate_keys(clean(in_load_order(frames), P), P)
+    for table, df in keyed.items():
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert table == "dim_geolocation" or "rangepartitioning" not in text
+    tables = build_warehouse(frames, P)
+    orders = {r.order_key: r for r in tables["dim_order"].collect()}
+    assert [orders[k].order_id for k in (1, 2, 3)] == ["o2", "o1", "o3"]
+    customers = {r.customer_key: r.customer_id for r in tables["dim_customer"].collect()}
+    sellers = {r.seller_key: r.seller_id for r in tables["dim_seller"].collect()}
+    products = {r.product_key: r.product_id for r in tables["dim_product"].collect()}
+    assert all(customers[r.customer_key] == r.customer_id for r in orders.values())
+    for r in tables["fact_order_items"].collect():
+        assert (orders[r.order_key].order_id, sellers[r.seller_key], products[r.product_key]) == (r.order_id, r.seller_id, r.product_id)
+    assert {r.order_item_key for r in tables["fact_order_items"].collect()} == {1, 2, 3}
+
+
 def test_checks_report_one_of_each(spark):
     rows = shop(("o1", "a", "2018-01-01 00:00:00", "s", 1), ("o2", "a", "2018-01-01 00:00:00", "s", None))
     rows["order_items"].append({"order_id": "lost", "order_item_id": 2, "product_id": "p-s", "seller_id": "s", "price": -1, "freight_value": 0})
