@@ -76,13 +76,14 @@ def grade(quality: str = "quality", toxic: str = "toxic") -> Column:
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, doc_id: str = "doc_id", text: str = "text", max_rows: int = MAX_LABELLED) -> Model:
     """Fit on documents with a row ``(doc_id, grade)`` in ``ratings``; grades run from 0 to ``grades - 1``."""
+    kind = dict(docs.dtypes)[doc_id]
     ratings = ratings.where(f"{doc_id} IS NOT NULL AND grade BETWEEN 0 AND {grades - 1}")
     ratings = ratings.groupBy(F.col(doc_id).alias("_id")).agg(F.min("grade").cast("int").alias("_grade"))
     ratings = sampled(ratings, max_rows, ratings.count(), "_id", salt=3)
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     labelled = rows.join(F.broadcast(ratings), "_id")  # at most about max_rows short rows
     found = map_rows(
-        labelled, lambda r: {"_id": r["_id"], "_grade": r["_grade"], "_x": [features(t).tobytes() for t in r["_text"]]}, "_id bigint, _grade int, _x binary"
+        labelled, lambda r: {"_id": r["_id"], "_grade": r["_grade"], "_x": [features(t).tobytes() for t in r["_text"]]}, f"_id {kind}, _grade int, _x binary"
     ).collect()
     found.sort(key=lambda r: (r["_id"], r["_grade"], r["_x"]))
     return train([np.frombuffer(r["_x"], np.int32) for r in found], np.array([r["_grade"] for r in found], np.int64), grades)

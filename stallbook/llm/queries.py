@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.llm import ann, bpe, chat, conversation_trie, decontaminate, embedding_dedup, filter_audit, mixing, ngram_lm, quality, secret_scan, simhash, token_output
+from stallbook.operators.materialize import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +51,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.digests(token_output.layout(table(spark, sf_dir, "documents")))
+    return token_output.training_files(table(spark, sf_dir, "documents"), scratch_path(spark, "token-shards"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,13 @@ are written once; their place (file and row of the written table) numbers them 0
 sort. A keyed Feistel network on the next power of four, walked along its cycle until it falls
 below n, permutes the numbers: slot = permutation(number), a bijection that any task computes for
 itself. Range partition: shard k holds the slots from k * shard_size; a record has a fixed stride, so record s of a
-shard starts at byte s * record_bytes and a reader can go on anywhere.
+shard starts at byte s * record_bytes and a reader can go on anywhere (``read_records``). Shards are dealt out by their number,
+one per task.
 
 A record is the ids as little-endian uint16 (vocabularies above 65,535 ids: uint32), padded with
 the end id, and one closing newline byte, the line end of Spark's text writer, which puts the
-records down. Rerunning gives the same files for the same stored sequences.
+records down. Rerunning gives the same files for the same stored sequences; numbers follow the tasks that stored them, so
+another partitioning of the texts gives other slots.
 
 Cases: null or empty text is one sequence of the end id alone; repeated rows have sequences of
 their own; an empty table has no shards. Long texts span several sequences; nothing is cut off.
@@ -20,17 +22,21 @@ from __future__ import annotations
 import base64
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.llm.bpe import vocabulary_path
 from stallbook.llm.frames import map_rows
+from stallbook.llm.shipping import ship
+from stallbook.operators.load_order import with_load_order
 from stallbook.operators.materialize import materialize
 
 RANKS = "byte_bpe_50k.tiktoken"
 STRIDE = 512
 SHARD_RECORDS = 8_192
 END_ID = 50_256
+MAX_TASKS = 50_000  # beyond as many shards, a task writes several
 ROUNDS = 6
 KEY = 97
 
@@ -90,40 +96,36 @@ def sequences(docs: DataFrame, doc_id: str, text: str, stride: int, end_id: int,
     return map_rows(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), run, f"_id {kind}, seq_no int, n_tokens int, ids binary")
 
 
-def numbered(stored: DataFrame) -> DataFrame:
-    """A stored table's rows with ``_number`` 0..n-1: rows before its file plus its place in the file."""
-    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).collect()  # one row per file
-    before, total = {}, 0
-    for r in sorted(files, key=lambda r: r["_file"].rsplit("/", 1)[-1]):
-        before[r["_file"]] = total
-        total += r["_rows"]
-    spark = stored.sparkSession
-    starts = spark.createDataFrame(sorted(before.items()), "_file string, _start bigint")
-    return placed.join(F.broadcast(starts), "_file").select(*stored.columns, (F.col("_start") + F.col("_row")).alias("_number"))
-
-
-def layout(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, key: int = KEY, path: str | None = None) -> DataFrame:
-    """Per sequence: ``slot``, ``shard``, ``byte_offset``, id, ``seq_no``, ``n_tokens`` and the ``record`` bytes, in shard order."""
+def placed(docs: DataFrame, doc_id: str, text: str, stride: int, end_id: int, key: int, path: str | None) -> tuple[DataFrame, int]:
+    """Stored sequences with the ``slot`` of each, and their number; reading a slot needs none of the ids."""
     stored = materialize(sequences(docs, doc_id, text, stride, end_id, path), "sequences")
     total = stored.count()
-    width = "<u2" if end_id < 1 << 16 else "<u4"
-    size = stride * np.dtype(width).itemsize
-    pad = np.full(stride, end_id, width).tobytes()
-    kind = dict(docs.dtypes)[doc_id]
+    ship(docs.sparkSession)
 
-    def run(rows: dict[str, list]) -> dict[str, list]:
-        slots = permuted(np.array(rows["_number"], np.int64), total, key)
-        return {**{c: rows[c] for c in ("_id", "seq_no", "n_tokens", "ids")}, "slot": slots}
+    @F.pandas_udf("bigint")
+    def slot_of(numbers: pd.Series) -> pd.Series:
+        return pd.Series(permuted(numbers.to_numpy(), total, key))
+
+    return with_load_order(stored, "_number").withColumn("slot", slot_of(F.col("_number") - 1)).drop("_number"), total
 
-    placed = map_rows(numbered(stored), run, f"_id {kind}, seq_no int, n_tokens int, ids binary, slot bigint")
-    shard = (F.col("slot") / shard_records).cast("bigint")
-    # A shard is a range of slots that every row knows by itself, so no sampling is needed to deal them out.
-    dealt = placed.withColumn("shard", F.floor(shard)).repartition("shard").sortWithinPartitions("shard", "slot")
+
+def laid_out(sequences_: DataFrame, total: int, doc_id: str, stride: int, shard_records: int, end_id: int) -> DataFrame:
+    """``layout`` of placed sequences."""
+    width = np.dtype("<u2" if end_id < 1 << 16 else "<u4")
+    size = stride * width.itemsize
+    pad = np.full(stride, end_id, width).tobytes()
+    tasks = max(1, min(-(-total // shard_records), MAX_TASKS))
+    # A shard is a range of slots that every row knows by itself, so no sampling is needed to deal them out: a task per shard.
+    dealt = sequences_.withColumn("shard", F.floor(F.col("slot") / shard_records).cast("bigint")).repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int")).sortWithinPartitions("shard", "slot")
     padded = F.concat("ids", F.substring(F.lit(pad), F.lit(1), F.lit(size) - F.length("ids")), F.lit(b"\n"))
     return dealt.select("slot", "shard", ((F.col("slot") % shard_records) * (size + 1)).alias("byte_offset"), F.col("_id").alias(doc_id), "seq_no", "n_tokens", padded.alias("record"))
 
 
+def layout(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, key: int = KEY, path: str | None = None) -> DataFrame:
+    """Per sequence: ``slot``, ``shard``, ``byte_offset``, id, ``seq_no``, ``n_tokens`` and the ``record`` bytes, in shard order."""
+    return laid_out(*placed(docs, doc_id, text, stride, end_id, key, path), doc_id, stride, shard_records, end_id)
+
+
 def write_shards(records: DataFrame, path: str) -> None:
     """Write ``layout``'s records as files of fixed stride below ``path``, one folder ``shard=k`` each."""
     # The bytes pass as they are; the writer adds the newline that the record already ends with.
@@ -131,6 +133,36 @@ def write_shards(records: DataFrame, path: str) -> None:
     records.sortWithinPartitions("shard", "slot").select("shard", body.cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").mode("overwrite").text(path)
 
 
+def read_records(spark: SparkSession, folder: str, stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, first_slot: int = 0) -> DataFrame:
+    """``(slot, record)`` of the shards below ``folder`` from ``first_slot`` on, cut out of the files at their offsets.
+
+    Shards before that slot are not opened, and its own is entered at the record's offset. A task holds one shard at a time.
+    """
+    size = stride * np.dtype("<u2" if end_id < 1 << 16 else "<u4").itemsize + 1
+    files = spark.read.format("binaryFile").load(folder)
+    if "shard" not in files.columns:  # nothing was written
+        files = files.withColumn("shard", F.lit(0))
+    first, start = divmod(first_slot, shard_records)
+    files = files.where(F.col("shard") >= first).select(F.col("shard").cast("bigint").alias("shard"), "content")
+    skipped = F.when(F.col("shard") == first, F.lit(start)).otherwise(F.lit(0))
+    held = (F.length("content") / size).cast("int")
+    places = F.when(held > skipped, F.sequence(skipped, held - 1)).otherwise(F.array().cast("array<int>"))
+    records = F.transform(places, lambda k: F.struct(k.alias("place"), F.substring(F.col("content"), k * size + 1, F.lit(size)).alias("record")))
+    return files.select("shard", F.inline(records)).select((F.col("shard") * shard_records + F.col("place")).alias("slot"), "record")
+
+
+def training_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, key: int = KEY, path: str | None = None) -> DataFrame:
+    """Write the shards below ``folder``; what ``digests`` gives, the digests being of the records read back from the files."""
+    rows, total = placed(docs, doc_id, text, stride, end_id, key, path)
+    write_shards(laid_out(rows, total, doc_id, stride, shard_records, end_id), folder)
+    size = stride * np.dtype("<u2" if end_id < 1 << 16 else "<u4").itemsize + 1
+    shard, place = F.floor(F.col("slot") / shard_records).cast("bigint"), F.col("slot") % shard_records
+    index = rows.select("slot", shard.alias("shard"), (place * size).alias("byte_offset"), F.col("_id").alias(doc_id), "seq_no", "n_tokens")
+    read = read_records(docs.sparkSession, folder, stride, shard_records, end_id).select("slot", F.sha2("record", 256).alias("record_sha256"))
+    # A record that was lost shows up as a row without a digest.
+    return index.join(read, "slot", "left")
+
+
 def digests(records: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``layout`` with the SHA-256 of each record in place of its bytes."""
     digest: Column = F.sha2("record", 256)

@@ -240,6 +240,59 @@ def test_classifier_held_out(spark):
     assert (scored.p_top[scored.grade < 2] >= quality.ACCEPT).mean() < 0.3
 
 
+def plain_classifier(xs, ys, grades):
+    """FTRL with dictionaries, feature by feature."""
+    z, n = collections.Counter(), collections.Counter()
+    share = [min(0.99, max(0.01, sum(y <= k for y in ys) / len(ys))) for k in range(grades - 1)]
+    limits = [math.log(s / (1 - s)) + k * 1e-3 for k, s in enumerate(share)]
+    limits = [max(limits[: k + 1]) for k in range(len(limits))]
+
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-min(60, max(-60, x))))
+
+    def weight(f):
+        return -math.copysign(max(abs(z[f]) - quality.L1, 0), z[f]) / ((1 + math.sqrt(n[f])) / quality.STEP + quality.L2)
+
+    order = np.random.default_rng(5)
+    for epoch in range(quality.EPOCHS):
+        for i in order.permutation(len(ys)).tolist():
+            y, before = ys[i], {f: weight(f) for f in xs[i]}
+            latent = sum(before.values())
+            cum = [0.0, *(sigmoid(t - latent) for t in limits), 1.0]
+            g = 1 - cum[y] - cum[y + 1]
+            for f, w in before.items():
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / quality.STEP * w
+                n[f] += g * g
+            p, rate = max(cum[y + 1] - cum[y], 1e-9), 0.02 / (1 + epoch)
+            if y < grades - 1:
+                limits[y] += rate * cum[y + 1] * (1 - cum[y + 1]) / p
+            if y > 0:
+                limits[y - 1] -= rate * cum[y] * (1 - cum[y]) / p
+            limits = [max(limits[: k + 1]) for k in range(len(limits))]
+    return (lambda x: [sigmoid(t - sum(weight(f) for f in x)) for t in limits])
+
+
+def test_classifier_against_a_plain_version(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(150):
+        y = rng.randrange(3)
+        marked = " ".join(rng.choice([["bad", "awful"], ["dull"], ["fine", "Splendid"]][y]) if rng.random() < 0.5 else w for w in sentence(rng, 30).split())
+        rows.append((f"id-{i}", marked, y if i < 120 else None))
+    rows += [("blank", "", 1), ("null", None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, grade int")
+    model = quality.fit(docs, docs.where("grade IS NOT NULL").select("doc_id", "grade"))
+    labelled = sorted((i, y, quality.features(t).tobytes()) for i, t, y in rows if y is not None)
+    below = plain_classifier([np.frombuffer(x, np.int32).tolist() for *_, x in labelled], [y for _, y, _ in labelled], 3)
+    got = {r["doc_id"]: (r["expected_grade"], r["p_top"]) for r in quality.score(docs, model, keep=["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        p = below(quality.features(t).tolist())
+        assert got[i] == pytest.approx((sum(1 - x for x in p), 1 - p[-1]), abs=1e-5)
+    kept = quality.accepted(docs.drop("grade"), docs.selectExpr("doc_id", "IF(grade = 2, 1, 0) AS quality", "IF(grade = 0, 1, 0) AS toxic"))
+    assert kept.columns == ["doc_id", "text"] and 0 < kept.count() < len(rows)
+
+
 # op4
 
 
@@ -553,6 +606,63 @@ def test_files_round_trip(spark, docs, tmp_path):
         assert ids[-1] == token_output.END_ID and coder.decode(ids[:-1].astype("<u4").tobytes()) == (t or "")
 
 
+def plain_permutation(n, key=token_output.KEY):
+    """The same walk, number by number."""
+    half = max(1, -(-max(1, n - 1).bit_length() // 2))
+    mask, word = (1 << half) - 1, (1 << 64) - 1
+    keys = [int(k) | 1 for k in np.random.default_rng(key).integers(1, 1 << 62, token_output.ROUNDS, dtype=np.int64)]
+
+    def once(x):
+        left, right = x >> half, x & mask
+        for k in keys:
+            mix = (right + k) * 0x9E3779B97F4A7C15 & word
+            mix ^= mix >> 29
+            mix = (mix * 0xBF58476D1CE4E5B9 & word) >> 32
+            left, right = right, left ^ (mix & mask)
+        return left << half | right
+
+    out = []
+    for x in range(n):
+        x = once(x)
+        while x >= n:
+            x = once(x)
+        out.append(x)
+    return out
+
+
+def test_training_files_against_plain_records(spark, docs, tmp_path):
+    import tiktoken
+
+    coder = token_output.encoding(bpe.vocabulary_path(token_output.RANKS))
+    assert isinstance(coder, tiktoken.Encoding)
+    one = docs.withColumn("doc_id", docs.doc_id.cast("string")).coalesce(1)
+    wide = one.selectExpr("*", "1 AS slot", "2 AS shard", "3 AS ids", "4 AS record", "5 AS _number", "6 AS _file", "7 AS _id")
+    folder = str(tmp_path / "files")
+    got = token_output.training_files(wide, folder, stride=16, shard_records=50).collect()
+    want, records = [], []
+    for r in one.collect():
+        ids = [*coder.encode_ordinary(r["text"] or ""), token_output.END_ID]
+        parts = [ids[at : at + 16] for at in range(0, len(ids), 16)]
+        records += [(r["doc_id"], k, len(part), np.array(part + [token_output.END_ID] * (16 - len(part)), "<u2").tobytes() + b"\n") for k, part in enumerate(parts)]
+    for slot, (i, k, n, record) in zip(plain_permutation(len(records)), records):
+        want.append((slot, slot // 50, slot % 50 * 33, i, k, n, hashlib.sha256(record).hexdigest()))
+    assert sorted(map(tuple, got)) == sorted(want, key=lambda r: r[0])
+    by_slot = {slot: record for slot, (*_, record) in zip(plain_permutation(len(records)), records)}
+    for first in (0, 50, 77, len(records) - 1, len(records), len(records) + 500):
+        rest = token_output.read_records(spark, folder, 16, 50, first_slot=first)
+        assert {r["slot"]: bytes(r["record"]) for r in rest.collect()} == {s: r for s, r in by_slot.items() if s >= first}
+    plan = token_output.read_records(spark, folder, 16, 50, first_slot=77)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*shard[^\]]*>= 1", plan)
+
+
+def test_training_files_of_nothing(spark, tmp_path):
+    assert token_output.training_files(spark.createDataFrame([], DOCS), str(tmp_path / "none")).collect() == []
+    blank = spark.createDataFrame([(None, None, None, None, None)] * 3, DOCS)
+    got = token_output.training_files(blank, str(tmp_path / "blank"), stride=4).collect()
+    assert sorted(r["slot"] for r in got) == [0, 1, 2] and {(r["doc_id"], r["seq_no"], r["n_tokens"]) for r in got} == {(None, 0, 1)}
+    assert {r["record_sha256"] for r in got} == {hashlib.sha256(np.full(4, token_output.END_ID, "<u2").tobytes() + b"\n").hexdigest()}
+
+
 # op9
 
 
