@@ -81,6 +81,9 @@ def test_numbers_follow_files_and_rows(spark):
     got = [(r.k, r.id) for r in many.orderBy("k").collect()]
     assert got == [(i, v) for i, v in enumerate((v for v in range(1_000) if v % 7 != 3), 1)]
     assert sorted(map(tuple, many.select("k", "id").collect())) == got  # the same again
+    # A few files: their sums are broadcast from the start, and no row is dealt out for its number.
+    text = many._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
     empty = materialize(spark.range(0), "none")
     assert with_load_order(empty, "k").collect() == []
 
