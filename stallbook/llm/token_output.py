@@ -30,7 +30,7 @@ from stallbook.llm.bpe import vocabulary_path
 from stallbook.llm.frames import map_rows
 from stallbook.llm.shipping import ship
 from stallbook.operators.load_order import with_load_order
-from stallbook.operators.materialize import materialize
+from stallbook.operators.materialize import scratch_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 STRIDE = 512
@@ -98,9 +98,12 @@ def sequences(docs: DataFrame, doc_id: str, text: str, stride: int, end_id: int,
 
 def placed(docs: DataFrame, doc_id: str, text: str, stride: int, end_id: int, key: int, path: str | None) -> tuple[DataFrame, int]:
     """Stored sequences with the ``slot`` of each, and their number; reading a slot needs none of the ids."""
-    stored = materialize(sequences(docs, doc_id, text, stride, end_id, path), "sequences")
+    spark = docs.sparkSession
+    folder, rows = scratch_path(spark, "sequences"), sequences(docs, doc_id, text, stride, end_id, path)
+    rows.write.option("compression", "zstd").parquet(folder)  # ids take a good deal less room so
+    stored = spark.read.schema(rows.schema).parquet(folder)
     total = stored.count()
-    ship(docs.sparkSession)
+    ship(spark)
 
     @F.pandas_udf("bigint")
     def slot_of(numbers: pd.Series) -> pd.Series:
@@ -155,12 +158,13 @@ def training_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: s
     """Write the shards below ``folder``; what ``digests`` gives, the digests being of the records read back from the files."""
     rows, total = placed(docs, doc_id, text, stride, end_id, key, path)
     write_shards(laid_out(rows, total, doc_id, stride, shard_records, end_id), folder)
+    read = read_records(docs.sparkSession, folder, stride, shard_records, end_id).select("slot", F.unhex(F.sha2("record", 256)).alias("_sha256"))
+    # The join carries only what is not read off the slot. A record that was lost shows up as a row without a digest.
+    found = rows.select("slot", "_id", "seq_no", "n_tokens").join(read, "slot", "left")
     size = stride * np.dtype("<u2" if end_id < 1 << 16 else "<u4").itemsize + 1
-    shard, place = F.floor(F.col("slot") / shard_records).cast("bigint"), F.col("slot") % shard_records
-    index = rows.select("slot", shard.alias("shard"), (place * size).alias("byte_offset"), F.col("_id").alias(doc_id), "seq_no", "n_tokens")
-    read = read_records(docs.sparkSession, folder, stride, shard_records, end_id).select("slot", F.sha2("record", 256).alias("record_sha256"))
-    # A record that was lost shows up as a row without a digest.
-    return index.join(read, "slot", "left")
+    shard = F.floor(F.col("slot") / shard_records).cast("bigint")
+    offset = (F.col("slot") % shard_records) * size
+    return found.select("slot", shard.alias("shard"), offset.alias("byte_offset"), F.col("_id").alias(doc_id), "seq_no", "n_tokens", F.lower(F.hex("_sha256")).alias("record_sha256"))
 
 
 def digests(records: DataFrame, doc_id: str = "doc_id") -> DataFrame:
