@@ -20,9 +20,11 @@ their own; an empty table has no shards. Long texts span several sequences; noth
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,7 +141,7 @@ def write_shards(records: DataFrame, path: str) -> None:
 def read_records(spark: SparkSession, folder: str, stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, first_slot: int = 0) -> DataFrame:
     """``(slot, record)`` of the shards below ``folder`` from ``first_slot`` on, cut out of the files at their offsets.
 
-    Shards before that slot are not opened, and its own is entered at the record's offset. A task holds one shard at a time.
+    Shards before that slot are not opened, and its own is entered at the record's offset. A task holds some of the files at a time, as many as fit a partition.
     """
     size = stride * np.dtype("<u2" if end_id < 1 << 16 else "<u4").itemsize + 1
     files = spark.read.format("binaryFile").load(folder)
@@ -147,11 +149,20 @@ def read_records(spark: SparkSession, folder: str, stride: int = STRIDE, shard_r
         files = files.withColumn("shard", F.lit(0))
     first, start = divmod(first_slot, shard_records)
     files = files.where(F.col("shard") >= first).select(F.col("shard").cast("bigint").alias("shard"), "content")
-    skipped = F.when(F.col("shard") == first, F.lit(start)).otherwise(F.lit(0))
-    held = (F.length("content") / size).cast("int")
-    places = F.when(held > skipped, F.sequence(skipped, held - 1)).otherwise(F.array().cast("array<int>"))
-    records = F.transform(places, lambda k: F.struct(k.alias("place"), F.substring(F.col("content"), k * size + 1, F.lit(size)).alias("record")))
-    return files.select("shard", F.inline(records)).select((F.col("shard") * shard_records + F.col("place")).alias("slot"), "record")
+    # One Python call cuts a whole shard without copying it; an expression per record would fetch the shard's bytes anew each time.
+    ship(spark)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                skipped = start if shard == first else 0
+                data = content.as_buffer()[skipped * size :]
+                n = len(data) // size
+                ends = pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(size))
+                slots = shard * shard_records + skipped + np.arange(n, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.BinaryArray.from_buffers(pa.binary(), n, [None, ends, data])], names=["slot", "record"])
+
+    return files.mapInArrow(cut, "slot bigint, record binary")
 
 
 def training_files(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "text", stride: int = STRIDE, shard_records: int = SHARD_RECORDS, end_id: int = END_ID, key: int = KEY, path: str | None = None) -> DataFrame:
