@@ -161,7 +161,8 @@ class Trie:
     The third level names a word by its place among the words after v, so its numbers are small.
     Built from distinct ``(v, u, w)`` in ascending order with counts; ``log_q`` has the log
     probability of each w as an unigram. Kneser-Ney: the trigram level uses counts, the level
-    below the number of different words before, each with one absolute discount.
+    below the number of different words before, each with one absolute discount. Where ``q`` is 0
+    the unigram is not known here: ``parts`` gives what to add its share to.
     """
 
     def __init__(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, count: np.ndarray, q: np.ndarray, discount: float):
@@ -191,7 +192,10 @@ class Trie:
         self.before = Lists(store, before // size, before % size, len(contexts), size)
         span = int(distinct_v.max(initial=0)) + 1
         self.below = Lists(store, before_of, place, len(before), span)
-        codes = [store.put(quantised(np.log10(np.maximum(p, 1e-30)))) for p in (p2, rest_v, rest_u, p3)]
+        coded = [quantised(np.log10(np.maximum(p, 1e-30))) for p in (p2, rest_v, rest_u, p3)]
+        codes = [store.put(c) for c in coded]
+        open_ = np.flatnonzero(q == 0)
+        self.open_rest = restored(coded[1][vi[open_]]) + restored(coded[2][before_of[open_]])
         data = store.map()
         for part in (self.contexts, self.vocabulary, self.after, self.before, self.below):
             part.open(data)
@@ -211,11 +215,11 @@ class Trie:
         out[there] = at[there]
         return out
 
-    def log10(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, log_q: np.ndarray) -> np.ndarray:
-        """log10 P(w | u, v) of each row."""
-        out = log_q.astype(np.float64).copy()
+    def parts(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of what w was seen with after (u, v), -inf if nothing, and log10 of the share that goes to the unigram."""
+        seen_log, rest = np.full(len(v), -np.inf), np.zeros(len(v))
         if not self.contexts.n:
-            return out
+            return seen_log, rest
         names, back = np.unique(np.concatenate([u, w]), return_inverse=True)
         local = self._exact(self.vocabulary, names)[back]
         lu, lw = local[: len(u)], local[len(u) :]
@@ -223,14 +227,21 @@ class Trie:
         lv = self._exact(self.contexts, names)[back]
         known = lv >= 0
         after = self.after.find(lv, lw)
-        out[known] += restored(self.rest_v[lv[known]])
+        rest[known] += restored(self.rest_v[lv[known]])
         seen = after >= 0
-        out[seen] = restored(self.p2[after[seen]])
+        seen_log[seen] = restored(self.p2[after[seen]])
         before = self.before.find(lv, lu)
         both = np.flatnonzero(before >= 0)
-        out[both] += restored(self.rest_u[before[both]])
+        less = restored(self.rest_u[before[both]])
+        rest[both] += less
+        seen_log[both] += less
         there = both[after[both] >= 0]
         place = after[there] - self.after.pointers[lv[there]]
         below = self.below.find(before[there], place)
-        out[there[below >= 0]] = restored(self.p3[below[below >= 0]])
-        return out
+        seen_log[there[below >= 0]] = restored(self.p3[below[below >= 0]])
+        return seen_log, rest
+
+    def log10(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, log_q: np.ndarray) -> np.ndarray:
+        """log10 P(w | u, v) of each row, whose w have their unigrams here."""
+        seen_log, rest = self.parts(v, u, w)
+        return np.where(np.isneginf(seen_log), rest + log_q, seen_log)

@@ -1,18 +1,22 @@
 """Trigram language model in sharded Elias-Fano tries, and the scores of every text under it.
 
 Tokens are words and one end per text. ``P(w | u, v)`` is interpolated Kneser-Ney down to unigrams.
-Unigrams are add-one estimates; words rarer than one in ``KNOWN_WORDS`` tokens share their mass
-evenly, so the list of the others is bounded and can be broadcast. The model of a text is the even
+Unigrams are the add-one estimates of the base, for every word. The model of a text is the even
 mixture of this trigram model and the add-one unigram model (the base): where text has no word order
-worth knowing it loses at most log10 2 per text against the base.
+worth knowing it loses at most log10 2 per text against the base. The level between trigrams and
+unigrams has contexts of at most about one in ``CONTEXTS`` tokens: a more frequent word v is divided by
+a hash of the word before it. That goes by a word's share of the tokens, so a text's probability does not
+hang on how many tokens there are, nor on the sizes of blocks and shards.
 
 One shuffle carries all tokens: a map task turns a block of texts into a packed list of distinct
 (u, v, w) for each shard, with training counts and the texts they occur in (equal texts of a block
 are one). A shard owns contexts v: it adds up the blocks, builds the trie of its training trigrams,
-looks every trigram up in it, and returns packed sums per text. Frequent words v are divided by a
-hash of u into contexts of their own, so no shard outgrows ``SHARD_TOKENS`` by one word. Since every
-token but the end is the context of the next one, its count, and with it the base score, comes from
-the same shard. A last, small shuffle brings each block's sums together.
+looks every trigram up in it, and returns packed sums per text. Since every token but the end is the
+context of the next one, its count, and with it the base score, comes from the same shard. Shards know
+the unigrams of words of at least one in ``KNOWN_WORDS`` tokens, a bounded list that is broadcast; for a
+trigram that ends in a rarer word they return the seen part and the share of the unigram. A last, small
+shuffle brings each block's sums together, and with them the counts of its rarer words, which complete
+those trigrams.
 
 Cases: null text is empty (one token, the end); a null id is in training; repeated rows count as
 often as they occur; without training rows every token is unknown with probability 1; an empty
@@ -46,11 +50,13 @@ KNOWN_WORDS = 1_000_000
 SHARD_TOKENS = 2_000_000
 BLOCK_TOKENS = 1_500_000
 DISCOUNT = 0.75
+CONTEXTS = 4_000  # at most KNOWN_WORDS, so that every word to divide is in the list
 REMEMBERED = 250_000
 COUNT_ROWS = 4_000
 ADD_ROWS = 500
 NO_WORD, END = 0, 1
 SHORT = (1 << 40) - 1
+LOG10_2 = float(np.log10(2))
 
 
 def word_id(word: bytes) -> int:
@@ -95,37 +101,34 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 class Unigrams:
-    """Bounded part of the unigram model: frequent words with their counts, and how others share the rest."""
+    """Bounded part of the unigram model: frequent words with their counts. Counts of others come with each block."""
 
-    def __init__(self, tokens: int, kinds: int, ends: int, frequent: list[tuple[int, int, int]]):
-        """``frequent`` has (id, training count, count) of words; ``tokens`` and ``kinds`` include the ends."""
+    def __init__(self, tokens: int, kinds: int, ends: int, everything: int, frequent: list[tuple[int, int, int]]):
+        """``frequent`` has (id, training count, count) of words; ``tokens``, ``kinds`` and ``everything`` (all tokens) include the ends."""
         frequent = sorted([*frequent, (END, ends, ends)])
         self.ids = np.array([f[0] for f in frequent], np.int64)
         self.train = np.array([f[1] for f in frequent], np.int64)
         self.everywhere = np.array([f[2] for f in frequent], np.int64)
         self.short, at = np.unique(self.ids & SHORT, return_index=True)
         self.short_train = self.train[at]
-        self.tokens, self.kinds, self.ends = tokens, kinds, ends
+        self.tokens, self.kinds, self.ends, self.everything = tokens, kinds, ends, max(1, everything)
         self.whole = float(tokens + kinds + 1)
-        named = int((self.train > 0).sum())
-        rest = tokens + kinds - int(self.train.sum()) - named + 1  # of rarer words and of the unknown one
-        self.log_rare = np.log10(max(rest, 1) / self.whole / max(1, kinds - named + 1))
 
     def place(self, ids: np.ndarray) -> np.ndarray:
+        """Place of words in the list, -1 of rarer ones."""
         at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-        return np.where((self.ids[at] == ids) & (self.train[at] > 0), at, -1)
+        return np.where(self.ids[at] == ids, at, -1)
 
     def log10(self, short: np.ndarray) -> np.ndarray:
-        """Log probability of words given by the short form of their ids."""
+        """Log probability of words given by the short form of their ids; -inf of rarer ones, which is not known here."""
         at = np.minimum(np.searchsorted(self.short, short), len(self.short) - 1)
-        there = (self.short[at] == short) & (self.short_train[at] > 0)
-        return np.where(there, np.log10((self.short_train[at] + 1) / self.whole), self.log_rare)
+        return np.where(self.short[at] == short, np.log10((self.short_train[at] + 1) / self.whole), -np.inf)
 
     def parts(self, ids: np.ndarray) -> np.ndarray:
         """Into how many contexts a word is divided."""
         at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
         n = np.where(self.ids[at] == ids, self.everywhere[at], 0)
-        return np.maximum(1, -(-n * 4 // SHARD_TOKENS))
+        return np.maximum(1, -(-n * CONTEXTS // self.everything))
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -181,7 +184,7 @@ class Block:
         """``(shard, block, payload)``; shard -1 - s passes the documents through shard s."""
         lengths = np.array([len(t) for t in self.tokens], np.int64)
         first = np.array([t[0] if len(t) else END for t in self.tokens], np.int64)
-        yield -1 - name % shards, name, _pack_docs(self.docs, lengths + 1, unigrams.log10(first & SHORT))
+        yield -1 - name % shards, name, _pack_docs(self.docs, lengths + 1, first & SHORT)
         names, v = np.unique(np.concatenate([*self.tokens, np.array([NO_WORD, END])]), return_inverse=True)
         v = v[:-2].astype(np.int32)  # places in names; 0 and 1 are no word and the end
         self.tokens = []
@@ -196,7 +199,7 @@ class Block:
         divided = np.flatnonzero(parts[v] > 1)
         short, shorter = np.unique(names & SHORT, return_inverse=True)
         u, w = shorter[u].astype(np.int32), shorter[w].astype(np.int32)
-        shard[divided] = mixed(names[v[divided]] ^ (mixed(short[u[divided]], 3) % parts[v[divided]] + 1), 1) % shards
+        shard[divided] = mixed(names[v[divided]] ^ (mixed(short, 3)[u[divided]] % parts[v[divided]] + 1), 1) % shards
         order = np.lexsort((w, u, v, shard))
         shard, v, u, w, text = (x[order] for x in (shard, v, u, w, text))
         del order
@@ -212,12 +215,13 @@ class Block:
             yield s, name, _pack(np.diff(names[own], prepend=0), np.diff(short[beside], prepend=0), np.diff(lv, prepend=0), lu, lw, counts, np.diff(at, append=b - a), text[a:b])
 
 
-def _pack_docs(docs: list[tuple], sizes: np.ndarray, log_first: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps((docs, sizes, log_first), protocol=5))
+def _pack_docs(docs: list[tuple], sizes: np.ndarray, first: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps((docs, sizes, first), protocol=5))
 
 
 def _shard(frame: pd.DataFrame, shard: int, unigrams: Unigrams) -> list[tuple[int, bytes]]:
-    """Packed sums per text for each block: trigram score, base score, known tokens."""
+    """For each block, packed: sums per text (trigram score, base score, known tokens), the trigrams that end in a
+    rarer word (text, word, seen part, share of the unigram), which are not in the sums, and the counts of its rarer words."""
     blocks = frame["block"].tolist()
     payloads = [_unpack(p) for p in frame["payload"]]
     owns, besides = ([np.cumsum(p[i].astype(np.int64)) for p in payloads] for i in (0, 1))
@@ -243,36 +247,80 @@ def _shard(frame: pd.DataFrame, shard: int, unigrams: Unigrams) -> list[tuple[in
     parts = unigrams.parts(names)
     context = v * int(parts.max())
     divided = np.flatnonzero(parts[v] > 1)
-    context[divided] += mixed(short[u[divided]], 3) % parts[v[divided]]
+    context[divided] += mixed(short, 3)[u[divided]] % parts[v[divided]]
     log_q = unigrams.log10(short)
     seen = np.flatnonzero(trained > 0)
     if len(divided):
-        seen = seen[np.lexsort((w[seen], u[seen], context[seen]))]
+        seen = seen[np.argsort(context[seen], kind="stable")]
     trie = Trie(context[seen], u[seen], w[seen], trained[seen], 10 ** log_q[w[seen]], DISCOUNT)
     # the trie's own trigrams are read in their order, the others searched for
     score = np.empty(len(v))
     score[seen] = trie.own_log10()
     other = np.flatnonzero(trained == 0)
-    score[other] = trie.log10(context[other], u[other], w[other], log_q[w[other]])
+    found, rest = trie.parts(context[other], u[other], w[other])
+    score[other] = np.where(np.isneginf(found) & np.isfinite(log_q[w[other]]), rest + log_q[w[other]], found)
+    # trigrams that end in a rarer word, and the share of its unigram
+    rarer = np.isneginf(log_q)[w]
+    open_rest = np.zeros(len(v), np.float32)
+    open_rest[seen[rarer[seen]]] = trie.open_rest
+    open_rest[other] = rest
     # counts of the words themselves: the whole list of a divided word is known from the frequent ones
     own = np.bincount(v, weights=trained, minlength=len(names)).astype(np.int64)
     place = unigrams.place(names)
     own = np.where(place >= 0, unigrams.train[place], own)
     base, known = np.log10((own + 1) / unigrams.whole)[v], (own > 0)[v]
-    del trie, context, u, w, v, seen
+    del trie, context, u, v, seen, other, found, rest
     out, first = [], 0
-    for block, payload in zip(blocks, payloads):
+    for block, payload, mine in zip(blocks, payloads, owns):
         n = len(payload[5])
         which = np.repeat(one_of[first : first + n], payload[6])
         text = payload[7].astype(np.int64)
         m = int(text.max()) + 1
-        sums = [np.bincount(text, weights=x[which], minlength=m) for x in (score, base, known)]
+        late = rarer[which]
+        sums = [np.bincount(text, weights=x, minlength=m) for x in (np.where(late, 0, score[which]), base[which], known[which])]
         some = np.flatnonzero(np.bincount(text, minlength=m))
-        out.append((block, _pack(some, sums[0][some].astype(np.float32), sums[1][some], sums[2][some].astype(np.int64))))
+        late = np.flatnonzero(late)
+        late = late[np.argsort(w[which[late]], kind="stable")]
+        at = which[late]
+        own_at = np.searchsorted(names, mine)
+        counted = np.flatnonzero(place[own_at] < 0)
+        by_short = counted[np.argsort(mine[counted] & SHORT, kind="stable")]
+        out.append((block, _pack(
+            some, sums[0][some].astype(np.float32), sums[1][some], sums[2][some].astype(np.int64),
+            text[late], np.diff(short[w[at]], prepend=0), score[at].astype(np.float32), open_rest[at],
+            np.diff(mine[by_short] & SHORT, prepend=0), own[own_at[by_short]],
+        )))
         first += n
     return out
 
 
+def _combined(payload: bytes, found: list[bytes], model: Unigrams) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of a block, and per text: tokens, known tokens, base score and score."""
+    docs, sizes, first = pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
+    # in a fixed order, so that sums do not depend on which task was first
+    parts = sorted(map(_unpack, found), key=lambda p: (len(p[0]), p[1].tobytes()))
+    empty = np.empty(0, np.int64)
+    rare, at = np.unique(np.concatenate([empty, *(np.cumsum(p[8].astype(np.int64)) for p in parts)]), return_index=True)
+    counts = np.concatenate([empty, *(p[9].astype(np.int64) for p in parts)])[at]
+
+    def log_q(short: np.ndarray) -> np.ndarray:
+        out = model.log10(short)
+        late = np.flatnonzero(np.isneginf(out))
+        out[late] = np.log10((counts[np.searchsorted(rare, short[late])] + 1) / model.whole)
+        return out
+
+    score = log_q(first)
+    base, known = np.full(len(sizes), np.log10((model.ends + 1) / model.whole)), np.full(len(sizes), int(model.ends > 0))
+    for at, s, b, k, text, word, seen, rest, *_ in parts:
+        score[at] += s
+        base[at] += b
+        known[at] += k.astype(np.int64)
+        if len(text):
+            whole = np.logaddexp2(seen / LOG10_2, (rest + log_q(np.cumsum(word.astype(np.int64)))) / LOG10_2) * LOG10_2
+            score += np.bincount(text.astype(np.int64), weights=whole, minlength=len(sizes))
+    return docs, sizes, known, base, np.maximum(score, base) + np.log10((1 + 10 ** -np.abs(score - base)) / 2)
+
+
 def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -285,7 +333,7 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     tokens, kinds, everything = total[0] + ends, total[1] + (ends > 0), total[2] + n_rows
     # At most KNOWN_WORDS words can be this frequent.
     frequent = counts.where(F.col("everywhere") * KNOWN_WORDS >= everything).collect()
-    unigrams = spark.sparkContext.broadcast(Unigrams(tokens, kinds, ends, [tuple(r) for r in frequent]))
+    unigrams = spark.sparkContext.broadcast(Unigrams(tokens, kinds, ends, everything, [tuple(r) for r in frequent]))
     shards = max(1, -(-everything // SHARD_TOKENS))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,21 +360,12 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         return pd.concat([out, pd.DataFrame({"block": [b for b, _ in found], "payload": [p for _, p in found], "docs": False})]).astype({"block": "int64"})
 
     def combine(key, frame: pd.DataFrame) -> pd.DataFrame:
-        docs_, sizes, score = pickle.loads(zstandard.ZstdDecompressor().decompress(frame["payload"][frame["docs"]].iloc[0]))
         model = unigrams.value
-        score = score.copy()
-        base, known = np.full(len(sizes), np.log10((model.ends + 1) / model.whole)), np.full(len(sizes), int(model.ends > 0))
-        # in a fixed order, so that sums do not depend on which task was first
-        parts = sorted((_unpack(p) for p in frame["payload"][~frame["docs"]]), key=lambda p: (len(p[0]), p[1].tobytes()))
-        for at, s, b, k in parts:
-            score[at] += s
-            base[at] += b
-            known[at] += k.astype(np.int64)
-        both = np.maximum(score, base) + np.log10((1 + 10 ** -np.abs(score - base)) / 2)
+        docs_, sizes, known, base, score = _combined(frame["payload"][frame["docs"]].iloc[0], frame["payload"][~frame["docs"]].tolist(), model)
         of = np.array([d[1] for d in docs_], np.int64)
         return pd.DataFrame({
             "_id": pd.array([d[0] for d in docs_], dtype=object), "held_out": [d[2] for d in docs_], "n_tokens": sizes[of], "n_known": known[of],
-            "train_tokens": model.tokens, "base_score": base[of], "score": both[of],
+            "train_tokens": model.tokens, "base_score": base[of], "score": score[of],
         })
 
     packed = rows.mapInArrow(gather, "shard bigint, block bigint, payload binary")
