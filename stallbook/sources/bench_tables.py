@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from stallbook.operators.ranking import with_global_order
+from stallbook.functions.scalars import add, agg
+from stallbook.operators.ranking import ROWS_PER_RANGE, with_global_order
 from stallbook.schemas import DATE_COLUMNS
 from stallbook.sources.frames import LazyFrames
 
@@ -86,27 +87,32 @@ def base_frames(spark: SparkSession, sf_dir: str) -> LazyFrames:
     return LazyFrames({t: reader(t) for t in BASE_TABLES})
 
 
-# Items as Spark makes them: the statement above without its window.
+# Items as Spark makes them: the statement above without its window, each column once.
 ITEM_ROWS = """
-SELECT l_orderkey AS order_id, l_partkey AS product_id,
- CASE WHEN l_orderkey % 5000 = 1 THEN cast(100000 AS bigint) ELSE l_suppkey END AS seller_id, l_shipdate AS shipping_limit_date,
- cast(l_extendedprice AS decimal(10,2)) AS price, cast(l_quantity AS decimal(10,2)) AS freight_value,
- l_linenumber AS k1, l_partkey AS k2, l_suppkey AS k3, cast(l_extendedprice * 100 AS bigint) AS k4,
- unix_micros(cast(l_shipdate AS timestamp)) AS k5, cast(l_quantity * 100 AS bigint) AS k6
+SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id, l_suppkey AS supplier_id,
+ cast(l_extendedprice AS decimal(10,2)) AS price, l_shipdate AS shipping_limit_date, cast(l_quantity AS decimal(10,2)) AS freight_value
 FROM lineitem"""
+ITEM_ORDER = ["line", "product_id", "supplier_id", "price", "shipping_limit_date", "freight_value"]
+ITEM_SELLER = "CASE WHEN order_id % 5000 = 1 THEN cast(100000 AS bigint) ELSE supplier_id END AS seller_id"
 
 
-def numbered_items(rows: DataFrame) -> DataFrame:
+def numbered_items(rows: DataFrame, hot_rows: int = ROWS_PER_RANGE) -> DataFrame:
     """Number the items of each order.
 
-    A window per order would sort a hot order in one task. The position in the whole table,
-    less the position where the order starts, needs no such group.
+    A window per order would sort a hot order in one task, so orders of more than ``hot_rows`` items, of which there are at most
+    as many as that goes into the rows, take another way: the position in all their rows, less the position where the order starts,
+    needs no such group. The other rows are shuffled once and not stored.
     """
-    placed = with_global_order(rows, ["order_id", "k1", "k2", "k3", "k4", "k5", "k6"], "position", "start")
-    return placed.selectExpr(
-        "order_id", "CAST(position - start + 1 AS INT) AS order_item_id", "product_id", "seller_id", "shipping_limit_date",
-        "price", "freight_value",
-    )
+    hot = [r[0] for r in agg(rows, ["order_id"], _n="count(1)").filter(f"_n > {hot_rows}").select("order_id").collect()]
+    found = rows
+    if hot:
+        is_hot = " OR ".join("order_id IS NULL" if key is None else f"order_id <=> {key}L" for key in hot)
+        found = rows.filter(f"NOT ({is_hot})")
+    found = add(found, order_item_id=f"row_number() OVER (PARTITION BY order_id ORDER BY {', '.join(ITEM_ORDER)})")
+    if hot:
+        placed = with_global_order(rows.filter(is_hot), ["order_id", *ITEM_ORDER], "position", "start", rows_per_range=hot_rows)
+        found = found.unionByName(add(placed, order_item_id="position - start + 1").drop("position", "start"))
+    return found.selectExpr("order_id", "CAST(order_item_id AS INT) AS order_item_id", "product_id", ITEM_SELLER, "shipping_limit_date", "price", "freight_value")
 
 
 def source_frames(spark: SparkSession, sf_dir: str, number_items: bool = True) -> LazyFrames:
@@ -122,7 +128,7 @@ def source_frames(spark: SparkSession, sf_dir: str, number_items: bool = True) -
 
     def items() -> DataFrame:
         rows = select(ITEM_ROWS)
-        return numbered_items(rows) if number_items else rows.drop("k1", "k2", "k3", "k4", "k5", "k6")
+        return numbered_items(rows) if number_items else rows.selectExpr("order_id", "product_id", ITEM_SELLER, "shipping_limit_date", "price", "freight_value")
 
     makers = {name: (lambda text=text: select(text)) for name, text in SOURCE_SQL.items()}
     return LazyFrames({**makers, "order_items": items})

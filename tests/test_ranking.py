@@ -1,6 +1,7 @@
 """The distributed rank operators against plain single-partition windows."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -111,3 +112,38 @@ def test_search_is_monotone_for_any_points(spark):
         got = df.selectExpr("v", f"{count_not_after(points, df, ['v'])} AS c").collect()
         assert all(r.c == sum(p[0] <= r.v for p in points) for r in got)
     assert find_splits(df, ["v"], 300, 1000) == []
+
+
+def test_items_are_numbered_in_one_shuffle_unless_an_order_is_hot(spark, monkeypatch):
+    from stallbook.sources import bench_tables
+
+    rows = [(order, line, 7, 3, Decimal(line), None, Decimal(1)) for order, n in ((1, 4), (2, 1), (5000, 2), (5001, 3), (None, 5)) for line in range(n, 0, -1)]
+    rows += [rows[0], (None, None, None, None, None, None, None)]
+    columns = "order_id bigint, line int, product_id bigint, supplier_id bigint, price decimal(10,2), shipping_limit_date timestamp_ntz, freight_value decimal(10,2)"
+    frame = spark.createDataFrame(rows, columns).repartition(3)
+
+    def told(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    hot = told(bench_tables.numbered_items(frame, hot_rows=2))
+    monkeypatch.setattr(bench_tables, "with_global_order", None)  # nothing is stored without a hot order
+    plain = bench_tables.numbered_items(frame)
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert told(plain) == hot
+    numbers = {key: sorted(r[1] for r in hot if r[0] == key) for key in {r[0] for r in hot}}
+    assert numbers == {1: [1, 2, 3, 4, 5], 2: [1], 5000: [1, 2], 5001: [1, 2, 3], None: [1, 2, 3, 4, 5, 6]}
+    assert {r[0] for r in hot if r[3] == 100000} == {5001, 1}
+
+
+def test_numbers_are_counted_before_they_are_worked_out(spark, monkeypatch):
+    from stallbook.quality import profile
+
+    keys, plain_agg = [], profile.agg
+    monkeypatch.setattr(profile, "agg", lambda df, by, **sums: keys.append(by) or plain_agg(df, by, **sums))
+    frame = spark.createDataFrame([(Decimal("1.50"), 2, 0.1), (Decimal("1.50"), 2, 0.1000000001), (None, None, None), (Decimal("-3.00"), 9, 5.0)], "price decimal(10,2), n int, share double")
+    got = sorted((tuple(r) for r in profile.numeric_counts({"t": frame}).collect()), key=repr)
+    assert keys[:3] == [["price"], ["n"], ["share"]]
+    assert got == sorted([
+        ("t.price", 1_500_000, 2), ("t.price", -3_000_000, 1), ("t.price", None, 1), ("t.n", 2_000_000, 2), ("t.n", 9_000_000, 1), ("t.n", None, 1),
+        ("t.share", 100_000, 2), ("t.share", 5_000_000, 1), ("t.share", None, 1),
+    ], key=repr)
