@@ -148,9 +148,22 @@ def _value_counts(staging: Frames, columns: Mapping[str, list[str]], value: str)
 
 
 def numeric_counts(staging: Frames) -> DataFrame:
-    """Stored (metric, value in millionths, n) of the numeric columns that are not ids."""
-    micro = f"CAST(CAST({{c}} AS DECIMAL(20,6)) * {SCALE} AS BIGINT)"
-    return materialize(_value_counts(staging, numeric_columns(staging), micro), "numbers")
+    """Stored (metric, value in millionths, n) of the numeric columns that are not ids.
+
+    Rows are counted by the value as it is, and decimals worked out once per distinct value, not once per row.
+    """
+    apart, together = [], []
+    for name, columns in numeric_columns(staging).items():
+        for c in columns:
+            counted = agg(staging[name], [c], _n="count(1)")
+            micro = f"CAST(CAST({c} AS DECIMAL(20,6)) * {SCALE} AS BIGINT)"
+            # Values of these types stay apart in millionths; others may meet there.
+            kind = staging[name].schema[c].dataType
+            exact = kind.scale <= 6 if isinstance(kind, T.DecimalType) else isinstance(kind, T.IntegralType)
+            (apart if exact else together).append(counted.selectExpr(f"'{name}.{c}' AS metric", f"{micro} AS v", "_n AS n"))
+    if together:
+        apart.append(agg(union_all(together), ["metric", "v"], n="sum(n)"))
+    return materialize(union_all(apart), "numbers")
 
 
 def _quantiles(counts: DataFrame, probs: list[float], rows_per_range: int | None) -> dict[str, list[float]]:
