@@ -606,6 +606,24 @@ def test_files_round_trip(spark, docs, tmp_path):
         assert ids[-1] == token_output.END_ID and coder.decode(ids[:-1].astype("<u4").tobytes()) == (t or "")
 
 
+def test_shards_are_written_in_waves(spark, docs, tmp_path, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    former, waves, write = spark.conf.get(key, None), [], token_output.write_shards
+
+    def watched(records, path, mode="overwrite"):
+        waves.append(([r[0] for r in records.select("slot").collect()], spark.conf.get(key)))
+        write(records, path, mode)
+
+    monkeypatch.setattr(token_output, "write_shards", watched)
+    out = token_output.training_files(docs, str(tmp_path / "waves"), stride=16, shard_records=20)
+    rows = out.collect()
+    assert len(waves) == token_output.WAVES and {told for _, told in waves} == {"true"}
+    assert sorted(slot for slots, _ in waves for slot in slots) == sorted(r["slot"] for r in rows) == list(range(len(rows)))
+    assert max(len(slots) for slots, _ in waves) <= len(rows) / token_output.WAVES + 20
+    assert not [r for r in rows if r["record_sha256"] is None]
+    assert spark.conf.get(key, None) == former
+
+
 def plain_permutation(n, key=token_output.KEY):
     """The same walk, number by number."""
     half = max(1, -(-max(1, n - 1).bit_length() // 2))
