@@ -200,7 +200,11 @@ def loss_counts(table: str, broken: bool) -> dict[str, str]:
     """Aggregates by column: values that do not fit their type, and under ``_broken_row`` rows that do not fit their file's header."""
     fields = T.StructType.fromDDL(STAGING[table]).fields
     counts = {f.name: f"count_if(({_text(f.name)}) IS NOT NULL AND ({_convert(f.name, f.dataType)}) IS NULL)" for f in fields}
-    return {**counts, BROKEN_ROW: f"count_if({BROKEN_ROW} IS NOT NULL)" if broken else "0L"}
+    return {**counts, BROKEN_ROW: broken_count(broken)}
+
+
+def broken_count(broken: bool) -> str:
+    return f"count_if({BROKEN_ROW} IS NOT NULL)" if broken else "0L"
 
 
 def accepted_losses(table: str) -> list[str]:
@@ -232,10 +236,14 @@ def store_staging(raw: DataFrame, table: str, rules: Mapping[str, str] | None =
 
     The counts belong to the stage that writes, where a task that runs again counts once.
     """
-    require_columns(raw, table)
-    losses = loss_counts(table, BROKEN_ROW in raw.columns)
-    watched, lost = observed(raw, losses, f"losses of {table}")
-    typed, counted = observed(to_staging(watched, table), rules or {}, f"rules of {table}")
+    fields = require_columns(raw, table).fields
+    broken = BROKEN_ROW in raw.columns
+    # Every value is converted once, beside its text: where nothing came out, the text tells whether something was lost.
+    texts = [*(f"`{f.name}`" for f in fields), *([BROKEN_ROW] if broken else [])]
+    both = raw.selectExpr(*texts, *[f"{_convert(f.name, f.dataType)} AS _typed_{f.name}" for f in fields])
+    losses = {f.name: f"count_if(_typed_{f.name} IS NULL AND ({_text(f.name)}) IS NOT NULL)" for f in fields}
+    watched, lost = observed(both, {**losses, BROKEN_ROW: broken_count(broken)}, f"losses of {table}")
+    typed, counted = observed(watched.selectExpr(*[f"_typed_{f.name} AS {f.name}" for f in fields]), rules or {}, f"rules of {table}")
     stored = materialize(typed, f"staging-{table}")
     return stored, lost(), counted()
 

@@ -336,3 +336,24 @@ def test_scratch_tables_can_be_cleared(spark, monkeypatch):
     assert stored.count() == 3 and materialize_module.clear_scratch(spark) == 1
     with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
         spark.read.parquet(stored.inputFiles()[0]).count()
+
+
+def test_staging_converts_a_value_once(spark, tmp_path, monkeypatch):
+    """The counts of lost values look at what the stored columns got, and are the same as those of a pass of their own."""
+    (tmp_path / "a_order_payments_dataset.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+        "o1,1,voucher,4.6,10.50\no2,abc,NULL,3.0,1e3,x\no3,,boleto,N/A,ten\no4,2\n"
+    )
+    raw = csv_files.read_raw(spark, csv_files.locate(spark, str(tmp_path), "payments"), "payments")
+    watched, plain = [], csv_files.observed
+
+    def noted(df, metrics, label):
+        watched.append(metrics)
+        return plain(df, metrics, label)
+
+    monkeypatch.setattr(csv_files, "observed", noted)
+    stored, lost, _ = csv_files.store_staging(raw, "payments")
+    assert not [text for metrics in watched for text in metrics.values() if "cast" in text.lower()]
+    assert lost == {r.column_name: r.lost for r in csv_files.lost_values(raw, "payments").collect()}
+    assert lost == {"order_id": 0, "payment_sequential": 1, "payment_type": 0, "payment_installments": 1, "payment_value": 1, "_broken_row": 2}
+    assert sorted(map(str, stored.collect())) == sorted(map(str, csv_files.to_staging(raw, "payments").collect()))
