@@ -103,7 +103,7 @@ def replace_table(
     database, name = _split_name(spark, table)
     location, aside = f"{versions_root(spark, table)}/{version}", f"{database}.{name}__{version}"
     bucketed = bool(buckets and key)
-    writer = (dealt_by_bucket(df, key, buckets, rows_per_file) if bucketed else df).write.format("parquet").option("path", location)
+    writer = (dealt_by_bucket(df, key, buckets, rows_per_file) if bucketed else df).write.format("parquet").option("path", location).option("compression", "zstd")
     if bucketed:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     try:

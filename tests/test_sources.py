@@ -357,3 +357,16 @@ def test_staging_converts_a_value_once(spark, tmp_path, monkeypatch):
     assert lost == {r.column_name: r.lost for r in csv_files.lost_values(raw, "payments").collect()}
     assert lost == {"order_id": 0, "payment_sequential": 1, "payment_type": 0, "payment_installments": 1, "payment_value": 1, "_broken_row": 2}
     assert sorted(map(str, stored.collect())) == sorted(map(str, csv_files.to_staging(raw, "payments").collect()))
+
+
+def test_stored_versions_are_compressed_like_intermediate_tables(spark):
+    catalog.reset_databases(spark, ("packed",))
+    frame = spark.range(100).selectExpr("id AS order_id", "'delivered' AS order_status")
+    for _ in range(2):
+        versions.replace_table(frame, "packed.plain")
+        versions.replace_table(frame, "packed.dealt", 4, "order_id")
+    for table in ("packed.plain", "packed.dealt"):
+        files = spark.table(table).inputFiles()
+        assert files and all(name.endswith(".zstd.parquet") for name in files)
+        assert spark.table(table).count() == 100
+    spark.sql("DROP DATABASE packed CASCADE")
