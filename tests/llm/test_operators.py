@@ -11,6 +11,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -624,6 +625,29 @@ def test_shards_are_written_in_waves(spark, docs, tmp_path, monkeypatch):
     assert spark.conf.get(key, None) == former
 
 
+def test_a_slot_is_computed_once_a_row(spark, docs):
+    rows, total = token_output.placed(docs, "doc_id", "text", 16, token_output.END_ID, token_output.KEY, None)
+    part = token_output.laid_out(rows.where(rows.slot.between(3, 40)), total, "doc_id", 16, 20, token_output.END_ID)
+    assert part._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["slot"] for r in part.select("slot").orderBy("slot").collect()] == list(range(3, 41))
+
+
+def test_texts_go_to_python_some_at_a_time(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    former = spark.conf.get(key)
+
+    def counted(docs, *rest):
+        sizes = lambda batches: (pa.RecordBatch.from_pydict({"_id": [b.num_rows], "seq_no": [0], "n_tokens": [1], "ids": [b""]}, schema=schema) for b in batches)
+        schema = pa.schema({"_id": pa.int64(), "seq_no": pa.int32(), "n_tokens": pa.int32(), "ids": pa.binary()})
+        return docs.select("text").mapInArrow(sizes, "_id bigint, seq_no int, n_tokens int, ids binary")
+
+    monkeypatch.setattr(token_output, "sequences", counted)
+    many = spark.range(0, 3_500, numPartitions=1).selectExpr("id AS doc_id", "'x' AS text")
+    rows, total = token_output.placed(many, "doc_id", "text", 16, token_output.END_ID, token_output.KEY, None)
+    assert sorted(r["_id"] for r in rows.collect()) == [500, 1_000, 1_000, 1_000] and total == 4
+    assert spark.conf.get(key) == former
+
+
 def plain_permutation(n, key=token_output.KEY):
     """The same walk, number by number."""
     half = max(1, -(-max(1, n - 1).bit_length() // 2))
