@@ -229,19 +229,21 @@ def display_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports and tables registered as views and joined in SQL."""
     frames = warehouse.report_frames(source_frames(spark, sf_dir, number_items=False), P)
-    register_views(
-        {
-            "dim_customer": frames["dim_customer"],
-            "dim_order": frames["dim_order"],
-            "vw_customer_health": REPORTS["customer_health"](frames, P),
-        }
-    )
-    return spark.sql(
+    views = {
+        "dim_customer": frames["dim_customer"],
+        "dim_order": frames["dim_order"],
+        "vw_customer_health": REPORTS["customer_health"](frames, P),
+    }
+    register_views(views)
+    found = spark.sql(
         "SELECT h.customer_status, o.order_status, count(*) AS orders FROM dim_order o "
         "JOIN dim_customer c ON c.customer_id = o.customer_id "
         "LEFT JOIN vw_customer_health h ON h.customer_unique_id = c.customer_unique_id "
         "GROUP BY h.customer_status, o.order_status"
     )
+    for view in views:  # the plan holds what they stand for; left in the session, they would hide tables of these names
+        spark.catalog.dropTempView(view)
+    return found
 
 
 def _table(name: str) -> Query:

@@ -59,7 +59,7 @@ def bucketing(spark: SparkSession, table: str) -> tuple[int | None, str | None]:
 
 def clear_all(spark: SparkSession, database: str) -> None:
     """Empty the tables, dependants first, and keep their definitions; their last rows stay as an old version."""
-    present = {t.name for t in spark.catalog.listTables(database)}
+    present = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}  # the session's views are listed with any database
     for table in reversed(LOAD_ORDER):
         if table in present:
             stored = spark.table(f"{database}.{table}")

@@ -6,6 +6,7 @@ from decimal import Decimal as D
 
 import pytest
 
+from stallbook import registry
 from stallbook.models.features import write_snapshot
 from stallbook.operators import materialize as materialize_module
 from stallbook.operators.materialize import scratch_root
@@ -215,6 +216,26 @@ def test_bucketed_loads_write_a_file_per_bucket_and_join_in_place(spark):
         spark.sql("DROP DATABASE bkt CASCADE")
 
 
+def test_clearing_leaves_the_views_of_the_session_alone(spark):
+    catalog.reset_databases(spark, ("shy",))
+    catalog.load_table(spark.range(2).toDF("seller_id"), "shy.dim_seller")
+    catalog.register_views({"dim_date": spark.range(3).toDF("date_key")})
+    try:
+        catalog.clear_all(spark, "shy")
+        assert (spark.table("shy.dim_seller").count(), spark.table("dim_date").count()) == (0, 3)
+    finally:
+        spark.catalog.dropTempView("dim_date")
+        spark.sql("DROP DATABASE shy CASCADE")
+
+
+def test_sql_over_views_leaves_no_views_behind(spark, monkeypatch):
+    rows = shop(("o1", "a", "2018-01-05 10:00:00", "s", 100), ("o2", "b", "2018-03-05 10:00:00", "s", 50))
+    monkeypatch.setattr(registry, "source_frames", lambda *_, **__: staging(spark, **rows))
+    found = registry.sql_over_views(spark, "")
+    assert not {"dim_customer", "dim_order", "vw_customer_health"} & {t.name for t in spark.catalog.listTables()}
+    assert sum(r.orders for r in found.collect()) == 2
+
+
 def test_views_follow_the_stored_tables(spark):
     catalog.reset_databases(spark, ("live",))
     sales = [("o1", "a", "2018-01-05 10:00:00", "s", 100), ("o2", "b", "2018-03-05 10:00:00", "s", 50)]
