@@ -575,6 +575,16 @@ def test_plain_turns(spark):
     assert all(not r["errors"] for r in out)
 
 
+def test_questions_are_shuffled_for_their_count_and_their_join_only(spark):
+    table = spark.createDataFrame([(1, 1, "user", "q"), (1, 2, "assistant", "a")], "conv_id bigint, turn bigint, role string, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = chat.turns_as_calls(table)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3 and "REPARTITION" not in plan, plan
+
+
 # op8
 
 
